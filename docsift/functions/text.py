@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -52,7 +53,8 @@ def html_to_text(html: Column) -> Column:
 
 def unescape_html(text: Column) -> Column:
     """Resolve named and numeric character references; unknown ones stay."""
-    named = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))])
+    # A constant, folded into one literal when the plan is optimized.
+    named = F.from_json(F.lit(json.dumps({name: chr(code) for name, code in name2codepoint.items()})), "map<string,string>")
 
     def resolve(piece: Column) -> Column:
         ref = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)

@@ -20,7 +20,7 @@ from docsift.functions.mime import format_content_type, identify_or_default
 from docsift.functions.paths import child_id, extend_chain, is_directory, safe_name
 from docsift.operators.mail import parse_mail
 from docsift.schemas import EXPANDED, FILES, LEVEL, MAIL, MBOX, ZIP
-from docsift.session import new_run_dir
+from docsift.session import new_run_dir, spread
 
 MESSAGE_NAME = "mbox-message.eml"
 ATTACHMENT_NAME = "message-attachment.dat"
@@ -173,11 +173,13 @@ def level_rows(expanded: DataFrame, openers: Openers | None = None) -> DataFrame
     """
     by_type = (openers or Openers()).by_type
     raw, source, is_child = F.col("child_name"), F.col("mimetype"), F.col("record") == "child"
-    rows = expanded.where(~F.coalesce(is_child & (source == ZIP) & is_directory(raw) & safe_name(raw).isNotNull(), F.lit(False)))
+    entry = safe_name(raw)
+    folder = is_child & (source == ZIP) & is_directory(raw) & entry.isNotNull()
+    rows = expanded.where(~F.coalesce(folder, F.lit(False)))
     name = (
         F.when(source == MBOX, F.lit(MESSAGE_NAME))
         .when(source == MAIL, F.coalesce(raw, F.lit(ATTACHMENT_NAME)))
-        .when(source == ZIP, safe_name(raw))
+        .when(source == ZIP, entry)
         .otherwise(raw)
     )
     declared = F.nullif(format_content_type(F.col("ctype"), F.col("subtype")), F.lit(""))
@@ -277,4 +279,5 @@ def expand_all(
         frontier = files_of(levels.where((F.col("level") == level) & (F.col("record") == "container")))
         if frontier.isEmpty():
             return levels
-        level += 1
+        # Containers cost CPU time out of proportion to their bytes, so few splits are spread over all cores.
+        frontier, level = spread(frontier, "file_id"), level + 1

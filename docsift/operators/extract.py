@@ -23,7 +23,7 @@ from docsift.functions.mail_columns import (
 from docsift.functions.paths import archive_path
 from docsift.functions.text import html_to_text, lossy_utf8
 from docsift.operators.routing import route, routing_rules
-from docsift.schemas import ERRORS, MAIL, OUTPUTS
+from docsift.schemas import ERRORS, MAIL, OUTPUTS, PROCESS_TYPES
 
 # Name and MIME type of the output of each process type.
 PROCESSED = {
@@ -32,6 +32,7 @@ PROCESSED = {
     "pdf": ("rendered.html", "text/html"),
 }
 
+_TYPE_OF = {"default_text": "text", "default_metadata": "metadata", "rfc822_render": "pdf"}
 _EXTRACTED = "text string, error string"
 
 
@@ -55,42 +56,52 @@ def file_text(content: Column, mimetype: Column) -> Column:
 
 
 def process_files(
-    files: DataFrame, parsed: DataFrame, renderer: Renderer = HTML, extractors: Iterable[Extractor] = ()
+    files: DataFrame,
+    parsed: DataFrame,
+    renderer: Renderer = HTML,
+    extractors: Iterable[Extractor] = (),
+    types: Iterable[str] = PROCESS_TYPES,
 ) -> DataFrame:
     """Run the routed extractors. Returns OUTPUTS columns and ``error_class, message`` of those that failed.
 
     Mails come parsed (see ``expand``), so their text, metadata and rendering share one parse; each process type reads
-    only the columns it needs, and nothing is joined or shuffled.
+    only the columns it needs, and nothing is joined or shuffled. ``types`` names all types that some file asks for.
     """
-    extractors = list(extractors)
+    extractors, types = list(extractors), set(types) - {"embedded"}
     rules = routing_rules(files.sparkSession, [r for e in extractors for r in e.rules()])
     own = [e.name for e in extractors]
-
-    mimetype = F.col("mimetype")
-    # The routing table refers to mails through their parsed form, all other files through their content.
-    others = route(files.where(mimetype != MAIL), rules)
-    text = file_text(F.col("content"), mimetype)
-    native = others.where((F.col("process_type") != "embedded") & ~F.col("extractor").isin(*own)).select(
-        *_lineage(),
-        F.when(F.col("extractor") == "default_text", text)
-        .when(F.col("extractor") == "default_metadata", metadata_json(file_metadata(mimetype)))
-        .alias("text"),
-    )
-    native = native.withColumn("error_class", F.when(F.col("text").isNull(), F.lit("unsupported_type")))
-    native = native.withColumn("message", F.when(F.col("text").isNull(), mimetype))
-
-    mails = route(parsed, rules).where(F.col("process_type") != "embedded")
-    headers, parts = F.col("headers"), F.col("parts")
-    mails = mails.where(~F.col("extractor").isin(*own)).select(
-        *_lineage(),
-        F.when(F.col("extractor") == "default_text", extracted_text(parts))
-        .when(F.col("extractor") == "default_metadata", metadata_json(mail_metadata(headers)))
-        .when(F.col("extractor") == "rfc822_render", render(headers, parts, renderer))
-        .alias("text"),
-        F.lit(None).cast("string").alias("error_class"),
-        F.lit(None).cast("string").alias("message"),
-    )
-    tables = [native, mails, *(_run(e, route(files, rules)) for e in extractors)]
+    mimetype, headers, parts = F.col("mimetype"), F.col("headers"), F.col("parts")
+
+    def native(routed: DataFrame, readers: dict[str, Callable[[], Column]]) -> DataFrame:
+        """Rows of the built-in extractors; a NULL text stands for a format without a reader."""
+        text = F.lit(None).cast("string")
+        for extractor, reader in readers.items():
+            if _TYPE_OF[extractor] in types:
+                text = F.when(F.col("extractor") == extractor, reader()).otherwise(text)
+        wanted = F.col("process_type").isin(*types) & ~F.col("extractor").isin(*own)
+        rows = routed.where(wanted).select(*_lineage(), text.alias("text"))
+        unsupported = F.col("text").isNull()
+        return rows.withColumns(
+            {
+                "error_class": F.when(unsupported, F.lit("unsupported_type")),
+                "message": F.when(unsupported, mimetype),
+            }
+        )
+
+    from_content = {
+        "default_text": lambda: file_text(F.col("content"), mimetype),
+        "default_metadata": lambda: metadata_json(file_metadata(mimetype)),
+    }
+    from_mail = {
+        "default_text": lambda: extracted_text(parts),
+        "default_metadata": lambda: metadata_json(mail_metadata(headers)),
+        "rfc822_render": lambda: render(headers, parts, renderer),
+    }
+    tables = [
+        native(route(files.where(mimetype != MAIL), rules), from_content),
+        native(route(parsed, rules), from_mail),
+        *(_run(e, route(files, rules)) for e in extractors),
+    ]
     return _named(reduce(DataFrame.unionByName, tables))
 
 

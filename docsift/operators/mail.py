@@ -10,6 +10,12 @@ import email.utils
 import quopri
 import re
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from docsift.schemas import PARSED_MAIL
+
 # Canonical spelling of the standard header names, and what their values hold.
 HEADER_KINDS = {
     "From": "addresses",
@@ -266,3 +272,21 @@ def _read_addresses(header: dict, text: str) -> None:
 
 def _address(name: str | None, address: str | None) -> dict:
     return {"name": name or None, "address": address if address and address != "<>" else None}
+
+
+@F.arrow_udf(PARSED_MAIL)
+def parsed_mail(content: pa.Array) -> pa.Array:
+    """``struct<headers, parts, error>`` of a mail, for use as a column; attached bytes are left out."""
+
+    def parse(raw: bytes | None) -> dict | None:
+        if raw is None:
+            return None
+        try:
+            headers, parts, _ = parse_mail(raw)
+            return {"headers": headers, "parts": parts, "error": None}
+        except Exception as e:  # noqa: BLE001 - any parser fault on untrusted bytes
+            return {"headers": None, "parts": None, "error": f"{type(e).__name__}: {e}"[:1000]}
+
+    kind = to_arrow_type(PARSED_MAIL)
+    # pyarrow takes the named fields and leaves the parser's own ones.
+    return pa.array([parse(value.as_py()) for value in content], kind)

@@ -14,6 +14,7 @@ from docsift.functions.mime import identify_or_default
 from docsift.operators.expand import Limits, Openers, errors_of, expand_all, files_of, messages_of
 from docsift.operators.extract import Extractor, embedded_outputs, error_rows, good_rows, process_files
 from docsift.operators.routing import parse_types, unknown_types
+from docsift.schemas import PROCESS_TYPES
 from docsift.sources.registry import mime_registry, with_type_by_name
 
 
@@ -96,13 +97,16 @@ def process(
     if "types" in files.columns:
         # A request with an unknown type is refused as a whole.
         wrong = type_errors(files)
-        known = F.array(*[F.lit(t) for t in ("text", "metadata", "pdf", "embedded")])
+        known = F.array(*[F.lit(t) for t in PROCESS_TYPES])
         roots = roots.where(F.size(F.array_except("types", known)) == 0)
     levels = expand_all(roots, openers, limits, seed)
     nested, parsed = files_of(levels), messages_of(levels)
     # Without recursion the files found are results, but are not processed themselves.
     at_work = nested.where("recurse").unionByName(roots)
-    rows = process_files(at_work, parsed, renderer, extractors)
+    asked = PROCESS_TYPES
+    if types and "types" not in files.columns and "all" not in (lower := [t.lower() for t in types]):
+        asked = lower
+    rows = process_files(at_work, parsed, renderer, extractors, asked)
     errors = errors_of(levels).unionByName(error_rows(rows))
     if wrong is not None:
         errors = errors.unionByName(wrong)

@@ -1,15 +1,38 @@
-"""Table contracts, in Spark DDL."""
+"""Table contracts: nested types, and tables in Spark DDL."""
 
-ADDRESS = "struct<name:string,address:string>"
-GROUP = f"struct<name:string,addresses:array<{ADDRESS}>>"
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructType
+
+_TEXT, _FLAG = StringType(), BooleanType()
+
+ADDRESS = StructType().add("name", _TEXT).add("address", _TEXT)
+GROUP = StructType().add("name", _TEXT).add("addresses", ArrayType(ADDRESS))
 HEADER = (
-    "struct<name:string,raw_name:string,raw:string,kind:string,text:string,texts:array<string>,"
-    f"addresses:array<{ADDRESS}>,groups:array<{GROUP}>>"
+    StructType()
+    .add("name", _TEXT)
+    .add("raw_name", _TEXT)
+    .add("raw", _TEXT)
+    .add("kind", _TEXT)
+    .add("text", _TEXT)
+    .add("texts", ArrayType(_TEXT))
+    .add("addresses", ArrayType(ADDRESS))
+    .add("groups", ArrayType(GROUP))
 )
 PART = (
-    "struct<part_id:int,parent:int,ctype:string,subtype:string,kind:string,name:string,"
-    "is_attachment:boolean,in_html_body:boolean,in_text_body:boolean,length:bigint,text:string>"
+    StructType()
+    .add("part_id", IntegerType())
+    .add("parent", IntegerType())
+    .add("ctype", _TEXT)
+    .add("subtype", _TEXT)
+    .add("kind", _TEXT)
+    .add("name", _TEXT)
+    .add("is_attachment", _FLAG)
+    .add("in_html_body", _FLAG)
+    .add("in_text_body", _FLAG)
+    .add("length", LongType())
+    .add("text", _TEXT)
 )
+PARSED_MAIL = StructType().add("headers", ArrayType(HEADER)).add("parts", ArrayType(PART)).add("error", _TEXT)
+_MESSAGE = f"headers array<{HEADER.simpleString()}>, parts array<{PART.simpleString()}>"
 
 JOBS = "job_id string, input_uri string, output_uri string, mimetype string, types array<string>, recurse boolean"
 
@@ -25,12 +48,12 @@ EXPANDED = (
     "job_id string, root_id string, file_id string, depth int, id_chain array<string>, name string, "
     "mimetype string, checksum string, types array<string>, recurse boolean, "
     "record string, ordinal bigint, child_name string, ctype string, subtype string, content binary, "
-    f"headers array<{HEADER}>, parts array<{PART}>, error_class string, message string"
+    f"{_MESSAGE}, error_class string, message string"
 )
 
 # One expansion level as written: files found (containers and leaves apart), parsed messages and errors, by ``record``.
 LEVEL = (
-    f"{FILES}, headers array<{HEADER}>, parts array<{PART}>, error_class string, message string, "
+    f"{FILES}, {_MESSAGE}, error_class string, message string, "
     "level int, record string"
 )
 
