@@ -1,5 +1,6 @@
 """docsift: turn collections of files into tables of nested files, text, metadata and lineage on Spark."""
 
-from docsift.plans.process import ProcessResult, process
+from docsift.plans.process import ProcessResult, process, process_path
+from docsift.session import configure
 
-__all__ = ["ProcessResult", "process"]
+__all__ = ["ProcessResult", "configure", "process", "process_path"]

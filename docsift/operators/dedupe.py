@@ -22,7 +22,7 @@ def duplicate_groups(files: DataFrame, key: str = "checksum") -> DataFrame:
 
 def keep_one(files: DataFrame, key: str = "checksum", order: tuple[str, ...] = ("depth", "file_id")) -> DataFrame:
     """The first file of every group. Winners are found on ids alone and joined back on the unique id."""
-    first = files.groupBy(key).agg(F.min(F.struct(*order, "file_id")).alias("first"))
+    first = files.groupBy(key).agg(F.min(F.struct(*dict.fromkeys((*order, "file_id")))).alias("first"))
     return files.join(first.select(F.col("first.file_id").alias("file_id")), "file_id", "left_semi")
 
 

@@ -254,7 +254,8 @@ def expand_all(
 
     Each level is written to the shared folder before the next one starts: finished work is not lost with an executor,
     and reading a level back splits its rows evenly by bytes, however they were spread over containers. The driver
-    holds one boolean per level. ``seed`` adds FILES rows found by other means (a scanned mailbox) to the first level.
+    holds one boolean per level. ``seed`` adds EXPANDED rows of containers that were opened by other means, such as the
+    split scans of large files, to the first level.
     """
     spark = roots.sparkSession
     limits = limits or Limits()
@@ -263,9 +264,7 @@ def expand_all(
     while True:
         rows = expand_once(frontier, openers, limits)
         if level == 0 and seed is not None:
-            opens = F.col("mimetype").isin(*(openers or Openers()).by_type) & F.col("recurse")
-            kind = F.when(opens, F.lit("container")).otherwise(F.lit("leaf"))
-            rows = rows.unionByName(seed.withColumn("record", kind), allowMissingColumns=True)
+            rows = rows.unionByName(level_rows(seed, openers))
         if level == limits.max_depth:
             # Containers this deep are reported and not opened.
             too_deep = F.col("record") == "container"

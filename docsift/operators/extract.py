@@ -72,15 +72,14 @@ def process_files(
     own = [e.name for e in extractors]
     mimetype, headers, parts = F.col("mimetype"), F.col("headers"), F.col("parts")
 
-    def native(routed: DataFrame, readers: dict[str, Callable[[], Column]]) -> DataFrame:
-        """Rows of the built-in extractors; a NULL text stands for a format without a reader."""
+    def native(routed: DataFrame, readers: dict[str, Callable[[], Column]], unsupported: Column) -> DataFrame:
+        """Rows of the built-in extractors. What is unsupported shows from the type, so error rows read no content."""
         text = F.lit(None).cast("string")
         for extractor, reader in readers.items():
             if _TYPE_OF[extractor] in types:
                 text = F.when(F.col("extractor") == extractor, reader()).otherwise(text)
         wanted = F.col("process_type").isin(*types) & ~F.col("extractor").isin(*own)
         rows = routed.where(wanted).select(*_lineage(), text.alias("text"))
-        unsupported = F.col("text").isNull()
         return rows.withColumns(
             {
                 "error_class": F.when(unsupported, F.lit("unsupported_type")),
@@ -97,9 +96,10 @@ def process_files(
         "default_metadata": lambda: metadata_json(mail_metadata(headers)),
         "rfc822_render": lambda: render(headers, parts, renderer),
     }
+    no_reader = (F.col("process_type") == "text") & ~mimetype.startswith("text/")
     tables = [
-        native(route(files.where(mimetype != MAIL), rules), from_content),
-        native(route(parsed, rules), from_mail),
+        native(route(files.where(mimetype != MAIL), rules), from_content, no_reader),
+        native(route(parsed, rules), from_mail, F.lit(False)),
         *(_run(e, route(files, rules)) for e in extractors),
     ]
     return _named(reduce(DataFrame.unionByName, tables))
@@ -139,6 +139,7 @@ def _named(rows: DataFrame) -> DataFrame:
         "checksum",
         "id_chain",
         archive_path(F.col("id_chain"), name).alias("archive_path"),
+        F.octet_length("text").cast("bigint").alias("length"),
         "text",
         F.lit(None).cast("binary").alias("content"),
         "error_class",
@@ -161,6 +162,7 @@ def embedded_outputs(children: DataFrame) -> DataFrame:
         "checksum",
         "id_chain",
         archive_path(F.col("id_chain"), F.col("name")).alias("archive_path"),
+        "length",
         F.lit(None).cast("string").alias("text"),
         "content",
     )

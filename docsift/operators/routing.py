@@ -26,9 +26,8 @@ def parse_types(types: Column) -> Column:
 
 
 def unknown_types(types: Column) -> Column:
-    """The requested types that do not exist."""
-    known = F.array(*[F.lit(t) for t in (*PROCESS_TYPES, "all")])
-    return F.array_except(F.transform(types, F.lower), known)
+    """The requested types that do not exist, as they were written."""
+    return F.filter(types, lambda t: ~F.lower(t).isin(*PROCESS_TYPES, "all"))
 
 
 def routing_rules(spark: SparkSession, extra: Iterable[tuple[str, str, str]] = ()) -> DataFrame:

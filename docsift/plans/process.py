@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsift.functions.identity import dedupe_checksum
@@ -13,10 +13,16 @@ from docsift.functions.mail_columns import HTML, Renderer
 from docsift.functions.mime import identify_or_default
 from docsift.operators.expand import Limits, Openers, errors_of, expand_all, files_of, messages_of
 from docsift.operators.extract import Extractor, embedded_outputs, error_rows, good_rows, process_files
-from docsift.operators.routing import parse_types, unknown_types
-from docsift.schemas import PROCESS_TYPES
+from docsift.operators.routing import parse_types, route, unknown_types
+from docsift.schemas import MAIL, MBOX, PROCESS_TYPES
+from docsift.session import staged
+from docsift.sources.files import plain_path, scan_files
+from docsift.sources.large import large_roots, members_of
 from docsift.sources.registry import mime_registry, with_type_by_name
 
+# Files above this size are not read into one row.
+LARGE_BYTES = 1_000_000_000
+
 
 @dataclass(frozen=True)
 class ProcessResult:
@@ -78,6 +84,21 @@ def type_errors(files: DataFrame) -> DataFrame:
     )
 
 
+def too_large_errors(large_roots: DataFrame) -> DataFrame:
+    """An error row for each extractor that would need the whole content of a large file."""
+    routed = route(large_roots)
+    unread = F.col("process_type").isin("text", "pdf") | (F.col("mimetype") == MAIL)
+    return routed.where(unread).select(
+        "job_id",
+        "root_id",
+        "file_id",
+        F.lit("extract").alias("stage"),
+        "process_type",
+        F.lit("too_large").alias("error_class"),
+        F.concat_ws(" ", F.col("length").cast("string"), F.lit("bytes")).alias("message"),
+    )
+
+
 def process(
     files: DataFrame,
     types: list[str] | None = None,
@@ -86,12 +107,18 @@ def process(
     extractors: Iterable[Extractor] = (),
     openers: Openers | None = None,
     limits: Limits | None = None,
-    seed: DataFrame | None = None,
+    large: tuple[DataFrame, DataFrame] | None = None,
 ) -> ProcessResult:
     """Expand files to all depths and run the extractors each one is routed to.
 
     ``files`` holds one row per root: ``root_id, name, content``, and optionally ``job_id, mimetype, types, recurse``.
+    ``large`` adds roots that were scanned by path and their members (see ``sources.large``).
     """
+    asked = [t.lower() for t in types or ["all"]]
+    if unknown := set(asked) - {*PROCESS_TYPES, "all"}:
+        raise ValueError(f"unknown process types: {', '.join(sorted(unknown))}")
+    if "types" in files.columns or "all" in asked:
+        asked = PROCESS_TYPES
     roots = as_roots(files, types, recurse)
     wrong = None
     if "types" in files.columns:
@@ -99,20 +126,53 @@ def process(
         wrong = type_errors(files)
         known = F.array(*[F.lit(t) for t in PROCESS_TYPES])
         roots = roots.where(F.size(F.array_except("types", known)) == 0)
-    levels = expand_all(roots, openers, limits, seed)
+    scanned, members = large if large is not None else (None, None)
+    levels = expand_all(roots, openers, limits, members)
     nested, parsed = files_of(levels), messages_of(levels)
     # Without recursion the files found are results, but are not processed themselves.
     at_work = nested.where("recurse").unionByName(roots)
-    asked = PROCESS_TYPES
-    if types and "types" not in files.columns and "all" not in (lower := [t.lower() for t in types]):
-        asked = lower
+    if scanned is not None:
+        # Without their content in a row, large roots get the metadata that needs no reader; the rest is reported.
+        readable = F.array_intersect("types", F.array(F.lit("metadata")))
+        at_work = at_work.unionByName(scanned.withColumn("types", readable))
+        roots = roots.unionByName(scanned)
     rows = process_files(at_work, parsed, renderer, extractors, asked)
     errors = errors_of(levels).unionByName(error_rows(rows))
     if wrong is not None:
         errors = errors.unionByName(wrong)
+    if scanned is not None:
+        errors = errors.unionByName(too_large_errors(scanned))
     return ProcessResult(
         files=roots.unionByName(nested),
         outputs=good_rows(rows).unionByName(embedded_outputs(nested)),
         errors=errors,
         messages=parsed,
     )
+
+
+def process_path(
+    spark: SparkSession,
+    path: str,
+    types: list[str] | None = None,
+    recurse: bool = True,
+    glob: str | None = None,
+    large_bytes: int = LARGE_BYTES,
+    **options,
+) -> ProcessResult:
+    """Process all files below a path. Large archives and mailboxes are read by many tasks each.
+
+    A large file of another format has its metadata and checksum; a reader that would need its whole content gives an
+    error row.
+    """
+    types = types or ["all"]
+    scanned = scan_files(spark, path, glob).withColumn("path", plain_path(F.col("path")))
+    small = scanned.where(F.col("length") <= large_bytes).select(
+        F.col("path").alias("root_id"), F.element_at(F.split("path", "/"), -1).alias("name"), "content"
+    )
+    large_files = scanned.where(F.col("length") > large_bytes).select("path", "length")
+    if large_files.isEmpty():
+        return process(small, types, recurse, **options)
+    large = staged(large_roots(large_files, types, recurse), "large")
+    # Spark's own listing holds every path on the driver; this holds those of mailboxes over the size limit only.
+    mailboxes = [row.root_id for row in large.where(F.col("mimetype") == MBOX).select("root_id").toLocalIterator()]
+    return process(small, types, recurse, large=(large, members_of(large, mailboxes)), **options)

@@ -59,7 +59,7 @@ LEVEL = (
 
 OUTPUTS = (
     "job_id string, root_id string, file_id string, depth int, ordinal bigint, kind string, process_type string, "
-    "name string, mimetype string, checksum string, id_chain array<string>, archive_path string, text string, "
+    "name string, mimetype string, checksum string, id_chain array<string>, archive_path string, length bigint, text string, "
     "content binary"
 )
 

@@ -12,6 +12,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsift.stores import open_store
+
 MANIFEST = "root_id string, volume int, path string, n_entries bigint, bytes bigint"
 
 # Fixed value: all entries carry the earliest time a zip can hold, so that archives of equal content are equal.
@@ -24,7 +26,7 @@ def with_volume(outputs: DataFrame, volume_bytes: int) -> DataFrame:
     Only roots that need several volumes are listed, of which there is at most one per ``volume_bytes`` of data; that
     bounds the broadcast table.
     """
-    sized = outputs.groupBy("root_id").agg(F.sum(F.octet_length("data")).alias("bytes"))
+    sized = outputs.groupBy("root_id").agg(F.sum("length").alias("bytes"))
     large = sized.where(F.col("bytes") > volume_bytes).select(
         "root_id", F.ceil(F.col("bytes") / volume_bytes).cast("int").alias("volumes")
     )
@@ -43,17 +45,17 @@ def write_archives(outputs: DataFrame, path: str, volume_bytes: int = 1 << 30) -
     """
     spark = outputs.sparkSession
     data = F.coalesce(F.col("content"), F.encode("text", "UTF-8"))
-    rows = with_volume(outputs.select("root_id", "archive_path", data.alias("data")), volume_bytes)
+    rows = with_volume(outputs.select("root_id", "archive_path", "length", data.alias("data")), volume_bytes).drop("length")
     placed = rows.repartition("root_id", "volume").sortWithinPartitions("root_id", "volume", "archive_path")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = TaskContext.get().taskAttemptId()
         current, archive, stream, count, size = None, None, None, 0, 0
-        store, base = _store(path)
+        store, base = open_store(path)
 
         def names(key):
-            # The name holds a hash-free, escaped form of the root, so any root id is a file name.
             name = f"{_file_name(key[0])}.{key[1]:05d}.zip"
+            # Listings leave out names that begin with an underscore, so an unfinished archive is not seen.
             return posixpath.join(base, "archives", name), posixpath.join(base, "archives", f"_{attempt}.{name}")
 
         def finish():
@@ -108,9 +110,32 @@ def _file_name(root_id: str) -> str:
     return "".join(c if c.isalnum() or c in "-_" else f"%{ord(c):x}" for c in root_id)
 
 
-def _store(path: str) -> tuple[fs.FileSystem, str]:
-    if path.startswith("s3a://") or path.startswith("s3n://"):
-        path = "s3://" + path.split("://", 1)[1]
-    if path.startswith("file:/") and not path.startswith("file:///"):
-        path = "file:///" + path[len("file:") :].lstrip("/")
-    return fs.FileSystem.from_uri(path)
+def publish(manifest: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Copy each root's archives to its job's ``output_uri``, one task per archive. Returns ``root_id, uri, bytes``.
+
+    A root in one volume goes to the URI itself, further volumes get their number added.
+    """
+    several = manifest.groupBy("root_id").agg((F.count("*") > 1).alias("several"))
+    targets = jobs.select(F.col("job_id").alias("root_id"), "output_uri")
+    numbered = F.concat(F.col("output_uri"), F.lit("."), F.lpad(F.col("volume").cast("string"), 5, "0"))
+    copies = (
+        manifest.join(several, "root_id")
+        .join(targets, "root_id")
+        .select("root_id", "path", F.when(F.col("several"), numbered).otherwise(F.col("output_uri")).alias("uri"))
+    )
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = []
+            for source, uri in zip(batch.column("path").to_pylist(), batch.column("uri").to_pylist()):
+                from_store, from_path = open_store(source)
+                to_store, to_path = open_store(uri)
+                to_store.create_dir(posixpath.dirname(to_path), recursive=True)
+                # copy_files streams in chunks, so an archive of any size passes through little memory.
+                fs.copy_files(from_path, to_path, from_store, to_store)
+                sizes.append(to_store.get_file_info(to_path).size)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("root_id"), batch.column("uri"), pa.array(sizes, pa.int64())], names=["root_id", "uri", "bytes"]
+            )
+
+    return copies.repartition("root_id", "path").mapInArrow(copy, "root_id string, uri string, bytes bigint")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import mimetypes
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsift.functions.paths import extension
@@ -40,16 +40,18 @@ def mime_registry(spark: SparkSession) -> DataFrame:
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """A registry kept as a Markdown table of type and extensions, with ``**Section**`` rows giving the status."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
-    cells = lines.where(F.col("line").startswith("|")).select(
-        "line_no", F.transform(F.split("line", r"\|"), F.trim).alias("cells")
+    # The text between section marks is, in turn, a section's name and its rows.
+    pieces = F.split("value", r"\*\*", -1)
+    sections = F.transform(
+        F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2)),
+        lambda i: F.struct(F.lower(F.get(pieces, i)).alias("status"), F.split(F.get(pieces, i + 1), "\n").alias("lines")),
     )
-    cells = cells.select("line_no", F.get("cells", F.lit(1)).alias("mimetype"), F.get("cells", F.lit(2)).alias("exts"))
-    status = F.lower(F.nullif(F.regexp_extract("mimetype", r"^\*\*(.+)\*\*$", 1), F.lit("")))
-    # A registry is one short document, so its lines may be put in order in one task.
-    cells = cells.withColumn("status", F.last(status, ignorenulls=True).over(Window.orderBy("line_no")))
-    cells = cells.where(F.col("status").isNotNull() & F.contains("mimetype", F.lit("/")))
-    return cells.select("mimetype", F.explode(F.split("exts", r",\s*")).alias("extension"), "status").distinct()
+    marked = spark.read.text(path, wholetext=True).where(F.size(pieces) >= 3)
+    lines = marked.select(F.inline(sections)).select("status", F.explode("lines").alias("line"))
+    cells = lines.select("status", F.transform(F.split("line", r"\|", -1), lambda c: F.trim(c)).alias("cells"))
+    rows = cells.select("status", F.get("cells", F.lit(1)).alias("mimetype"), F.get("cells", F.lit(2)).alias("exts"))
+    rows = rows.where(F.contains("mimetype", F.lit("/")))
+    return rows.select("mimetype", F.explode(F.split("exts", r",\s*")).alias("extension"), "status").distinct()
 
 
 def types_by_extension(registry: DataFrame) -> DataFrame:

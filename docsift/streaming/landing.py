@@ -12,17 +12,18 @@ from docsift.plans.process import ProcessResult, process
 
 TABLES = ("files", "outputs", "errors")
 
+# The columns of Spark's binaryFile source.
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def landing_stream(
-    spark: SparkSession, path: str, schema: str | None = None, max_files: int | None = None, fmt: str = "binaryFile"
+    spark: SparkSession, path: str, schema: str = BINARY_FILE, max_files: int | None = None, fmt: str = "binaryFile"
 ) -> DataFrame:
     """Files landing in a folder as a stream; each is read once, in the order of arrival.
 
     ``max_files`` limits one micro-batch; without it a batch takes all there is.
     """
-    reader = spark.readStream.format(fmt)
-    if schema is not None:
-        reader = reader.schema(schema)
+    reader = spark.readStream.format(fmt).schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)
