@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +16,6 @@ RENDERED = {MAIL: "rfc822_render"}
 CONTAINERS = {ZIP: "zip_embedded", MBOX: "mbox_embedded", MAIL: "rfc822_embedded"}
 DEFAULTS = {"text": "default_text", "metadata": "default_metadata"}
 
-RULES_SCHEMA = "process_type string, mimetype string, extractor string"
-
 
 def parse_types(types: Column) -> Column:
     """Lower-case types, ``all`` standing for every type."""
@@ -36,14 +35,20 @@ def routing_rules(spark: SparkSession, extra: Iterable[tuple[str, str, str]] = (
     rules |= {("pdf", m): e for m, e in RENDERED.items()}
     rules |= {("embedded", m): e for m, e in CONTAINERS.items()}
     rules |= {(t, m): e for t, m, e in extra}
-    return spark.createDataFrame([(t, m, e) for (t, m), e in rules.items()], RULES_SCHEMA)
+    table = {
+        "process_type": [t for t, _ in rules],
+        "mimetype": [m for _, m in rules],
+        "extractor": pa.array(list(rules.values()), pa.string()),
+    }
+    # An Arrow table becomes a local relation, whose size Spark knows when it chooses a join.
+    return spark.createDataFrame(pa.table(table))
 
 
 def route(files: DataFrame, rules: DataFrame | None = None) -> DataFrame:
     """One row per file and extractor that handles it: adds ``process_type`` and ``extractor``."""
     rules = routing_rules(files.sparkSession) if rules is None else rules
-    # The rules are a handful of rows written by hand, so they are broadcast.
-    matched = F.broadcast(rules.withColumn("has_rule", F.lit(True)))
+    # Broadcast by Spark on account of its size.
+    matched = rules.withColumn("has_rule", F.lit(True))
     default = F.create_map(*[F.lit(x) for pair in DEFAULTS.items() for x in pair])
     asked = files.withColumn("process_type", F.explode(parse_types(F.col("types"))))
     routed = asked.join(matched, ["process_type", "mimetype"], "left").withColumn(

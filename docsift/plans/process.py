@@ -157,12 +157,14 @@ def process_path(
     recurse: bool = True,
     glob: str | None = None,
     large_bytes: int = LARGE_BYTES,
+    large_checksums: bool = True,
     **options,
 ) -> ProcessResult:
     """Process all files below a path. Large archives and mailboxes are read by many tasks each.
 
     A large file of another format has its metadata and checksum; a reader that would need its whole content gives an
-    error row.
+    error row. A checksum of a large file is one task's work, as MD5 is sequential; ``large_checksums=False`` leaves the
+    checksums of large roots NULL instead. Checksums of what is inside them are not affected.
     """
     types = types or ["all"]
     scanned = scan_files(spark, path, glob).withColumn("path", plain_path(F.col("path")))
@@ -172,7 +174,7 @@ def process_path(
     large_files = scanned.where(F.col("length") > large_bytes).select("path", "length")
     if large_files.isEmpty():
         return process(small, types, recurse, **options)
-    large = staged(large_roots(large_files, types, recurse), "large")
+    large = staged(large_roots(large_files, types, recurse, large_checksums), "large")
     # Spark's own listing holds every path on the driver; this holds those of mailboxes over the size limit only.
     mailboxes = [row.root_id for row in large.where(F.col("mimetype") == MBOX).select("root_id").toLocalIterator()]
     return process(small, types, recurse, large=(large, members_of(large, mailboxes)), **options)

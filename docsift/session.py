@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 WORK_DIR_KEY = "docsift.work.dir"
-SHIPPED_KEY = "docsift.shipped"
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -25,13 +22,7 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators rely on, and ship the package to the executors."""
-    if spark.conf.get(SHIPPED_KEY, None) is None:
-        package = Path(__file__).parent
-        # The driver serves the archive to the executors, so its place on the driver's disk does not matter.
-        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
-        spark.sparkContext.addPyFile(archive)
-        spark.conf.set(SHIPPED_KEY, "true")
+    """Apply the runtime settings the operators rely on."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -67,8 +58,9 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition a plain scan by unique keys when it has fewer partitions than the cluster has cores.
 
-    Meant for CPU-bound work on few input splits. A scan with enough splits is returned unchanged, so nothing is
-    shuffled at scale.
+    For work that costs CPU time out of proportion to its bytes. Spark splits a scan into as many partitions as there
+    are cores once each gets a few megabytes, so at most about one input split per core is moved, and a scan of much
+    data is returned unchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:

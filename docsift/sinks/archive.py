@@ -16,6 +16,9 @@ from docsift.stores import open_store
 
 MANIFEST = "root_id string, volume int, path string, n_entries bigint, bytes bigint"
 
+# Entries per archive, so that roots of very many small outputs are split as well.
+VOLUME_ENTRIES = 1_000_000
+
 # Fixed value: all entries carry the earliest time a zip can hold, so that archives of equal content are equal.
 ENTRY_TIME = (1980, 1, 1, 0, 0, 0)
 
@@ -23,13 +26,12 @@ ENTRY_TIME = (1980, 1, 1, 0, 0, 0)
 def with_volume(outputs: DataFrame, volume_bytes: int) -> DataFrame:
     """Add ``volume``: 0 for a root that fits in one archive, else a number by path.
 
-    Only roots that need several volumes are listed, of which there is at most one per ``volume_bytes`` of data; that
-    bounds the broadcast table.
+    Only roots that need several volumes are listed, of which there is at most one per ``volume_bytes`` of data and
+    one per ``VOLUME_ENTRIES`` outputs; that bounds the broadcast table.
     """
-    sized = outputs.groupBy("root_id").agg(F.sum("length").alias("bytes"))
-    large = sized.where(F.col("bytes") > volume_bytes).select(
-        "root_id", F.ceil(F.col("bytes") / volume_bytes).cast("int").alias("volumes")
-    )
+    sized = outputs.groupBy("root_id").agg(F.sum("length").alias("bytes"), F.count("*").alias("n"))
+    volumes = F.greatest(F.ceil(F.col("bytes") / volume_bytes), F.ceil(F.col("n") / VOLUME_ENTRIES))
+    large = sized.select("root_id", volumes.cast("int").alias("volumes")).where("volumes > 1")
     joined = outputs.join(F.broadcast(large), "root_id", "left")
     return joined.withColumn(
         "volume", F.pmod(F.xxhash64("archive_path"), F.coalesce(F.col("volumes"), F.lit(1))).cast("int")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docsift.functions.uris import hadoop_uri, object_location
+from docsift.operators.skew import join_one_to_many
 from docsift.session import staged
 
 # A binary value holds at most 2 GiB; a longer file is reported, and a longer mailbox is scanned with scan_mailboxes.
@@ -50,8 +51,9 @@ def scan_jobs(jobs: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
         "error_class",
         F.col("input_uri").alias("message"),
     )
-    contents = files.where(F.col("length") <= MAX_CONTENT_BYTES).withColumn("path", plain_path(F.col("path")))
-    roots = contents.join(jobs, "path").select(
+    contents = files.where(F.col("length") <= MAX_CONTENT_BYTES).select(plain_path(F.col("path")).alias("path"), "content")
+    # Many jobs may name one input, so its jobs are cut into slices.
+    roots = join_one_to_many(jobs.where(~F.coalesce(bad_uri, F.lit(False))), contents, ["path"], "job_id").select(
         "job_id",
         F.col("job_id").alias("root_id"),
         F.element_at(F.split("path", "/"), -1).alias("name"),

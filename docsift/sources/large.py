@@ -32,16 +32,17 @@ _MEMBER = (
 )
 
 
-def streamed_checksums(paths: DataFrame) -> DataFrame:
+def streamed_checksums(paths: DataFrame, checksums: bool = True) -> DataFrame:
     """``path, checksum, head`` of files read by path: the dedupe checksum of the content and the first kilobyte.
 
-    MD5 is sequential, so a file is one task's work; it is read in buffers and never held.
+    MD5 is sequential, so a file is one task's work; it is read in buffers and never held. Without ``checksums`` only
+    the first kilobyte is read.
     """
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             paths = batch.column("path").to_pylist()
-            sums, heads = zip(*(_streamed(path) for path in paths)) if paths else ((), ())
+            sums, heads = zip(*(_streamed(path, checksums) for path in paths)) if paths else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(paths, pa.string()), pa.array(sums, pa.string()), pa.array(heads, pa.binary())],
                 names=["path", "checksum", "head"],
@@ -50,10 +51,12 @@ def streamed_checksums(paths: DataFrame) -> DataFrame:
     return paths.select("path").repartition("path").mapInArrow(look, _LOOKED_AT)
 
 
-def _streamed(path: str) -> tuple[str, bytes]:
+def _streamed(path: str, checksum: bool) -> tuple[str | None, bytes]:
     store, name = open_store(path)
-    md5, buffer, head = hashlib.md5(), bytearray(BUFFER_BYTES), None
     with store.open_input_stream(name, buffer_size=0) as stream:
+        if not checksum:
+            return None, stream.read(1024)
+        md5, buffer, head = hashlib.md5(), bytearray(BUFFER_BYTES), None
         while chunk := stream.read(BUFFER_BYTES):
             head = chunk[:1024] if head is None else head
             buffer[: len(chunk)] = chunk
@@ -61,9 +64,9 @@ def _streamed(path: str) -> tuple[str, bytes]:
     return md5.hexdigest(), head or b""
 
 
-def large_roots(files: DataFrame, types: list[str], recurse: bool = True) -> DataFrame:
+def large_roots(files: DataFrame, types: list[str], recurse: bool = True, checksums: bool = True) -> DataFrame:
     """FILES rows without content for scanned files (``path, length``), typed by name and first bytes."""
-    looked = streamed_checksums(files).join(files.select("path", "length"), "path")
+    looked = streamed_checksums(files, checksums).join(files.select("path", "length"), "path")
     named = looked.withColumn("name", F.element_at(F.split("path", "/"), -1))
     named = with_type_by_name(named, mime_registry(files.sparkSession))
     return named.select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import mimetypes
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,8 @@ def mime_registry(spark: SparkSession) -> DataFrame:
     known = {(mimetype, ext) for mimetype, ext, _ in rows}
     platform = mimetypes.MimeTypes().types_map[True]
     rows += [(m, e, "remaining") for e, m in sorted(platform.items()) if (m, e) not in known]
-    return spark.createDataFrame(rows, "mimetype string, extension string, status string")
+    # An Arrow table becomes a local relation, whose size Spark knows when it chooses a join.
+    return spark.createDataFrame(pa.table(dict(zip(("mimetype", "extension", "status"), zip(*rows)))))
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
@@ -64,6 +66,6 @@ def types_by_extension(registry: DataFrame) -> DataFrame:
 
 def with_type_by_name(files: DataFrame, registry: DataFrame, name: str = "name") -> DataFrame:
     """Add ``type_by_name``, the registry's type for each file's extension."""
-    # A registry lists the MIME types that exist, under a thousand rows at any scale, so it is broadcast.
-    types = F.broadcast(types_by_extension(registry))
+    # Broadcast by Spark on account of its size; a registry lists the MIME types that exist, about a thousand.
+    types = types_by_extension(registry)
     return files.withColumn("extension", extension(F.col(name))).join(types, "extension", "left").drop("extension")

@@ -12,18 +12,18 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from docsift.session import configure  # noqa: E402
 
-# The small mail of FIXTURES.md, section 1.
+# The weekday of its date is wrong on purpose.
 SMALL_MAIL = (
-    b"Message-ID: <12345-headers-small@rusty-processing>\n"
+    b"Message-ID: <1449186.1075855697095.JavaMail.evans@thyme>\n"
     b"Date: Wed, 21 Feb 2021 07:58:00 -0800 (CST)\n"
-    b"From: rusty.processing@mime.com\n"
-    b"To: processing.rusty@emim.com\n"
-    b"Subject: Now THATS A LOT OF RUST\n"
+    b"From: ann.lee@example.org\n"
+    b"To: bo.kim@example.org\n"
+    b"Subject: Minutes of the MEETING\n"
     b"Mime-Version: 1.0\n"
     b"Content-Type: text/plain; charset=us-ascii\n"
     b"Content-Transfer-Encoding: 7bit\n"
     b"\n"
-    b"This is a rusty email\n\n;)\n"
+    b"These are the minutes\n\n;)\n"
 )
 
 

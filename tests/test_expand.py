@@ -115,7 +115,7 @@ def test_all_depths(spark):
         + [(2, t) for t in ("text", "metadata", "pdf")] * 2
         + [(4, t) for t in ("text", "metadata", "pdf")]
     )
-    assert {o.text for o in outputs if o.process_type == "text" and o.depth == 4} == {"deep", "This is a rusty email\n\n;)\n\n\n"}
+    assert {o.text for o in outputs if o.process_type == "text" and o.depth == 4} == {"deep", "These are the minutes\n\n;)\n\n\n"}
     # A processed output carries the checksum of its source file.
     assert all(o.checksum == rows[o.file_id].checksum for o in outputs)
     assert result.errors.count() == 0
@@ -225,7 +225,7 @@ def test_jobs(spark, tmp_path):
     files, errors = scan_jobs(jobs, scan_files(spark, str(tmp_path)))
     assert {(e.job_id, e.error_class) for e in errors.collect()} == {("j3", "not_found"), ("j4", "S3UriParseError")}
     outputs = process(files).outputs.collect()
-    assert {(o.job_id, o.text) for o in outputs} == {("j1", "This is a rusty email\n\n;)\n\n\n"), ("j2", SMALL_MAIL.decode())}
+    assert {(o.job_id, o.text) for o in outputs} == {("j1", "These are the minutes\n\n;)\n\n\n"), ("j2", SMALL_MAIL.decode())}
 
 
 def test_large_files_give_what_small_ones_give(spark, tmp_path):
