@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsift.operators.skew import join_one_to_many
+from docsift.operators.skew import join_one_to_many, without
 
 
 def duplicate_groups(files: DataFrame, key: str = "checksum") -> DataFrame:
@@ -21,9 +21,12 @@ def duplicate_groups(files: DataFrame, key: str = "checksum") -> DataFrame:
 
 
 def keep_one(files: DataFrame, key: str = "checksum", order: tuple[str, ...] = ("depth", "file_id")) -> DataFrame:
-    """The first file of every group. Winners are found on ids alone and joined back on the unique id."""
-    first = files.groupBy(key).agg(F.min(F.struct(*dict.fromkeys((*order, "file_id")))).alias("first"))
-    return files.join(first.select(F.col("first.file_id").alias("file_id")), "file_id", "left_semi")
+    """The first file of every group. Copies are found on ids alone; contents do not move unless copies are very many."""
+    rank = list(dict.fromkeys((*order, "file_id")))
+    ids = files.select(*dict.fromkeys((key, *rank)))
+    first = ids.groupBy(key).agg(F.min(F.struct(*rank)).alias("first")).select(F.col("first.file_id").alias("file_id"))
+    copies = ids.select("file_id").join(first, "file_id", "left_anti")
+    return without(files, copies, ["file_id"])
 
 
 def process_distinct(
@@ -46,9 +49,13 @@ def process_distinct(
 
 
 def last_write_wins(outputs: DataFrame) -> DataFrame:
-    """Of outputs with the same path in a root, the one written last: the deepest, then the highest ordinal."""
+    """Of outputs with the same path in a root, the one written last: the deepest, then the highest ordinal.
+
+    Overwritten outputs are found on ids alone; contents do not move unless those are very many.
+    """
     # process_type tells apart the outputs made from one file.
-    rank = F.struct("depth", "ordinal", "file_id", "process_type")
-    last = outputs.groupBy("root_id", "archive_path").agg(F.max(rank).alias("last"))
-    last = last.select("root_id", "archive_path", "last.*")
-    return outputs.join(last, ["root_id", "archive_path", "depth", "ordinal", "file_id", "process_type"], "left_semi")
+    rank = ["depth", "ordinal", "file_id", "process_type"]
+    ids = outputs.select("root_id", "archive_path", *rank)
+    last = ids.groupBy("root_id", "archive_path").agg(F.max(F.struct(*rank)).alias("last")).select("last.*")
+    overwritten = ids.select(*rank).join(last, rank, "left_anti")
+    return without(outputs, overwritten, rank)

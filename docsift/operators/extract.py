@@ -33,12 +33,14 @@ PROCESSED = {
 }
 
 _TYPE_OF = {"default_text": "text", "default_metadata": "metadata", "rfc822_render": "pdf"}
-_EXTRACTED = "text string, error string"
 
 
 @dataclass(frozen=True)
 class Extractor:
-    """A user's extractor: gets pandas frames of ``file_id, content`` and yields ``file_id, text, error``."""
+    """A user's extractor: gets pandas frames of ``file_id, content`` and yields ``file_id, text, error``.
+
+    It is called once per batch of rows.
+    """
 
     name: str
     process_type: str
@@ -106,14 +108,19 @@ def process_files(
 
 
 def _run(extractor: Extractor, routed: DataFrame) -> DataFrame:
-    mine = routed.where(F.col("extractor") == extractor.name)
-    # The function sees ids and contents only; the lineage is joined back on the unique id, so no key is hot.
-    done = mine.select("file_id", "content").mapInPandas(extractor.function, f"file_id string, {_EXTRACTED}")
-    return (
-        mine.select(*_lineage())
-        .join(done, "file_id")
-        .withColumn("error_class", F.when(F.col("error").isNotNull(), F.lit("extractor_error")))
-        .withColumnRenamed("error", "message")
+    """Rows of a user's extractor. Lineage is put back batch by batch, so nothing is joined or shuffled."""
+    function, lineage = extractor.function, _lineage()
+    mine = routed.where(F.col("extractor") == extractor.name).select(*lineage, "content")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for found in function(iter([frame[["file_id", "content"]]])):
+                yield frame[lineage].merge(found, on="file_id")[[*lineage, "text", "error"]]
+
+    schema = StructType([mine.schema[c] for c in lineage]).simpleString()[len("struct<") : -1]
+    done = mine.mapInPandas(run, f"{schema},text:string,error:string")
+    return done.withColumn("error_class", F.when(F.col("error").isNotNull(), F.lit("extractor_error"))).withColumnRenamed(
+        "error", "message"
     )
 
 

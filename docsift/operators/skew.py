@@ -1,4 +1,4 @@
-"""Joins on keys of which one may hold a large part of all rows."""
+"""Joins that move as little as they can, on keys of which one may hold a large part of all rows."""
 
 from __future__ import annotations
 
@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 # 1/1024 of all rows.
 MAX_HOT_KEYS = 1024
 
+# A table with at most this many rows of ids is broadcast; beyond it the rows are shuffled instead.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def is_small(frame: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    return frame.limit(max_rows + 1).count() <= max_rows
+
 
 def hot_keys(counts: DataFrame, keys: list[str], rows_per_slice: int) -> DataFrame:
     """``keys, slices`` of the largest keys, from one row per key with its row count ``n``."""
@@ -30,3 +37,19 @@ def join_one_to_many(
     left = many.join(hot, keys, "left").withColumn("slice", F.pmod(F.xxhash64(row_id), slices).cast("int")).drop("slices")
     right = one.join(hot, keys, "left").withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("slices")
     return left.join(right, [*keys, "slice"], how).drop("slice")
+
+
+def join_to_small(
+    many: DataFrame, one: DataFrame, keys: list[str], row_id: str, how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Join of many rows per key with a table of one narrow row per key, without moving the many if it is small."""
+    if is_small(one, max_rows):
+        return many.join(F.broadcast(one), keys, how)
+    return join_one_to_many(many, one, keys, row_id, how)
+
+
+def without(rows: DataFrame, unwanted: DataFrame, keys: list[str], max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Rows whose unique keys are not listed. The rows stay where they are unless the list is long."""
+    if is_small(unwanted, max_rows):
+        return rows.join(F.broadcast(unwanted), keys, "left_anti")
+    return rows.join(unwanted, keys, "left_anti")

@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docsift.functions.uris import hadoop_uri, object_location
-from docsift.operators.skew import join_one_to_many
+from docsift.operators.skew import MAX_BROADCAST_ROWS, join_one_to_many, join_to_small
 from docsift.session import staged
 
 # A binary value holds at most 2 GiB; a longer file is reported, and a longer mailbox is scanned with scan_mailboxes.
 MAX_CONTENT_BYTES = 2_000_000_000
 
+# Jobs on one input that may be served by one task.
+JOBS_PER_INPUT = 1000
+
 
 def scan_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """``path, modificationTime, length, content`` of every file below a path."""
@@ -52,8 +55,14 @@ def scan_jobs(jobs: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("input_uri").alias("message"),
     )
     contents = files.where(F.col("length") <= MAX_CONTENT_BYTES).select(plain_path(F.col("path")).alias("path"), "content")
-    # Many jobs may name one input, so its jobs are cut into slices.
-    roots = join_one_to_many(jobs.where(~F.coalesce(bad_uri, F.lit(False))), contents, ["path"], "job_id").select(
+    named = jobs.where(~F.coalesce(bad_uri, F.lit(False)))
+    per_path = named.groupBy("path").agg(F.count("*").alias("n")).agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+    if (per_path.n or 0) <= MAX_BROADCAST_ROWS and (per_path.most or 0) <= JOBS_PER_INPUT:
+        joined = contents.join(F.broadcast(named), "path")
+    else:
+        # Very many jobs, or very many of them on one input: contents are moved, an input's jobs cut into slices.
+        joined = join_one_to_many(named, contents, ["path"], "job_id", rows_per_slice=JOBS_PER_INPUT)
+    roots = joined.select(
         "job_id",
         F.col("job_id").alias("root_id"),
         F.element_at(F.split("path", "/"), -1).alias("name"),
@@ -93,7 +102,8 @@ def scan_mailboxes(spark: SparkSession, path: str | list[str], glob: str | None
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_ordinal"),
         F.sum("n").over(whole).alias("total"),
     )
-    placed = pieces.join(splits, ["path", "split_start"]).withColumn(
+    # A key is one split, so none is hot; the messages stay where they are while the splits are few enough to broadcast.
+    placed = join_to_small(pieces, staged(splits, "splits"), ["path", "split_start"], "row").withColumn(
         "ordinal", F.col("first_ordinal") + F.col("row") - F.col("first_row")
     )
     # The first piece of a file still has its separator; text before a first separator belongs to no message.

@@ -16,6 +16,7 @@ from docsift.functions.identity import BUFFER_BYTES
 from docsift.functions.mime import identify_or_default
 from docsift.operators.expand import Limits, read_entry
 from docsift.operators.routing import parse_types
+from docsift.operators.skew import join_to_small
 from docsift.schemas import EXPANDED, MBOX, ZIP
 from docsift.sources.files import plain_path, scan_mailboxes
 from docsift.sources.registry import mime_registry, with_type_by_name
@@ -161,8 +162,7 @@ def _archive(path: str) -> zipfile.ZipFile:
 def members_of(roots: DataFrame, mailbox_paths: list[str] | None = None) -> DataFrame:
     """EXPANDED rows of large zip and mailbox roots, to be given to ``process`` as ``seed``.
 
-    Roots meet their members on the path, an equi-join in which Spark broadcasts the few large roots or splits a
-    skewed one.
+    Large roots are few, as each is above the size limit, so members stay where they are when they meet their root.
     """
     spark = roots.sparkSession
     carried = roots.where(F.array_contains("types", "embedded")).drop("content", "length", "ordinal", "parent_id")
@@ -172,7 +172,7 @@ def members_of(roots: DataFrame, mailbox_paths: list[str] | None = None) -> Data
         messages = scan_mailboxes(spark, mailbox_paths).withColumn("path", plain_path(F.col("path")))
         members = members.unionByName(messages.withColumn("record", F.lit("child")), allowMissingColumns=True)
     wanted = StructType.fromDDL(EXPANDED)
-    rows = members.join(carried.where(F.col("mimetype").isin(ZIP, MBOX)), "path")
+    rows = join_to_small(members, carried.where(F.col("mimetype").isin(ZIP, MBOX)), ["path"], "ordinal")
     have = set(rows.columns)
     return rows.select(
         *[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted]

@@ -209,6 +209,8 @@ def test_identify(spark):
         (b"%PDF-1.4", "application/pdf"),
         (b"just text", "text/plain"),
         (b"Subject: not a mail without a second header", "text/plain"),
+        (b"Received: a\n" + b"\tfolded\n" * 500 + b"To: b\n\nbody", "message/rfc822"),
+        (b"Subject: one\n\nTo: two", "text/plain"),
         (b"a\x00b", "application/octet-stream"),
         (b"\xff\xfe", "application/octet-stream"),
         (b"", "application/octet-stream"),

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from docsift import process
 from docsift.operators import compare, dedupe
-from docsift.operators.skew import hot_keys, join_one_to_many
+from docsift.operators.skew import hot_keys, join_one_to_many, join_to_small, without
 from docsift.sinks.archive import publish, with_volume, write_archives
 from docsift.sinks.layout import write_layout
+from docsift.sources import files
 from docsift.streaming.landing import append_stream, as_root_files, expand_stream, landing_stream, read_results, unique_stream
 
 
@@ -211,3 +212,28 @@ def test_zip_file_is_readable_by_others(spark, tmp_path):
     (row,) = write_archives(process(roots(spark, [("r", "b.zip", make_zip([("x.txt", b"x")]))]), ["embedded"]).outputs, str(tmp_path)).collect()
     with open(row.path, "rb") as f:
         assert zipfile.ZipFile(io.BytesIO(f.read())).testzip() is None
+
+
+def test_joins_beyond_the_broadcast_limit_give_the_same(spark):
+    many = skewed_files(spark)
+    one = many.select("checksum").distinct().withColumn("v", F.length("checksum"))
+    plain = sorted(map(str, many.join(one, "checksum").collect()))
+    for limit in (0, 10**6):
+        assert sorted(map(str, join_to_small(many, one, ["checksum"], "file_id", max_rows=limit).collect())) == plain
+        left = without(many, many.where("depth = 1").select("file_id"), ["file_id"], max_rows=limit)
+        assert left.count() == 450 and left.where("depth = 1").count() == 0
+
+
+def test_many_jobs_on_one_input(spark, tmp_path, monkeypatch):
+    (tmp_path / "hot.txt").write_bytes(b"hot")
+    (tmp_path / "cold.txt").write_bytes(b"cold")
+    names = [("hot" if i % 3 else "cold", i) for i in range(60)]
+    jobs = spark.createDataFrame(
+        [(f"j{i}", f"file:{tmp_path}/{n}.txt", None, None, ["text"], False) for n, i in names],
+        "job_id string, input_uri string, output_uri string, mimetype string, types array<string>, recurse boolean",
+    )
+    plain, _ = files.scan_jobs(jobs, files.scan_files(spark, str(tmp_path)))
+    monkeypatch.setattr(files, "JOBS_PER_INPUT", 5)
+    sliced, _ = files.scan_jobs(jobs, files.scan_files(spark, str(tmp_path)))
+    rows = [sorted((r.job_id, bytes(r.content)) for r in frame.collect()) for frame in (plain, sliced)]
+    assert rows[0] == rows[1] == sorted((f"j{i}", n.encode()) for n, i in names)
