@@ -20,11 +20,10 @@ from docsift.functions.mime import format_content_type, identify_or_default
 from docsift.functions.paths import child_id, extend_chain, is_directory, safe_name
 from docsift.operators.mail import parse_mail
 from docsift.schemas import EXPANDED, FILES, LEVEL, MAIL, MBOX, ZIP
-from docsift.session import new_run_dir, spread
+from docsift.session import CONTENT_TABLE, new_run_dir, spread
 
 MESSAGE_NAME = "mbox-message.eml"
 ATTACHMENT_NAME = "message-attachment.dat"
-ROW_GROUP_BYTES = 8 << 20
 
 _CARRY = ["job_id", "root_id", "file_id", "depth", "id_chain", "name", "mimetype", "checksum", "types", "recurse"]
 _SEPARATOR = re.compile(rb"^From [^\n]*(?:\n|\Z)", re.MULTILINE)
@@ -274,9 +273,7 @@ def expand_all(
                 .withColumn("message", F.when(too_deep, F.col("name")).otherwise(F.col("message")))
                 .withColumn("record", F.explode(F.when(too_deep, F.array(F.lit("leaf"), F.lit("error"))).otherwise(F.array("record"))))
             )
-        # Small row groups let the next level be split over all cores without a shuffle.
-        writer = rows.write.partitionBy("record").option("parquet.block.size", ROW_GROUP_BYTES)
-        writer.parquet(f"{out}/level={level}")
+        rows.write.partitionBy("record").options(**CONTENT_TABLE).parquet(f"{out}/level={level}")
         levels = spark.read.schema(LEVEL).option("basePath", out).parquet(out)
         frontier = files_of(levels.where((F.col("level") == level) & (F.col("record") == "container")))
         if frontier.isEmpty():

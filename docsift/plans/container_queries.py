@@ -19,6 +19,7 @@ from docsift.session import new_run_dir, spread, staged
 from docsift.sinks.archive import write_archives
 from docsift.sinks.layout import write_layout
 from docsift.sources.files import scan_files, scan_jobs, scan_mailboxes
+from docsift.sources.large import archive_members
 
 _PER = fixtures.ROWS_PER_CONTAINER
 
@@ -301,6 +302,22 @@ def package_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("SELECT doc_id, doc_id || '.txt' AS name, md5(text) AS content_md5, CAST(strlen(text) AS BIGINT) AS length FROM documents")
+def archive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive files whose entries are read by many tasks: documents exported to archives and read back by path."""
+    zips = staged(fixtures.document_zips(spark, sf_dir), "zips")
+    path = new_run_dir(spark, "export")
+    manifest = write_archives(embedded_outputs(files_of(expand_once(as_roots(zips, types=["embedded"])))), path)
+    members = archive_members(manifest.select("path")).where("record = 'child'")
+    name = F.element_at(F.split("child_name", "/"), -1)
+    return members.select(
+        F.regexp_extract(name, "^([0-9]+)", 1).cast("bigint").alias("doc_id"),
+        name.alias("name"),
+        F.md5("content").alias("content_md5"),
+        F.octet_length("content").cast("bigint").alias("length"),
+    )
+
+
 @query(
     _TREE
     + """

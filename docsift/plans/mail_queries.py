@@ -195,6 +195,13 @@ def body_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 WITH files AS ({_PAGE_FILES})
 SELECT 'doc-' || doc_id || '.eml' AS FileName, '.eml' AS FileExtension,
+       CAST(strlen('Message-ID: <doc-' || doc_id || '@example.invalid>' || 'Date: Mon, 1 Jan 2024 10:00:00 +0200'
+         || 'From: sender@example.invalid' || 'To: team@example.invalid' || 'Subject: Document ' || doc_id
+         || 'MIME-Version: 1.0' || 'Content-Type: multipart/mixed; boundary="=-part"' || '--=-part'
+         || 'Content-Type: text/plain; charset=utf-8' || 'See the attached file.' || '--=-part'
+         || 'Content-Type: ' || CASE WHEN is_page THEN 'text/html; charset=utf-8' ELSE 'Text/Plain' END
+         || 'Content-Disposition: attachment' || CASE WHEN doc_id % 7 = 0 THEN '' ELSE '; filename="' || name || '"' END
+         || 'Content-Transfer-Encoding: base64' || base64(encode(content)) || '--=-part--') + 19 AS BIGINT) AS FileSize,
        'sender@example.invalid' AS sender_address, '<team@example.invalid>' AS "To", CAST(NULL AS VARCHAR) AS CC,
        'Document ' || doc_id AS Subject, TIMESTAMP '2024-01-01 08:00:00' AS DateSent, TRUE AS HasAttachments,
        CAST(1 AS BIGINT) AS AttachmentCount, name AS AttachmentNames,
@@ -202,7 +209,7 @@ SELECT 'doc-' || doc_id || '.eml' AS FileName, '.eml' AS FileExtension,
 FROM files
 UNION ALL
 SELECT name, CASE WHEN name LIKE '%.dat' THEN '.dat' WHEN name LIKE '%.html' THEN '.html' ELSE '.txt' END,
-       NULL, NULL, NULL, NULL, NULL, FALSE, 0, NULL, NULL
+       strlen(content), NULL, NULL, NULL, NULL, NULL, FALSE, 0, NULL, NULL
 FROM files"""
 )
 def fielded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,6 +221,7 @@ def fielded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "FileName",
         "FileExtension",
+        "FileSize",
         F.regexp_extract("From", "<([^>]*)>", 1).alias("sender_address"),
         "To",
         "CC",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,14 +14,14 @@ from docsift.functions.mime import identify_or_default
 from docsift.operators.expand import Limits, Openers, errors_of, expand_all, files_of, messages_of
 from docsift.operators.extract import Extractor, embedded_outputs, error_rows, good_rows, process_files
 from docsift.operators.routing import parse_types, route, unknown_types
-from docsift.schemas import MAIL, MBOX, PROCESS_TYPES
+from docsift.schemas import MAIL, MBOX, PROCESS_TYPES, ZIP
 from docsift.session import staged
-from docsift.sources.files import plain_path, scan_files
-from docsift.sources.large import large_roots, members_of
+from docsift.sources.files import MAX_CONTENT_BYTES, plain_path, scan_files, scan_jobs
+from docsift.sources.large import large_roots, members_of, read_contents
 from docsift.sources.registry import mime_registry, with_type_by_name
 
-# Files above this size are not read into one row.
-LARGE_BYTES = 1_000_000_000
+# Archives and mailboxes above this size are not read into one row.
+LARGE_BYTES = 256_000_000
 
 
 @dataclass(frozen=True)
@@ -142,14 +142,23 @@ def process(
         errors = errors.unionByName(wrong)
     if scanned is not None:
         errors = errors.unionByName(too_large_errors(scanned))
+    digests = {"content_sha256": F.sha2("content", 256), "content_md5": F.md5("content")}
     return ProcessResult(
-        files=roots.unionByName(nested),
+        # The digests are computed when they are read, and only then.
+        files=roots.unionByName(nested).withColumns(digests),
         outputs=good_rows(rows).unionByName(embedded_outputs(nested)),
         errors=errors,
         messages=parsed,
     )
 
 
+def process_jobs(jobs: DataFrame, files: DataFrame, **options) -> ProcessResult:
+    """Process the inputs of a table of jobs (``schemas.JOBS``), read from a scan of the folders they lie in."""
+    roots, unread = scan_jobs(jobs, files)
+    result = process(roots, **options)
+    return replace(result, errors=result.errors.unionByName(unread))
+
+
 def process_path(
     spark: SparkSession,
     path: str,
@@ -157,24 +166,28 @@ def process_path(
     recurse: bool = True,
     glob: str | None = None,
     large_bytes: int = LARGE_BYTES,
+    max_bytes: int = MAX_CONTENT_BYTES,
     large_checksums: bool = True,
     **options,
 ) -> ProcessResult:
-    """Process all files below a path. Large archives and mailboxes are read by many tasks each.
+    """Process all files below a path. Archives and mailboxes above ``large_bytes`` are read by many tasks each.
 
-    A large file of another format has its metadata and checksum; a reader that would need its whole content gives an
-    error row. A checksum of a large file is one task's work, as MD5 is sequential; ``large_checksums=False`` leaves the
-    checksums of large roots NULL instead. Checksums of what is inside them are not affected.
+    Another file above ``max_bytes`` has its metadata and checksum; a reader that would need its whole content gives an
+    error row. The checksum of a split file is one task's work, as MD5 is sequential; ``large_checksums=False`` leaves
+    it NULL instead. Checksums of what is inside are not affected.
     """
     types = types or ["all"]
     scanned = scan_files(spark, path, glob).withColumn("path", plain_path(F.col("path")))
-    small = scanned.where(F.col("length") <= large_bytes).select(
-        F.col("path").alias("root_id"), F.element_at(F.split("path", "/"), -1).alias("name"), "content"
-    )
-    large_files = scanned.where(F.col("length") > large_bytes).select("path", "length")
-    if large_files.isEmpty():
-        return process(small, types, recurse, **options)
-    large = staged(large_roots(large_files, types, recurse, large_checksums), "large")
+    columns = [F.col("path").alias("root_id"), F.element_at(F.split("path", "/"), -1).alias("name"), "content"]
+    files = scanned.where(F.col("length") <= min(large_bytes, max_bytes)).select(*columns)
+    listed = scanned.where(F.col("length") > min(large_bytes, max_bytes)).select("path", "length")
+    if listed.isEmpty():
+        return process(files, types, recurse, **options)
+    large = staged(large_roots(listed, types, recurse, large_checksums), "large")
+    by_members = F.col("mimetype").isin(ZIP, MBOX)
+    whole = large.where(~by_members & (F.col("length") <= max_bytes)).select(F.col("root_id").alias("path"))
+    files = files.unionByName(read_contents(whole).select(*columns))
+    large = large.where(by_members | (F.col("length") > max_bytes))
     # Spark's own listing holds every path on the driver; this holds those of mailboxes over the size limit only.
     mailboxes = [row.root_id for row in large.where(F.col("mimetype") == MBOX).select("root_id").toLocalIterator()]
-    return process(small, types, recurse, large=(large, members_of(large, mailboxes)), **options)
+    return process(files, types, recurse, large=(large, members_of(large, mailboxes)), **options)

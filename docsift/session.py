@@ -16,10 +16,20 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # File contents travel to Python in Arrow batches cut by bytes, so rows of any size stay within the worker's memory.
     "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
+    # A reader holds this many rows of a table at once, contents included.
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
     # Level tables are written to four folders by kind of record; open writers spare a sort of the contents.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
+# Row groups of tables with contents are small, whatever the size of a row: a reader holds few contents at a time, and a
+# table can be split over all cores without a shuffle.
+CONTENT_TABLE = {
+    "parquet.block.size": str(8 << 20),
+    "parquet.page.size.row.check.min": "1",
+    "parquet.page.size.row.check.max": "100",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on."""
@@ -51,7 +61,7 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_run_dir(spark, label)
-    df.write.parquet(path)
+    df.write.options(**CONTENT_TABLE).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

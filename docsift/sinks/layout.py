@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsift.session import CONTENT_TABLE
+
 
 def write_layout(outputs: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Outputs as rows below ``job_id=/process_type=`` folders.
@@ -12,4 +14,4 @@ def write_layout(outputs: DataFrame, path: str, mode: str = "overwrite") -> None
     The rebalance hint gathers small partitions and splits those of a job with very many outputs.
     """
     keyed = outputs.hint("rebalance", F.col("job_id"), F.col("process_type"))
-    keyed.write.mode(mode).partitionBy("job_id", "process_type").parquet(path)
+    keyed.write.mode(mode).options(**CONTENT_TABLE).partitionBy("job_id", "process_type").parquet(path)

@@ -65,6 +65,19 @@ def _streamed(path: str, checksum: bool) -> tuple[str | None, bytes]:
     return md5.hexdigest(), head or b""
 
 
+def read_contents(files: DataFrame) -> DataFrame:
+    """``path, content`` of listed files, each read by the task that holds its row."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                store, name = open_store(path)
+                with store.open_input_file(name) as stream:
+                    yield pa.RecordBatch.from_pydict({"path": [path], "content": pa.array([stream.read()], pa.binary())})
+
+    return files.select("path").repartition("path").mapInArrow(read, "path string, content binary")
+
+
 def large_roots(files: DataFrame, types: list[str], recurse: bool = True, checksums: bool = True) -> DataFrame:
     """FILES rows without content for scanned files (``path, length``), typed by name and first bytes."""
     looked = streamed_checksums(files, checksums).join(files.select("path", "length"), "path")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docsift.plans.process import ProcessResult, process
+from docsift.session import CONTENT_TABLE
 
 TABLES = ("files", "outputs", "errors")
 
@@ -52,7 +53,8 @@ def expand_stream(
     def each(batch: DataFrame, batch_id: int) -> None:
         result = run(batch, types=types)
         for table in TABLES:
-            getattr(result, table).write.mode("overwrite").parquet(f"{out}/{table}/batch_id={batch_id}")
+            writer = getattr(result, table).write.mode("overwrite").options(**CONTENT_TABLE)
+            writer.parquet(f"{out}/{table}/batch_id={batch_id}")
 
     return files.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
