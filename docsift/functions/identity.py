@@ -21,11 +21,21 @@ _MESSAGE_ID = r"(?dim)^message-id:[ \t]*(?:\r?\n[ \t]+)*<?([^<>\s]+)>?[ \t]*\r?$
 def buffer_md5(content: pa.Array) -> pa.Array:
     """MD5 over whole buffers: the unused end of a buffer holds what the chunk before left there, at first zeros."""
     zeros = memoryview(bytes(BUFFER_BYTES))
+    # A short content costs a whole buffer, so its copies within a batch are hashed once.
+    seen: dict[bytes, str] = {}
 
     def digest(value) -> str | None:
         if not value.is_valid:
             return None
         data = memoryview(value.as_buffer())
+        if len(data) >= BUFFER_BYTES:
+            return hashed(data)
+        key = bytes(data)
+        if key not in seen:
+            seen[key] = hashed(data)
+        return seen[key]
+
+    def hashed(data: memoryview) -> str:
         md5 = hashlib.md5(data)
         used = len(data) % BUFFER_BYTES
         if used and len(data) < BUFFER_BYTES:

@@ -13,7 +13,8 @@ def metadata_diff(
 
     ``ignore`` is a pattern of keys to leave out. Objects meet on the unique file id; their keys are compared in place.
     """
-    as_map = lambda c: F.coalesce(F.from_json(c, "map<string,string>"), F.from_json(F.lit("{}"), "map<string,string>"))
+    none = F.from_json(F.lit("{}"), "map<string,string>")
+    as_map = lambda c: F.coalesce(F.from_json(c, "map<string,string>"), none)
     both = (
         expected.select(id_col, F.col(column).alias("expected"))
         .join(actual.select(id_col, F.col(column).alias("actual")), id_col, "full")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsift.operators.skew import join_one_to_many, without
+from docsift.session import staged
 
 
 def duplicate_groups(files: DataFrame, key: str = "checksum") -> DataFrame:
@@ -23,7 +24,8 @@ def duplicate_groups(files: DataFrame, key: str = "checksum") -> DataFrame:
 def keep_one(files: DataFrame, key: str = "checksum", order: tuple[str, ...] = ("depth", "file_id")) -> DataFrame:
     """The first file of every group. Copies are found on ids alone; contents do not move unless copies are very many."""
     rank = list(dict.fromkeys((*order, "file_id")))
-    ids = files.select(*dict.fromkeys((key, *rank)))
+    # Written once, so that keys are computed once.
+    ids = staged(files.select(*dict.fromkeys((key, *rank))), "ids")
     first = ids.groupBy(key).agg(F.min(F.struct(*rank)).alias("first")).select(F.col("first.file_id").alias("file_id"))
     copies = ids.select("file_id").join(first, "file_id", "left_anti")
     return without(files, copies, ["file_id"])
@@ -41,11 +43,12 @@ def process_distinct(
     dedupe checksum makes mails equal that differ in bytes.
     """
     names = list(keys)
-    first = files.groupBy(*names).agg(F.min("file_id").alias("file_id"))
+    # Written once, so that hashes are computed once.
+    ids = staged(files.select("file_id", *names), "ids")
+    first = ids.groupBy(*names).agg(F.min("file_id").alias("file_id"))
     chosen = files.join(first.select("file_id"), "file_id", "left_semi")
     results = work(chosen).join(first, "file_id").drop("file_id")
-    copies = files.select("file_id", *names)
-    return join_one_to_many(copies, results, names, "file_id", rows_per_slice=rows_per_slice)
+    return join_one_to_many(ids, results, names, "file_id", rows_per_slice=rows_per_slice)
 
 
 def last_write_wins(outputs: DataFrame) -> DataFrame:
@@ -55,7 +58,7 @@ def last_write_wins(outputs: DataFrame) -> DataFrame:
     """
     # process_type tells apart the outputs made from one file.
     rank = ["depth", "ordinal", "file_id", "process_type"]
-    ids = outputs.select("root_id", "archive_path", *rank)
+    ids = staged(outputs.select("root_id", "archive_path", *rank), "ids")
     last = ids.groupBy("root_id", "archive_path").agg(F.max(F.struct(*rank)).alias("last")).select("last.*")
     overwritten = ids.select(*rank).join(last, rank, "left_anti")
     return without(outputs, overwritten, rank)

@@ -195,7 +195,9 @@ def level_rows(expanded: DataFrame, openers: Openers | None = None) -> DataFrame
     return rows.select(
         "job_id",
         "root_id",
-        F.when(found, child_id(F.col("file_id"), F.col("ordinal"), F.col("child"))).otherwise(F.col("file_id")).alias("file_id"),
+        F.when(found, child_id(F.col("file_id"), F.col("ordinal"), F.col("child")))
+        .otherwise(F.col("file_id"))
+        .alias("file_id"),
         F.when(found, F.col("file_id")).alias("parent_id"),
         (F.col("depth") + found.cast("int")).alias("depth"),
         "ordinal",
@@ -268,11 +270,13 @@ def expand_all(
         if level == limits.max_depth:
             # Containers this deep are reported and not opened.
             too_deep = F.col("record") == "container"
-            rows = (
-                rows.withColumn("error_class", F.when(too_deep, F.lit("too_deep")).otherwise(F.col("error_class")))
-                .withColumn("message", F.when(too_deep, F.col("name")).otherwise(F.col("message")))
-                .withColumn("record", F.explode(F.when(too_deep, F.array(F.lit("leaf"), F.lit("error"))).otherwise(F.array("record"))))
-            )
+            kinds = F.when(too_deep, F.array(F.lit("leaf"), F.lit("error"))).otherwise(F.array("record"))
+            rows = rows.withColumns(
+                {
+                    "error_class": F.when(too_deep, F.lit("too_deep")).otherwise(F.col("error_class")),
+                    "message": F.when(too_deep, F.col("name")).otherwise(F.col("message")),
+                }
+            ).withColumn("record", F.explode(kinds))
         rows.write.partitionBy("record").options(**CONTENT_TABLE).parquet(f"{out}/level={level}")
         levels = spark.read.schema(LEVEL).option("basePath", out).parquet(out)
         frontier = files_of(levels.where((F.col("level") == level) & (F.col("record") == "container")))

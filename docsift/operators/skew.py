@@ -49,7 +49,10 @@ def join_to_small(
 
 
 def without(rows: DataFrame, unwanted: DataFrame, keys: list[str], max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Rows whose unique keys are not listed. The rows stay where they are unless the list is long."""
+    """Rows whose unique keys are not listed. The rows stay where they are unless the list is long.
+
+    The list is read twice, so it is best a written table or cheap to compute.
+    """
     if is_small(unwanted, max_rows):
         return rows.join(F.broadcast(unwanted), keys, "left_anti")
     return rows.join(unwanted, keys, "left_anti")

@@ -294,7 +294,8 @@ def package_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = scan_files(spark, f"{path}/archives", glob="*.zip").select(
         F.element_at(F.split("path", "/"), -1).alias("file"), "content"
     )
-    read = files_of(expand_once(as_roots(archives.select(F.col("file").alias("root_id"), F.col("file").alias("name"), "content"))))
+    roots = archives.select(F.col("file").alias("root_id"), F.col("file").alias("name"), "content")
+    read = files_of(expand_once(as_roots(roots)))
     counts = read.groupBy(F.col("root_id").alias("file")).agg(F.count("*").alias("n_read"))
     manifest = manifest.withColumn("file", F.element_at(F.split("path", "/"), -1)).join(counts, "file", "left")
     return manifest.groupBy("root_id").agg(
@@ -302,7 +303,10 @@ def package_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT doc_id, doc_id || '.txt' AS name, md5(text) AS content_md5, CAST(strlen(text) AS BIGINT) AS length FROM documents")
+@query(
+    """
+SELECT doc_id, doc_id || '.txt' AS name, md5(text) AS content_md5, CAST(strlen(text) AS BIGINT) AS length FROM documents"""
+)
 def archive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive files whose entries are read by many tasks: documents exported to archives and read back by path."""
     zips = staged(fixtures.document_zips(spark, sf_dir), "zips")

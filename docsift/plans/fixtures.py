@@ -120,8 +120,11 @@ def mails(spark: SparkSession, sf_dir: str, mail: Column | None = None) -> DataF
 def mailboxes(spark: SparkSession, sf_dir: str, mail: Column | None = None) -> DataFrame:
     """One mailbox per conversation and range of turns: ``root_id`` is ``conv_id/volume``."""
     entry = F.concat(mailbox_entry(plain_mail() if mail is None else mail), F.lit("\n"))
-    turns = spread_table(spark, sf_dir, "conversations", "conv_id", "turn").select("conv_id", volume("turn").alias("volume"), "turn", entry.alias("entry"))
-    boxes = turns.groupBy("conv_id", "volume").agg(F.array_sort(F.collect_list(F.struct("turn", "entry"))).alias("entries"))
+    turns = spread_table(spark, sf_dir, "conversations", "conv_id", "turn").select(
+        "conv_id", volume("turn").alias("volume"), "turn", entry.alias("entry")
+    )
+    in_order = F.array_sort(F.collect_list(F.struct("turn", "entry")))
+    boxes = turns.groupBy("conv_id", "volume").agg(in_order.alias("entries"))
     return boxes.select(
         F.concat_ws("/", "conv_id", "volume").alias("root_id"),
         F.lit("conversation.mbox").alias("name"),
@@ -159,7 +162,8 @@ def document_zips(spark: SparkSession, sf_dir: str, entry_name: Column | None =
     name = F.concat(F.lit("docs/"), F.col("source"), F.lit("/"), F.col("doc_id"), F.lit(".txt"))
     name = name if entry_name is None else entry_name
     docs = spread_table(spark, sf_dir, "documents", "doc_id").select(
-        volume("doc_id").alias("bucket"), F.struct("doc_id", _entry(name, F.encode("text", "UTF-8")).alias("e")).alias("d")
+        volume("doc_id").alias("bucket"),
+        F.struct("doc_id", _entry(name, F.encode("text", "UTF-8")).alias("e")).alias("d"),
     )
     entries = docs.groupBy("bucket").agg(F.array_sort(F.collect_list("d")).alias("docs"))
     listed = F.transform("docs", lambda d: d["e"])
@@ -175,9 +179,12 @@ def document_zips(spark: SparkSession, sf_dir: str, entry_name: Column | None =
 
 def nested_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives three levels deep: zip, mailbox, mails, attached files."""
-    entries = F.array(_entry("mail/", F.lit(b"")), F.struct(F.concat(F.lit("mail/"), F.col("name")).alias("name"), "content"))
+    box = _entry(F.concat(F.lit("mail/"), F.col("name")), F.col("content"))
     return mailboxes(spark, sf_dir, attached_mail()).select(
-        "root_id", F.lit("mail.zip").alias("name"), F.lit("application/zip").alias("mimetype"), zip_of(entries).alias("content")
+        "root_id",
+        F.lit("mail.zip").alias("name"),
+        F.lit("application/zip").alias("mimetype"),
+        zip_of(F.array(_entry("mail/", F.lit(b"")), box)).alias("content"),
     )
 
 
@@ -214,13 +221,14 @@ def page_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
 def alternative_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mails of pages: as two alternatives, as text only, or as HTML only, in turn."""
     text = F.concat(F.lit("Content-Type: text/plain; charset=utf-8\n\nPage at "), F.col("url"))
-    html = F.concat(F.lit("Content-Type: text/html; charset=utf-8\nContent-Transfer-Encoding: base64\n\n"), base64_line(F.col("html")))
-    both = F.concat(
-        F.lit('Content-Type: multipart/alternative; boundary="=-alt"\n\n--=-alt\n'), text, F.lit("\n--=-alt\n"), html, F.lit("\n--=-alt--\n")
-    )
+    html_head = F.lit("Content-Type: text/html; charset=utf-8\nContent-Transfer-Encoding: base64\n\n")
+    html = F.concat(html_head, base64_line(F.col("html")))
+    both_head = F.lit('Content-Type: multipart/alternative; boundary="=-alt"\n\n--=-alt\n')
+    both = F.concat(both_head, text, F.lit("\n--=-alt\n"), html, F.lit("\n--=-alt--\n"))
     kind = F.col("page_id") % 3
     mail = F.concat(
-        F.lit("From: web@example.invalid\nMIME-Version: 1.0\n"), F.when(kind == 0, both).when(kind == 1, text).otherwise(html)
+        F.lit("From: web@example.invalid\nMIME-Version: 1.0\n"),
+        F.when(kind == 0, both).when(kind == 1, text).otherwise(html),
     )
     return spread_table(spark, sf_dir, "pages", "page_id").select(
         F.col("page_id").cast("string").alias("root_id"),

@@ -86,10 +86,10 @@ def test_last_write_wins(spark):
 
 
 def test_metadata_diff(spark):
-    expected = spark.createDataFrame([("a", '{"x":"1","y":["p","q"],"language":"en"}'), ("b", '{"x":"1"}'), ("c", '{"x":"1"}')], "file_id string, metadata string")
-    actual = spark.createDataFrame([("a", '{"x":"2","y":["p","q"],"z":"3"}'), ("b", '{"x":"1"}'), ("d", '{"w":"4"}')], "file_id string, metadata string")
+    expected = spark.createDataFrame([("a", '{"x":"1","y":["p","q"],"language":"en"}'), ("b", '{"x":"1"}'), ("c", '{"x":"1"}'), ("e", '{"v":"5"}')], "file_id string, metadata string")
+    actual = spark.createDataFrame([("a", '{"x":"2","y":["p","q"],"z":"3"}'), ("b", '{"x":"1"}'), ("d", '{"w":"4"}'), ("e", "not json")], "file_id string, metadata string")
     got = {tuple(r) for r in compare.metadata_diff(expected, actual, ignore="^language$").collect()}
-    assert got == {("a", "x", "1", "2"), ("a", "z", None, "3"), ("c", "x", "1", None), ("d", "w", None, "4")}
+    assert got == {("a", "x", "1", "2"), ("a", "z", None, "3"), ("c", "x", "1", None), ("d", "w", None, "4"), ("e", "v", "5", None)}
 
 
 def test_line_and_content_diff(spark):
