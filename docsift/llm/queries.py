@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docsift.llm.common import documents
 from docsift.llm.exact_dedup import exact_duplicates
+from docsift.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +36,8 @@ FROM d WINDOW w AS (PARTITION BY t)
 """)
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
+
+
+@query()
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
