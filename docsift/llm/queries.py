@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from docsift.llm.common import documents
 from docsift.llm.exact_dedup import exact_duplicates
+from docsift.llm.packing import pack_documents
 from docsift.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+VOCABULARY = "word_bpe_49k.json"
+
 
 def query(sql: str | None = None):
     def register(function):
@@ -41,3 +45,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
+
+
+@query()
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY)).drop("ids")
