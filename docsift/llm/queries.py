@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docsift.llm.common import documents
 from docsift.llm.exact_dedup import exact_duplicates
+from docsift.llm.mixing import mix_sources
 from docsift.llm.packing import pack_documents
 from docsift.llm.simhash import near_duplicates
 
@@ -50,3 +51,33 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY)).drop("ids")
+
+
+@query("""
+WITH RECURSIVE sized AS (
+  SELECT source, coalesce(sum(length(text)), 0)::BIGINT AS size FROM documents GROUP BY source),
+shared AS (SELECT *, CASE WHEN size > 0 THEN round(pow(size::DOUBLE, 0.5) * 1000000)::BIGINT ELSE 0 END AS share FROM sized),
+rates AS (
+  SELECT source, CASE WHEN share > 0 THEN (share::DOUBLE / (sum(share) OVER ())::DOUBLE) * ((sum(size) OVER ())::DOUBLE / size::DOUBLE)
+                      ELSE 0.0 END AS rate
+  FROM shared),
+parted AS (SELECT source, rate, greatest(ceil(rate / 16.0), 1)::BIGINT AS parts FROM rates),
+steps(source, mean, k, term, total) AS (
+  SELECT source, rate / parts, 0, exp(-(rate / parts)), exp(-(rate / parts)) FROM parted WHERE rate > 0
+  UNION ALL
+  SELECT source, mean, k + 1, term * mean / (k + 1), total + term * mean / (k + 1) FROM steps
+  WHERE k < 124 AND total + term * mean / (k + 1) > total),
+terms AS (SELECT source, k, total, k < max(k) OVER (PARTITION BY source) AS grows FROM steps),
+draws AS (
+  SELECT doc_id, d.source, rate, p,
+         ('0x' || substr(md5('mix-1|' || doc_id || '|' || p), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u
+  FROM documents d JOIN parted r ON d.source IS NOT DISTINCT FROM r.source, unnest(range(1, parts + 1)) AS x(p)),
+counted AS (
+  SELECT doc_id, w.source, rate, count(k)::INT AS n_copies
+  FROM draws w LEFT JOIN terms t ON t.source IS NOT DISTINCT FROM w.source AND t.grows AND t.total <= w.u
+  GROUP BY doc_id, w.source, rate),
+copies AS (SELECT doc_id, source, rate, n_copies, c::INT AS copy FROM counted, unnest(range(n_copies)) AS y(c))
+SELECT *, row_number() OVER (ORDER BY md5('mix-1|order|' || doc_id || '|' || copy), doc_id, copy) - 1 AS position FROM copies
+""")
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(documents(spark, sf_dir))
