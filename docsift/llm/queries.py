@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docsift.llm.common import documents
+from docsift.llm.common import documents, in_fold, labels
 from docsift.llm.exact_dedup import exact_duplicates
 from docsift.llm.mixing import mix_sources
 from docsift.llm.packing import pack_documents
+from docsift.llm.quality import quality_scores
 from docsift.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +83,8 @@ SELECT *, row_number() OVER (ORDER BY md5('mix-1|order|' || doc_id || '|' || cop
 """)
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir))
+
+
+@query()
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), labels(spark, sf_dir), in_fold(F.col("_id"), 5, 0))
