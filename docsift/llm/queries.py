@@ -14,6 +14,7 @@ from docsift.llm.mixing import mix_sources
 from docsift.llm.packing import pack_documents
 from docsift.llm.quality import quality_scores
 from docsift.llm.simhash import near_duplicates
+from docsift.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +89,8 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), labels(spark, sf_dir), in_fold(F.col("_id"), 5, 0))
+
+
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir), in_fold(F.col("_id"), 3, 1))
