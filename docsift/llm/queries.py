@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docsift.llm.common import documents, in_fold, labels
 from docsift.llm.exact_dedup import exact_duplicates
+from docsift.llm.licenses import license_spans
 from docsift.llm.mixing import mix_sources
 from docsift.llm.packing import pack_documents
 from docsift.llm.quality import quality_scores
@@ -94,3 +95,9 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir), in_fold(F.col("_id"), 3, 1))
+
+
+@query()
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_spans(documents(spark, sf_dir))
+    return found.withColumn("spans", F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["label"], s["start"], s["end"])), ","))
