@@ -14,6 +14,7 @@ from docsift.llm.licenses import license_spans
 from docsift.llm.mixing import mix_sources
 from docsift.llm.packing import pack_documents
 from docsift.llm.quality import quality_scores
+from docsift.llm.secrets import secret_spans
 from docsift.llm.simhash import near_duplicates
 from docsift.llm.toxicity import toxicity_scores
 
@@ -101,3 +102,19 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_spans(documents(spark, sf_dir))
     return found.withColumn("spans", F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["label"], s["start"], s["end"])), ","))
+
+
+@query()
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_spans(documents(spark, sf_dir))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "model")
+    return found.select(
+        "doc_id", *(number(k) for k in ("assign", "access", "hex")), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
+    )
