@@ -16,6 +16,7 @@ from docsift.llm.packing import pack_documents
 from docsift.llm.quality import quality_scores
 from docsift.llm.secrets import secret_spans
 from docsift.llm.simhash import near_duplicates
+from docsift.llm.spotsigs import fingerprints_with_edits
 from docsift.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +119,8 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *(number(k) for k in ("assign", "access", "hex")), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
     )
+
+
+@query()
+def op9_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints_with_edits(documents(spark, sf_dir))
