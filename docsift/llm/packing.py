@@ -36,6 +36,16 @@ REMEMBERED_CHUNKS = 300_000
 _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 itself, else one from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class ChunkIds(dict):
     """The ids of chunks between blanks, as little-endian bytes, by their UTF-8.
 
@@ -47,6 +57,7 @@ class ChunkIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model.tokenize
         self.limit = limit
         self.words: dict[str, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -58,6 +69,10 @@ class ChunkIds(dict):
             self.clear()
         if len(self.words) > self.limit:
             self.older_words, self.words = self.words, {}
+        if b"\xcc" not in text and b"<|" not in text:
+            # Safe before the tokenizer's own steps without combining marks, which compose with small letters only, and
+            # without the vocabulary's special names.
+            text = text.lower()
         return b"".join(map(self.__getitem__, text.replace(b"\n", b" ").split(b" ")))
 
     def __missing__(self, chunk: bytes) -> bytes:
@@ -70,11 +85,12 @@ class ChunkIds(dict):
         return ids
 
     def _word(self, word: str) -> bytes:
+        """The ids of a text that the tokenizer takes as it is and as one piece: only its merges are to be found."""
         ids = self.words.get(word)
         if ids is None:
             ids = self.older_words.get(word)
             if ids is None:
-                ids = self._encoded(word)
+                ids = b"".join(t.id.to_bytes(4, "little") for t in self.merges(word.encode().decode("latin-1").translate(_BYTE_LETTERS)))
             self.words[word] = ids
         return ids
 
