@@ -26,23 +26,22 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, 13), 16, 10).cast("long") / F.lit(_UNIT)
 
 
-def poisson_count(rate: Column, u: Column) -> Column:
-    """The smallest k for which the Poisson distribution function with this rate exceeds ``u``; zero without a rate.
+def poisson_steps(mean: Column) -> Column:
+    """The Poisson distribution function at 0, 1, 2 and so on, as far as it grows in floating point, without the last.
 
-    The sum stops where a term no longer changes it, so every u below 1 has a count within some dozen terms.
+    The number of its values that are at most ``u`` is the smallest count at which the function exceeds ``u``.
     """
-    top = F.lit(int(LARGEST_RATE * 4 + 60))
-    start = F.struct(F.exp(-rate).alias("term"), F.exp(-rate).alias("sum"), F.lit(0).alias("k"))
+    counts = F.sequence(F.lit(1), F.lit(int(LARGEST_RATE * 4 + 60)))
+    start = F.struct(F.exp(-mean).alias("term"), F.array(F.exp(-mean)).alias("steps"))
 
     def step(state: Column, n: Column) -> Column:
-        term = state["term"] * rate / n
-        more = (state["sum"] <= u) & (state["sum"] + term > state["sum"])
-        return F.struct(
-            term.alias("term"), F.when(more, state["sum"] + term).otherwise(state["sum"]).alias("sum"), F.when(more, n).otherwise(state["k"]).alias("k")
-        )
+        term = state["term"] * mean / n
+        last = F.element_at(state["steps"], -1)
+        grown = F.when(last + term > last, F.concat(state["steps"], F.array(last + term))).otherwise(state["steps"])
+        return F.struct(term.alias("term"), grown.alias("steps"))
 
-    found = F.aggregate(F.sequence(F.lit(1), top), start, step, lambda state: state["k"])
-    return F.when(rate > 0, found).otherwise(F.lit(0))
+    steps = F.aggregate(counts, start, step, lambda state: state["steps"])
+    return F.when(mean > 0, F.slice(steps, F.lit(1), F.size(steps) - 1)).otherwise(F.array().cast("array<double>"))
 
 
 def source_rates(docs: DataFrame, source_col: str, size: Column, targets: dict[str, float] | None, temperature: float) -> DataFrame:
@@ -80,17 +79,22 @@ def replicated(
     are free. The result is written in that order. ``size`` says how much a row weighs in its source; null is nothing.
     """
     names = dict(zip(("rate", "n_copies", "copy", "position"), fresh(docs, "rate", "n_copies", "copy", "position"), strict=True))
-    source, rate, order = fresh(docs, "_source_key", "_rate", "_order")
+    source, rate, parts, steps, order = fresh(docs, "_source_key", "_rate", "_parts", "_steps", "_order")
     rates = source_rates(docs, source_col, F.coalesce(size, F.lit(0)), targets, temperature)
-    rates = rates.select(F.col("_source").alias(source), F.col("rate").alias(rate))
-    joined = docs.join(rates, F.col(source_col).eqNullSafe(F.col(source)), "left")
-    doc_id = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    parts = F.greatest(F.ceil(F.col(rate) / LARGEST_RATE), F.lit(1))
-    each = F.transform(
-        F.sequence(F.lit(1).cast("long"), parts),
-        lambda p: poisson_count(F.col(rate) / parts, uniform(F.lit(seed), doc_id, p.cast("string"))),
+    rates = rates.withColumn("_parts", F.greatest(F.ceil(F.col("rate") / LARGEST_RATE), F.lit(1)))
+    # The distribution of a source is tabled once, in its one row.
+    rates = rates.select(
+        F.col("_source").alias(source), F.col("rate").alias(rate), F.col("_parts").alias(parts), poisson_steps(F.col("rate") / F.col("_parts")).alias(steps)
     )
-    count = F.aggregate(each, F.lit(0), lambda a, b: a + b)
+    joined = docs.join(saved(rates, "mixing-rates"), F.col(source_col).eqNullSafe(F.col(source)), "left")
+    doc_id = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+
+    def drawn(part: Column) -> Column:
+        u = uniform(F.lit(seed), doc_id, part.cast("string"))
+        # Bound by a lambda, so that the hash is taken once and not for every value.
+        return F.transform(F.array(u), lambda x: F.size(F.filter(F.col(steps), lambda value: value <= x)))[0]
+
+    count = F.aggregate(F.sequence(F.lit(1).cast("long"), F.col(parts)), F.lit(0), lambda total, part: total + drawn(part))
     counted = joined.withColumn(names["rate"], F.col(rate)).withColumn(names["n_copies"], count)
     copies = counted.where(F.col(names["n_copies"]) > 0).withColumn(
         names["copy"], F.explode(F.sequence(F.lit(0), F.col(names["n_copies"]) - 1))
@@ -98,7 +102,7 @@ def replicated(
     key = F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), doc_id, F.col(names["copy"]).cast("string")).cast("binary"))
     sorting = [F.col(order), F.col(id_col), F.col(names["copy"])]
     shuffled = globally_ranked(copies.withColumn(order, key), sorting, names["position"], "mixing-copies")
-    return shuffled.drop(source, rate, order), names
+    return shuffled.drop(source, rate, parts, steps, order), names
 
 
 def _chars(docs: DataFrame, text_col: str) -> Column:
