@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docsift.llm.common import documents, in_fold, labels
 from docsift.llm.exact_dedup import exact_duplicates
+from docsift.llm.language_model import likelihoods
 from docsift.llm.licenses import license_spans
 from docsift.llm.mixing import mix_sources
 from docsift.llm.packing import pack_documents
@@ -124,3 +125,8 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints_with_edits(documents(spark, sf_dir))
+
+
+@query()
+def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return likelihoods(documents(spark, sf_dir), in_fold(F.col("doc_id"), 10, 0))
