@@ -105,13 +105,13 @@ def close_links(prints: DataFrame, name: str, distance: int = 2, blocks: int = B
 
 
 def _components(rows: DataFrame, name: str, distance: int, blocks: int, paired: int) -> DataFrame:
-    """``name, component_id`` for every fingerprint, from ``name, _id``."""
+    """``name, _root, component_id`` for every fingerprint, from ``name, _id``."""
     firsts = rows.groupBy(name).agg(F.min("_id").alias("_first"))
     roots = connected_components(close_links(rows, name, distance, blocks, paired), "a", "b")
     rooted = firsts.join(roots, F.col(name) == F.col("node"), "left")
     rooted = rooted.select(name, "_first", F.coalesce("root", name).alias("_root"))
     ids = rooted.groupBy("_root").agg(F.min("_first").alias("component_id"))
-    return rooted.join(ids, "_root").select(name, "component_id")
+    return rooted.join(ids, "_root").select(name, "_root", "component_id")
 
 
 def near_duplicates(
@@ -148,7 +148,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     texts = rows.select(F.col(row).alias("_row"), F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     prints = saved(with_fingerprints(texts, "_text", "_print", words), "simhash-prints")
     found = _components(prints.select("_print", F.coalesce("_id", F.lit((1 << 63) - 1)).alias("_id")), "_print", distance, BLOCKS, PAIRED_BUCKET)
-    members = prints.join(found, "_print").groupBy("component_id").agg(
+    members = prints.join(found, "_print").groupBy("_root").agg(
         F.min(F.struct(F.coalesce("_id", F.lit((1 << 63) - 1)).alias("id"), F.col("_row").alias("row"))).alias("stays")
     )
     return rows.join(members.select(F.col("stays.row").alias(row)), row, "left_semi").select(*docs.columns)
