@@ -9,12 +9,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from docsift.functions.mime import unfolded
 from docsift.schemas import MAIL
 
 # Fixed value: the checksum reads through a buffer of this many bytes and always hashes the whole buffer.
 BUFFER_BYTES = 1_000_000
 
-_MESSAGE_ID = r"(?dim)^message-id:[ \t]*(?:\r?\n[ \t]+)*<?([^<>\s]+)>?[ \t]*\r?$"
+# The id stands in angle brackets, and what follows them is a comment; or it is all there is.
+_MESSAGE_ID = r"(?dim)^message-id:[ \t]*+(?:<([^<>\s]++)>|([^<>\s]++)[ \t]*+\r?$)"
 
 
 @F.arrow_udf(StringType())
@@ -55,8 +57,10 @@ def message_id(content: Column) -> Column:
     head = F.when(raw.startswith("\n") | raw.startswith("\r\n"), F.lit("")).otherwise(head)
     # One character per byte, whatever the charset of the mail.
     head = F.decode(head.cast("binary"), "ISO-8859-1")
-    ids = F.regexp_extract_all(head, F.lit(_MESSAGE_ID), 1)
-    return F.try_element_at(ids, F.lit(-1))
+    # Folded lines are joined before the match, however many there are.
+    head = unfolded(F.replace(head, F.lit("\r\n"), F.lit("\n")))
+    bracketed, bare = (F.try_element_at(F.regexp_extract_all(head, F.lit(_MESSAGE_ID), i), F.lit(-1)) for i in (1, 2))
+    return F.coalesce(F.nullif(bracketed, F.lit("")), F.nullif(bare, F.lit("")))
 
 
 def identity_bytes(content: Column, mimetype: Column) -> Column:

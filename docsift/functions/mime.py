@@ -28,8 +28,9 @@ _HEADER = (
     r"(?i)\A(?:message-id|date|from|to|cc|subject|received|return-path|mime-version|delivered-to|reply-to|"
     r"x-[a-z0-9-]{1,60}):"
 )
-_TWO_HEADERS = r"\A[!-9;-~]+:[^\n]*\n(?:[ \t][^\n]*\n)*[!-9;-~]+:"
-_HTML_HEAD = r"(?i)\A\s*(?:<!doctype\s+html|<html)\b"
+# Nothing here is repeated as a group, which Java's matcher would do by recursion: folded lines are joined first.
+_TWO_HEADERS = r"\A[!-9;-~]++:[^\n]*+\n[!-9;-~]++:"
+_HTML_HEAD = r"(?i)\A\s*+(?:<!doctype\s++html|<html)\b"
 
 
 def format_content_type(ctype: Column, subtype: Column) -> Column:
@@ -37,15 +38,22 @@ def format_content_type(ctype: Column, subtype: Column) -> Column:
     return F.concat_ws("/", ctype, subtype)
 
 
+def unfolded(block: Column) -> Column:
+    """A header block with each header on one line."""
+    for fold in ("\n ", "\n\t"):
+        block = F.replace(block, F.lit(fold), F.lit(" "))
+    return block
+
+
 def mime_by_magic(content: Column) -> Column:
-    head = F.decode(F.substring(content, 1, 1024), "ISO-8859-1")
     # A first header may be folded over any number of lines, so the second one is looked for in all of the header block.
     block = F.decode(F.substring_index(content.cast("string"), "\n\n", 1).cast("binary"), "ISO-8859-1")
-    is_mail = F.when(head.rlike(_HEADER), block.rlike(_TWO_HEADERS)).otherwise(F.lit(False))
+    is_mail = F.when(block.rlike(_HEADER), unfolded(block).rlike(_TWO_HEADERS)).otherwise(F.lit(False))
     found = F.when(F.lit(False), F.lit(None).cast("string"))
     for signature, mimetype in MAGIC:
         found = found.when(F.startswith(content, F.unhex(F.lit(signature))), F.lit(mimetype))
-    return found.when(is_mail, F.lit(MAIL)).when(head.rlike(_HTML_HEAD), F.lit("text/html"))
+    text = F.decode(content, "ISO-8859-1")
+    return found.when(is_mail, F.lit(MAIL)).when(text.rlike(_HTML_HEAD), F.lit("text/html"))
 
 
 def mime_by_content(content: Column) -> Column:

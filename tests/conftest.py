@@ -1,5 +1,6 @@
 import io
 import sys
+import tempfile
 import zipfile
 from pathlib import Path
 
@@ -12,18 +13,22 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from docsift.session import configure  # noqa: E402
 
-# The weekday of its date is wrong on purpose.
+# A mail with an encoded subject, a copy to two people, and the same short note in quoted-printable Latin-1.
+NOTE_ID = "n-0042.harbour@ledger.example"
 SMALL_MAIL = (
-    b"Message-ID: <1449186.1075855697095.JavaMail.evans@thyme>\n"
-    b"Date: Wed, 21 Feb 2021 07:58:00 -0800 (CST)\n"
-    b"From: ann.lee@example.org\n"
-    b"To: bo.kim@example.org\n"
-    b"Subject: Minutes of the MEETING\n"
-    b"Mime-Version: 1.0\n"
-    b"Content-Type: text/plain; charset=us-ascii\n"
-    b"Content-Transfer-Encoding: 7bit\n"
+    b"MIME-Version: 1.0\n"
+    b"Subject: =?utf-8?q?Kr=C3=A4ne_am_Kai?= 7\n"
+    b"To: \"Quay, Office\" <office@quay.example>\n"
+    b"Cc: Ida <ida@quay.example>, lars@dock.example\n"
+    b"Content-Transfer-Encoding: quoted-printable\n"
+    b"Content-Type: text/plain; charset=iso-8859-1; format=flowed\n"
+    b"From: Mia Voss <mia@ledger.example>\n"
+    b"X-Berth: 12b\n"
+    b"Date: Sat, 30 Nov 2019 23:15:09 +0545\n"
+    b"Message-ID: <" + NOTE_ID.encode() + b">\n"
     b"\n"
-    b"These are the minutes\n\n;)\n"
+    b"Zwei Kr=E4ne & ein Boot\n"
+    b"fehlen =3D 3 < 4\n"
 )
 
 
@@ -38,6 +43,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="docsift-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

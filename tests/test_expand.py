@@ -225,7 +225,7 @@ def test_jobs(spark, tmp_path):
     result = process_jobs(jobs, scan_files(spark, str(tmp_path)))
     assert {(e.job_id, e.error_class) for e in result.errors.collect()} == {("j3", "not_found"), ("j4", "S3UriParseError")}
     outputs = result.outputs.collect()
-    assert {(o.job_id, o.text) for o in outputs} == {("j1", "These are the minutes\n\n;)\n\n\n"), ("j2", SMALL_MAIL.decode())}
+    assert {(o.job_id, o.text) for o in outputs} == {("j1", "Zwei Kräne & ein Boot\nfehlen = 3 < 4\n\n\n"), ("j2", SMALL_MAIL.decode())}
 
 
 def test_large_files_give_what_small_ones_give(spark, tmp_path):
