@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,6 +14,14 @@ def lossy_utf8(content: Column) -> Column:
     return F.make_valid_utf8(content.cast("string"))
 
 
+def text_of(content: Column) -> Column:
+    """Bytes as text by their byte order mark, else as lossy UTF-8; marks are no part of the text."""
+    starts = lambda mark: F.startswith(content, F.unhex(F.lit(mark)))
+    rest = lambda n: F.substring(content, n + 1, F.octet_length(content))
+    utf16 = F.decode(F.substring(content, 1, (F.octet_length(content) / 2).cast("int") * 2), "UTF-16")
+    return F.when(starts("EFBBBF"), lossy_utf8(rest(3))).when(starts("FFFE") | starts("FEFF"), utf16).otherwise(lossy_utf8(content))
+
+
 def clean_text(content: Column) -> Column:
     """Lossy UTF-8 without NUL characters and without white space at either end."""
     text = F.replace(lossy_utf8(content), F.lit("\0"), F.lit(""))
@@ -63,7 +71,7 @@ def html_to_text(html: Column) -> Column:
 def unescape_html(text: Column) -> Column:
     """Resolve named and numeric character references; unknown ones stay."""
     # A constant, folded into one literal when the plan is optimized.
-    named = F.from_json(F.lit(json.dumps({name: chr(code) for name, code in name2codepoint.items()})), "map<string,string>")
+    named = F.from_json(F.lit(json.dumps({name[:-1]: text for name, text in html5.items() if name.endswith(";")})), "map<string,string>")
 
     def resolve(piece: Column) -> Column:
         ref = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)

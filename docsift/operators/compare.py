@@ -33,22 +33,26 @@ def metadata_diff(
     return rows.where(~F.col("expected").eqNullSafe(F.col("actual")))
 
 
-def content_diff(expected: DataFrame, actual: DataFrame, path: str = "archive_path", column: str = "content") -> DataFrame:
-    """Paths whose bytes differ or that exist on one side only. Hashes are compared, contents are not moved."""
+# An output's path is unique within a root of a job only.
+OUTPUT_KEY = ("job_id", "root_id", "archive_path")
+
+
+def content_diff(expected: DataFrame, actual: DataFrame, key: tuple[str, ...] = OUTPUT_KEY, column: str = "content") -> DataFrame:
+    """Files whose bytes differ or that exist on one side only, by a unique key. Hashes are compared, contents are not moved."""
     digest = F.sha2(F.col(column), 256)
-    e = expected.select(path, digest.alias("expected_sha256"))
-    a = actual.select(path, digest.alias("actual_sha256"))
-    return e.join(a, path, "full").where(~F.col("expected_sha256").eqNullSafe(F.col("actual_sha256")))
+    e = expected.select(*key, digest.alias("expected_sha256"))
+    a = actual.select(*key, digest.alias("actual_sha256"))
+    return e.join(a, list(key), "full").where(~F.col("expected_sha256").eqNullSafe(F.col("actual_sha256")))
 
 
-def line_diff(expected: DataFrame, actual: DataFrame, path: str = "archive_path", column: str = "text") -> DataFrame:
-    """Lines that differ, ``path, line_no, expected, actual``; NULL where a side has no such line.
+def line_diff(expected: DataFrame, actual: DataFrame, key: tuple[str, ...] = OUTPUT_KEY, column: str = "text") -> DataFrame:
+    """Lines that differ, ``key, line_no, expected, actual``; NULL where a side has no such line.
 
-    Texts meet once on their unique path and are zipped in place, so lines are never shuffled.
+    Texts meet once on their unique key and are zipped in place, so lines are never shuffled.
     """
     both = (
-        expected.select(path, F.col(column).alias("e"))
-        .join(actual.select(path, F.col(column).alias("a")), path, "full")
+        expected.select(*key, F.col(column).alias("e"))
+        .join(actual.select(*key, F.col(column).alias("a")), list(key), "full")
         .where(~F.col("e").eqNullSafe(F.col("a")))
     )
     none = F.array().cast("array<string>")
@@ -56,5 +60,5 @@ def line_diff(expected: DataFrame, actual: DataFrame, path: str = "archive_path"
         F.coalesce(F.split("e", "\r?\n", -1), none).alias("expected"),
         F.coalesce(F.split("a", "\r?\n", -1), none).alias("actual"),
     )
-    rows = both.select(path, F.posexplode(lines).alias("line_no", "line")).select(path, "line_no", "line.*")
+    rows = both.select(*key, F.posexplode(lines).alias("line_no", "line")).select(*key, "line_no", "line.*")
     return rows.where(~F.col("expected").eqNullSafe(F.col("actual")))

@@ -52,13 +52,13 @@ def process_distinct(
 
 
 def last_write_wins(outputs: DataFrame) -> DataFrame:
-    """Of outputs with the same path in a root, the one written last: the deepest, then the highest ordinal.
+    """Of outputs with the same path in a root of a job, the one written last: the deepest, then the highest ordinal.
 
     Overwritten outputs are found on ids alone; contents do not move unless those are very many.
     """
     # process_type tells apart the outputs made from one file.
     rank = ["depth", "ordinal", "file_id", "process_type"]
-    ids = staged(outputs.select("root_id", "archive_path", *rank), "ids")
-    last = ids.groupBy("root_id", "archive_path").agg(F.max(F.struct(*rank)).alias("last")).select("last.*")
+    ids = staged(outputs.select("job_id", "root_id", "archive_path", *rank), "ids")
+    last = ids.groupBy("job_id", "root_id", "archive_path").agg(F.max(F.struct(*rank)).alias("last")).select("last.*")
     overwritten = ids.select(*rank).join(last, rank, "left_anti")
     return without(outputs, overwritten, rank)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -35,11 +34,15 @@ Opener = Callable[[bytes, list[str], "Limits"], Iterator[dict]]
 
 @dataclass(frozen=True)
 class Limits:
-    """Guards against archive bombs and endless nesting. What exceeds them becomes an error row."""
+    """Guards against archive bombs. What exceeds them becomes an error row.
+
+    Nesting has no limit of its own: an archive that lies within itself, by its checksum, is not opened again, and all
+    other containers are longer than what they hold.
+    """
 
     entry_bytes: int = 1_900_000_000
     batch_bytes: int = 32 << 20
-    max_depth: int = 64
+    max_depth: int | None = None
 
 
 @dataclass(frozen=True)
@@ -53,7 +56,7 @@ class Openers:
 
 
 def _error(error_class: str, message: str, **where) -> dict:
-    return {"record": "error", "error_class": error_class, "message": message[:1000], **where}
+    return {"record": "error", "error_class": error_class, "message": message, **where}
 
 
 def open_zip(content: bytes, types: list[str], limits: Limits) -> Iterator[dict]:
@@ -80,7 +83,7 @@ def read_entry(archive: zipfile.ZipFile, info: zipfile.ZipInfo, ordinal: int, li
         if len(data) > limits.entry_bytes:
             return _error("too_large", name, **where)
         return {"record": "child", "content": data, **where}
-    except (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, OSError) as e:
+    except Exception as e:  # noqa: BLE001 - each compression has errors of its own for untrusted bytes
         return _error("bad_entry", f"{name}: {e}", **where)
 
 
@@ -192,6 +195,9 @@ def level_rows(expanded: DataFrame, openers: Openers | None = None) -> DataFrame
     rows = rows.withColumn("found", is_child & ~refused).withColumn("child_type", F.when(F.col("found"), found_type))
     rows = rows.withColumn("child_sum", dedupe_checksum(F.col("content"), F.col("child_type")))
     found, opens = F.col("found"), F.col("child_type").isin(*by_type) & F.col("recurse")
+    above = F.concat(F.col("id_chain"), F.array("checksum"))
+    circular = found & opens & (F.col("child_type") == ZIP) & F.array_contains(above, F.col("child_sum"))
+    opens = opens & ~F.coalesce(circular, F.lit(False))
     return rows.select(
         "job_id",
         "root_id",
@@ -211,13 +217,16 @@ def level_rows(expanded: DataFrame, openers: Openers | None = None) -> DataFrame
         F.when(found, F.col("content")).alias("content"),
         "headers",
         "parts",
-        F.when(refused, F.lit("unsafe_name")).otherwise(F.col("error_class")).alias("error_class"),
-        F.when(refused, raw).otherwise(F.col("message")).alias("message"),
+        F.when(refused, F.lit("unsafe_name")).when(circular, F.lit("circular")).otherwise(F.col("error_class")).alias("error_class"),
+        F.when(refused, raw).when(circular, F.col("child")).otherwise(F.col("message")).alias("message"),
         F.when(refused, F.lit("error"))
         .when(found & opens, F.lit("container"))
         .when(found, F.lit("leaf"))
         .otherwise(F.col("record"))
         .alias("record"),
+    ).withColumn(
+        # An archive within itself is a file, and an error too.
+        "record", F.explode(F.when(F.col("error_class") == "circular", F.array(F.lit("leaf"), F.lit("error"))).otherwise(F.array("record")))
     )
 
 

@@ -21,7 +21,7 @@ from docsift.functions.mail_columns import (
     render,
 )
 from docsift.functions.paths import archive_path
-from docsift.functions.text import html_to_text, lossy_utf8
+from docsift.functions.text import html_to_text, text_of
 from docsift.operators.routing import route, routing_rules
 from docsift.schemas import ERRORS, MAIL, OUTPUTS, PROCESS_TYPES
 
@@ -53,7 +53,7 @@ class Extractor:
 
 def file_text(content: Column, mimetype: Column) -> Column:
     """Text of a file that is not a mail; NULL for a format that has no text reader here."""
-    text = lossy_utf8(content)
+    text = text_of(content)
     return F.when(mimetype == "text/html", html_to_text(text)).when(mimetype.startswith("text/"), text)
 
 

@@ -28,5 +28,5 @@ def ancestors(files: DataFrame) -> DataFrame:
 
 
 def total_count(files: DataFrame) -> DataFrame:
-    """Files per root, the root itself included."""
-    return files.groupBy("root_id").agg(F.count("*").alias("n_files"))
+    """Files per root of a job, the root itself included."""
+    return files.groupBy("job_id", "root_id").agg(F.count("*").alias("n_files"))

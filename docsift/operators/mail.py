@@ -62,10 +62,6 @@ _MAX_NESTING = 100
 _headers_of = email.parser.BytesHeaderParser(policy=email.policy.compat32).parsebytes
 
 
-class MailError(ValueError):
-    pass
-
-
 def parse_mail(raw: bytes) -> tuple[list[dict], list[dict], list[tuple[dict, bytes]]]:
     """Headers, parts in document order, and the attachments with their decoded bytes."""
     head, body = _split_entity(raw)
@@ -97,8 +93,6 @@ def _split_entity(raw: bytes):
 
 def _walk(head, body: bytes, parent: int | None, parts: list[dict], contents: dict[int, bytes], depth: int = 0) -> dict:
     """Add an entity and all parts below it, and return it with its direct children."""
-    if depth > _MAX_NESTING:
-        raise MailError("multipart nesting too deep")
     declared = _text(head["Content-Type"]) if head["Content-Type"] is not None else None
     ctype, _, subtype = (declared or "").split(";")[0].strip().lower().partition("/")
     media = f"{ctype}/{subtype}" if declared else "text/plain"
@@ -120,7 +114,8 @@ def _walk(head, body: bytes, parent: int | None, parts: list[dict], contents: di
         "children": [],
     }
     parts.append(part)
-    boundary = head.get_boundary() if ctype == "multipart" else None
+    # A multipart below so many others is kept whole, as a part of its own.
+    boundary = head.get_boundary() if ctype == "multipart" and depth < _MAX_NESTING else None
     if boundary:
         part["kind"] = "multipart"
         for piece in _pieces(body, boundary):
@@ -285,7 +280,7 @@ def parsed_mail(content: pa.Array) -> pa.Array:
             headers, parts, _ = parse_mail(raw)
             return {"headers": headers, "parts": parts, "error": None}
         except Exception as e:  # noqa: BLE001 - any parser fault on untrusted bytes
-            return {"headers": None, "parts": None, "error": f"{type(e).__name__}: {e}"[:1000]}
+            return {"headers": None, "parts": None, "error": f"{type(e).__name__}: {e}"}
 
     kind = to_arrow_type(PARSED_MAIL)
     # pyarrow takes the named fields and leaves the parser's own ones.

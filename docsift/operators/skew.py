@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are salted, so the table of hot keys has a fixed size. A key outside of it holds less than
-# 1/1024 of all rows.
-MAX_HOT_KEYS = 1024
-
 # A table with at most this many rows of ids is broadcast; beyond it the rows are shuffled instead.
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -18,8 +14,11 @@ def is_small(frame: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
 
 
 def hot_keys(counts: DataFrame, keys: list[str], rows_per_slice: int) -> DataFrame:
-    """``keys, slices`` of the largest keys, from one row per key with its row count ``n``."""
-    hot = counts.where(F.col("n") > rows_per_slice).orderBy(F.desc("n"), *keys).limit(MAX_HOT_KEYS)
+    """``keys, slices`` of the keys with more rows than a slice, from one row per key with its row count ``n``.
+
+    There are at most as many of them as slices fit in the table.
+    """
+    hot = counts.where(F.col("n") > rows_per_slice)
     return hot.select(*keys, F.ceil(F.col("n") / rows_per_slice).cast("int").alias("slices"))
 
 
@@ -32,7 +31,7 @@ def join_one_to_many(
     Every key gets all its rows; none is dropped.
     """
     counts = many.groupBy(*keys).agg(F.count("*").alias("n"))
-    hot = F.broadcast(hot_keys(counts, keys, rows_per_slice))
+    hot = hot_keys(counts, keys, rows_per_slice)
     slices = F.coalesce(F.col("slices"), F.lit(1))
     left = many.join(hot, keys, "left").withColumn("slice", F.pmod(F.xxhash64(row_id), slices).cast("int")).drop("slices")
     right = one.join(hot, keys, "left").withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("slices")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsift.functions.dates import mail_date_iso, mail_date_utc
+from docsift.functions.identity import message_id
 from docsift.functions.mail_columns import (
     format_addresses,
     format_group,
@@ -15,7 +16,7 @@ from docsift.functions.mail_columns import (
     metadata_key,
     metadata_keys,
 )
-from docsift.functions.mime import format_content_type, identify_or_default
+from docsift.functions.mime import format_content_type, identify, identify_or_default
 from docsift.functions.paths import archive_path, extend_chain, safe_name
 from docsift.functions.text import clean_text, escape_html, html_to_text, paragraphs
 from docsift.functions.uris import object_location
@@ -393,3 +394,18 @@ def entry_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     chain = extend_chain(F.array(F.lit("aa")), F.lit("bb"))
     names = fixtures.table(spark, sf_dir, "documents").select("doc_id", safe_name(entry).alias("name"))
     return names.select("doc_id", "name", F.when(F.col("name").isNotNull(), archive_path(chain, F.col("name"))).alias("path"))
+
+
+@query(
+    """
+SELECT doc_id, 'message/rfc822' AS mimetype, 'd' || doc_id || '@example.invalid' AS message_id FROM documents"""
+)
+def folded_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mails with a header folded at every word of a document, and an id with a comment behind it."""
+    docs = fixtures.table(spark, sf_dir, "documents")
+    words = F.replace(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), F.lit(" "), F.lit("\n "))
+    head = F.concat(
+        F.lit("To: "), words, F.lit("\nMessage-ID:\n\t<d"), F.col("doc_id").cast("string"), F.lit("@example.invalid> (relayed)\nSubject: s\n\nbody")
+    )
+    mails = docs.select("doc_id", F.encode(head, "UTF-8").alias("content"))
+    return mails.select("doc_id", identify(F.col("content")).alias("mimetype"), message_id(F.col("content")).alias("message_id"))

@@ -202,7 +202,7 @@ def ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_TREE + "SELECT root_id, count(*) AS n_files FROM tree GROUP BY root_id")
 def total_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files per root, the root included."""
-    return count_per_root(_nested(spark, sf_dir, types=["embedded"]).files)
+    return count_per_root(_nested(spark, sf_dir, types=["embedded"]).files).drop("job_id")
 
 
 @query(

@@ -125,7 +125,7 @@ def line_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("text"))
     )
     actual = docs.where(kind != 2).withColumn("text", altered)
-    diff = compare.line_diff(docs, actual)
+    diff = compare.line_diff(docs, actual, key=("archive_path",))
     return diff.select(F.col("archive_path").alias("doc_id"), F.col("line_no").cast("bigint").alias("line_no"), "expected", "actual")
 
 
@@ -140,5 +140,40 @@ def content_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     kind = F.col("archive_path") % 3
     changed = F.when(kind == 0, F.concat("content", F.lit(b"\x00"))).otherwise(F.col("content"))
-    diff = compare.content_diff(docs, docs.where(kind != 1).withColumn("content", changed))
+    diff = compare.content_diff(docs, docs.where(kind != 1).withColumn("content", changed), key=("archive_path",))
     return diff.select(F.col("archive_path").alias("doc_id"), F.col("actual_sha256").isNull().alias("is_missing"))
+
+
+@query(
+    """
+SELECT doc_id FROM documents
+QUALIFY row_number() OVER (PARTITION BY doc_id % 2, source, doc_id % 7 ORDER BY doc_id % 3 DESC, doc_id DESC) = 1"""
+)
+def last_write_two_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two jobs write to the same paths of the same roots; neither overwrites the other."""
+    docs = fixtures.table(spark, sf_dir, "documents")
+    outputs = docs.select(
+        F.concat(F.lit("j"), F.col("doc_id") % 2).alias("job_id"),
+        F.col("source").alias("root_id"),
+        F.concat(F.lit("p"), F.col("doc_id") % 7).alias("archive_path"),
+        (F.col("doc_id") % 3).cast("int").alias("depth"),
+        F.col("doc_id").alias("ordinal"),
+        F.col("doc_id").cast("string").alias("file_id"),
+        F.lit("text").alias("process_type"),
+        F.encode("text", "UTF-8").alias("content"),
+    )
+    return dedupe.last_write_wins(outputs).select(F.col("file_id").cast("bigint").alias("doc_id"))
+
+
+@query("SELECT doc_id, 'altered' AS against FROM documents WHERE doc_id % 5 = 0")
+def outputs_self_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outputs of many roots under one path: no difference to themselves, the known ones to an altered copy."""
+    docs = fixtures.spread_table(spark, sf_dir, "documents", "doc_id")
+    outputs = docs.select(
+        F.lit("j").alias("job_id"), F.col("doc_id").alias("root_id"), F.lit("extracted.txt").alias("archive_path"), "text"
+    )
+    altered = outputs.withColumn("text", F.when(F.col("root_id") % 5 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+    differ = lambda other, name: compare.content_diff(outputs, other, column="text").select(
+        F.col("root_id").alias("doc_id"), F.lit(name).alias("against")
+    )
+    return differ(altered, "altered").unionByName(differ(outputs, "self"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,9 +51,31 @@ def work_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+# The folders made by the runs that ``temporary_runs`` stands around, one list for each, the innermost last.
+_MADE: list[list[str]] = []
+
+
 def new_run_dir(spark: SparkSession, label: str) -> str:
     """A folder of its own for one run's tables."""
-    return f"{work_dir(spark)}/docsift/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/docsift/{label}-{uuid.uuid4().hex}"
+    for made in _MADE:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def temporary_runs(spark: SparkSession) -> Iterator[None]:
+    """Delete the folders that runs within make, when they are done: their lazy results are of no use after it."""
+    made: list[str] = []
+    _MADE.append(made)
+    try:
+        yield
+    finally:
+        _MADE.remove(made)
+        jvm = spark.sparkContext._jvm
+        for path in made:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from docsift.stores import open_store
 
-MANIFEST = "root_id string, volume int, path string, n_entries bigint, bytes bigint"
+MANIFEST = "job_id string, root_id string, volume int, path string, n_entries bigint, bytes bigint"
 
 # Entries per archive, so that roots of very many small outputs are split as well.
 VOLUME_ENTRIES = 1_000_000
@@ -27,19 +27,19 @@ def with_volume(outputs: DataFrame, volume_bytes: int) -> DataFrame:
     """Add ``volume``: 0 for a root that fits in one archive, else a number by path.
 
     Only roots that need several volumes are listed, of which there is at most one per ``volume_bytes`` of data and
-    one per ``VOLUME_ENTRIES`` outputs; that bounds the broadcast table.
+    one per ``VOLUME_ENTRIES`` outputs. Whether that table is sent to all tasks is left to Spark, which knows its size.
     """
-    sized = outputs.groupBy("root_id").agg(F.sum("length").alias("bytes"), F.count("*").alias("n"))
+    sized = outputs.groupBy("job_id", "root_id").agg(F.sum("length").alias("bytes"), F.count("*").alias("n"))
     volumes = F.greatest(F.ceil(F.col("bytes") / volume_bytes), F.ceil(F.col("n") / VOLUME_ENTRIES))
-    large = sized.select("root_id", volumes.cast("int").alias("volumes")).where("volumes > 1")
-    joined = outputs.join(F.broadcast(large), "root_id", "left")
+    large = sized.select("job_id", "root_id", volumes.cast("int").alias("volumes")).where("volumes > 1")
+    joined = outputs.join(large, ["job_id", "root_id"], "left")
     return joined.withColumn(
         "volume", F.pmod(F.xxhash64("archive_path"), F.coalesce(F.col("volumes"), F.lit(1))).cast("int")
     ).drop("volumes")
 
 
 def write_archives(outputs: DataFrame, path: str, volume_bytes: int = 1 << 30) -> DataFrame:
-    """Write one zip per root, in volumes where a root is large, and return the manifest rows.
+    """Write one zip per root of a job, in volumes where a root is large, and return the manifest rows.
 
     Entry names are the archive paths. Volumes are complete archives: unpacked into one folder they give the whole
     root. An archive is written under a temporary name by one task and renamed when it is complete. The manifest is a
@@ -47,8 +47,9 @@ def write_archives(outputs: DataFrame, path: str, volume_bytes: int = 1 << 30) -
     """
     spark = outputs.sparkSession
     data = F.coalesce(F.col("content"), F.encode("text", "UTF-8"))
-    rows = with_volume(outputs.select("root_id", "archive_path", "length", data.alias("data")), volume_bytes).drop("length")
-    placed = rows.repartition("root_id", "volume").sortWithinPartitions("root_id", "volume", "archive_path")
+    rows = with_volume(outputs.select("job_id", "root_id", "archive_path", "length", data.alias("data")), volume_bytes).drop("length")
+    key = ["job_id", "root_id", "volume"]
+    placed = rows.repartition(*key).sortWithinPartitions(*key, "archive_path")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = TaskContext.get().taskAttemptId()
@@ -56,7 +57,8 @@ def write_archives(outputs: DataFrame, path: str, volume_bytes: int = 1 << 30) -
         store, base = open_store(path)
 
         def names(key):
-            name = f"{_file_name(key[0])}.{key[1]:05d}.zip"
+            job, root, volume = key
+            name = f"{_file_name(root) if job == root else _file_name(job) + '.' + _file_name(root)}.{volume:05d}.zip"
             # Listings leave out names that begin with an underscore, so an unfinished archive is not seen.
             return posixpath.join(base, "archives", name), posixpath.join(base, "archives", f"_{attempt}.{name}")
 
@@ -65,19 +67,19 @@ def write_archives(outputs: DataFrame, path: str, volume_bytes: int = 1 << 30) -
             stream.close()
             final, partial = names(current)
             store.move(partial, final)
-            return [current[0], current[1], final, count, size]
+            return [*current, final, count, size]
 
         done: list[list] = []
         for batch in batches:
-            roots, volumes = batch.column("root_id").to_pylist(), batch.column("volume").to_pylist()
+            keys = zip(*(batch.column(c).to_pylist() for c in key), strict=True)
             entry_names, contents = batch.column("archive_path").to_pylist(), batch.column("data")
-            for i, key in enumerate(zip(roots, volumes)):
-                if key != current:
+            for i, found in enumerate(keys):
+                if found != current:
                     if current is not None:
                         done.append(finish())
-                    current, count, size = key, 0, 0
+                    current, count, size = found, 0, 0
                     store.create_dir(posixpath.join(base, "archives"), recursive=True)
-                    stream = store.open_output_stream(names(key)[1])
+                    stream = store.open_output_stream(names(found)[1])
                     archive = zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED, allowZip64=True)
                 content = contents[i].as_py() or b""
                 archive.writestr(_entry(entry_names[i]), content)
@@ -94,9 +96,9 @@ def write_archives(outputs: DataFrame, path: str, volume_bytes: int = 1 << 30) -
 
 def _manifest_batch(rows: list[list]) -> pa.RecordBatch:
     columns = list(zip(*rows))
-    types = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
+    types = [pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, types)], names=["root_id", "volume", "path", "n_entries", "bytes"]
+        [pa.array(c, t) for c, t in zip(columns, types)], names=["job_id", "root_id", "volume", "path", "n_entries", "bytes"]
     )
 
 
@@ -113,17 +115,17 @@ def _file_name(root_id: str) -> str:
 
 
 def publish(manifest: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Copy each root's archives to its job's ``output_uri``, one task per archive. Returns ``root_id, uri, bytes``.
+    """Copy each root's archives to its job's ``output_uri``, one task per archive. Returns ``job_id, root_id, uri, bytes``.
 
     A root in one volume goes to the URI itself, further volumes get their number added.
     """
-    several = manifest.groupBy("root_id").agg((F.count("*") > 1).alias("several"))
-    targets = jobs.select(F.col("job_id").alias("root_id"), "output_uri")
+    several = manifest.groupBy("job_id", "root_id").agg((F.count("*") > 1).alias("several"))
+    targets = jobs.select("job_id", "output_uri")
     numbered = F.concat(F.col("output_uri"), F.lit("."), F.lpad(F.col("volume").cast("string"), 5, "0"))
     copies = (
-        manifest.join(several, "root_id")
-        .join(targets, "root_id")
-        .select("root_id", "path", F.when(F.col("several"), numbered).otherwise(F.col("output_uri")).alias("uri"))
+        manifest.join(several, ["job_id", "root_id"])
+        .join(targets, "job_id")
+        .select("job_id", "root_id", "path", F.when(F.col("several"), numbered).otherwise(F.col("output_uri")).alias("uri"))
     )
 
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +139,8 @@ def publish(manifest: DataFrame, jobs: DataFrame) -> DataFrame:
                 fs.copy_files(from_path, to_path, from_store, to_store)
                 sizes.append(to_store.get_file_info(to_path).size)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("root_id"), batch.column("uri"), pa.array(sizes, pa.int64())], names=["root_id", "uri", "bytes"]
+                [batch.column("job_id"), batch.column("root_id"), batch.column("uri"), pa.array(sizes, pa.int64())],
+                names=["job_id", "root_id", "uri", "bytes"],
             )
 
-    return copies.repartition("root_id", "path").mapInArrow(copy, "root_id string, uri string, bytes bigint")
+    return copies.repartition("job_id", "path").mapInArrow(copy, "job_id string, root_id string, uri string, bytes bigint")

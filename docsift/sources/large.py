@@ -134,10 +134,13 @@ def archive_members(archives: DataFrame, limits: Limits | None = None) -> DataFr
                 if member["error"] is not None:
                     row = {"record": "error", "error_class": "bad_container", "message": member["error"]}
                 else:
-                    if member["path"] != open_path:
-                        open_path, archive = member["path"], _archive(member["path"])
-                        entries = archive.infolist()
-                    row = read_entry(archive, entries[member["ordinal"]], member["ordinal"], limits)
+                    try:
+                        if member["path"] != open_path:
+                            archive = _archive(member["path"])
+                            open_path, entries = member["path"], archive.infolist()
+                        row = read_entry(archive, entries[member["ordinal"]], member["ordinal"], limits)
+                    except Exception as e:  # noqa: BLE001 - a file that went away or changed since it was listed
+                        row = {"record": "error", "error_class": "bad_entry", "message": f"{member['child_name']}: {e}"}
                 rows.append({"path": member["path"], "ordinal": member["ordinal"], **row})
                 held += 200 + len(row.get("content") or b"")
                 if held >= limits.batch_bytes:

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docsift.plans.process import ProcessResult, process
-from docsift.session import CONTENT_TABLE
+from docsift.session import CONTENT_TABLE, temporary_runs
 
-TABLES = ("files", "outputs", "errors")
+TABLES = ("files", "outputs", "errors", "messages")
 
 # The columns of Spark's binaryFile source.
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -47,14 +47,16 @@ def expand_stream(
     """Process every micro-batch to all depths and append the results as tables below ``out``; ends when caught up.
 
     A batch owns the folder of its id in each table and overwrites it, so a replayed batch leaves its rows once. The
-    stream's checkpoint holds the position; a restart goes on after the last complete batch.
+    stream's checkpoint holds the position; a restart goes on after the last complete batch. The tables that a batch
+    needed on the way are deleted with it.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        result = run(batch, types=types)
-        for table in TABLES:
-            writer = getattr(result, table).write.mode("overwrite").options(**CONTENT_TABLE)
-            writer.parquet(f"{out}/{table}/batch_id={batch_id}")
+        with temporary_runs(batch.sparkSession):
+            result = run(batch, types=types)
+            for table in TABLES:
+                writer = getattr(result, table).write.mode("overwrite").options(**CONTENT_TABLE)
+                writer.parquet(f"{out}/{table}/batch_id={batch_id}")
 
     return files.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -1,5 +1,8 @@
 """Containers, recursion and whole runs."""
 
+import io
+import zipfile
+
 import pandas as pd
 import pytest
 from conftest import SMALL_MAIL, make_zip, roots
@@ -102,7 +105,7 @@ def test_all_depths(spark):
         ("box.mbox", "top.zip"), ("mbox-message.eml", "box.mbox"), ("in.zip", "mbox-message.eml"), ("x.txt", "in.zip"), ("y.eml", "in.zip"),
     }
     assert ancestors(files).count() == sum(r.depth for r in rows.values())
-    assert [tuple(r) for r in total_count(files).collect()] == [("r", 7)]
+    assert [tuple(r) for r in total_count(files).collect()] == [("r", "r", 7)]
 
     outputs = result.outputs.collect()
     assert {o.archive_path for o in outputs if o.kind == "embedded"} == {
@@ -115,7 +118,7 @@ def test_all_depths(spark):
         + [(2, t) for t in ("text", "metadata", "pdf")] * 2
         + [(4, t) for t in ("text", "metadata", "pdf")]
     )
-    assert {o.text for o in outputs if o.process_type == "text" and o.depth == 4} == {"deep", "These are the minutes\n\n;)\n\n\n"}
+    assert {o.text for o in outputs if o.process_type == "text" and o.depth == 4} == {"deep", "Zwei Kräne & ein Boot\nfehlen = 3 < 4\n\n\n"}
     # A processed output carries the checksum of its source file.
     assert all(o.checksum == rows[o.file_id].checksum for o in outputs)
     assert result.errors.count() == 0
@@ -249,3 +252,42 @@ def test_large_files_give_what_small_ones_give(spark, tmp_path):
     inside = F.col("depth") > 0
     assert rows(limited.outputs.where(inside)) == rows(small.outputs.where(inside))
     assert {r.checksum for r in limited.files.where(~inside).collect()} == {None}
+
+
+def test_damaged_entries_cost_themselves_only(spark, tmp_path):
+    kinds = {"stored": zipfile.ZIP_STORED, "deflate": zipfile.ZIP_DEFLATED, "bzip2": zipfile.ZIP_BZIP2, "lzma": zipfile.ZIP_LZMA}
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as archive:
+        for name, kind in kinds.items():
+            for state in ("good", "bad"):
+                archive.writestr(f"{name}-{state}", f"{name} {state} ".encode() * 200, kind)
+    raw = bytearray(out.getvalue())
+    with zipfile.ZipFile(io.BytesIO(bytes(raw))) as archive:
+        for info in archive.infolist():
+            if info.filename.endswith("-bad"):
+                at = info.header_offset + 30 + len(info.filename) + info.compress_size // 2
+                raw[at : at + 4] = bytes(255 - b for b in raw[at : at + 4])
+    (tmp_path / "d.zip").write_bytes(bytes(raw))
+    for size in (10**9, 100):
+        result = process_path(spark, str(tmp_path), ["embedded"], large_bytes=size)
+        assert {o.name for o in result.outputs.collect()} == {f"{name}-good" for name in kinds}
+        assert [e.error_class for e in result.errors.collect()] == ["bad_entry"] * 4
+
+
+def test_an_archive_within_itself_is_not_opened_again(spark):
+    """A container format whose only member is itself."""
+
+    def itself(content, types, limits):
+        yield {"record": "child", "ordinal": 0, "child_name": "again.zip", "content": content, "ctype": "application", "subtype": "zip"}
+
+    frame = roots(spark, [("r", "a.zip", b"PK\x03\x04 again")])
+    result = process(frame, ["embedded"], openers=Openers().with_opener("application/zip", itself))
+    assert [(e.error_class, e.message) for e in result.errors.collect()] == [("circular", "again.zip")]
+    assert [o.name for o in result.outputs.collect()] == ["again.zip"]
+
+
+def test_text_with_a_byte_order_mark(spark):
+    frame = roots(spark, [("u", "u.txt", "caf\u00e9 \u20ac".encode("utf-16")), ("b", "b.txt", b"\xef\xbb\xbfcaf\xc3\xa9"), ("p", "p.txt", b"caf\xc3\xa9")])
+    typed = frame.withColumn("mimetype", F.lit("text/plain"))
+    result = process(typed, ["text"])
+    assert {o.root_id: o.text for o in result.outputs.collect()} == {"u": "caf\u00e9 \u20ac", "b": "caf\u00e9", "p": "caf\u00e9"}

@@ -73,16 +73,17 @@ def test_sliced_join_equals_plain_join(spark, how):
     assert sorted(map(str, got.collect())) == sorted(map(str, many.join(one, "k", how).collect()))
 
 
-def test_hot_keys_are_bounded(spark):
+def test_all_hot_keys_are_listed(spark):
     counts = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") + 10).alias("n"))
-    hot = hot_keys(counts, ["k"], 10).collect()
-    assert len(hot) == 1024 and min(r.k for r in hot) == 5000 - 1024
+    hot = hot_keys(counts, ["k"], 1000).collect()
+    assert {r.k for r in hot} == set(range(991, 5000)) and {r.slices for r in hot if r.k == 4999} == {6}
 
 
 def test_last_write_wins(spark):
     rows = [("r", "p", 1, 0, "a", "text"), ("r", "p", 2, 0, "b", "text"), ("r", "p", 2, 3, "c", "text"), ("r", "q", 0, 0, "d", "text"), ("s", "p", 0, 0, "e", "text")]
-    frame = spark.createDataFrame(rows, "root_id string, archive_path string, depth int, ordinal bigint, file_id string, process_type string")
-    assert {r.file_id for r in dedupe.last_write_wins(frame).collect()} == {"c", "d", "e"}
+    rows = [("j1", *row) for row in rows] + [("j2", "r", "p", 0, 0, "f", "text")]
+    frame = spark.createDataFrame(rows, "job_id string, root_id string, archive_path string, depth int, ordinal bigint, file_id string, process_type string")
+    assert {r.file_id for r in dedupe.last_write_wins(frame).collect()} == {"c", "d", "e", "f"}
 
 
 def test_metadata_diff(spark):
@@ -95,9 +96,28 @@ def test_metadata_diff(spark):
 def test_line_and_content_diff(spark):
     e = spark.createDataFrame([("a", "1\n2\n3"), ("b", "same"), ("c", "gone")], "archive_path string, text string")
     a = spark.createDataFrame([("a", "1\nX\n3\n4"), ("b", "same"), ("d", "new")], "archive_path string, text string")
-    got = {tuple(r) for r in compare.line_diff(e, a).collect()}
+    got = {tuple(r) for r in compare.line_diff(e, a, key=("archive_path",)).collect()}
     assert got == {("a", 1, "2", "X"), ("a", 3, None, "4"), ("c", 0, "gone", None), ("d", 0, None, "new")}
-    assert {r.archive_path for r in compare.content_diff(e, a, column="text").collect()} == {"a", "c", "d"}
+    assert {r.archive_path for r in compare.content_diff(e, a, key=("archive_path",), column="text").collect()} == {"a", "c", "d"}
+
+
+def test_outputs_do_not_differ_from_themselves(spark):
+    """Paths are unique within a root only."""
+    outputs = expanded(spark).outputs.where("text is not null")
+    assert compare.line_diff(outputs, outputs).count() == 0
+    assert compare.content_diff(outputs, outputs, column="text").count() == 0
+    altered = outputs.withColumn("text", F.when(F.col("root_id") == "small", F.lit("other")).otherwise(F.col("text")))
+    assert {r.root_id for r in compare.line_diff(outputs, altered).collect()} == {"small"}
+
+
+def test_two_jobs_on_one_root(spark, tmp_path):
+    files = roots(spark, [("r", "a.zip", make_zip([("x.txt", b"x"), ("y.txt", b"y")]))])
+    both = files.withColumn("job_id", F.explode(F.array(F.lit("j1"), F.lit("j2"))))
+    outputs = process(both, ["embedded"]).outputs
+    assert dedupe.last_write_wins(outputs).count() == outputs.count() == 4
+    manifest = write_archives(outputs, str(tmp_path)).collect()
+    assert sorted((m.job_id, m.root_id, m.n_entries) for m in manifest) == [("j1", "r", 2), ("j2", "r", 2)]
+    assert len({m.path for m in manifest}) == 2
 
 
 def expanded(spark):
@@ -157,7 +177,7 @@ def test_layout(spark, tmp_path):
 
 
 def test_volume_numbers_stay_below_their_count(spark):
-    frame = spark.createDataFrame([("r", f"p{i}", 10) for i in range(100)], "root_id string, archive_path string, length bigint")
+    frame = spark.createDataFrame([("r", f"p{i}", 10) for i in range(100)], "root_id string, archive_path string, length bigint").withColumn("job_id", F.lit("j"))
     assert {r.volume for r in with_volume(frame, 250).collect()} == {0, 1, 2, 3}
 
 
