@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docsift.functions.uris import hadoop_uri, object_location
-from docsift.operators.skew import MAX_BROADCAST_ROWS, join_one_to_many, join_to_small
+from docsift.operators.skew import join_to_small
 from docsift.session import staged
+from docsift.stores import open_store
 
 # A binary value holds at most 2 GiB; a longer file is reported, and a longer mailbox is scanned with scan_mailboxes.
 MAX_CONTENT_BYTES = 2_000_000_000
 
-# Jobs on one input that may be served by one task.
-JOBS_PER_INPUT = 1000
-
 
 def scan_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """``path, modificationTime, length, content`` of every file below a path."""
@@ -32,7 +35,8 @@ def plain_path(uri: Column) -> Column:
 def scan_jobs(jobs: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Root files of a table of jobs, and an error row for each input that cannot be read.
 
-    ``files`` is a scan of the folders the inputs lie in. Its contents are read only for paths some job names.
+    ``files`` is a scan of the folders the inputs lie in, of which only the listing is used: the task that holds a job
+    reads the job's file, and no other file is opened. A file that went away since it was listed is an error row.
     """
     jobs = jobs.withColumn("path", plain_path(F.col("input_uri")))
     is_object = F.col("input_uri").rlike("^s3[an]?:")
@@ -44,8 +48,13 @@ def scan_jobs(jobs: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(F.col("length").isNull(), "not_found")
         .when(F.col("length") > MAX_CONTENT_BYTES, "too_large")
     )
-    errors = checked.withColumn("error_class", problem).where("error_class is not null")
-    errors = errors.select(
+    checked = checked.withColumn("error_class", problem)
+    # Jobs are narrow rows; their contents come in after they are spread.
+    good = checked.where("error_class is null").select("job_id", "path", "mimetype", "types", "recurse").repartition("job_id", "path")
+    gone = with_contents(good.select("job_id", "path"), only_missing=True).select("job_id", F.lit("not_found").alias("error_class"))
+    gone = gone.join(jobs.select("job_id", "input_uri"), "job_id")
+    errors = checked.where("error_class is not null").select("job_id", "error_class", "input_uri")
+    errors = errors.unionByName(gone).select(
         "job_id",
         F.col("job_id").alias("root_id"),
         F.lit(None).cast("string").alias("file_id"),
@@ -54,15 +63,7 @@ def scan_jobs(jobs: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
         "error_class",
         F.col("input_uri").alias("message"),
     )
-    contents = files.where(F.col("length") <= MAX_CONTENT_BYTES).select(plain_path(F.col("path")).alias("path"), "content")
-    named = jobs.where(~F.coalesce(bad_uri, F.lit(False)))
-    per_path = named.groupBy("path").agg(F.count("*").alias("n")).agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
-    if (per_path.n or 0) <= MAX_BROADCAST_ROWS and (per_path.most or 0) <= JOBS_PER_INPUT:
-        joined = contents.join(F.broadcast(named), "path")
-    else:
-        # Very many jobs, or very many of them on one input: contents are moved, an input's jobs cut into slices.
-        joined = join_one_to_many(named, contents, ["path"], "job_id", rows_per_slice=JOBS_PER_INPUT)
-    roots = joined.select(
+    roots = with_contents(good).select(
         "job_id",
         F.col("job_id").alias("root_id"),
         F.element_at(F.split("path", "/"), -1).alias("name"),
@@ -74,6 +75,29 @@ def scan_jobs(jobs: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return roots, errors
 
 
+def with_contents(rows: DataFrame, only_missing: bool = False) -> DataFrame:
+    """Rows with the ``content`` of the file at their ``path``, each read by the task that holds the row.
+
+    Rows whose file is not there are left out, or with ``only_missing`` all others are, and nothing is read.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, path in enumerate(batch.column("path").to_pylist()):
+                store, name = open_store(path)
+                found = store.get_file_info(name).type == fs.FileType.File
+                if found == only_missing:
+                    continue
+                content = None
+                if found:
+                    with store.open_input_file(name) as stream:
+                        content = stream.read()
+                row = batch.slice(i, 1)
+                yield pa.RecordBatch.from_arrays([*row.columns, pa.array([content], pa.binary())], names=[*row.schema.names, "content"])
+
+    return rows.mapInArrow(read, T.StructType([*rows.schema.fields, T.StructField("content", T.BinaryType())]))
+
+
 def scan_mailboxes(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """Messages of mailbox files, ``path, ordinal, content``, read in parallel within each file.
 

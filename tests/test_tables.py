@@ -244,16 +244,19 @@ def test_joins_beyond_the_broadcast_limit_give_the_same(spark):
         assert left.count() == 450 and left.where("depth = 1").count() == 0
 
 
-def test_many_jobs_on_one_input(spark, tmp_path, monkeypatch):
-    (tmp_path / "hot.txt").write_bytes(b"hot")
-    (tmp_path / "cold.txt").write_bytes(b"cold")
-    names = [("hot" if i % 3 else "cold", i) for i in range(60)]
+def test_jobs_read_only_the_files_they_name(spark, tmp_path):
+    for name in ("hot", "cold", "unnamed", "gone"):
+        (tmp_path / f"{name}.txt").write_bytes(name.encode())
+    names = [("hot" if i % 3 else "cold", i) for i in range(60)] + [("gone", 60)]
     jobs = spark.createDataFrame(
         [(f"j{i}", f"file:{tmp_path}/{n}.txt", None, None, ["text"], False) for n, i in names],
         "job_id string, input_uri string, output_uri string, mimetype string, types array<string>, recurse boolean",
     )
-    plain, _ = files.scan_jobs(jobs, files.scan_files(spark, str(tmp_path)))
-    monkeypatch.setattr(files, "JOBS_PER_INPUT", 5)
-    sliced, _ = files.scan_jobs(jobs, files.scan_files(spark, str(tmp_path)))
-    rows = [sorted((r.job_id, bytes(r.content)) for r in frame.collect()) for frame in (plain, sliced)]
-    assert rows[0] == rows[1] == sorted((f"j{i}", n.encode()) for n, i in names)
+    listed = files.scan_files(spark, str(tmp_path)).select("path", "length").collect()
+    listing = spark.createDataFrame([(r.path, r.length) for r in listed], "path string, length long")
+    # Both are listed and then go away; only the one that a job names is missed.
+    (tmp_path / "unnamed.txt").unlink()
+    (tmp_path / "gone.txt").unlink()
+    found, errors = files.scan_jobs(jobs, listing)
+    assert sorted((r.job_id, bytes(r.content)) for r in found.collect()) == sorted((f"j{i}", n.encode()) for n, i in names[:-1])
+    assert [(e.job_id, e.error_class) for e in errors.collect()] == [("j60", "not_found")]
