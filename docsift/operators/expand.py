@@ -103,9 +103,12 @@ def open_mbox(content: bytes, types: list[str], limits: Limits) -> Iterator[dict
 
 
 def _mbox_message(raw: bytes, ordinal: int) -> dict:
-    if b">From " in raw:
-        raw = _QUOTED.sub(rb"\1", raw)
-    return {"record": "child", "ordinal": ordinal, "content": raw}
+    return {"record": "child", "ordinal": ordinal, "content": unquoted(raw)}
+
+
+def unquoted(message: bytes) -> bytes:
+    """A mailbox message with one ``>`` taken off its quoted separator lines."""
+    return _QUOTED.sub(rb"\1", message) if b">From " in message else message
 
 
 def open_mail(content: bytes, types: list[str], limits: Limits) -> Iterator[dict]:

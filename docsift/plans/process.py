@@ -188,6 +188,4 @@ def process_path(
     whole = large.where(~by_members & (F.col("length") <= max_bytes)).select(F.col("root_id").alias("path"))
     files = files.unionByName(read_contents(whole).select(*columns))
     large = large.where(by_members | (F.col("length") > max_bytes))
-    # Spark's own listing holds every path on the driver; this holds those of mailboxes over the size limit only.
-    mailboxes = [row.root_id for row in large.where(F.col("mimetype") == MBOX).select("root_id").toLocalIterator()]
-    return process(files, types, recurse, large=(large, members_of(large, mailboxes)), **options)
+    return process(files, types, recurse, large=(large, members_of(large, options.get("limits"))), **options)

@@ -7,21 +7,26 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
 from docsift.functions.identity import BUFFER_BYTES
 from docsift.functions.mime import identify_or_default
-from docsift.operators.expand import Limits, read_entry
+from docsift.operators.expand import Limits, read_entry, unquoted
 from docsift.operators.routing import parse_types
 from docsift.operators.skew import join_to_small
 from docsift.schemas import EXPANDED, MBOX, ZIP
-from docsift.sources.files import plain_path, scan_mailboxes
+from docsift.session import staged
+from docsift.sources.files import plain_path
 from docsift.sources.registry import mime_registry, with_type_by_name
 from docsift.stores import open_store
 
+# A mailbox is read in ranges of this size, and a range in steps of the other.
+RANGE_BYTES = 64 << 20
+READ_BYTES = 4 << 20
+
 _LOOKED_AT = "path string, checksum string, head binary"
 
 _MEMBER = (
@@ -175,18 +180,78 @@ def _archive(path: str) -> zipfile.ZipFile:
     return zipfile.ZipFile(store.open_input_file(name))
 
 
-def members_of(roots: DataFrame, mailbox_paths: list[str] | None = None) -> DataFrame:
-    """EXPANDED rows of large zip and mailbox roots, to be given to ``process`` as ``seed``.
+def mailbox_members(mailboxes: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """``path, ordinal, content`` of the messages of listed mailboxes (``path, length``), and an error row without any.
 
-    Large roots are few, as each is above the size limit, so members stay where they are when they meet their root.
+    A mailbox is cut into byte ranges, which are rows of their own and spread over tasks. A task reads the messages that
+    start in its range, the last of them to its end beyond it. Counts per range then give each message its place.
     """
-    spark = roots.sparkSession
-    carried = roots.where(F.array_contains("types", "embedded")).drop("content", "length", "ordinal", "parent_id")
-    carried = carried.withColumn("path", plain_path(F.col("root_id")))
-    members = archive_members(carried.where(F.col("mimetype") == ZIP))
-    if mailbox_paths:
-        messages = scan_mailboxes(spark, mailbox_paths).withColumn("path", plain_path(F.col("path")))
-        members = members.unionByName(messages.withColumn("record", F.lit("child")), allowMissingColumns=True)
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(range_bytes).cast("long"))
+    ranges = mailboxes.select("path", F.explode(starts).alias("start")).repartition("path", "start")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist(), strict=True):
+                for place, content in enumerate(_messages(path, start, start + range_bytes)):
+                    columns = {"path": [path], "start": [start], "place": [place], "content": pa.array([content], pa.binary())}
+                    yield pa.RecordBatch.from_pydict(columns)
+
+    found = staged(ranges.mapInArrow(read, "path string, start long, place long, content binary"), "mailbox")
+    counts = found.groupBy("path", "start").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counts.select("path", "start", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    placed = found.join(firsts, ["path", "start"]).select("path", (F.col("first") + F.col("place")).alias("ordinal"), "content")
+    empty = mailboxes.select("path").join(counts.select("path").distinct(), "path", "left_anti").select(
+        "path", F.lit("error").alias("record"), F.lit("bad_container").alias("error_class"), F.lit("ValueError: no message separator").alias("message")
+    )
+    return placed.withColumn("record", F.lit("child")).unionByName(empty, allowMissingColumns=True)
+
+
+def _messages(path: str, start: int, stop: int) -> Iterator[bytes]:
+    """Messages whose separator line starts at a place from ``start`` and before ``stop``."""
+    store, name = open_store(path)
+    with store.open_input_file(name) as stream:
+        at = max(start - 1, 0)
+        stream.seek(at)
+        # A line feed stands for the beginning of the file, so that every separator follows one.
+        held = bytearray(b"" if start else b"\n")
+        offset = at - len(held)
+        opened, searched, ended = None, 0, False
+        while True:
+            found = held.find(b"\nFrom ", searched)
+            if found < 0:
+                searched = max(0, len(held) - 5)
+                if ended:
+                    break
+                if opened is None and offset + searched >= stop:
+                    return
+                chunk = stream.read(READ_BYTES)
+                ended = not chunk
+                held += chunk
+                continue
+            if opened is not None:
+                yield _without_separator(bytes(held[opened : found + 1]))
+            if offset + found + 1 >= stop:
+                return
+            # What lies before an open message is not needed again.
+            del held[: found + 1]
+            offset += found + 1
+            opened, searched = 0, 1
+        if opened is not None:
+            yield _without_separator(bytes(held[opened:]))
+
+
+def _without_separator(message: bytes) -> bytes:
+    return unquoted(message[message.find(b"\n") + 1 :] if b"\n" in message else b"")
+
+
+def members_of(roots: DataFrame, limits: Limits | None = None) -> DataFrame:
+    """EXPANDED rows of large zip and mailbox roots, to be given to ``process`` as ``seed``."""
+    carried = roots.where(F.array_contains("types", "embedded")).withColumn("path", plain_path(F.col("root_id")))
+    mailboxes = carried.where(F.col("mimetype") == MBOX).select("path", "length")
+    carried = carried.drop("content", "length", "ordinal", "parent_id")
+    members = archive_members(carried.where(F.col("mimetype") == ZIP), limits)
+    members = members.unionByName(mailbox_members(mailboxes), allowMissingColumns=True)
     wanted = StructType.fromDDL(EXPANDED)
     rows = join_to_small(members, carried.where(F.col("mimetype").isin(ZIP, MBOX)), ["path"], "ordinal")
     have = set(rows.columns)

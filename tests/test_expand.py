@@ -13,6 +13,7 @@ from docsift.operators.expand import Limits, Openers, expand_once, files_of
 from docsift.operators.extract import Extractor
 from docsift.operators.lineage import ancestors, total_count, with_parent
 from docsift.plans.process import as_roots
+from docsift.sources import large
 from docsift.sources.files import scan_files, scan_mailboxes
 
 ATTACHED = (
@@ -291,3 +292,29 @@ def test_text_with_a_byte_order_mark(spark):
     typed = frame.withColumn("mimetype", F.lit("text/plain"))
     result = process(typed, ["text"])
     assert {o.root_id: o.text for o in result.outputs.collect()} == {"u": "caf\u00e9 \u20ac", "b": "caf\u00e9", "p": "caf\u00e9"}
+
+
+@pytest.mark.parametrize("step", [1, 7, 64, 10**6])
+def test_mailbox_ranges(tmp_path, monkeypatch, step):
+    """Messages by ranges of any size, read in steps of any size, against the whole mailbox line by line."""
+    monkeypatch.setattr(large, "READ_BYTES", step)
+    contents = [
+        b"preamble\nFrom" + mailbox(b"N: 1\n\n>From x\n>>From y", b"", b"\nFrom\n From z", b"Fromage\n\nFrom", *[b"M: %d" % i for i in range(30)]),
+        mailbox(b"only one"), b"From ", b"From a\nFrom b\nFrom c", b"none at all\n From x",
+    ]
+    for i, content in enumerate(contents):
+        (tmp_path / f"{i}.mbox").write_bytes(content)
+        for size in (1, 3, 50, 10**6):
+            got = [m for at in range(0, len(content), size) for m in large._messages(str(tmp_path / f"{i}.mbox"), at, at + size)]
+            assert got == split_mailbox(content)
+
+
+def test_mailbox_members(spark, tmp_path):
+    content = mailbox(*[b"N: %d\n\nbody" % i for i in range(200)])
+    (tmp_path / "a.mbox").write_bytes(content)
+    (tmp_path / "b.mbox").write_bytes(b"no separator")
+    listed = spark.createDataFrame([(f"{tmp_path}/a.mbox", len(content)), (f"{tmp_path}/b.mbox", 12)], "path string, length long")
+    rows = large.mailbox_members(listed, range_bytes=100).collect()
+    found = sorted((r.ordinal, bytes(r.content)) for r in rows if r.record == "child")
+    assert found == list(enumerate(split_mailbox(content)))
+    assert [(r.path[-6:], r.error_class) for r in rows if r.record == "error"] == [("b.mbox", "bad_container")]
