@@ -2,7 +2,7 @@
 
 The ordinary dictionary is trained on chunks of ordinary labelled texts. The toxic one holds the same bytes and then the
 segments that cover toxic labelled texts and not ordinary ones: word beginnings, chosen greedily, each worth the toxic
-documents it is in, halved for every segment they already hold, less twice the share of ordinary ones. In place of them
+documents it is in, halved for every segment they already hold, less ``PRICE`` times the share of ordinary ones. In place of them
 the ordinary dictionary repeats bytes of its own, so ordinary text costs nearly the same in both, and a window's gain is
 what the toxic segments save.
 
@@ -36,6 +36,7 @@ WINDOW_WORDS = 8
 WINDOW_BYTES = 512
 DICTIONARY_BYTES = 16 << 10
 MAX_SEGMENTS = 1_000
+PRICE = 6
 SEGMENT_LETTERS = range(4, 11)
 _CHUNK = 1024
 _CHUNKS = 4
@@ -73,7 +74,7 @@ def choose_segments(toxic: list[set[int]], ordinary: list[set[int]], names: list
         for s in found:
             held_o[s] += 1
     weight = np.ones(len(toxic))
-    cost = 2 * held_o / max(1, len(ordinary))
+    cost = PRICE * held_o / max(1, len(ordinary))
     open_ = set(range(len(names)))
     chosen: list[str] = []
     while open_:
