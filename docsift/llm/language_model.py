@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections import Counter, deque
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +29,15 @@ from pyspark.sql import functions as F
 
 from docsift.llm.common import id_and_text, saved, utf8
 
-CLASSES, CLASS_WORDS = 32, 64
+CLASSES, CLASS_WORDS = 16, 64
 HEAD = CLASSES * CLASS_WORDS
 TAILS = 32
-HIDDEN = 16
+HIDDEN = 12
 # Counts of so many most frequent tokens are sent to all tasks.
 SHARED_COUNTS = 1 << 18
 ROUNDS = 4
 TRAIN_LANES, SCORE_LANES = 256, 512
-TRAIN_STEPS, SCORE_STEPS = 32, 64
+TRAIN_STEPS, SCORE_STEPS = 48, 64
 RATE = 0.03
 # Tokens that wait for a lane; and the longest piece of a document in training, after which the state starts anew.
 BUFFER = 2_000_000
@@ -100,8 +101,18 @@ class Vocabulary:
 
 
 def read_vocabulary(counts: DataFrame) -> Vocabulary:
-    """From the written counts. The driver holds at most ``SHARED_COUNTS`` tokens and a sum per tail class."""
-    top = counts.orderBy(F.desc("n"), "token").limit(SHARED_COUNTS).select("token", "n").toArrow()
+    """From the written counts. The driver holds at most ``SHARED_COUNTS`` tokens, their numbers by size, and a sum per tail.
+
+    Which tokens are shared is a bound on their counts, found from a histogram of 16 bins to the power of two.
+    """
+    size = F.floor(F.log2(F.col("n").cast("double")) * 16)
+    bins = sorted(((r.bin, r.types) for r in counts.groupBy(size.alias("bin")).agg(F.count("*").alias("types")).collect()), reverse=True)
+    least, held = None, 0
+    for number, types in bins:
+        if held + types > SHARED_COUNTS:
+            break
+        least, held = number, held + types
+    top = counts.where(size >= (F.lit(1 << 30) if least is None else F.lit(least))).select("token", "n").toArrow()
     tokens, n = top.column("token").to_pylist(), np.asarray(top.column("n")).astype(np.int64)
     order = sorted(range(len(tokens)), key=lambda i: (-n[i], tokens[i]))
     tokens, n = [tokens[i] for i in order], n[order]
@@ -115,41 +126,40 @@ def read_vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(tokens, n, total, distinct, np.maximum(mass, 0.1))
 
 
-class Ranks(dict):
-    """A token's place in the vocabulary; of one outside of it, minus its tail class minus one."""
-
-    def __init__(self, tokens: list[bytes]):
-        super().__init__(zip(tokens, range(len(tokens)), strict=True))
-
-    def __missing__(self, token: bytes) -> int:
-        return -1 - tail_of(token)
-
-
 @dataclass
 class Lookup:
     """What a task needs of the vocabulary. Symbols are places in the head, then tail classes."""
 
-    ranks: Ranks
-    symbols: np.ndarray
+    ranks: dict[bytes, int]
+    head: dict[bytes, int]
     logs: np.ndarray
     log_tail_mass: np.ndarray
-    end: int
 
     @classmethod
     def of(cls, vocabulary: Vocabulary) -> Lookup:
-        tails = [HEAD + tail_of(t) for t in vocabulary.tokens[HEAD:]]
-        head = list(range(min(HEAD, len(vocabulary.tokens))))
-        ranks = Ranks(vocabulary.tokens)
-        symbols = np.array(head + tails, dtype=np.int32)
-        end = int(symbols[ranks[END]]) if END in ranks else HEAD + tail_of(END)
-        return cls(ranks, symbols, np.log10(vocabulary.counts + 0.1), np.log10(vocabulary.tail_mass), end)
+        ranks = dict(zip(vocabulary.tokens, range(len(vocabulary.tokens)), strict=True))
+        head = dict(zip(vocabulary.tokens[:HEAD], range(HEAD), strict=False))
+        return cls(ranks, head, np.log10(vocabulary.counts + 0.1), np.log10(vocabulary.tail_mass))
+
+    @property
+    def end(self) -> int:
+        return self.head.get(END, HEAD + tail_of(END))
+
+    def _symbols(self, tokens: list[bytes], places: np.ndarray) -> np.ndarray:
+        """Places in the head where they are, else tail classes by the tokens' last bytes."""
+        lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        last = np.frombuffer(b"".join(tokens), dtype=np.uint8)[np.cumsum(lengths) - 1].astype(np.int32)
+        return np.where((places >= 0) & (places < HEAD), places, HEAD + last % TAILS).astype(np.int32)
+
+    def symbols(self, text: bytes) -> np.ndarray:
+        tokens = tokens_of(text)
+        return self._symbols(tokens, np.fromiter(map(self.head.get, tokens, repeat(-1)), dtype=np.int32, count=len(tokens)))
 
     def read(self, text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Tokens, ranks and symbols of a text."""
+        """Tokens, their ranks, -1 outside of the vocabulary, and symbols of a text."""
         tokens = tokens_of(text)
-        ranks = np.fromiter(map(self.ranks.__getitem__, tokens), dtype=np.int32, count=len(tokens))
-        symbols = np.where(ranks >= 0, self.symbols[np.maximum(ranks, 0)] if len(self.symbols) else 0, HEAD - 1 - ranks).astype(np.int32)
-        return tokens, ranks, symbols
+        ranks = np.fromiter(map(self.ranks.get, tokens, repeat(-1)), dtype=np.int32, count=len(tokens))
+        return tokens, ranks, self._symbols(tokens, ranks)
 
 
 _LOOKUPS: dict[int, Lookup] = {}
@@ -287,7 +297,12 @@ def _run(weights: Weights, window: Window, state: np.ndarray, keep: bool):
         np.reciprocal(g, out=g)
         c = (g[:, HIDDEN:] * state) @ candidate
         c += x[:, 2 * HIDDEN :]
-        np.tanh(c, out=c)
+        # tanh, by the exponential, which is faster.
+        c *= -2
+        np.exp(c, out=c)
+        c += 1
+        np.divide(2, c, out=c)
+        c -= 1
         if kept is not None:
             kept[0][t], kept[1][t], kept[2][t] = state, g, c
         state = state + g[:, :HIDDEN] * (c - state)
@@ -487,7 +502,7 @@ def train_rounds(texts: DataFrame, vocabulary: Vocabulary, shared: Broadcast, ro
 
         def run(batches: Iterator[pa.RecordBatch], given: Weights = given) -> Iterator[pa.RecordBatch]:
             lookup = _lookup(shared)
-            trained, tokens = train(given, (lookup.read(t)[2] for b in batches for t in utf8(b.column(0))), lookup.end)
+            trained, tokens = train(given, (lookup.symbols(t) for b in batches for t in utf8(b.column(0))), lookup.end)
             if tokens:
                 value = (_flat(trained).astype(np.float64) * tokens).tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([value], pa.binary()), pa.array([tokens], pa.int64())], names=["weights", "tokens"])
@@ -503,8 +518,7 @@ _PARTS = "row long, doc_id long, n_tokens long, n_known long, base double, model
 
 def _parts(shared: Broadcast, weights: Weights, denominator: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Arrow job: scores but for the counts of rare tokens, which are listed."""
-    rare_kind = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), rare_kind]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
     names = ["row", "doc_id", "n_tokens", "n_known", "base", "model", "rare"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -524,8 +538,7 @@ def _parts(shared: Broadcast, weights: Weights, denominator: float) -> Callable[
                     in_head = ranks[known & (symbols < HEAD)]
                     # Of head words the network has it all; of others the class, and the share of the count is added.
                     model = logs - (float(lookup.logs[in_head].sum()) if len(in_head) else 0.0) - float(lookup.log_tail_mass[tails].sum())
-                    rare = Counter(tokens[i] for i in np.flatnonzero(~known).tolist())
-                    listed = [{"token": t, "n": n} for t, n in rare.items()]
+                    listed = Counter(map(tokens.__getitem__, np.flatnonzero(~known).tolist()))
                     base = logs - len(tokens) * np.log10(denominator)
                     waiting[number] = (row + number, doc_id, len(tokens), int(known.sum()), base, model, listed)
                     number += 1
@@ -534,7 +547,13 @@ def _parts(shared: Broadcast, weights: Weights, denominator: float) -> Callable[
         def rows(least: int) -> Iterator[pa.RecordBatch]:
             while len(done) >= max(least, 1):
                 part = [done.popleft() for _ in range(min(len(done), 2000))]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part, strict=True), kinds, strict=True)], names=names)
+                *columns, lists = zip(*part, strict=True)
+                ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+                entries = pa.StructArray.from_arrays(
+                    [pa.array([t for x in lists for t in x], pa.binary()), pa.array([n for x in lists for n in x.values()], pa.int64())], ["token", "n"]
+                )
+                arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(pa.array(ends), entries)], names=names)
 
         for number, value in log_likelihoods(weights, read(), lookup.end):
             *head, model, listed = waiting.pop(number)
