@@ -76,6 +76,10 @@ class Renderer:
     header_content_type: Callable[[Column], Column] = lambda h: F.lit(None).cast("string")
     part_text: Callable[[Column], Column] = lambda p: paragraphs(p["text"])
     part_html: Callable[[Column], Column] = lambda p: p["text"]
+    # Parts without text; a NULL part is left out of the page.
+    part_inline: Callable[[Column], Column] = lambda p: F.lit(None).cast("string")
+    part_binary: Callable[[Column], Column] = lambda p: F.lit(None).cast("string")
+    part_message: Callable[[Column], Column] = lambda p: F.lit(None).cast("string")
     header_prefix: str = "<div>"
     header_suffix: str = "</div>"
     separator: str = "<br>\n"
@@ -112,8 +116,15 @@ def render(headers: Column, parts: Column, renderer: Renderer = HTML) -> Column:
         return F.concat(F.lit(renderer.header_prefix), shown, F.lit(renderer.header_suffix + "\n"))
 
     def body(p: Column) -> Column:
-        shown = F.when(p["kind"] == "html", renderer.part_html(p)).when(p["kind"] == "text", renderer.part_text(p))
-        return F.concat(F.lit(renderer.part_prefix), F.coalesce(shown, F.lit("")), F.lit(renderer.part_suffix))
+        shown = (
+            F.when(p["kind"] == "html", F.coalesce(renderer.part_html(p), F.lit("")))
+            .when(p["kind"] == "text", F.coalesce(renderer.part_text(p), F.lit("")))
+            .when(p["kind"] == "inline", renderer.part_inline(p))
+            .when(p["kind"] == "message", renderer.part_message(p))
+            .otherwise(renderer.part_binary(p))
+        )
+        # array_join leaves NULL parts out.
+        return F.concat(F.lit(renderer.part_prefix), shown, F.lit(renderer.part_suffix))
 
     return F.concat(
         F.array_join(F.transform(headers, header_line), ""),

@@ -34,7 +34,7 @@ WITH turns AS (
          TIMESTAMP '2024-01-01 00:00:00' + to_seconds(conv_id * 3600 + turn * 60) AS at_local,
          CASE conv_id % 4 WHEN 0 THEN '+0000' WHEN 1 THEN '-0800' WHEN 2 THEN '+0530' ELSE '-0330' END AS zone,
          CASE conv_id % 4 WHEN 0 THEN 0 WHEN 1 THEN -28800 WHEN 2 THEN 19800 ELSE -12600 END AS zone_seconds,
-         'Turn ' || turn || ': ' || replace(left(text, 40), chr(10), ' ') || '.' AS subject,
+         'Turn ' || turn || ': ' || split_part(text, chr(10), 1) || '.' AS subject,
          (conv_id * 8 + turn) % 10 <> 9 AS has_id
   FROM conversations),
 dated AS (

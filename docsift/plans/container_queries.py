@@ -16,7 +16,7 @@ from docsift.plans import fixtures
 from docsift.plans.catalog import FROM_LINE, TURNS, buffer_md5_sql, query
 from docsift.plans.process import ProcessResult, as_roots, process
 from docsift.session import new_run_dir, spread, staged
-from docsift.sinks.archive import write_archives
+from docsift.sinks.archive import publish, write_archives
 from docsift.sinks.layout import write_layout
 from docsift.sources.files import scan_files, scan_jobs, scan_mailboxes
 from docsift.sources.large import archive_members
@@ -337,3 +337,38 @@ def output_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("process_type", parent_folder(F.col("archive_path")).alias("parent_folder")).agg(
         F.count("*").alias("n"), F.sum(F.octet_length("content")).alias("bytes")
     )
+
+
+@query(
+    f"""
+SELECT 'docs-' || bucket || '/' || job AS uri, count(*) AS n_entries, sum(strlen(text))::BIGINT AS bytes
+FROM (SELECT doc_id // {_PER} AS bucket, text, unnest(['a', 'b']) AS job FROM documents) GROUP BY ALL"""
+)
+def publish_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs from archive to published archive: each root is asked for by two jobs, and each gets its own object."""
+    path = new_run_dir(spark, "export")
+    zips = staged(fixtures.document_zips(spark, sf_dir), "zips")
+    both = zips.withColumn("job", F.explode(F.array(F.lit("a"), F.lit("b"))))
+    both = both.withColumn("job_id", F.concat_ws("/", "root_id", "job")).drop("job")
+    jobs = both.select("job_id", F.concat(F.lit(f"{path}/published/"), F.col("job_id")).alias("output_uri"))
+    outputs = last_write_wins(process(both, types=["embedded"]).outputs)
+    published = publish(write_archives(outputs, path), jobs)
+    objects = published.select(F.col("job_id").alias("uri"), F.col("uri").alias("path"))
+    # The published objects are read back.
+    members = archive_members(objects.select("path")).where("record = 'child'").join(objects, "path")
+    return members.groupBy("uri").agg(F.count("*").alias("n_entries"), F.sum(F.octet_length("content")).cast("bigint").alias("bytes"))
+
+
+@query(
+    TURNS
+    + """
+SELECT key AS message, 'dc:subject' AS key, [subject] AS values FROM attached
+UNION ALL SELECT key, 'Message:From-Email', [role || '@example.invalid'] FROM attached
+UNION ALL SELECT key, 'Message:Raw-Header:X-Thread', [key] FROM attached"""
+)
+def metadata_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata of mails as rows of file, key and values."""
+    mails = fixtures.mails(spark, sf_dir, fixtures.attached_mail())
+    rows = process(mails, types=["metadata"]).metadata
+    wanted = F.col("key").isin("dc:subject", "Message:From-Email", "Message:Raw-Header:X-Thread")
+    return rows.where(wanted).select(F.col("root_id").alias("message"), "key", "values")

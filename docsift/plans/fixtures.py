@@ -53,8 +53,8 @@ def offset() -> Column:
 
 
 def subject() -> Column:
-    head = F.replace(F.left("text", F.lit(40)), F.lit("\n"), F.lit(" "))
-    return F.concat(F.lit("Turn "), F.col("turn"), F.lit(": "), head, F.lit("."))
+    first_line = F.substring_index("text", "\n", 1)
+    return F.concat(F.lit("Turn "), F.col("turn"), F.lit(": "), first_line, F.lit("."))
 
 
 def _common_headers() -> list[Column]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsift.functions.identity import dedupe_checksum
-from docsift.functions.mail_columns import HTML, Renderer
+from docsift.functions.mail_columns import HTML, Renderer, file_metadata, mail_metadata
 from docsift.functions.mime import identify_or_default
 from docsift.operators.expand import Limits, Openers, errors_of, expand_all, files_of, messages_of
 from docsift.operators.extract import Extractor, embedded_outputs, error_rows, good_rows, process_files
@@ -32,12 +32,16 @@ class ProcessResult:
     outputs: DataFrame
     errors: DataFrame
     messages: DataFrame
+    # One row per file and metadata key: ``job_id, root_id, file_id, key, values``.
+    metadata: DataFrame
 
 
-def as_roots(files: DataFrame, types: list[str] | None = None, recurse: bool = True) -> DataFrame:
+def as_roots(
+    files: DataFrame, types: list[str] | None = None, recurse: bool = True, registry: DataFrame | None = None
+) -> DataFrame:
     """FILES rows for roots, from ``root_id, name, content`` and any of ``job_id, mimetype, types, recurse``.
 
-    A missing MIME type is identified from content and name.
+    A missing MIME type is identified from content and name, with ``registry`` (see ``sources.registry``) for the name.
     """
     have = set(files.columns)
     if "mimetype" not in have:
@@ -48,7 +52,7 @@ def as_roots(files: DataFrame, types: list[str] | None = None, recurse: bool = T
         files = files.withColumn("recurse", F.lit(recurse))
     if "job_id" not in have:
         files = files.withColumn("job_id", F.col("root_id"))
-    named = with_type_by_name(files, mime_registry(files.sparkSession))
+    named = with_type_by_name(files, mime_registry(files.sparkSession) if registry is None else registry)
     mimetype = F.coalesce(F.col("mimetype"), identify_or_default(F.col("content"), F.col("type_by_name")))
     named = named.withColumn("mimetype", mimetype)
     return named.select(
@@ -108,6 +112,7 @@ def process(
     openers: Openers | None = None,
     limits: Limits | None = None,
     large: tuple[DataFrame, DataFrame] | None = None,
+    registry: DataFrame | None = None,
 ) -> ProcessResult:
     """Expand files to all depths and run the extractors each one is routed to.
 
@@ -119,7 +124,7 @@ def process(
         raise ValueError(f"unknown process types: {', '.join(sorted(unknown))}")
     if "types" in files.columns or "all" in asked:
         asked = PROCESS_TYPES
-    roots = as_roots(files, types, recurse)
+    roots = as_roots(files, types, recurse, registry)
     wrong = None
     if "types" in files.columns:
         # A request with an unknown type is refused as a whole.
@@ -142,6 +147,10 @@ def process(
         errors = errors.unionByName(wrong)
     if scanned is not None:
         errors = errors.unionByName(too_large_errors(scanned))
+    asks = F.array_contains("types", "metadata")
+    own = ["job_id", "root_id", "file_id"]
+    metadata = at_work.where(asks & (F.col("mimetype") != MAIL)).select(*own, F.explode(file_metadata(F.col("mimetype"))).alias("key", "values"))
+    metadata = metadata.unionByName(parsed.where(asks).select(*own, F.explode(mail_metadata(F.col("headers"))).alias("key", "values")))
     digests = {"content_sha256": F.sha2("content", 256), "content_md5": F.md5("content")}
     return ProcessResult(
         # The digests are computed when they are read, and only then.
@@ -149,6 +158,7 @@ def process(
         outputs=good_rows(rows).unionByName(embedded_outputs(nested)),
         errors=errors,
         messages=parsed,
+        metadata=metadata,
     )
 
 
@@ -183,7 +193,7 @@ def process_path(
     listed = scanned.where(F.col("length") > min(large_bytes, max_bytes)).select("path", "length")
     if listed.isEmpty():
         return process(files, types, recurse, **options)
-    large = staged(large_roots(listed, types, recurse, large_checksums), "large")
+    large = staged(large_roots(listed, types, recurse, large_checksums, options.get("registry")), "large")
     by_members = F.col("mimetype").isin(ZIP, MBOX)
     whole = large.where(~by_members & (F.col("length") <= max_bytes)).select(F.col("root_id").alias("path"))
     files = files.unionByName(read_contents(whole).select(*columns))

@@ -70,3 +70,18 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     append_stream(unique_stream(keyed), f"{run}/out", f"{run}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{run}/out").select("content_md5")
+
+
+@query(_EXPANDED)
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record that the last batch was committed gets lost: the batch runs again, and its rows are there once."""
+    run = new_run_dir(spark, "stream")
+    _land(fixtures.nested_zips(spark, sf_dir), f"{run}/landing", 2)
+    landing = landing_stream(spark, f"{run}/landing", _ROOTS, max_files=1, fmt="parquet")
+    expand_stream(landing, f"{run}/out", f"{run}/checkpoint", types=["embedded"]).awaitTermination()
+    commits = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{run}/checkpoint/commits")
+    store = commits.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    last = max((s.getPath() for s in store.listStatus(commits) if s.getPath().getName().isdigit()), key=lambda p: int(p.getName()))
+    store.delete(last, False)
+    expand_stream(landing, f"{run}/out", f"{run}/checkpoint", types=["embedded"]).awaitTermination()
+    return _result(spark, f"{run}/out")

@@ -83,11 +83,13 @@ def read_contents(files: DataFrame) -> DataFrame:
     return files.select("path").repartition("path").mapInArrow(read, "path string, content binary")
 
 
-def large_roots(files: DataFrame, types: list[str], recurse: bool = True, checksums: bool = True) -> DataFrame:
+def large_roots(
+    files: DataFrame, types: list[str], recurse: bool = True, checksums: bool = True, registry: DataFrame | None = None
+) -> DataFrame:
     """FILES rows without content for scanned files (``path, length``), typed by name and first bytes."""
     looked = streamed_checksums(files, checksums).join(files.select("path", "length"), "path")
     named = looked.withColumn("name", F.element_at(F.split("path", "/"), -1))
-    named = with_type_by_name(named, mime_registry(files.sparkSession))
+    named = with_type_by_name(named, mime_registry(files.sparkSession) if registry is None else registry)
     return named.select(
         F.col("path").alias("job_id"),
         F.col("path").alias("root_id"),

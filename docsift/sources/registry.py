@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import mimetypes
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,16 +24,80 @@ NEXT = {
     "application/gzip": ".gz",
 }
 
+# Further common types. A fuller list can be read from a file, see ``read_registry``.
+REMAINING = {
+    "application/epub+zip": ".epub",
+    "application/java-archive": ".jar",
+    "application/json": ".json",
+    "application/msword": ".doc, .dot",
+    "application/octet-stream": ".bin, .dll, .dmg, .exe, .iso, .o, .so",
+    "application/ogg": ".ogx",
+    "application/pdf": ".pdf",
+    "application/pkcs7-mime": ".p7c",
+    "application/postscript": ".ai, .eps, .ps",
+    "application/rtf": ".rtf",
+    "application/vnd.ms-excel": ".xls, .xlb",
+    "application/vnd.ms-outlook": ".msg",
+    "application/vnd.ms-powerpoint": ".ppt, .pot, .pps",
+    "application/vnd.oasis.opendocument.presentation": ".odp",
+    "application/vnd.oasis.opendocument.spreadsheet": ".ods",
+    "application/vnd.oasis.opendocument.text": ".odt",
+    "application/vnd.openxmlformats-officedocument.presentationml.presentation": ".pptx",
+    "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet": ".xlsx",
+    "application/vnd.openxmlformats-officedocument.wordprocessingml.document": ".docx",
+    "application/vnd.rar": ".rar",
+    "application/wasm": ".wasm",
+    "application/x-7z-compressed": ".7z",
+    "application/x-cpio": ".cpio",
+    "application/x-latex": ".latex",
+    "application/x-sh": ".sh",
+    "application/x-tex": ".tex",
+    "application/x-xz": ".xz",
+    "application/xml": ".xml, .xsl, .xpdl",
+    "application/yaml": ".yaml, .yml",
+    "audio/aac": ".aac",
+    "audio/basic": ".au, .snd",
+    "audio/flac": ".flac",
+    "audio/midi": ".mid, .midi",
+    "audio/mp4": ".m4a",
+    "audio/mpeg": ".mp2, .mp3",
+    "audio/ogg": ".ogg, .oga",
+    "audio/x-wav": ".wav",
+    "font/otf": ".otf",
+    "font/ttf": ".ttf",
+    "font/woff": ".woff",
+    "font/woff2": ".woff2",
+    "image/avif": ".avif",
+    "image/gif": ".gif",
+    "image/heic": ".heic",
+    "image/svg+xml": ".svg",
+    "image/vnd.microsoft.icon": ".ico",
+    "image/webp": ".webp",
+    "text/calendar": ".ics",
+    "text/css": ".css",
+    "text/csv": ".csv",
+    "text/html": ".htm, .html",
+    "text/javascript": ".js, .mjs",
+    "text/markdown": ".md, .markdown",
+    "text/plain": ".txt, .log, .conf, .ini",
+    "text/tab-separated-values": ".tsv",
+    "text/vcard": ".vcf",
+    "text/x-c": ".c, .h",
+    "text/x-python": ".py",
+    "video/mp4": ".mp4",
+    "video/mpeg": ".mpeg, .mpg",
+    "video/quicktime": ".mov, .qt",
+    "video/webm": ".webm",
+    "video/x-msvideo": ".avi",
+}
+
 _STATUS_RANK = {"implemented": 0, "next": 1, "remaining": 2}
 
 
 def mime_registry(spark: SparkSession) -> DataFrame:
-    """``mimetype, extension, status``, one row per extension: the fixed rows, and the platform's table for the rest."""
-    rows = [(m, e.strip(), "implemented") for m, exts in IMPLEMENTED.items() for e in exts.split(",")]
-    rows += [(m, e.strip(), "next") for m, exts in NEXT.items() for e in exts.split(",")]
-    known = {(mimetype, ext) for mimetype, ext, _ in rows}
-    platform = mimetypes.MimeTypes().types_map[True]
-    rows += [(m, e, "remaining") for e, m in sorted(platform.items()) if (m, e) not in known]
+    """``mimetype, extension, status``, one row per extension of the fixed tables."""
+    tables = {"implemented": IMPLEMENTED, "next": NEXT, "remaining": REMAINING}
+    rows = [(m, e.strip(), status) for status, table in tables.items() for m, exts in table.items() for e in exts.split(",")]
     # An Arrow table becomes a local relation, whose size Spark knows when it chooses a join.
     return spark.createDataFrame(pa.table(dict(zip(("mimetype", "extension", "status"), zip(*rows)))))
 

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from docsift.plans.process import ProcessResult, process
 from docsift.session import CONTENT_TABLE, temporary_runs
 
-TABLES = ("files", "outputs", "errors", "messages")
+TABLES = ("files", "outputs", "errors", "messages", "metadata")
 
 # The columns of Spark's binaryFile source.
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"

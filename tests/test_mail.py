@@ -144,3 +144,22 @@ def test_custom_renderer(spark):
     lines, body = got.split("--\n")
     assert {"Subject=Kräne am Kai 7;", "X-Berth=12b;", f"Message-ID={NOTE_ID};"} <= set(lines.split("\n"))
     assert body == "[ZWEI KRÄNE & EIN BOOT\nFEHLEN = 3 < 4\n]"
+
+
+def test_parts_without_text_are_left_to_the_renderer(spark):
+    raw = (
+        b"From: a@b\nContent-Type: multipart/mixed; boundary=x\n\n--x\nContent-Type: text/plain\n\nhi\n"
+        b"--x\nContent-Type: image/png\nContent-Disposition: inline\n\nPNG\n--x--\n"
+    )
+    parsed = parse(spark, raw)
+    assert parsed.select(mc.render(F.col("headers"), F.col("parts"))).first()[0].endswith("<br>\n<div><p>hi</p></div>")
+    shown = mc.Renderer(part_inline=lambda p: F.concat(F.lit("["), p["subtype"], F.lit("]")))
+    assert parsed.select(mc.render(F.col("headers"), F.col("parts"), shown)).first()[0].endswith("<div><p>hi</p></div><div>[png]</div>")
+
+
+def test_deep_multiparts_keep_the_rest_of_the_mail():
+    body = b"deepest"
+    for i in range(150):
+        body = b"Content-Type: multipart/mixed; boundary=b%d\n\n--b%d\nContent-Type: text/plain\n\nlevel\n--b%d\n" % (i, i, i) + body + b"\n--b%d--" % i
+    headers, parts, _ = parse_mail(b"Subject: deep\n" + body)
+    assert headers[0]["text"] == "deep" and sum(p["text"] == "level" for p in parts) >= 100
