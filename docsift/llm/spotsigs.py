@@ -32,20 +32,34 @@ SIMILARITY = 0.8
 _MARK = "\x01"
 
 
-def signatures(text: Column, chain: int = CHAIN) -> Column:
-    """The sorted distinct 32-bit hashes of a text's signatures.
+def with_signatures(rows: DataFrame, chain: int = CHAIN, **texts: str) -> DataFrame:
+    """Add, under each name, the sorted distinct 32-bit hashes of the signatures of the text column given for it.
 
-    A text without a whole chain after an anchor has one signature of all its words; one without words has none.
+    A text without a whole chain after an anchor has one signature of all its words; one without words has none. Words
+    and chains are columns of steps of their own, which Spark keeps apart as each is used more than once: they are
+    computed once per text.
     """
-    words = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]++", " ")))
-    # An anchor and the blank after it become a mark, so a content word after anchors has marks before it.
-    marked = F.regexp_replace(words, r"(?<=[ " + _MARK + r"])(?:" + "|".join(sorted(ANCHORS, key=lambda w: (-len(w), w))) + r")(?: |$)", _MARK)
+    words, chains = {n: f"_words_{n}" for n in texts}, {n: f"_chains_{n}" for n in texts}
+    anchor = r"(?<=[ " + _MARK + r"])(?:" + "|".join(sorted(ANCHORS, key=lambda w: (-len(w), w))) + r")(?: |$)"
     following = "".join(rf" {_MARK}*+[^ {_MARK}]++" for _ in range(chain - 1))
-    chains = F.regexp_extract_all(marked, F.lit(rf"{_MARK}(?=([^ {_MARK}]++{following}))"), F.lit(1))
-    listed = F.split(F.translate(F.array_join(chains, "\n"), _MARK, ""), "\n")
-    whole = F.when(F.length(words) > 1, F.array(words)).otherwise(F.array().cast("array<string>"))
-    spots = F.when(F.size(chains) > 0, listed).otherwise(whole)
-    return F.array_sort(F.array_distinct(F.transform(spots, lambda s: F.shiftright(F.xxhash64(s), 32).cast("int"))))
+
+    def in_words(text: str) -> Column:
+        return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), r"[^\p{L}\p{N}]++", " ")))
+
+    def in_chains(name: str) -> Column:
+        # An anchor and the blank after it become a mark, so a content word after anchors has marks before it.
+        marked = F.regexp_replace(words[name], anchor, _MARK)
+        return F.regexp_extract_all(marked, F.lit(rf"{_MARK}(?=([^ {_MARK}]++{following}))"), F.lit(1))
+
+    def hashed(name: str) -> Column:
+        listed = F.split(F.translate(F.array_join(chains[name], "\n"), _MARK, ""), "\n")
+        whole = F.when(F.length(words[name]) > 1, F.array(words[name])).otherwise(F.array().cast("array<string>"))
+        spots = F.when(F.size(chains[name]) > 0, listed).otherwise(whole)
+        return F.array_sort(F.array_distinct(F.transform(spots, lambda s: F.shiftright(F.xxhash64(s), 32).cast("int"))))
+
+    rows = rows.withColumns({words[n]: in_words(t) for n, t in texts.items()})
+    rows = rows.withColumns({chains[n]: in_chains(n) for n in texts})
+    return rows.withColumns({n: hashed(n) for n in texts}).drop(*words.values(), *chains.values())
 
 
 def as_text(prints: Column) -> Column:
@@ -76,7 +90,9 @@ def fingerprints_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: s
     """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"))
-    key = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k"), F.xxhash64("text").alias("h")]
+    # The least number stands for a null id.
+    none = F.lit(-(1 << 63))
+    key = [F.coalesce("doc_id", none).alias("k"), F.xxhash64("text").alias("h")]
     sizes = saved(rows.select(*key, F.char_length("text").alias("n")).groupBy("k", "h").agg(F.max("n").alias("n"), F.count("*").alias("rows")), "spots-sizes")
     if sizes.where("rows > 1").limit(1).count():
         rows = rows.dropDuplicates(["doc_id", "text"])
@@ -86,19 +102,14 @@ def fingerprints_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: s
         ((F.col("place") + 1) % F.lit(max(total, 1))).alias("place"), F.col("k").alias("pk"), F.col("h").alias("ph"), F.col("n").alias("pn")
     )
     chainmap = ranked.select("place", "k", "h").join(before, "place").select("k", "h", "pk", "ph", "pn")
-    keyed = rows.select(*key, "doc_id", "text")
-    sent = keyed.join(chainmap, ["k", "h"]).select(
-        F.col("pk").alias("k"),
-        F.col("ph").alias("h"),
-        F.expr("substring(text, 1, floor(pn / 2))").alias("head"),
-        signatures(F.col("text"), chain).alias("next_print"),
+    # Both joins below take the same columns of the texts, so that Spark shuffles them once for both.
+    keyed = rows.select(*key, "text")
+    sent = with_signatures(keyed.join(chainmap, ["k", "h"]), chain, next_print="text").select(
+        F.col("pk").alias("k"), F.col("ph").alias("h"), F.expr("substring(text, 1, floor(pn / 2))").alias("head"), "next_print"
     )
-    n = F.char_length("text")
     edited = F.concat(F.expr("substring(text, 1, char_length(text) - floor(char_length(text) / 2))"), F.col("head"))
-    both = keyed.join(sent, ["k", "h"]).select(
-        "doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), signatures(F.col("text"), chain).alias("own"), "next_print"
-    )
-    printed = both.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", signatures(F.col("edited"), chain).alias("other"), "next_print")
+    both = keyed.join(sent, ["k", "h"]).select(F.nullif(F.col("k"), none).alias("doc_id"), "text", F.char_length("text").cast("long").alias("n_chars"), edited.alias("edited"), "next_print")
+    printed = with_signatures(both, chain, own="text", other="edited").withColumn("edited_sha256", F.sha2("edited", 256))
     return printed.select(
         "doc_id",
         "n_chars",
@@ -123,8 +134,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the documents with one fingerprint, ``class_id`` the least id that links reach. Texts without words are one class. A
     null id is in a class, but never its name unless it has no other. Repeated rows are members each.
     """
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), signatures(docs[text_col].cast("string"), chain).alias("sigs"))
-    rows = saved(rows, "spots-rows")
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    rows = saved(with_signatures(rows, chain, sigs="text").select("doc_id", "sigs"), "spots-rows")
     classes = saved(rows.groupBy("sigs").agg(F.min("doc_id").alias("class")), "spots-classes")
     sets = classes.where(F.col("class").isNotNull() & (F.size("sigs") > 0)).withColumn("size", F.size("sigs"))
     spots = sets.select("class", "size", F.explode("sigs").alias("sig"))
