@@ -127,7 +127,7 @@ def zip_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nested(spark: SparkSession, sf_dir: str, types: list[str] | None = None) -> ProcessResult:
-    return process(spread(staged(fixtures.nested_zips(spark, sf_dir), "roots"), "root_id"), types=types)
+    return process(spread(fixtures.nested_zips(spark, sf_dir), "root_id"), types=types)
 
 
 # The expected tree of nested_zips: one mailbox per root, its messages, and one attached file per message.

@@ -124,7 +124,8 @@ def process(
         raise ValueError(f"unknown process types: {', '.join(sorted(unknown))}")
     if "types" in files.columns or "all" in asked:
         asked = PROCESS_TYPES
-    roots = as_roots(files, types, recurse, registry)
+    # Written once: inputs are read and hashed once, and every result table reads only its own columns after that.
+    roots = staged(as_roots(files, types, recurse, registry), "roots")
     wrong = None
     if "types" in files.columns:
         # A request with an unknown type is refused as a whole.

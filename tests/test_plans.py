@@ -11,7 +11,7 @@ from docsift.operators import dedupe
 from docsift.operators.expand import errors_of, expand_all, expand_once, files_of, messages_of
 from docsift.operators.extract import error_rows, process_files
 from docsift.operators.skew import join_one_to_many
-from docsift.plans.process import as_roots
+from docsift.plans.process import as_roots, process_path
 from docsift.session import staged
 from docsift.sources.files import scan_files
 
@@ -81,3 +81,14 @@ def test_nothing_is_crossed_or_cut_in_joins_of_hot_keys(spark):
     one = spark.range(3).select(F.col("id").alias("k"), F.lit(1).alias("v"))
     text = plan(join_one_to_many(many, one, ["k"], "row", rows_per_slice=10))
     assert "TakeOrderedAndProject" not in text and "CartesianProduct" not in text and "NestedLoop" not in text and "Limit" not in text
+
+
+def test_inputs_are_read_once(spark, tmp_path):
+    """After the run no result table goes back to the files."""
+    (tmp_path / "a.zip").write_bytes(make_zip([("x.txt", b"x")]))
+    (tmp_path / "b.txt").write_bytes(b"text")
+    result = process_path(spark, str(tmp_path))
+    for table in ("files", "outputs", "errors", "messages", "metadata"):
+        text = plan(getattr(result, table))
+        assert "binaryFile" not in text and "MapInArrow" not in text
+    assert "content" not in read_columns(plan(result.errors)) and "content" not in read_columns(plan(result.metadata))
