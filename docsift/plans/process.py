@@ -13,7 +13,7 @@ from docsift.functions.mail_columns import HTML, Renderer, file_metadata, mail_m
 from docsift.functions.mime import identify_or_default
 from docsift.operators.expand import Limits, Openers, errors_of, expand_all, files_of, messages_of
 from docsift.operators.extract import Extractor, embedded_outputs, error_rows, good_rows, process_files
-from docsift.operators.routing import parse_types, route, unknown_types
+from docsift.operators.routing import parse_types, route, routing_rules, unknown_types
 from docsift.schemas import MAIL, MBOX, PROCESS_TYPES, ZIP
 from docsift.session import staged
 from docsift.sources.files import MAX_CONTENT_BYTES, plain_path, scan_files, scan_jobs
@@ -88,10 +88,12 @@ def type_errors(files: DataFrame) -> DataFrame:
     )
 
 
-def too_large_errors(large_roots: DataFrame) -> DataFrame:
-    """An error row for each extractor that would need the whole content of a large file."""
-    routed = route(large_roots)
-    unread = F.col("process_type").isin("text", "pdf") | (F.col("mimetype") == MAIL)
+def too_large_errors(large_roots: DataFrame, extractors: Iterable[Extractor] = ()) -> DataFrame:
+    """An error row for each extractor, the user's own too, that would need the whole content of a large file."""
+    extractors = list(extractors)
+    routed = route(large_roots, routing_rules(large_roots.sparkSession, [r for e in extractors for r in e.rules()]))
+    own = F.col("extractor").isin(*[e.name for e in extractors])
+    unread = F.col("process_type").isin("text", "pdf") | (F.col("mimetype") == MAIL) | own
     return routed.where(unread).select(
         "job_id",
         "root_id",
@@ -119,6 +121,7 @@ def process(
     ``files`` holds one row per root: ``root_id, name, content``, and optionally ``job_id, mimetype, types, recurse``.
     ``large`` adds roots that were scanned by path and their members (see ``sources.large``).
     """
+    extractors = list(extractors)
     asked = [t.lower() for t in types or ["all"]]
     if unknown := set(asked) - {*PROCESS_TYPES, "all"}:
         raise ValueError(f"unknown process types: {', '.join(sorted(unknown))}")
@@ -140,6 +143,8 @@ def process(
     if scanned is not None:
         # Without their content in a row, large roots get the metadata that needs no reader; the rest is reported.
         readable = F.array_intersect("types", F.array(F.lit("metadata")))
+        taken = [m for e in extractors if e.process_type == "metadata" for m in e.mimetypes]
+        readable = F.when(F.col("mimetype").isin(*taken), F.array().cast("array<string>")).otherwise(readable)
         at_work = at_work.unionByName(scanned.withColumn("types", readable))
         roots = roots.unionByName(scanned)
     rows = process_files(at_work, parsed, renderer, extractors, asked)
@@ -147,7 +152,7 @@ def process(
     if wrong is not None:
         errors = errors.unionByName(wrong)
     if scanned is not None:
-        errors = errors.unionByName(too_large_errors(scanned))
+        errors = errors.unionByName(too_large_errors(scanned, extractors))
     asks = F.array_contains("types", "metadata")
     own = ["job_id", "root_id", "file_id"]
     metadata = at_work.where(asks & (F.col("mimetype") != MAIL)).select(*own, F.explode(file_metadata(F.col("mimetype"))).alias("key", "values"))

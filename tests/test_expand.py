@@ -318,3 +318,20 @@ def test_mailbox_members(spark, tmp_path):
     found = sorted((r.ordinal, bytes(r.content)) for r in rows if r.record == "child")
     assert found == list(enumerate(split_mailbox(content)))
     assert [(r.path[-6:], r.error_class) for r in rows if r.record == "error"] == [("b.mbox", "bad_container")]
+
+
+@pytest.mark.parametrize("kind", ["text", "metadata"])
+def test_own_extractors_of_large_files_give_an_error(spark, tmp_path, kind):
+    """What is read for a small archive is reported, not left out, for one that is only read by its members."""
+    (tmp_path / "a.zip").write_bytes(make_zip([("x.txt", b"x" * 5000)]))
+
+    def sizes(frames):
+        for frame in frames:
+            yield pd.DataFrame({"file_id": frame.file_id, "text": [str(len(c)) for c in frame.content], "error": None})
+
+    mine = Extractor("sizes", kind, ("application/zip",), sizes)
+    small = process_path(spark, str(tmp_path), extractors=[mine])
+    assert [o.text for o in small.outputs.where(f"depth = 0 and process_type = '{kind}'").collect()] == [str((tmp_path / "a.zip").stat().st_size)]
+    large = process_path(spark, str(tmp_path), extractors=[mine], large_bytes=10)
+    assert large.outputs.where(f"depth = 0 and process_type = '{kind}'").count() == 0
+    assert [(e.process_type, e.error_class) for e in large.errors.where(f"process_type = '{kind}'").collect()] == [(kind, "too_large")]
