@@ -18,6 +18,7 @@ from docsift.functions.mail_columns import (
     file_metadata,
     mail_metadata,
     metadata_json,
+    metadata_key,
     render,
 )
 from docsift.functions.paths import archive_path
@@ -175,6 +176,14 @@ def embedded_outputs(children: DataFrame) -> DataFrame:
     )
 
 
+def missing_key_errors(outputs: DataFrame, key: str) -> DataFrame:
+    """ERRORS rows for metadata outputs that have no string under a key."""
+    rows = outputs.where((F.col("process_type") == "metadata") & metadata_key(F.col("text"), key).isNull())
+    return rows.select(
+        "job_id", "root_id", "file_id", F.lit("extract").alias("stage"), "process_type", F.lit("missing_key").alias("error_class"), F.lit(key).alias("message")
+    )
+
+
 def good_rows(rows: DataFrame) -> DataFrame:
     return rows.where("error_class is null").select(*StructType.fromDDL(OUTPUTS).names)
 

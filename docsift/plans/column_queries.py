@@ -20,6 +20,7 @@ from docsift.functions.mime import format_content_type, identify, identify_or_de
 from docsift.functions.paths import archive_path, extend_chain, safe_name
 from docsift.functions.text import clean_text, escape_html, html_to_text, paragraphs
 from docsift.functions.uris import object_location
+from docsift.operators.extract import missing_key_errors
 from docsift.operators.routing import route, unknown_types
 from docsift.plans import fixtures
 from docsift.plans.catalog import query
@@ -409,3 +410,15 @@ def folded_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     mails = docs.select("doc_id", F.encode(head, "UTF-8").alias("content"))
     return mails.select("doc_id", identify(F.col("content")).alias("mimetype"), message_id(F.col("content")).alias("message_id"))
+
+
+@query("SELECT event_id, 'missing_key' AS error_class, 'Content-Type' AS message FROM events WHERE event_id % 3 = 2")
+def metadata_missing_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error rows for metadata without a content type."""
+    added = F.concat(F.regexp_replace("props", r"\}\s*$", ""), F.lit(', "Content-Type": "text/plain"}'))
+    text = F.when(F.col("event_id") % 3 != 2, added).otherwise(F.col("props"))
+    none = F.lit(None).cast("string")
+    outputs = fixtures.table(spark, sf_dir, "events").select(
+        none.alias("job_id"), none.alias("root_id"), F.col("event_id").alias("file_id"), F.lit("metadata").alias("process_type"), text.alias("text")
+    )
+    return missing_key_errors(outputs, "Content-Type").select(F.col("file_id").alias("event_id"), "error_class", "message")
