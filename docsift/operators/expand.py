@@ -122,7 +122,8 @@ def open_mail(content: bytes, types: list[str], limits: Limits) -> Iterator[dict
             if part["ctype"] is None:
                 yield _error("no_content_type", "attachment without a content type", **where)
             else:
-                yield {"record": "child", "ctype": part["ctype"], "subtype": part["subtype"], "content": data, **where}
+                decoded = None if part["charset"] in (None, "utf-8", "us-ascii") else part["text"]
+                yield {"record": "child", "ctype": part["ctype"], "subtype": part["subtype"], "decoded": decoded, "content": data, **where}
 
 
 def open_containers(files: DataFrame, openers: Openers | None = None, limits: Limits | None = None) -> DataFrame:
@@ -217,6 +218,7 @@ def level_rows(expanded: DataFrame, openers: Openers | None = None) -> DataFrame
         F.octet_length("content").cast("bigint").alias("length"),
         "types",
         "recurse",
+        F.when(found, F.col("decoded")).alias("decoded"),
         F.when(found, F.col("content")).alias("content"),
         "headers",
         "parts",

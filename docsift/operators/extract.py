@@ -52,9 +52,12 @@ class Extractor:
         return [(self.process_type, m, self.name) for m in self.mimetypes]
 
 
-def file_text(content: Column, mimetype: Column) -> Column:
-    """Text of a file that is not a mail; NULL for a format that has no text reader here."""
-    text = text_of(content)
+def file_text(content: Column, mimetype: Column, decoded: Column | None = None) -> Column:
+    """Text of a file that is not a mail; NULL for a format that has no text reader here.
+
+    ``decoded`` is its text where that is known already, by a charset declared outside of it.
+    """
+    text = text_of(content) if decoded is None else F.coalesce(decoded, text_of(content))
     return F.when(mimetype == "text/html", html_to_text(text)).when(mimetype.startswith("text/"), text)
 
 
@@ -91,7 +94,7 @@ def process_files(
         )
 
     from_content = {
-        "default_text": lambda: file_text(F.col("content"), mimetype),
+        "default_text": lambda: file_text(F.col("content"), mimetype, F.col("decoded")),
         "default_metadata": lambda: metadata_json(file_metadata(mimetype)),
     }
     from_mail = {

@@ -110,6 +110,7 @@ def _walk(head, body: bytes, parent: int | None, parts: list[dict], contents: di
         "length": len(body),
         "text": None,
         "media": media,
+        "charset": None,
         "detached": disposition == "attachment",
         "children": [],
     }
@@ -129,7 +130,8 @@ def _walk(head, body: bytes, parent: int | None, parts: list[dict], contents: di
         part["kind"] = "message"
     elif ctype in ("", "text"):
         part["kind"] = "html" if media == "text/html" else "text"
-        part["text"] = _charset_decoded(data, head.get_content_charset())
+        part["charset"] = head.get_content_charset()
+        part["text"] = _charset_decoded(data, part["charset"])
     else:
         part["kind"] = "inline" if disposition == "inline" else "binary"
     return part

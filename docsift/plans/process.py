@@ -69,6 +69,7 @@ def as_roots(
         F.octet_length("content").cast("bigint").alias("length"),
         parse_types(F.col("types")).alias("types"),
         "recurse",
+        F.lit(None).cast("string").alias("decoded"),
         "content",
     )
 

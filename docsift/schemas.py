@@ -36,18 +36,19 @@ _MESSAGE = f"headers array<{HEADER.simpleString()}>, parts array<{PART.simpleStr
 
 JOBS = "job_id string, input_uri string, output_uri string, mimetype string, types array<string>, recurse boolean"
 
-# One row per file to process. Roots have no parent and an empty chain.
+# One row per file to process. Roots have no parent and an empty chain. ``decoded`` is the text of a mail's attachment whose
+# declared charset is not UTF-8.
 FILES = (
     "job_id string, root_id string, file_id string, parent_id string, depth int, ordinal bigint, "
     "id_chain array<string>, name string, mimetype string, checksum string, length bigint, "
-    "types array<string>, recurse boolean, content binary"
+    "types array<string>, recurse boolean, decoded string, content binary"
 )
 
 # What the container job hands to the native columns: children, parsed messages and errors in one pass.
 EXPANDED = (
     "job_id string, root_id string, file_id string, depth int, id_chain array<string>, name string, "
     "mimetype string, checksum string, types array<string>, recurse boolean, "
-    "record string, ordinal bigint, child_name string, ctype string, subtype string, content binary, "
+    "record string, ordinal bigint, child_name string, ctype string, subtype string, decoded string, content binary, "
     f"{_MESSAGE}, error_class string, message string"
 )
 

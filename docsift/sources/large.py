@@ -104,6 +104,7 @@ def large_roots(
         "length",
         parse_types(F.array(*[F.lit(t) for t in types])).alias("types"),
         F.lit(recurse).alias("recurse"),
+        F.lit(None).cast("string").alias("decoded"),
         F.lit(None).cast("binary").alias("content"),
     )
 

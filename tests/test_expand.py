@@ -335,3 +335,14 @@ def test_own_extractors_of_large_files_give_an_error(spark, tmp_path, kind):
     large = process_path(spark, str(tmp_path), extractors=[mine], large_bytes=10)
     assert large.outputs.where(f"depth = 0 and process_type = '{kind}'").count() == 0
     assert [(e.process_type, e.error_class) for e in large.errors.where(f"process_type = '{kind}'").collect()] == [(kind, "too_large")]
+
+
+def test_text_of_attachments_with_a_charset(spark):
+    raw = b"From: a@b\nContent-Type: multipart/mixed; boundary=x\n"
+    for charset, text in (("iso-8859-1", "caf\u00e9"), ("windows-1252", "\u20ac 5"), ("utf-8", "\u0142"), ("koi8-r", "\u043c\u0438\u0440")):
+        head = f"\n--x\nContent-Type: text/plain; charset={charset}\nContent-Disposition: attachment; filename={charset}\n\n"
+        raw += head.encode() + text.encode(charset)
+    result = process(roots(spark, [("r", "m.eml", raw + b"\n--x--\n")]), ["text", "embedded"])
+    texts = {o.text for o in result.outputs.where("process_type = 'text' and depth = 1").collect()}
+    assert texts == {"caf\u00e9", "\u20ac 5", "\u0142", "\u043c\u0438\u0440"}
+    assert {bytes(o.content) for o in result.outputs.where("process_type = 'embedded'").collect()} >= {b"caf\xe9", b"\x80 5"}
