@@ -189,7 +189,7 @@ def build_index(texts: DataFrame, capacity: int = BUCKET_BYTES) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, capacity: int, key_of: Callable[[bytes], int], remembered: int):
-    """Written documents with row ids, and per row its group's size, largest id and the row that stays."""
+    """Written documents with row ids, their ids, heads of the texts that tasks sent, and per head its group's size and the row that stays."""
     row, twin, key, digest = fresh(docs, "_row", "_twin", "_key", "_sha256")
     tagged = saved(_tagged(docs, text_col, [row, twin, key, digest], key_of, remembered), "dedup-rows")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -198,15 +198,13 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, capacity: int, key_of:
     )
     index = build_index(heads, capacity).select(F.col("row").alias("_twin"), F.col("head").alias("_head"))
     members = tagged.select(
-        F.col(row).alias("_row"),
-        F.col(twin).alias("_twin"),
-        F.col(id_col).cast("long").alias("_id"),
-        F.col(digest).alias("_sha256"),
-    ).join(index, "_twin")
-    groups = members.groupBy("_head").agg(
-        F.count("*").alias("_size"), F.max(F.struct(F.col("_id").alias("id"), F.col("_row").alias("row"))).alias("_stays")
+        F.col(row).alias("_row"), F.col(twin).alias("_twin"), F.col(id_col).cast("long").alias("_id"), F.col(digest).alias("_sha256")
     )
-    return tagged, row, members, groups
+    # A group is summed up per task that read some of it before its parts meet.
+    stays = F.max(F.struct(F.col("_id").alias("id"), F.col("_row").alias("row"))).alias("_stays")
+    parts = members.groupBy("_twin").agg(F.count("*").alias("_size"), stays)
+    groups = parts.join(index, "_twin").groupBy("_head").agg(F.sum("_size").alias("_size"), F.max("_stays").alias("_stays"))
+    return tagged, row, members, index, groups
 
 
 def exact_duplicates(
@@ -224,8 +222,9 @@ def exact_duplicates(
     separate rows of the group, of which one stays. An empty table gives an empty result. Other columns are ignored.
     ``key_of`` maps a text's SHA-256 to its 64-bit key; it may collide at will.
     """
-    _, _, members, groups = _grouped(docs.select(id_col, text_col), id_col, text_col, capacity, key_of, remembered)
-    return members.join(groups, "_head").select(
+    _, _, members, index, groups = _grouped(docs.select(id_col, text_col), id_col, text_col, capacity, key_of, remembered)
+    # Rows learn of their group through the first equal row of their own task, so that no group meets in one task.
+    return members.join(index.join(groups, "_head"), "_twin").select(
         F.col("_id").alias("doc_id"),
         F.col("_stays.id").alias("keep_id"),
         F.col("_size").alias("group_size"),
@@ -236,6 +235,6 @@ def exact_duplicates(
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = BUCKET_BYTES) -> DataFrame:
     """The documents with all their columns, one row for each group of equal texts, chosen as by ``exact_duplicates``."""
-    tagged, row, _, groups = _grouped(docs, id_col, text_col, capacity, sha_key, REMEMBERED_BYTES)
+    tagged, row, _, _, groups = _grouped(docs, id_col, text_col, capacity, sha_key, REMEMBERED_BYTES)
     stays = groups.select(F.col("_stays.row").alias(row))
     return tagged.join(stays, row, "left_semi").select(*docs.columns)
