@@ -16,9 +16,10 @@ model; those of all rarer ones are met in a join.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter, deque
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import repeat
 
 import numpy as np
@@ -94,6 +95,8 @@ class Vocabulary:
     distinct: int
     # Per tail class the sum of n + 0.1 over its tokens outside the head, and 0.1 for an unknown one.
     tail_mass: np.ndarray
+    # Tells vocabularies apart in workers that live through several runs.
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     @property
     def denominator(self) -> float:
@@ -162,16 +165,16 @@ class Lookup:
         return tokens, ranks, self._symbols(tokens, ranks)
 
 
-_LOOKUPS: dict[int, Lookup] = {}
+_LOOKUPS: dict[str, Lookup] = {}
 
 
 def _lookup(shared: Broadcast) -> Lookup:
     """The lookup of a broadcast vocabulary, made once per worker."""
-    key = id(shared.value)
-    if key not in _LOOKUPS:
+    vocabulary = shared.value
+    if vocabulary.key not in _LOOKUPS:
         _LOOKUPS.clear()
-        _LOOKUPS[key] = Lookup.of(shared.value)
-    return _LOOKUPS[key]
+        _LOOKUPS[vocabulary.key] = Lookup.of(vocabulary)
+    return _LOOKUPS[vocabulary.key]
 
 
 @dataclass
