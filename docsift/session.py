@@ -71,7 +71,8 @@ def temporary_runs(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        _MADE.remove(made)
+        # By identity: two lists that hold the same are still two.
+        _MADE[:] = [other for other in _MADE if other is not made]
         jvm = spark.sparkContext._jvm
         for path in made:
             folder = jvm.org.apache.hadoop.fs.Path(path)

@@ -1,6 +1,7 @@
 """Duplicates, skewed joins, comparisons, sinks and streams."""
 
 import io
+import os
 import zipfile
 from collections import defaultdict
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from docsift import process
 from docsift.operators import compare, dedupe
 from docsift.operators.skew import hot_keys, join_one_to_many, join_to_small, without
+from docsift.session import new_run_dir, temporary_runs
 from docsift.sinks.archive import publish, with_volume, write_archives
 from docsift.sinks.layout import write_layout
 from docsift.sources import files
@@ -260,3 +262,17 @@ def test_jobs_read_only_the_files_they_name(spark, tmp_path):
     found, errors = files.scan_jobs(jobs, listing)
     assert sorted((r.job_id, bytes(r.content)) for r in found.collect()) == sorted((f"j{i}", n.encode()) for n, i in names[:-1])
     assert [(e.job_id, e.error_class) for e in errors.collect()] == [("j60", "not_found")]
+
+
+def test_temporary_runs_leave_nothing(spark):
+    with temporary_runs(spark):
+        outer = new_run_dir(spark, "outer")
+        spark.range(3).write.parquet(outer)
+        with temporary_runs(spark):
+            inner = new_run_dir(spark, "inner")
+            spark.range(3).write.parquet(inner)
+        assert os.path.isdir(outer) and not os.path.exists(inner)
+    assert not os.path.exists(outer)
+    kept = new_run_dir(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    assert os.path.isdir(kept)
