@@ -351,7 +351,8 @@ def publish_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = zips.withColumn("job", F.explode(F.array(F.lit("a"), F.lit("b"))))
     both = both.withColumn("job_id", F.concat_ws("/", "root_id", "job")).drop("job")
     jobs = both.select("job_id", F.concat(F.lit(f"{path}/published/"), F.col("job_id")).alias("output_uri"))
-    outputs = last_write_wins(process(both, types=["embedded"]).outputs)
+    # Documents that look like mailboxes are not opened.
+    outputs = last_write_wins(process(both, types=["embedded"], recurse=False).outputs)
     published = publish(write_archives(outputs, path), jobs)
     objects = published.select(F.col("job_id").alias("uri"), F.col("uri").alias("path"))
     # The published objects are read back.
