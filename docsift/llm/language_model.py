@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 
 from docsift.llm.common import id_and_text, saved, utf8
 
-CLASSES, CLASS_WORDS = 16, 64
+CLASSES, CLASS_WORDS = 32, 64
 HEAD = CLASSES * CLASS_WORDS
 TAILS = 32
-HIDDEN = 12
+HIDDEN = 16
 # Counts of so many most frequent tokens are sent to all tasks.
 SHARED_COUNTS = 1 << 18
 ROUNDS = 4

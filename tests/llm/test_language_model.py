@@ -118,3 +118,12 @@ def test_slopes_match_differences():
 def test_better_than_the_base_on_held_out_texts(spark):
     got = lm.likelihoods(documents(spark, SF_DIR), in_fold(F.col("doc_id"), 10, 0)).where("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+def test_the_network_knows_2048_words():
+    assert lm.HEAD == 2048 and lm.HIDDEN == 16
+    counts = np.arange(3000, 0, -1)
+    tokens = [b"w%d" % i for i in range(len(counts))]
+    vocabulary = lm.Vocabulary(tokens, counts, int(counts.sum()), len(counts), np.full(lm.TAILS, 0.1))
+    found = lm.Lookup.of(vocabulary).symbols(b"w0 w1500 w2047 w2048")[:-1]
+    assert found[:3].tolist() == [0, 1500, 2047] and found[3] >= lm.HEAD
