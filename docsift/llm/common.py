@@ -35,6 +35,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepared(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def saved(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write to the shared folder and read again: cuts the lineage in a way that outlives executors."""
     path = new_run_dir(df.sparkSession, label)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm.common import documents, in_fold, labels
+from docsift.llm.common import documents, embeddings, in_fold, labels
 from docsift.llm.exact_dedup import exact_duplicates
 from docsift.llm.language_model import likelihoods
 from docsift.llm.licenses import license_spans
@@ -19,6 +19,7 @@ from docsift.llm.secrets import secret_spans
 from docsift.llm.simhash import near_duplicates
 from docsift.llm.spotsigs import fingerprints_with_edits
 from docsift.llm.toxicity import toxicity_scores
+from docsift.llm.whitening import whitened
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,3 +131,8 @@ def op9_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return likelihoods(documents(spark, sf_dir), in_fold(F.col("doc_id"), 10, 0))
+
+
+@query()
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(embeddings(spark, sf_dir))
