@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from docsift.llm.common import documents, embeddings, in_fold, labels
 from docsift.llm.exact_dedup import exact_duplicates
+from docsift.llm.jaccard_join import jaccard_components
 from docsift.llm.language_model import likelihoods
 from docsift.llm.licenses import license_spans
 from docsift.llm.mixing import mix_sources
 from docsift.llm.packing import pack_documents
+from docsift.llm.phrases import collocations
 from docsift.llm.quality import quality_scores
 from docsift.llm.secrets import secret_spans
 from docsift.llm.simhash import near_duplicates
@@ -136,3 +138,48 @@ def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(embeddings(spark, sf_dir))
+
+
+@query(f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWERED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS g FROM d, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS x(i) WHERE len(w) > 0),
+sized AS (SELECT r, count(*) AS n FROM grams GROUP BY r),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM grams a JOIN grams b ON a.g = b.g AND a.r <> b.r JOIN sized x ON x.r = a.r JOIN sized y ON y.r = b.r
+  GROUP BY a.r, b.r, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reached(a, b) AS (SELECT r, r FROM d UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b),
+least AS (SELECT a, min(doc_id) AS component_id FROM reached JOIN d ON d.r = reached.b GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d JOIN least ON a = d.r LEFT JOIN sized ON sized.r = d.r
+""")
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir))
+
+
+@query(f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex({LOWERED}, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w
+  FROM documents),
+counted AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+known AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM pieces, unnest([1, 2, 3, 4]) AS x(k), unnest(range(1, len(w) - k + 2)) AS y(i) GROUP BY ALL HAVING count(*) >= 30),
+split AS (SELECT *, string_split(phrase, ' ') AS w FROM known WHERE k > 1),
+cuts AS (
+  SELECT s.lang, s.phrase, s.f AS a, cut, h.f AS l, t.f AS r, ((2000000::HUGEINT * s.f) // (h.f + t.f))::BIGINT AS score
+  FROM split s, unnest(range(1, s.k)) AS x(cut)
+  JOIN known h ON h.lang = s.lang AND h.phrase = array_to_string(s.w[1:cut], ' ')
+  JOIN known t ON t.lang = s.lang AND t.phrase = array_to_string(s.w[cut + 1:], ' ')),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS o FROM cuts),
+within AS (
+  SELECT lang, array_to_string(w[j:j + size - 1], ' ') AS phrase, max(f) AS most
+  FROM split, unnest(range(2, k)) AS x(size), unnest(range(1, k - size + 2)) AS y(j) GROUP BY ALL),
+kept AS (
+  SELECT c.* FROM lowest c LEFT JOIN within v ON v.lang = c.lang AND v.phrase = c.phrase
+  WHERE o = 1 AND (most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN counted USING (lang) WHERE rank <= 2000
+""")
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
