@@ -95,13 +95,13 @@ def _per_block(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(block[order], np.arange((1 << bits) + 1))
 
 
-def _shared_counts(rows: DataFrame, words: int, s: Fraction, bits: int) -> DataFrame:
+def _shared_counts(texts: DataFrame, words: int, bits: int) -> DataFrame:
     """``_row, size, shared``: how many of each set's n-grams are in another set, or more by a rare collision.
 
     A chunk of documents sends each block the n-grams that only one of its documents has, with the document's number,
     and once those that several have. It gets back the numbers of the documents whose n-grams others sent too.
     """
-    down = np.uint64(32 - bits)
+    down, chunk_size, most = np.uint64(32 - bits), CHUNK, _MOST_DOCS
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, chunks, held, size = TaskContext.get().partitionId(), 0, [], 0
@@ -145,10 +145,10 @@ def _shared_counts(rows: DataFrame, words: int, s: Fraction, bits: int) -> DataF
             for row, text in zip(batch.column("_row").to_pylist(), batch.column("_text").to_pylist(), strict=True):
                 found = shingles(text or b"", words)
                 # A very long text goes in pieces, whose counts are added up in the end.
-                for at in range(0, len(found), CHUNK):
-                    held.append((row, len(found), found[at : at + CHUNK]))
+                for at in range(0, len(found), chunk_size):
+                    held.append((row, len(found), found[at : at + chunk_size]))
                     size += len(held[-1][2])
-                    if size >= CHUNK or len(held) == _MOST_DOCS:
+                    if size >= chunk_size or len(held) == most:
                         yield flush()
                         chunks, held, size = chunks + 1, [], 0
         if held:
@@ -181,7 +181,7 @@ def _shared_counts(rows: DataFrame, words: int, s: Fraction, bits: int) -> DataF
         shared = local + np.bincount(owners, minlength=n)
         return pa.table([pa.array(rows), pa.array(sizes), pa.array(shared.astype(np.int64))], names=["_row", "size", "shared"])
 
-    sent = rows.where("size > 0").select("_row", "_text").mapInArrow(send, "chunk long, block int, singles binary, owners binary, several binary, known binary")
+    sent = texts.select("_row", "_text").mapInArrow(send, "chunk long, block int, singles binary, owners binary, several binary, known binary")
     answers = sent.groupBy("block").applyInArrow(answer, "chunk long, owners binary, known binary")
     pieces = answers.groupBy("chunk").applyInArrow(add, "_row long, size long, shared long")
     return pieces.groupBy("_row").agg(F.first("size").alias("size"), F.sum("shared").alias("shared"))
@@ -189,6 +189,7 @@ def _shared_counts(rows: DataFrame, words: int, s: Fraction, bits: int) -> DataF
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
     """``chunk, node, sigs``: the n-grams of each text, in chunks of texts."""
+    chunk_size = CHUNK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, size = TaskContext.get().partitionId() << 32, 0
@@ -198,7 +199,7 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
                 found.append(shingles(text or b"", words).view(np.int64))
                 chunks.append(chunk)
                 size += len(found[-1])
-                if size >= CHUNK:
+                if size >= chunk_size:
                     chunk, size = chunk + 1, 0
             ends = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
             listed = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found) if found else np.empty(0, np.int64)))
@@ -376,20 +377,19 @@ def _roots(members: DataFrame, sets: DataFrame, s: Fraction) -> DataFrame | None
     return roots
 
 
-def similar_sets(rows: DataFrame, words: int = WORDS, similarity: Fraction | float = SIMILARITY) -> DataFrame:
-    """``size, whole, node, n_rows, root`` for every set of n-grams in a written table of ``sized_texts``.
+def similar_sets(sized: DataFrame, texts: DataFrame, words: int = WORDS, similarity: Fraction | float = SIMILARITY) -> DataFrame:
+    """``size, whole, node, n_rows, root`` for every set of n-grams of written ``sized_texts`` and their ``_row, _text``.
 
     ``node`` is a row that has the set, ``root`` a node of its component. Sets without n-grams are left out.
     """
     s = ratio(similarity)
-    classes = rows.where("size > 0").groupBy("size", "whole").agg(F.min("_row").alias("node"), F.count("*").alias("n_rows"))
+    classes = sized.where("size > 0").groupBy("size", "whole").agg(F.min("_row").alias("node"), F.count("*").alias("n_rows"))
     classes = saved(classes, "jaccard-classes")
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    bits = _block_bits(total)
-    shared = _shared_counts(rows, words, s, bits).where(F.col("shared") >= least_shared(F.col("size"), s)).select(F.col("_row").alias("node"))
+    bits = _block_bits(sized.agg(F.sum("size")).first()[0] or 0)
+    shared = _shared_counts(texts, words, bits).where(F.col("shared") >= least_shared(F.col("size"), s)).select(F.col("_row").alias("node"))
     kept = saved(shared.join(classes.select("node"), "node"), "jaccard-kept")
-    texts = rows.select(F.col("_row").alias("node"), "_text").join(kept, "node", "left_semi")
-    sets = saved(_sets(texts, words), "jaccard-texts")
+    wanted = texts.select(F.col("_row").alias("node"), "_text").join(kept, "node", "left_semi")
+    sets = saved(_sets(wanted, words), "jaccard-texts")
     members = saved(_first_columns(sets, s, bits), "jaccard-first")
     roots = _roots(members, sets, s)
     if roots is None:
@@ -410,7 +410,7 @@ def jaccard_components(
     """
     ids = docs.select(docs[id_col].cast("long").alias("_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).cast("binary").alias("_text"))
     rows = saved(sized_texts(ids.withColumn("_row", F.monotonically_increasing_id()), words), "jaccard-rows")
-    sets = saved(similar_sets(rows, words, similarity), "jaccard-components")
+    sets = saved(similar_sets(rows.drop("_text"), rows.where("size > 0"), words, similarity), "jaccard-components")
     # Only sets of several rows or with links change a row's component, and only they are looked up.
     linked = sets.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
     changed = sets.join(linked.withColumn("linked", F.lit(True)), "root", "left").where("linked or n_rows > 1").select("size", "whole", "root")

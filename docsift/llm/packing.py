@@ -69,9 +69,10 @@ class ChunkIds(dict):
             self.clear()
         if len(self.words) > self.limit:
             self.older_words, self.words = self.words, {}
-        if b"\xcc" not in text and b"<|" not in text:
-            # Safe before the tokenizer's own steps without combining marks, which compose with small letters only, and
-            # without the vocabulary's special names.
+        if b"\xcc" not in text and b"\xcd" not in text and b"<|" not in text:
+            # Safe before the tokenizer's own steps without the combining marks that compose with letters of ASCII, some
+            # with small ones only (U+0300 to U+036F, whose UTF-8 begins with one of these bytes), and without the
+            # vocabulary's special names.
             text = text.lower()
         return b"".join(map(self.__getitem__, text.replace(b"\n", b" ").split(b" ")))
 

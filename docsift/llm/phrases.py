@@ -61,7 +61,7 @@ class _Symbols(dict):
 _SYMBOLS = _Symbols()
 
 
-def parts_of(text: bytes, size: int = PART_BYTES) -> Iterator[tuple[int, bytes]]:
+def parts_of(text: bytes, size: int) -> Iterator[tuple[int, bytes]]:
     """``skip, part``: a text in parts of about a size, which end with a piece if they can.
 
     Within a piece that is longer a part ends with a word, and the next begins with its last three words again, which
@@ -91,16 +91,17 @@ def parts_of(text: bytes, size: int = PART_BYTES) -> Iterator[tuple[int, bytes]]
 
 def chunked(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``chunk, lang, skip, text`` of all texts: texts in chunks of about a size, long ones in parts."""
+    chunk_bytes, part_bytes = CHUNK_BYTES, PART_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, size = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             rows = []
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                for skip, part in parts_of(text):
+                for skip, part in parts_of(text, part_bytes):
                     rows.append((chunk, lang, skip, part))
                     size += len(part)
-                    if size >= CHUNK_BYTES:
+                    if size >= chunk_bytes:
                         chunk, size = chunk + 1, 0
             chunks, langs, skips, texts = zip(*rows) if rows else ((), (), (), ())
             arrays = [pa.array(chunks, pa.int64()), pa.array(langs, pa.string()), pa.array(skips, pa.int32()), pa.array(texts, pa.binary())]

@@ -33,6 +33,19 @@ def test_chunks_have_the_ids_of_the_text():
         assert list(np.frombuffer(chunks.of(text.encode()), dtype="<u4")) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_marks_and_cases_have_the_ids_of_the_text():
+    """Short texts of letters in both cases, every combining mark that meets ASCII, and special names, against the tokenizer."""
+    tokenizer, chunks = Tokenizer.from_file(PATH), packing.ChunkIds(PATH, limit=2000)
+    marks = [chr(c) for c in range(0x300, 0x370)]
+    texts = [base + mark + end for base in "TtHhWwYyAaJj" for mark in marks for end in ("", "x", " T")]
+    rng = np.random.default_rng(7)
+    letters = [*"TtHWyAzK 9'", "É", "ß", "İ", "ſ", "K", "漢", "\u0340", "\u0343", "\u0344", "\u0345", "<|endoftext|>", "\u1100", "\u1161", *rng.choice(marks, 12)]
+    texts += ["".join(rng.choice(letters, rng.integers(1, 7))) for _ in range(100_000)]
+    want = tokenizer.encode_batch(texts, add_special_tokens=False)
+    wrong = [t for t, w in zip(texts, want, strict=True) if list(np.frombuffer(chunks.of(t.encode()), dtype="<u4")) != w.ids]
+    assert wrong == []
+
+
 def check_packed(rows, got, capacity):
     tokenizer = Tokenizer.from_file(PATH)
     want = Counter()

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import numpy as np
 
@@ -117,9 +118,9 @@ def test_network_learns_the_candidates_themselves():
     letters = np.array(list("0123456789abcdef"))
     keys = ["".join(rng.choice(letters, 40)) for _ in range(200)]
     plain = [f"volume-{i}-of-the-work-{i * 7}" for i in range(200)]
-    windows = [secrets.in_windows(f"text {c} text", 5, 5 + len(c))[0] for c in keys + plain]
+    windows = [next(secrets.in_windows(f"text {c} text", 5, 5 + len(c))) for c in keys + plain]
     net = secrets.train(np.array(windows), np.array([1] * 200 + [0] * 200))
-    fresh = [secrets.in_windows(c, 0, len(c))[0] for c in ["".join(rng.choice(letters, 32)), "issue-99-of-the-paper-123"]]
+    fresh = [next(secrets.in_windows(c, 0, len(c))) for c in ["".join(rng.choice(letters, 32)), "issue-99-of-the-paper-123"]]
     high, low = net.probability(np.array(fresh))
     assert high > net.threshold > low
     assert secrets.train(np.array(windows[:3]), np.array([1, 1, 0])) is None
@@ -149,8 +150,36 @@ def test_gradients_match_differences():
 
 def test_long_candidates_are_read_in_whole():
     text = "q" * 500 + "1"
-    views = secrets.in_windows(text, 0, len(text))
+    views = list(secrets.in_windows(text, 0, len(text)))
     seen = np.zeros(len(text), dtype=bool)
     for k, _ in enumerate(views):
         seen[k * secrets.STRIDE : k * secrets.STRIDE + secrets.INSIDE] = True
     assert seen.all()
+
+
+def test_many_findings_and_a_very_long_run_in_one_text():
+    """Findings are swept in order, and windows are judged in blocks."""
+    lines = "\n".join(f"hash {i:040x} id-{i:012d}" for i in range(100_000))
+    raw = lines.encode()
+    start = time.monotonic()
+    cover = secrets._Cover(secrets.rule_spans(lines, raw))
+    assert [cover.overlaps(c) for c in secrets.candidates(lines)[:4]] == [True, False, True, False]
+    assert sum(map(cover.overlaps, secrets.candidates(lines))) == 100_000
+    assert time.monotonic() - start < 10
+
+    net = secrets.Network.random(np.random.default_rng(1))
+    net.threshold = 0.0
+    run = "k9" * 40_000
+    found = secrets.find_secrets(run, run.encode(), net)
+    assert [s[:3] for s in found] == [(0, 80_000, "model")]
+    best = net.probability(np.array(list(secrets.in_windows(run, 0, len(run))))).max()
+    assert abs(found[0][3] - best) < 1e-6
+
+
+def test_spans_that_overlap():
+    rng = np.random.default_rng(2)
+    spans = [(int(a), int(a + n), "hex") for a, n in zip(rng.integers(0, 300, 30), rng.integers(1, 40, 30))]
+    cover = secrets._Cover(spans)
+    for a in range(320):
+        for n in (1, 5, 50):
+            assert cover.overlaps((a, a + n)) == any(a < end and start < a + n for start, end, _ in spans)

@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from docsift.llm import similar
+from docsift.llm import jaccard_join, similar
 from tests.llm.helpers import EDGES, bare, prose, table
 
 
@@ -67,9 +67,10 @@ def test_stage_against_brute_force(spark):
     assert got.columns == table(spark, []).columns and kept(got) == want
 
 
-def test_a_blind_sketch_loses_nothing(spark, monkeypatch):
+def test_small_chunks_and_blocks_lose_nothing(spark, monkeypatch):
     rows = near_rows()[::3]
-    monkeypatch.setattr(similar, "_sketch", lambda texts, words: similar.np.zeros(similar.COUNTERS, dtype=similar.np.int64))
+    for name, value in (("CHUNK", 300), ("BLOCK", 200), ("ROWS", 3), ("COLUMNS", 16)):
+        monkeypatch.setattr(jaccard_join, name, value)
     assert kept(similar.drop_similar(bare(spark, rows), similarity=0.6)) == brute_kept(rows, 0.6)
 
 
