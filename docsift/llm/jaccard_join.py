@@ -41,8 +41,10 @@ WORDS = 4
 SIMILARITY = Fraction(85, 100)
 # N-grams that a task sends to the blocks at once, and that a block of columns gets of the whole table.
 CHUNK, BLOCK = 1 << 20, 1 << 22
-# Documents that a column is multiplied by before it is as a whole, and documents in a block of its rows.
-PIVOTS = (1, 8)
+# Rounds before columns are multiplied as a whole: in the first (0) every document meets the best pivot of all its columns
+# only, in the other each of so many pivots of each column.
+PIVOTS = (0, 8)
+# Documents in a block of rows of a column.
 ROWS = 512
 # N-grams in a block of columns when overlaps are added up.
 COLUMNS = 1 << 13
@@ -217,7 +219,11 @@ def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _first_columns(sets: DataFrame, s: Fraction, bits: int) -> DataFrame:
-    """``k, node, size, place``: the shared n-grams among the first that decide, rare ones first, with their places."""
+    """``k, node, size, place, central``: the shared n-grams among the first that decide, rare ones first, with their places.
+
+    ``central`` is how frequent a document's n-grams are on average: of a group of edited copies the text that they
+    were made from has most, as each edit leaves others with n-grams of their own.
+    """
     down = np.uint64(32 - bits)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,6 +275,7 @@ def _first_columns(sets: DataFrame, s: Fraction, bits: int) -> DataFrame:
         owner = np.repeat(np.arange(len(sizes)), sizes)
         order = np.lexsort((values, code, owner))
         place = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        central = (np.bincount(owner, weights=code, minlength=len(sizes)) * 1024 / np.maximum(sizes, 1)).astype(np.int32)
         wanted = (place <= (sizes - least_shared(sizes, s))[owner]) & (code[order] > 0)
         chosen, owner = order[wanted], owner[wanted]
         arrays = [
@@ -276,13 +283,14 @@ def _first_columns(sets: DataFrame, s: Fraction, bits: int) -> DataFrame:
             pa.array(nodes[owner]),
             pa.array(sizes[owner].astype(np.int32)),
             pa.array(place[wanted].astype(np.int32)),
+            pa.array(central[owner]),
         ]
-        return pa.table(arrays, names=["k", "node", "size", "place"])
+        return pa.table(arrays, names=["k", "node", "size", "place", "central"])
 
     sent = sets.select("chunk", "sigs").mapInArrow(send, "chunk long, block int, keys binary, counts binary")
     answers = sent.groupBy("block").applyInArrow(answer, "chunk long, block int, keys binary, codes binary")
     both = sets.groupBy("chunk").cogroup(answers.groupBy("chunk"))
-    return both.applyInArrow(choose, "k long, node long, size int, place int")
+    return both.applyInArrow(choose, "k long, node long, size int, place int, central int")
 
 
 def _possible(s: Fraction) -> Column:
@@ -310,19 +318,22 @@ def _pairs(members: DataFrame, pivots: int | None, s: Fraction) -> DataFrame:
         right = dealt.where("mine >= other").select(*_side("b", "k"), F.col("other").alias("x"), F.col("mine").alias("y"))
         pairs = left.join(right, ["k", "x", "y"]).where((F.col("x") < F.col("y")) | (F.col("a") < F.col("b")))
     else:
-        # The order by a hash makes the first document of a group of copies the first in most of its columns.
-        first = F.min(F.struct(F.xxhash64("node").alias("h"), "node", "size", "place", "root")).alias("s")
-        slot = F.pmod(F.xxhash64("node"), F.lit(pivots)).alias("slot")
-        chosen = members.groupBy("k", slot).agg(first, F.count("*").alias("n")).select("k", "s.node", "s.size", "s.place", "s.root", "n")
+        # One order for all columns, so that the first document of a group of copies is the first in most of its columns.
+        order = [(-F.col("central")).alias("c"), F.xxhash64("node").alias("h")]
+        first = F.min(F.struct(*order, "node", "size", "place", "root")).alias("s")
+        slot = F.pmod(F.xxhash64("node"), F.lit(max(pivots, 1))).alias("slot")
+        chosen = members.groupBy("k", slot).agg(first, F.count("*").alias("n")).select("k", "s.*", "n")
         chosen = saved(chosen, "jaccard-pivots")
         # Columns of very many documents are cut into parts, and their pivots repeated for each.
         hot = chosen.groupBy("k").agg(F.ceil(F.sum("n") / (ROWS * 16)).cast("int").alias("parts")).where("parts > 1")
         hot = saved(hot, "jaccard-hot")
-        some = chosen.where("n > 1") if pivots == 1 else chosen
-        some = some.join(hot, "k", "left").select(*_side("a", "k"), F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
+        some = chosen.where("n > 1") if pivots < 2 else chosen
+        some = some.join(hot, "k", "left").select(*_side("a", "k", "c", "h"), F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
         rest = members.join(hot, "k", "left").withColumn("part", F.pmod(F.xxhash64("node", "k"), F.coalesce("parts", F.lit(1))).cast("int"))
         pairs = some.join(rest.select(*_side("b", "k", "part")), ["k", "part"]).where("a <> b")
     pairs = pairs.where("ra <> rb").where(_possible(s))
+    if pivots == 0:
+        pairs = pairs.groupBy("b", "nb").agg(F.min(F.struct("c", "h", "a", "na")).alias("s")).select("s.a", "b", "s.na", "nb")
     swap = F.col("a") > F.col("b")
     ends = [F.when(swap, F.col(y)).otherwise(F.col(x)).alias(n) for n, x, y in (("a", "a", "b"), ("b", "b", "a"), ("na", "na", "nb"), ("nb", "nb", "na"))]
     return pairs.select(*ends).distinct()
@@ -372,6 +383,8 @@ def _roots(members: DataFrame, sets: DataFrame, s: Fraction) -> DataFrame | None
             named = saved(left.select("node").distinct(), "jaccard-named")
             cut = saved(_cut_sets(sets.join(named, "node", "left_semi")), "jaccard-sets")
         found = saved(_linked(pairs, cut, s), "jaccard-links")
+        if found.isEmpty():
+            continue
         links = found if links is None else links.unionByName(found)
         roots = connected_components(links, "a", "b")
     return roots

@@ -1,14 +1,15 @@
 """Near duplicates by Jaccard similarity against brute force."""
 
 import random
+import re
 
 import corpus_pipeline
 from docsift.llm import jaccard_join, similar
-from tests.llm.helpers import EDGES, bare, prose, table
+from tests.llm.helpers import EDGES, ascii_lower, bare, prose, table
 
 
 def brute_shingles(text, words=5):
-    found = (text or "").lower().split()
+    found = re.findall("[^ \t-\r]+", ascii_lower(text or ""))
     return {" ".join(found[i : i + words]) for i in range(max(1, len(found) - words + 1))} if found else set()
 
 
