@@ -5,24 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docsift.schemas import MAIL, MBOX, OCTETS, ZIP
-
-# Leading bytes of common formats.
-MAGIC = [
-    ("504B0304", ZIP),
-    ("504B0506", ZIP),
-    ("46726F6D20", MBOX),
-    ("255044462D", "application/pdf"),
-    ("89504E470D0A1A0A", "image/png"),
-    ("FFD8FF", "image/jpeg"),
-    ("474946383761", "image/gif"),
-    ("474946383961", "image/gif"),
-    ("49492A00", "image/tiff"),
-    ("4D4D002A", "image/tiff"),
-    ("1F8B08", "application/gzip"),
-    ("425A68", "application/x-bzip2"),
-    ("377ABCAF271C", "application/x-7z-compressed"),
-]
+from docsift.functions.magic import magic_type
+from docsift.schemas import MAIL, OCTETS
 
 _HEADER = (
     r"(?i)\A(?:message-id|date|from|to|cc|subject|received|return-path|mime-version|delivered-to|reply-to|"
@@ -30,7 +14,9 @@ _HEADER = (
 )
 # Nothing here is repeated as a group, which Java's matcher would do by recursion: folded lines are joined first.
 _TWO_HEADERS = r"\A[!-9;-~]++:[^\n]*+\n[!-9;-~]++:"
-_HTML_HEAD = r"(?i)\A\s*+(?:<!doctype\s++html|<html)\b"
+_HTML_HEAD = r"(?i)\A(?:<!doctype\s++html|<html)\b"
+# Bytes that a first header's name and a first tag may have.
+_LONGEST_NAME, _LONGEST_TAG = 128, 1024
 
 
 def format_content_type(ctype: Column, subtype: Column) -> Column:
@@ -47,13 +33,14 @@ def unfolded(block: Column) -> Column:
 
 def mime_by_magic(content: Column) -> Column:
     # A first header may be folded over any number of lines, so the second one is looked for in all of the header block.
-    block = F.decode(F.substring_index(content.cast("string"), "\n\n", 1).cast("binary"), "ISO-8859-1")
-    is_mail = F.when(block.rlike(_HEADER), unfolded(block).rlike(_TWO_HEADERS)).otherwise(F.lit(False))
-    found = F.when(F.lit(False), F.lit(None).cast("string"))
-    for signature, mimetype in MAGIC:
-        found = found.when(F.startswith(content, F.unhex(F.lit(signature))), F.lit(mimetype))
-    text = F.decode(content, "ISO-8859-1")
-    return found.when(is_mail, F.lit(MAIL)).when(text.rlike(_HTML_HEAD), F.lit("text/html"))
+    # Whether it ends with an empty line of one kind or the other, so that a long body is not decoded.
+    block = F.substring_index(F.substring_index(content.cast("string"), "\n\n", 1), "\r\n\r\n", 1)
+    block = F.decode(block.cast("binary"), "ISO-8859-1")
+    is_mail = F.when(F.decode(F.substring(content, 1, _LONGEST_NAME), "ISO-8859-1").rlike(_HEADER), unfolded(block).rlike(_TWO_HEADERS))
+    # The first tag is looked for behind leading white space, in a bounded slice.
+    start = F.substring(F.ltrim(content.cast("string"), F.lit(" \t\n\x0b\x0c\r")).cast("binary"), 1, _LONGEST_TAG)
+    is_html = F.decode(start, "ISO-8859-1").rlike(_HTML_HEAD)
+    return F.coalesce(magic_type(content), F.when(is_mail, F.lit(MAIL)), F.when(is_html, F.lit("text/html")))
 
 
 def mime_by_content(content: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -39,9 +39,14 @@ OUTPUT_KEY = ("job_id", "root_id", "archive_path")
 
 def content_diff(expected: DataFrame, actual: DataFrame, key: tuple[str, ...] = OUTPUT_KEY, column: str = "content") -> DataFrame:
     """Files whose bytes differ or that exist on one side only, by a unique key. Hashes are compared, contents are not moved."""
-    digest = F.sha2(F.col(column), 256)
-    e = expected.select(*key, digest.alias("expected_sha256"))
-    a = actual.select(*key, digest.alias("actual_sha256"))
+
+    def digest(side: DataFrame):
+        # Bytes that are a file of their own were hashed when it was written.
+        here = F.sha2(F.col(column), 256)
+        return F.coalesce("stored.sha256", here) if "stored" in side.columns else here
+
+    e = expected.select(*key, digest(expected).alias("expected_sha256"))
+    a = actual.select(*key, digest(actual).alias("actual_sha256"))
     return e.join(a, list(key), "full").where(~F.col("expected_sha256").eqNullSafe(F.col("actual_sha256")))
 
 
@@ -62,3 +67,14 @@ def line_diff(expected: DataFrame, actual: DataFrame, key: tuple[str, ...] = OUT
     )
     rows = both.select(*key, F.posexplode(lines).alias("line_no", "line")).select(*key, "line_no", "line.*")
     return rows.where(~F.col("expected").eqNullSafe(F.col("actual")))
+
+
+def checksum_order(outputs: DataFrame) -> DataFrame:
+    """Outputs with their ``place`` from 1 in their root of a job by checksum, which does not depend on how they were found.
+
+    Places are found on ids alone; equal checksums go by path.
+    """
+    key = ["job_id", "root_id", "archive_path", "file_id", "process_type"]
+    ids = outputs.select(*key, "checksum")
+    order = Window.partitionBy("job_id", "root_id").orderBy("checksum", "archive_path", "file_id", "process_type")
+    return outputs.join(ids.withColumn("place", F.row_number().over(order).cast("long")).drop("checksum"), key)

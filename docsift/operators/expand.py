@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import io
-import re
-import zipfile
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,123 +13,29 @@ from pyspark.sql.types import StructType
 from docsift.functions.identity import dedupe_checksum
 from docsift.functions.mime import format_content_type, identify_or_default
 from docsift.functions.paths import child_id, extend_chain, is_directory, safe_name
-from docsift.operators.mail import parse_mail
-from docsift.schemas import EXPANDED, FILES, LEVEL, MAIL, MBOX, ZIP
+from docsift.operators.openers import Limits, Openers, opened
+from docsift.schemas import EXPANDED, FILES, LEVEL, MAIL, MBOX, STORED, ZIP
 from docsift.session import CONTENT_TABLE, new_run_dir, spread
+from docsift.sources.contents import looked_checksum, looked_type
+from docsift.sources.large import located_members, opened_as_a_whole, with_values
 
 MESSAGE_NAME = "mbox-message.eml"
 ATTACHMENT_NAME = "message-attachment.dat"
 
 _CARRY = ["job_id", "root_id", "file_id", "depth", "id_chain", "name", "mimetype", "checksum", "types", "recurse"]
-_SEPARATOR = re.compile(rb"^From [^\n]*(?:\n|\Z)", re.MULTILINE)
-_QUOTED = re.compile(rb"^>(>*From )", re.MULTILINE)
 
-# Yields dictionaries with the columns of EXPANDED that are not carried over from the container.
-Opener = Callable[[bytes, list[str], "Limits"], Iterator[dict]]
 
+def open_containers(files: DataFrame, openers: Openers | None = None, limits: Limits | None = None) -> DataFrame:
+    """Open every container row once. Returns EXPANDED rows: children, parsed messages and errors, by ``record``.
 
-@dataclass(frozen=True)
-class Limits:
-    """Guards against archive bombs. What exceeds them becomes an error row.
-
-    Nesting has no limit of its own: an archive that lies within itself, by its checksum, is not opened again, and all
-    other containers are longer than what they hold.
+    Containers with a file of their own are left to ``expand_all``.
     """
-
-    entry_bytes: int = 1_900_000_000
-    batch_bytes: int = 32 << 20
-    max_depth: int | None = None
-
-
-@dataclass(frozen=True)
-class Openers:
-    """Container formats by MIME type; more can be added with ``with_opener``."""
-
-    by_type: dict[str, Opener] = field(default_factory=lambda: {ZIP: open_zip, MBOX: open_mbox, MAIL: open_mail})
-
-    def with_opener(self, mimetype: str, opener: Opener) -> Openers:
-        return Openers({**self.by_type, mimetype: opener})
-
-
-def _error(error_class: str, message: str, **where) -> dict:
-    return {"record": "error", "error_class": error_class, "message": message, **where}
-
-
-def open_zip(content: bytes, types: list[str], limits: Limits) -> Iterator[dict]:
-    """Entries of a zip archive. A damaged entry costs one error row, the others are still read."""
-    if "embedded" not in types:
-        return
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        for ordinal, info in enumerate(archive.infolist()):
-            yield read_entry(archive, info, ordinal, limits)
-
-
-def read_entry(archive: zipfile.ZipFile, info: zipfile.ZipInfo, ordinal: int, limits: Limits) -> dict:
-    # orig_filename keeps what zipfile would cut off at a NUL.
-    name = info.orig_filename
-    where = {"ordinal": ordinal, "child_name": name}
-    if name.endswith("/"):
-        return {"record": "child", "content": b"", **where}
-    if info.file_size > limits.entry_bytes:
-        return _error("too_large", f"{name}: {info.file_size} bytes", **where)
-    try:
-        with archive.open(info) as stream:
-            # The size in the directory may be false, so the data itself is measured.
-            data = stream.read(limits.entry_bytes + 1)
-        if len(data) > limits.entry_bytes:
-            return _error("too_large", name, **where)
-        return {"record": "child", "content": data, **where}
-    except Exception as e:  # noqa: BLE001 - each compression has errors of its own for untrusted bytes
-        return _error("bad_entry", f"{name}: {e}", **where)
-
-
-def open_mbox(content: bytes, types: list[str], limits: Limits) -> Iterator[dict]:
-    """Messages of a mailbox: the bytes after a separator line up to the next, one ``>`` taken off quoted lines."""
-    if "embedded" not in types:
-        return
-    start, ordinal = None, 0
-    for line in _SEPARATOR.finditer(content):
-        if start is not None:
-            yield _mbox_message(content[start : line.start()], ordinal)
-            ordinal += 1
-        start = line.end()
-    if start is None:
-        raise ValueError("no message separator")
-    yield _mbox_message(content[start:], ordinal)
-
-
-def _mbox_message(raw: bytes, ordinal: int) -> dict:
-    return {"record": "child", "ordinal": ordinal, "content": unquoted(raw)}
-
-
-def unquoted(message: bytes) -> bytes:
-    """A mailbox message with one ``>`` taken off its quoted separator lines."""
-    return _QUOTED.sub(rb"\1", message) if b">From " in message else message
-
-
-def open_mail(content: bytes, types: list[str], limits: Limits) -> Iterator[dict]:
-    """A message parsed once: one row with its headers and parts, and one row per attachment."""
-    headers, parts, attachments = parse_mail(content)
-    if {"text", "metadata", "pdf"} & set(types):
-        yield {"record": "message", "headers": headers, "parts": parts}
-    if "embedded" in types:
-        for ordinal, (part, data) in enumerate(attachments):
-            where = {"ordinal": ordinal, "child_name": part["name"]}
-            if part["ctype"] is None:
-                yield _error("no_content_type", "attachment without a content type", **where)
-            else:
-                decoded = None if part["charset"] in (None, "utf-8", "us-ascii") else part["text"]
-                yield {"record": "child", "ctype": part["ctype"], "subtype": part["subtype"], "decoded": decoded, "content": data, **where}
-
-
-def open_containers(files: DataFrame, openers: Openers | None = None, limits: Limits | None = None) -> DataFrame:
-    """Open every container row once. Returns EXPANDED rows: children, parsed messages and errors, by ``record``."""
-    openers, limits = openers or Openers(), limits or Limits()
+    openers, limits = openers or Openers(), (limits or Limits()).with_folder(files.sparkSession)
     by_type = openers.by_type
     schema = to_arrow_schema(StructType.fromDDL(EXPANDED))
     own = [f for f in schema if f.name not in _CARRY]
 
-    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             types = batch.column("types").to_pylist()
             mimetypes = batch.column("mimetype").to_pylist()
@@ -150,7 +52,7 @@ def open_containers(files: DataFrame, openers: Openers | None = None, limits: Li
                 )
 
             for i in range(batch.num_rows):
-                found = _opened(by_type[mimetypes[i]], contents[i].as_py() or b"", types[i] or [], limits)
+                found = opened(by_type[mimetypes[i]], mimetypes[i], contents[i].as_py() or b"", types[i] or [], limits)
                 for row in found:
                     origin.append(i)
                     rows.append(row)
@@ -161,16 +63,8 @@ def open_containers(files: DataFrame, openers: Openers | None = None, limits: Li
             if rows:
                 yield cut()
 
-    containers = files.where(F.col("mimetype").isin(*by_type)).select(*_CARRY, "content")
-    return containers.mapInArrow(opened, EXPANDED)
-
-
-def _opened(opener: Opener, content: bytes, types: list[str], limits: Limits) -> Iterator[dict]:
-    """Rows of one container; whatever is wrong with its bytes ends as an error row, not as a failed task."""
-    try:
-        yield from opener(content, types, limits)
-    except Exception as e:  # noqa: BLE001 - any parser fault on untrusted bytes
-        yield _error("bad_container", f"{type(e).__name__}: {e}")
+    containers = files.where(F.col("mimetype").isin(*by_type) & F.col("stored").isNull()).select(*_CARRY, "content")
+    return containers.mapInArrow(run, EXPANDED)
 
 
 def level_rows(expanded: DataFrame, openers: Openers | None = None) -> DataFrame:
@@ -192,12 +86,14 @@ def level_rows(expanded: DataFrame, openers: Openers | None = None) -> DataFrame
     declared = F.nullif(format_content_type(F.col("ctype"), F.col("subtype")), F.lit(""))
     # An entry is identified by its bytes alone: unpacked files have no name of their own when they are looked at.
     found_type = F.when(source == MBOX, F.lit(MAIL)).otherwise(
-        F.coalesce(declared, identify_or_default(F.col("content")))
+        F.coalesce(declared, F.when(F.col("look").isNotNull(), looked_type(F.col("look"))), identify_or_default(F.col("content")))
     )
     rows = rows.withColumn("child", F.when(is_child, name))
     refused = is_child & F.col("child").isNull()
     rows = rows.withColumn("found", is_child & ~refused).withColumn("child_type", F.when(F.col("found"), found_type))
-    rows = rows.withColumn("child_sum", dedupe_checksum(F.col("content"), F.col("child_type")))
+    child_sum = F.coalesce(looked_checksum(F.col("look"), F.col("child_type")), dedupe_checksum(F.col("content"), F.col("child_type")))
+    rows = rows.withColumn("child_sum", child_sum)
+    stored = F.struct("location", F.col("look.sha256").alias("sha256"), F.col("look.md5").alias("md5"))
     found, opens = F.col("found"), F.col("child_type").isin(*by_type) & F.col("recurse")
     above = F.concat(F.col("id_chain"), F.array("checksum"))
     circular = found & opens & (F.col("child_type") == ZIP) & F.array_contains(above, F.col("child_sum"))
@@ -215,11 +111,12 @@ def level_rows(expanded: DataFrame, openers: Openers | None = None) -> DataFrame
         F.when(found, F.col("child")).otherwise(F.col("name")).alias("name"),
         F.when(found, F.col("child_type")).otherwise(source).alias("mimetype"),
         F.when(found, F.col("child_sum")).otherwise(F.col("checksum")).alias("checksum"),
-        F.octet_length("content").cast("bigint").alias("length"),
+        F.coalesce(F.octet_length("content").cast("bigint"), F.col("look.length")).alias("length"),
         "types",
         "recurse",
         F.when(found, F.col("decoded")).alias("decoded"),
         F.when(found, F.col("content")).alias("content"),
+        F.when(found & F.col("location").isNotNull(), stored).alias("stored"),
         "headers",
         "parts",
         F.when(refused, F.lit("unsafe_name")).when(circular, F.lit("circular")).otherwise(F.col("error_class")).alias("error_class"),
@@ -263,24 +160,32 @@ def expand_once(files: DataFrame, openers: Openers | None = None, limits: Limits
     return level_rows(open_containers(files, openers, limits), openers)
 
 
-def expand_all(
-    roots: DataFrame, openers: Openers | None = None, limits: Limits | None = None, seed: DataFrame | None = None
-) -> DataFrame:
-    """Open containers level by level until none is left. Returns the LEVEL rows of all levels.
+def expand_all(roots: DataFrame, openers: Openers | None = None, limits: Limits | None = None) -> DataFrame:
+    """Open containers level by level until none is left. Returns the LEVEL rows of all levels."""
+    return expand_levels(roots, openers, limits)[0]
+
+
+def expand_levels(roots: DataFrame, openers: Openers | None = None, limits: Limits | None = None) -> tuple[DataFrame, bool]:
+    """The LEVEL rows of all levels, and whether some file found has its content in a file of its own.
 
     Each level is written to the shared folder before the next one starts: finished work is not lost with an executor,
-    and reading a level back splits its rows evenly by bytes, however they were spread over containers. The driver
-    holds one boolean per level. ``seed`` adds EXPANDED rows of containers that were opened by other means, such as the
-    split scans of large files, to the first level.
+    and reading a level back splits its rows evenly by bytes, however they were spread over containers. Containers whose
+    content is a file of its own are read by many tasks each. The driver sees three numbers per level.
     """
     spark = roots.sparkSession
-    limits = limits or Limits()
+    if "stored" not in roots.columns:
+        roots = roots.withColumn("stored", F.lit(None).cast(STORED.split(" ", 1)[1]))
+    openers, limits = openers or Openers(), (limits or Limits()).with_folder(spark)
     out = new_run_dir(spark, "levels")
-    frontier, level = roots, 0
+    frontier, level, any_stored = roots, 0, False
+    located = not roots.where("stored is not null").isEmpty()
     while True:
-        rows = expand_once(frontier, openers, limits)
-        if level == 0 and seed is not None:
-            rows = rows.unionByName(level_rows(seed, openers))
+        inline = frontier
+        if located:
+            inline = frontier.where("stored is null").unionByName(with_values(opened_as_a_whole(frontier, openers)))
+        rows = expand_once(inline, openers, limits)
+        if located:
+            rows = rows.unionByName(level_rows(located_members(frontier.where("stored is not null"), openers, limits), openers))
         if level == limits.max_depth:
             # Containers this deep are reported and not opened.
             too_deep = F.col("record") == "container"
@@ -293,8 +198,16 @@ def expand_all(
             ).withColumn("record", F.explode(kinds))
         rows.write.partitionBy("record").options(**CONTENT_TABLE).parquet(f"{out}/level={level}")
         levels = spark.read.schema(LEVEL).option("basePath", out).parquet(out)
-        frontier = files_of(levels.where((F.col("level") == level) & (F.col("record") == "container")))
-        if frontier.isEmpty():
-            return levels
+        this = levels.where(F.col("level") == level)
+        is_container = F.col("record") == "container"
+        found = this.where(F.col("record").isin("container", "leaf")).agg(
+            F.count("stored.location").alias("stored"),
+            F.count_if(is_container).alias("containers"),
+            F.count_if(is_container & F.col("stored.location").isNotNull()).alias("located"),
+        ).first()
+        any_stored = any_stored or found.stored > 0
+        if found.containers == 0:
+            return levels, any_stored
+        located = found.located > 0
         # Containers cost CPU time out of proportion to their bytes, so few splits are spread over all cores.
-        frontier, level = spread(frontier, "file_id"), level + 1
+        frontier, level = spread(files_of(this.where(is_container)), "file_id"), level + 1

@@ -24,7 +24,9 @@ from docsift.functions.mail_columns import (
 from docsift.functions.paths import archive_path
 from docsift.functions.text import html_to_text, text_of
 from docsift.operators.routing import route, routing_rules
-from docsift.schemas import ERRORS, MAIL, OUTPUTS, PROCESS_TYPES
+from docsift.schemas import ERRORS, MAIL, OUTPUTS, PROCESS_TYPES, STORED
+from docsift.sources.contents import INLINE_BYTES
+from docsift.sources.large import MOST_VALUE_BYTES, located_texts, with_values
 
 # Name and MIME type of the output of each process type.
 PROCESSED = {
@@ -67,11 +69,18 @@ def process_files(
     renderer: Renderer = HTML,
     extractors: Iterable[Extractor] = (),
     types: Iterable[str] = PROCESS_TYPES,
+    located: DataFrame | None = None,
+    inline_bytes: int = INLINE_BYTES,
+    value_bytes: int = MOST_VALUE_BYTES,
 ) -> DataFrame:
     """Run the routed extractors. Returns OUTPUTS columns and ``error_class, message`` of those that failed.
 
     Mails come parsed (see ``expand``), so their text, metadata and rendering share one parse; each process type reads
     only the columns it needs, and nothing is joined or shuffled. ``types`` names all types that some file asks for.
+
+    ``located`` are files whose content is a file of its own. Their plain texts are read in pieces, whatever their size.
+    HTML and users' extractors need a content whole: up to ``value_bytes`` it is read into its row, beyond that the file
+    is an error row.
     """
     extractors, types = list(extractors), set(types) - {"embedded"}
     rules = routing_rules(files.sparkSession, [r for e in extractors for r in e.rules()])
@@ -103,12 +112,30 @@ def process_files(
         "rfc822_render": lambda: render(headers, parts, renderer),
     }
     no_reader = (F.col("process_type") == "text") & ~mimetype.startswith("text/")
-    tables = [
+    tables = []
+    if located is not None:
+        # Own extractors may be for any type, mails too.
+        as_value = mimetype.isin("text/html", *[m for e in extractors for m in e.mimetypes])
+        fits = F.col("length") <= value_bytes
+        files = files.unionByName(with_values(located.where(as_value & fits)))
+        rest = route(located.where(~(as_value & fits)), rules)
+        is_own = F.col("extractor").isin(*own)
+        in_pieces = (F.col("extractor") == "default_text") & mimetype.startswith("text/") & (mimetype != "text/html")
+        unread = is_own | ((F.col("extractor") == "default_text") & (mimetype == "text/html"))
+        others = rest.where(~in_pieces & ~unread & (mimetype != MAIL))
+        tables.append(native(others, {k: v for k, v in from_content.items() if k != "default_text"}, no_reader))
+        if "text" in types:
+            texts = located_texts(rest.where(in_pieces & ~is_own).select(*_lineage(), "stored"), inline_bytes)
+            tables.append(texts.select(*_lineage(), "text", F.col("kept").alias("stored"), F.col("bytes").alias("length")))
+        wanted = F.col("process_type").isin(*types)
+        size = F.concat_ws(" ", F.col("length").cast("string"), F.lit("bytes"))
+        tables.append(rest.where(unread & wanted).select(*_lineage(), F.lit("too_large").alias("error_class"), size.alias("message")))
+    tables += [
         native(route(files.where(mimetype != MAIL), rules), from_content, no_reader),
         native(route(parsed, rules), from_mail, F.lit(False)),
         *(_run(e, route(files, rules)) for e in extractors),
     ]
-    return _named(reduce(DataFrame.unionByName, tables))
+    return _named(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables))
 
 
 def _run(extractor: Extractor, routed: DataFrame) -> DataFrame:
@@ -135,6 +162,11 @@ def _lineage() -> list[str]:
 def _named(rows: DataFrame) -> DataFrame:
     kinds = F.create_map(*[F.lit(x) for t, (name, _) in PROCESSED.items() for x in (t, name)])
     types = F.create_map(*[F.lit(x) for t, (_, mimetype) in PROCESSED.items() for x in (t, mimetype)])
+    have = set(rows.columns)
+    length = F.octet_length("text").cast("bigint")
+    if "length" in have:
+        length = F.coalesce(F.col("length"), length)
+    stored = F.col("stored") if "stored" in have else F.lit(None).cast(STORED.split(" ", 1)[1]).alias("stored")
     name = F.element_at(kinds, F.col("process_type"))
     return rows.select(
         "job_id",
@@ -150,9 +182,10 @@ def _named(rows: DataFrame) -> DataFrame:
         "checksum",
         "id_chain",
         archive_path(F.col("id_chain"), name).alias("archive_path"),
-        F.octet_length("text").cast("bigint").alias("length"),
+        length.alias("length"),
         "text",
         F.lit(None).cast("binary").alias("content"),
+        stored,
         "error_class",
         "message",
     )
@@ -176,6 +209,7 @@ def embedded_outputs(children: DataFrame) -> DataFrame:
         "length",
         F.lit(None).cast("string").alias("text"),
         "content",
+        "stored",
     )
 
 

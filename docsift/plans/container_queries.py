@@ -86,7 +86,7 @@ def scan_jobs_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit("embedded")).alias("types"),
         F.lit(False).alias("recurse"),
     )
-    roots, errors = scan_jobs(jobs, listed)
+    roots, _, errors = scan_jobs(jobs, listed)
     messages = files_of(expand_once(as_roots(roots))).select(
         *_turn_columns(F.col("content")), F.md5("content").alias("content_md5")
     )

@@ -11,18 +11,16 @@ from pyspark.sql import functions as F
 from docsift.functions.identity import dedupe_checksum
 from docsift.functions.mail_columns import HTML, Renderer, file_metadata, mail_metadata
 from docsift.functions.mime import identify_or_default
-from docsift.operators.expand import Limits, Openers, errors_of, expand_all, files_of, messages_of
+from docsift.operators.expand import Limits, Openers, errors_of, expand_levels, files_of, messages_of
 from docsift.operators.extract import Extractor, embedded_outputs, error_rows, good_rows, process_files
-from docsift.operators.routing import parse_types, route, routing_rules, unknown_types
-from docsift.schemas import MAIL, MBOX, PROCESS_TYPES, ZIP
+from docsift.operators.routing import parse_types, unknown_types
+from docsift.schemas import MAIL, PROCESS_TYPES, STORED
 from docsift.session import staged
-from docsift.sources.files import MAX_CONTENT_BYTES, plain_path, scan_files, scan_jobs
-from docsift.sources.large import large_roots, members_of, read_contents
+from docsift.sources.contents import INLINE_BYTES
+from docsift.sources.files import plain_path, scan_files, scan_jobs
+from docsift.sources.large import MOST_VALUE_BYTES, located_roots
 from docsift.sources.registry import mime_registry, with_type_by_name
 
-# Archives and mailboxes above this size are not read into one row.
-LARGE_BYTES = 256_000_000
-
 
 @dataclass(frozen=True)
 class ProcessResult:
@@ -71,6 +69,7 @@ def as_roots(
         "recurse",
         F.lit(None).cast("string").alias("decoded"),
         "content",
+        F.lit(None).cast(STORED.split(" ", 1)[1]).alias("stored"),
     )
 
 
@@ -89,23 +88,6 @@ def type_errors(files: DataFrame) -> DataFrame:
     )
 
 
-def too_large_errors(large_roots: DataFrame, extractors: Iterable[Extractor] = ()) -> DataFrame:
-    """An error row for each extractor, the user's own too, that would need the whole content of a large file."""
-    extractors = list(extractors)
-    routed = route(large_roots, routing_rules(large_roots.sparkSession, [r for e in extractors for r in e.rules()]))
-    own = F.col("extractor").isin(*[e.name for e in extractors])
-    unread = F.col("process_type").isin("text", "pdf") | (F.col("mimetype") == MAIL) | own
-    return routed.where(unread).select(
-        "job_id",
-        "root_id",
-        "file_id",
-        F.lit("extract").alias("stage"),
-        "process_type",
-        F.lit("too_large").alias("error_class"),
-        F.concat_ws(" ", F.col("length").cast("string"), F.lit("bytes")).alias("message"),
-    )
-
-
 def process(
     files: DataFrame,
     types: list[str] | None = None,
@@ -114,13 +96,16 @@ def process(
     extractors: Iterable[Extractor] = (),
     openers: Openers | None = None,
     limits: Limits | None = None,
-    large: tuple[DataFrame, DataFrame] | None = None,
+    located: DataFrame | None = None,
+    value_bytes: int = MOST_VALUE_BYTES,
     registry: DataFrame | None = None,
 ) -> ProcessResult:
     """Expand files to all depths and run the extractors each one is routed to.
 
     ``files`` holds one row per root: ``root_id, name, content``, and optionally ``job_id, mimetype, types, recurse``.
-    ``large`` adds roots that were scanned by path and their members (see ``sources.large``).
+    ``located`` adds roots that are used where they lie (see ``sources.large``). Contents above ``limits.inline_bytes``
+    that are found on the way are put into files of their own, and so are texts; ``stored`` tells where. What can only be
+    read as a whole is read up to ``value_bytes``.
     """
     extractors = list(extractors)
     asked = [t.lower() for t in types or ["all"]]
@@ -136,29 +121,28 @@ def process(
         wrong = type_errors(files)
         known = F.array(*[F.lit(t) for t in PROCESS_TYPES])
         roots = roots.where(F.size(F.array_except("types", known)) == 0)
-    scanned, members = large if large is not None else (None, None)
-    levels = expand_all(roots, openers, limits, members)
+    if located is not None:
+        roots = roots.unionByName(staged(located, "located"))
+    limits = (limits or Limits()).with_folder(files.sparkSession)
+    levels, any_stored = expand_levels(roots, openers, limits)
     nested, parsed = files_of(levels), messages_of(levels)
     # Without recursion the files found are results, but are not processed themselves.
     at_work = nested.where("recurse").unionByName(roots)
-    if scanned is not None:
-        # Without their content in a row, large roots get the metadata that needs no reader; the rest is reported.
-        readable = F.array_intersect("types", F.array(F.lit("metadata")))
-        taken = [m for e in extractors if e.process_type == "metadata" for m in e.mimetypes]
-        readable = F.when(F.col("mimetype").isin(*taken), F.array().cast("array<string>")).otherwise(readable)
-        at_work = at_work.unionByName(scanned.withColumn("types", readable))
-        roots = roots.unionByName(scanned)
-    rows = process_files(at_work, parsed, renderer, extractors, asked)
+    here, elsewhere = at_work, None
+    if any_stored or located is not None:
+        here, elsewhere = at_work.where("stored is null"), at_work.where("stored is not null")
+    rows = process_files(here, parsed, renderer, extractors, asked, elsewhere, limits.inline_bytes, value_bytes)
     errors = errors_of(levels).unionByName(error_rows(rows))
     if wrong is not None:
         errors = errors.unionByName(wrong)
-    if scanned is not None:
-        errors = errors.unionByName(too_large_errors(scanned, extractors))
     asks = F.array_contains("types", "metadata")
     own = ["job_id", "root_id", "file_id"]
     metadata = at_work.where(asks & (F.col("mimetype") != MAIL)).select(*own, F.explode(file_metadata(F.col("mimetype"))).alias("key", "values"))
     metadata = metadata.unionByName(parsed.where(asks).select(*own, F.explode(mail_metadata(F.col("headers"))).alias("key", "values")))
-    digests = {"content_sha256": F.sha2("content", 256), "content_md5": F.md5("content")}
+    digests = {
+        "content_sha256": F.coalesce("stored.sha256", F.sha2("content", 256)),
+        "content_md5": F.coalesce("stored.md5", F.md5("content")),
+    }
     return ProcessResult(
         # The digests are computed when they are read, and only then.
         files=roots.unionByName(nested).withColumns(digests),
@@ -169,10 +153,23 @@ def process(
     )
 
 
-def process_jobs(jobs: DataFrame, files: DataFrame, **options) -> ProcessResult:
-    """Process the inputs of a table of jobs (``schemas.JOBS``), read from a scan of the folders they lie in."""
-    roots, unread = scan_jobs(jobs, files)
-    result = process(roots, **options)
+def process_jobs(
+    jobs: DataFrame, files: DataFrame, large_bytes: int = INLINE_BYTES, large_checksums: bool = True, **options
+) -> ProcessResult:
+    """Process the inputs of a table of jobs (``schemas.JOBS``), found in a scan of the folders they lie in.
+
+    An input above ``large_bytes`` is not read into a row, but used where it lies.
+    """
+    roots, large, unread = scan_jobs(jobs, files, large_bytes)
+    large = staged(large, "large-inputs")
+    located = None
+    if not large.isEmpty():
+        wrong = type_errors(large)
+        known = F.array(*[F.lit(t) for t in PROCESS_TYPES])
+        large = large.where(F.size(F.array_except(parse_types(F.col("types")), known)) == 0)
+        unread = unread.unionByName(wrong)
+        located = located_roots(large, large_checksums, options.get("registry"))
+    result = process(roots, located=located, **options)
     return replace(result, errors=result.errors.unionByName(unread))
 
 
@@ -182,27 +179,30 @@ def process_path(
     types: list[str] | None = None,
     recurse: bool = True,
     glob: str | None = None,
-    large_bytes: int = LARGE_BYTES,
-    max_bytes: int = MAX_CONTENT_BYTES,
+    large_bytes: int = INLINE_BYTES,
     large_checksums: bool = True,
     **options,
 ) -> ProcessResult:
-    """Process all files below a path. Archives and mailboxes above ``large_bytes`` are read by many tasks each.
+    """Process all files below a path. Those above ``large_bytes`` are used where they lie, archives and mailboxes by many tasks.
 
-    Another file above ``max_bytes`` has its metadata and checksum; a reader that would need its whole content gives an
-    error row. The checksum of a split file is one task's work, as MD5 is sequential; ``large_checksums=False`` leaves
-    it NULL instead. Checksums of what is inside are not affected.
+    The checksum of a large file is one task's work, as MD5 is sequential; ``large_checksums=False`` leaves it NULL
+    instead, and types the file by its first megabytes. Checksums of what is inside are not affected.
     """
     types = types or ["all"]
     scanned = scan_files(spark, path, glob).withColumn("path", plain_path(F.col("path")))
-    columns = [F.col("path").alias("root_id"), F.element_at(F.split("path", "/"), -1).alias("name"), "content"]
-    files = scanned.where(F.col("length") <= min(large_bytes, max_bytes)).select(*columns)
-    listed = scanned.where(F.col("length") > min(large_bytes, max_bytes)).select("path", "length")
-    if listed.isEmpty():
-        return process(files, types, recurse, **options)
-    large = staged(large_roots(listed, types, recurse, large_checksums, options.get("registry")), "large")
-    by_members = F.col("mimetype").isin(ZIP, MBOX)
-    whole = large.where(~by_members & (F.col("length") <= max_bytes)).select(F.col("root_id").alias("path"))
-    files = files.unionByName(read_contents(whole).select(*columns))
-    large = large.where(by_members | (F.col("length") > max_bytes))
-    return process(files, types, recurse, large=(large, members_of(large, options.get("limits"))), **options)
+    root, name = F.col("path").alias("root_id"), F.element_at(F.split("path", "/"), -1).alias("name")
+    files = scanned.where(F.col("length") <= large_bytes).select(root, name, "content")
+    listed = scanned.where(F.col("length") > large_bytes).select(
+        F.col("path").alias("job_id"),
+        root,
+        name,
+        "path",
+        "length",
+        F.lit(None).cast("string").alias("mimetype"),
+        F.array(*[F.lit(t) for t in types]).alias("types"),
+        F.lit(recurse).alias("recurse"),
+    )
+    located = None
+    if not listed.isEmpty():
+        located = located_roots(listed, large_checksums, options.get("registry"))
+    return process(files, types, recurse, located=located, **options)

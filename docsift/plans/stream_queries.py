@@ -9,8 +9,9 @@ from docsift.functions.identity import dedupe_checksum
 from docsift.plans import fixtures
 from docsift.plans.catalog import query
 from docsift.plans.container_queries import _TREE
+from docsift.schemas import OUTPUTS
 from docsift.session import new_run_dir, staged
-from docsift.streaming.landing import append_stream, expand_stream, landing_stream, read_results, unique_stream
+from docsift.streaming.landing import append_stream, expand_stream, landing_stream, read_results, unique_files, unique_stream
 
 _ROOTS = "root_id string, name string, mimetype string, content binary"
 
@@ -85,3 +86,44 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.delete(last, False)
     expand_stream(landing, f"{run}/out", f"{run}/checkpoint", types=["embedded"]).awaitTermination()
     return _result(spark, f"{run}/out")
+
+
+@query(_EXPANDED)
+def stream_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second stream takes the results on as they are written, and each row once, also after it was stopped."""
+    run = new_run_dir(spark, "stream")
+    roots = staged(fixtures.nested_zips(spark, sf_dir), "roots")
+    first = F.pmod(F.xxhash64("root_id"), F.lit(2)) == 0
+    for part in (first, ~first):
+        _land(roots.where(part), f"{run}/landing", 1)
+        landing = landing_stream(spark, f"{run}/landing", _ROOTS, fmt="parquet")
+        expand_stream(landing, f"{run}/out", f"{run}/checkpoint", types=["embedded"]).awaitTermination()
+        results = landing_stream(spark, f"{run}/out/outputs", f"{OUTPUTS}, batch_id int", fmt="parquet")
+        append_stream(results, f"{run}/forwarded", f"{run}/forwarding").awaitTermination()
+    forwarded = spark.read.parquet(f"{run}/forwarded")
+    return forwarded.select("root_id", F.col("depth").cast("bigint").alias("depth"), "name", "mimetype", F.md5("content").alias("content_md5"))
+
+
+@query(
+    """
+SELECT CAST(min(doc_id) AS VARCHAR) AS root_id, md5(text) AS content_md5, CAST(strlen(text) AS BIGINT) AS length
+FROM documents GROUP BY text"""
+)
+def stream_unique_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their contents landing in two steps, the first of equal ones kept; a second stream goes on."""
+    run = new_run_dir(spark, "stream")
+    docs = fixtures.table(spark, sf_dir, "documents")
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    first = F.col("doc_id") <= (low + high) // 2
+    for part in (first, ~first):
+        landed = docs.where(part).select(
+            F.col("doc_id").cast("string").alias("root_id"),
+            F.encode("text", "UTF-8").alias("content"),
+            F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") / 1_000_000).alias("modificationTime"),
+        )
+        _land(landed, f"{run}/landing", 3)
+        stream = landing_stream(spark, f"{run}/landing", "root_id string, content binary, modificationTime timestamp", fmt="parquet")
+        keyed = stream.withColumn("checksum", dedupe_checksum(F.col("content"), F.lit("text/plain")))
+        unique_files(keyed, f"{run}/out", f"{run}/checkpoint").awaitTermination()
+    kept = read_results(spark, f"{run}/out", "files")
+    return kept.select("root_id", F.md5("content").alias("content_md5"), F.octet_length("content").cast("bigint").alias("length"))

@@ -55,10 +55,10 @@ def work_dir(spark: SparkSession) -> str:
 _MADE: list[list[str]] = []
 
 
-def new_run_dir(spark: SparkSession, label: str) -> str:
-    """A folder of its own for one run's tables."""
+def new_run_dir(spark: SparkSession, label: str, kept: bool = False) -> str:
+    """A folder of its own for one run's tables. ``kept`` is for what results point to: it outlives ``temporary_runs``."""
     path = f"{work_dir(spark)}/docsift/{label}-{uuid.uuid4().hex}"
-    for made in _MADE:
+    for made in [] if kept else _MADE:
         made.append(path)
     return path
 

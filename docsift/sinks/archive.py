@@ -1,8 +1,15 @@
-"""Export: the outputs of a root as zip archives."""
+"""Export: the outputs of a root as one zip archive, however large it is.
+
+An archive of one part is written by one task. A larger one is cut into parts that are deflated by many tasks into
+segments; each segment's entries are a table with their places in it. One task then joins the segments' bytes under the
+archive's name, without deflating anything again: the places of the entries are sums over the segments before, and the
+directory follows, in the 64-bit form where it has to be.
+"""
 
 from __future__ import annotations
 
 import posixpath
+import struct
 import zipfile
 from collections.abc import Iterator
 
@@ -12,94 +19,205 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsift.session import staged
+from docsift.sources.contents import read_pieces
+from docsift.sources.large import dealt
+from docsift.sources.zips import CENTRAL, DEFLATED, END, END_64, LOCATOR_64
 from docsift.stores import open_store
 
-MANIFEST = "job_id string, root_id string, volume int, path string, n_entries bigint, bytes bigint"
+MANIFEST = "job_id string, root_id string, path string, n_entries bigint, bytes bigint"
+_SEGMENTS = (
+    "job_id string, root_id string, part int, ordinal bigint, name string, crc bigint, compressed bigint, size bigint, offset bigint, "
+    "segment string, segment_bytes bigint, whole string"
+)
 
-# Entries per archive, so that roots of very many small outputs are split as well.
-VOLUME_ENTRIES = 1_000_000
+# Bytes and entries of a part, so that roots of very many small outputs are cut as well.
+PART_BYTES, PART_ENTRIES = 256 << 20, 250_000
 
-# Fixed value: all entries carry the earliest time a zip can hold, so that archives of equal content are equal.
+# All entries carry the earliest time a zip can hold, so that archives of equal content are equal. Names
+# that are not ASCII are UTF-8, sizes follow the data, and so they may have 64 bits.
 ENTRY_TIME = (1980, 1, 1, 0, 0, 0)
+_DOS_DATE, _SIZES_FOLLOW, _UTF8_NAME, _VERSION, _UNIX = 0x21, 0x08, 0x800, 45, 3
+_ATTRIBUTES = 0o600 << 16
+_MOST_16, _MOST_32 = 0xFFFF, 0xFFFFFFFF
 
 
-def with_volume(outputs: DataFrame, volume_bytes: int) -> DataFrame:
-    """Add ``volume``: 0 for a root that fits in one archive, else a number by path.
+def with_part(outputs: DataFrame, part_bytes: int, part_entries: int = PART_ENTRIES) -> tuple[DataFrame, int]:
+    """Add ``part`` and ``parts``, and how many tasks the bytes ask for: an output's part goes by a hash of its path.
 
-    Only roots that need several volumes are listed, of which there is at most one per ``volume_bytes`` of data and
-    one per ``VOLUME_ENTRIES`` outputs. Whether that table is sent to all tasks is left to Spark, which knows its size.
+    Only roots that need several parts are listed, of which there is at most one per ``part_bytes`` of data and one per
+    ``part_entries`` outputs. Whether that table is sent to all tasks is left to Spark, which knows its size.
     """
     sized = outputs.groupBy("job_id", "root_id").agg(F.sum("length").alias("bytes"), F.count("*").alias("n"))
-    volumes = F.greatest(F.ceil(F.col("bytes") / volume_bytes), F.ceil(F.col("n") / VOLUME_ENTRIES))
-    large = sized.select("job_id", "root_id", volumes.cast("int").alias("volumes")).where("volumes > 1")
-    joined = outputs.join(large, ["job_id", "root_id"], "left")
-    return joined.withColumn(
-        "volume", F.pmod(F.xxhash64("archive_path"), F.coalesce(F.col("volumes"), F.lit(1))).cast("int")
-    ).drop("volumes")
+    parts = F.greatest(F.ceil(F.col("bytes") / part_bytes), F.ceil(F.col("n") / part_entries), F.lit(1))
+    sized = staged(sized.select("job_id", "root_id", "bytes", parts.cast("int").alias("parts")), "archive-sizes")
+    units = sized.agg(F.sum(F.when(F.col("parts") > 1, F.col("parts"))).alias("cut"), F.sum("bytes").alias("bytes")).first()
+    cores = outputs.sparkSession.sparkContext.defaultParallelism
+    tasks = cores + (units.cut or 0) + (units.bytes or 0) // part_bytes
+    sized = sized.drop("bytes")
+    joined = outputs.join(sized.where("parts > 1"), ["job_id", "root_id"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    return joined.withColumn("part", F.pmod(F.xxhash64("archive_path"), F.col("parts")).cast("int")), tasks
 
 
-def write_archives(outputs: DataFrame, path: str, volume_bytes: int = 1 << 30) -> DataFrame:
-    """Write one zip per root of a job, in volumes where a root is large, and return the manifest rows.
+def write_archives(outputs: DataFrame, path: str, part_bytes: int = PART_BYTES, part_entries: int = PART_ENTRIES) -> DataFrame:
+    """Write one zip per root of a job and return the manifest rows, a table next to the archives.
 
-    Entry names are the archive paths. Volumes are complete archives: unpacked into one folder they give the whole
-    root. An archive is written under a temporary name by one task and renamed when it is complete. The manifest is a
-    table next to the archives.
+    Entry names are the archive paths. An archive is written under a temporary name and renamed when it is complete.
     """
     spark = outputs.sparkSession
     data = F.coalesce(F.col("content"), F.encode("text", "UTF-8"))
-    rows = with_volume(outputs.select("job_id", "root_id", "archive_path", "length", data.alias("data")), volume_bytes).drop("length")
-    key = ["job_id", "root_id", "volume"]
-    placed = rows.repartition(*key).sortWithinPartitions(*key, "archive_path")
+    place = F.col("stored.location") if "stored" in outputs.columns else F.lit(None).cast("string")
+    rows, tasks = with_part(
+        outputs.select("job_id", "root_id", "archive_path", "length", data.alias("data"), place.alias("place")), part_bytes, part_entries
+    )
+    key = ["job_id", "root_id", "part"]
+    dealt_out = dealt(rows.drop("length"), tasks, *key).sortWithinPartitions(*key, "archive_path")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = TaskContext.get().taskAttemptId()
-        current, archive, stream, count, size = None, None, None, 0, 0
         store, base = open_store(path)
+        store.create_dir(posixpath.join(base, "archives"), recursive=True)
+        store.create_dir(posixpath.join(base, "_segments"), recursive=True)
+        current, several, archive, stream, place = None, False, None, None, None
 
-        def names(key):
-            job, root, volume = key
-            name = f"{_file_name(root) if job == root else _file_name(job) + '.' + _file_name(root)}.{volume:05d}.zip"
-            # Listings leave out names that begin with an underscore, so an unfinished archive is not seen.
-            return posixpath.join(base, "archives", name), posixpath.join(base, "archives", f"_{attempt}.{name}")
-
-        def finish():
+        def finish() -> pa.RecordBatch:
+            # The data ends here; the directory that closing adds is not part of a segment.
+            end = stream.tell()
+            infos = archive.infolist()
             archive.close()
             stream.close()
-            final, partial = names(current)
-            store.move(partial, final)
-            return [*current, final, count, size]
+            job, root, part = current
+            segment, whole = None, None
+            if several:
+                segment = f"{path.rstrip('/')}/_segments/{posixpath.basename(place)}"
+            else:
+                whole = f"{path.rstrip('/')}/archives/{_archive_name(job, root)}"
+                store.move(place, posixpath.join(base, "archives", _archive_name(job, root)))
+            found = [(i, e.filename, e.CRC, e.compress_size, e.file_size, e.header_offset) for i, e in enumerate(infos)]
+            return _batch([(job, root, part, *e, segment, end, whole) for e in found], _SEGMENT_TYPES)
 
-        done: list[list] = []
         for batch in batches:
             keys = zip(*(batch.column(c).to_pylist() for c in key), strict=True)
-            entry_names, contents = batch.column("archive_path").to_pylist(), batch.column("data")
+            names, contents = batch.column("archive_path").to_pylist(), batch.column("data")
+            places, parts = batch.column("place").to_pylist(), batch.column("parts").to_pylist()
             for i, found in enumerate(keys):
                 if found != current:
                     if current is not None:
-                        done.append(finish())
-                    current, count, size = found, 0, 0
-                    store.create_dir(posixpath.join(base, "archives"), recursive=True)
-                    stream = store.open_output_stream(names(found)[1])
+                        yield finish()
+                    current, several = found, parts[i] > 1
+                    # Listings leave out names that begin with an underscore, so an unfinished archive is not seen.
+                    partial = f"_{attempt}.{_archive_name(*found[:2])}"
+                    place = posixpath.join(base, "_segments" if several else "archives", f"{partial}.{found[2]}" if several else partial)
+                    stream = store.open_output_stream(place)
                     archive = zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED, allowZip64=True)
-                content = contents[i].as_py() or b""
-                archive.writestr(_entry(entry_names[i]), content)
-                count, size = count + 1, size + len(content)
+                pieces = [contents[i].as_py() or b""] if places[i] is None else read_pieces(places[i])
+                with archive.open(_entry(names[i]), "w", force_zip64=places[i] is not None) as entry:
+                    for piece in pieces:
+                        entry.write(piece)
         if current is not None:
-            done.append(finish())
-        if done:
-            yield _manifest_batch(done)
+            yield finish()
 
-    manifest = placed.mapInArrow(write, MANIFEST)
+    segments = staged(dealt_out.mapInArrow(write, _SEGMENTS), "segments")
+    rows = segments.where("segment is null").groupBy("job_id", "root_id", F.col("whole").alias("path"))
+    rows = rows.agg(F.count("*").alias("n_entries"), F.sum("size").alias("bytes"))
+    cut = segments.where("segment is not null")
+    archives = cut.select("job_id", "root_id").distinct().count()
+    joined = dealt(cut, archives, "job_id", "root_id").sortWithinPartitions(*key, "ordinal").mapInArrow(_joined(path), MANIFEST)
+    manifest = rows.unionByName(joined) if archives else rows
     manifest.write.mode("overwrite").parquet(f"{path}/manifest")
+    _delete(spark, f"{path}/_segments")
     return spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
 
 
-def _manifest_batch(rows: list[list]) -> pa.RecordBatch:
-    columns = list(zip(*rows))
-    types = [pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, types)], names=["job_id", "root_id", "volume", "path", "n_entries", "bytes"]
-    )
+def _joined(path: str):
+    """Joins the segments of archives, whose entries come in order; one entry and one piece of bytes are held at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        attempt = TaskContext.get().taskAttemptId()
+        store, base = open_store(path)
+        current, writer = None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                found = row["job_id"], row["root_id"]
+                if found != current:
+                    if writer is not None:
+                        yield _batch([(*current, *writer.finish())], _MANIFEST_TYPES)
+                    current = found
+                    name = _archive_name(*found)
+                    final, partial = (posixpath.join(base, "archives", n) for n in (name, f"_{attempt}.{name}"))
+                    writer = _Joiner(store, final, partial, f"{path.rstrip('/')}/archives/{name}")
+                writer.add(row)
+        if writer is not None:
+            yield _batch([(*current, *writer.finish())], _MANIFEST_TYPES)
+
+    return run
+
+
+class _Joiner:
+    def __init__(self, store: fs.FileSystem, final: str, partial: str, shown: str):
+        self.store, self.final, self.partial, self.shown = store, final, partial, shown
+        self.stream = store.open_output_stream(partial)
+        # The directory comes last, but is known as entries pass: it waits in a file of its own.
+        self.waiting = f"{partial}.directory"
+        self.directory = store.open_output_stream(self.waiting)
+        self.segment, self.base, self.at, self.directory_bytes, self.n, self.bytes = None, 0, 0, 0, 0, 0
+
+    def add(self, row: dict) -> None:
+        if row["segment"] != self.segment:
+            self.segment, self.base = row["segment"], self.at
+            for piece in read_pieces(self.segment, 0, row["segment_bytes"]):
+                self.stream.write(piece)
+            self.at += row["segment_bytes"]
+        record = directory_record(row["name"], row["crc"], row["compressed"], row["size"], self.base + row["offset"])
+        self.directory.write(record)
+        self.directory_bytes += len(record)
+        self.n, self.bytes = self.n + 1, self.bytes + row["size"]
+
+    def finish(self) -> tuple[str, int, int]:
+        self.directory.close()
+        with self.store.open_input_stream(self.waiting) as stream:
+            while piece := stream.read(1 << 20):
+                self.stream.write(piece)
+        self.stream.write(end_of_archive(self.n, self.directory_bytes, self.at))
+        self.stream.close()
+        self.store.delete_file(self.waiting)
+        self.store.move(self.partial, self.final)
+        return self.shown, self.n, self.bytes
+
+
+def directory_record(name: str, crc: int, compressed: int, size: int, offset: int) -> bytes:
+    """An entry's record in the directory, as the zip format has it; numbers that need more than 32 bits go into its extra field."""
+    raw = name.encode()
+    flags = _SIZES_FOLLOW | (0 if name.isascii() else _UTF8_NAME)
+    long = [v for v in (size, compressed, offset) if v >= _MOST_32]
+    extra = struct.pack(f"<HH{len(long)}Q", 1, 8 * len(long), *long) if long else b""
+    size, compressed, offset = (min(v, _MOST_32) for v in (size, compressed, offset))
+    head = struct.pack(
+        "<4sBBHHHHHLLLHHHHHLL",
+        CENTRAL, _VERSION, _UNIX, _VERSION, flags, DEFLATED, 0, _DOS_DATE, crc, compressed, size, len(raw), len(extra), 0, 0, 0, _ATTRIBUTES, offset,
+    )
+    return head + raw + extra
+
+
+def end_of_archive(n: int, size: int, offset: int) -> bytes:
+    """The records after a directory of ``n`` entries and ``size`` bytes that begins at ``offset``."""
+    out = b""
+    if n >= _MOST_16 or size >= _MOST_32 or offset >= _MOST_32:
+        out += struct.pack("<4sQHHLLQQQQ", END_64, 44, _VERSION, _VERSION, 0, 0, n, n, size, offset)
+        out += struct.pack("<4sLQL", LOCATOR_64, 0, offset + size, 1)
+    return out + struct.pack("<4sHHHHLLH", END, 0, 0, min(n, _MOST_16), min(n, _MOST_16), min(size, _MOST_32), min(offset, _MOST_32), 0)
+
+
+_SEGMENT_TYPES = {
+    "job_id": pa.string(), "root_id": pa.string(), "part": pa.int32(), "ordinal": pa.int64(), "name": pa.string(), "crc": pa.int64(),
+    "compressed": pa.int64(), "size": pa.int64(), "offset": pa.int64(), "segment": pa.string(), "segment_bytes": pa.int64(), "whole": pa.string(),
+}
+_MANIFEST_TYPES = {"job_id": pa.string(), "root_id": pa.string(), "path": pa.string(), "n_entries": pa.int64(), "bytes": pa.int64()}
+
+
+def _batch(rows: list[tuple], types: dict[str, pa.DataType]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)], names=list(types))
 
 
 def _entry(name: str) -> zipfile.ZipInfo:
@@ -110,23 +228,22 @@ def _entry(name: str) -> zipfile.ZipInfo:
     return info
 
 
+def _archive_name(job_id: str, root_id: str) -> str:
+    return f"{_file_name(root_id) if job_id == root_id else _file_name(job_id) + '.' + _file_name(root_id)}.zip"
+
+
 def _file_name(root_id: str) -> str:
     return "".join(c if c.isalnum() or c in "-_" else f"%{ord(c):x}" for c in root_id)
 
 
-def publish(manifest: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Copy each root's archives to its job's ``output_uri``, one task per archive. Returns ``job_id, root_id, uri, bytes``.
+def _delete(spark, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
-    A root in one volume goes to the URI itself, further volumes get their number added.
-    """
-    several = manifest.groupBy("job_id", "root_id").agg((F.count("*") > 1).alias("several"))
-    targets = jobs.select("job_id", "output_uri")
-    numbered = F.concat(F.col("output_uri"), F.lit("."), F.lpad(F.col("volume").cast("string"), 5, "0"))
-    copies = (
-        manifest.join(several, ["job_id", "root_id"])
-        .join(targets, "job_id")
-        .select("job_id", "root_id", "path", F.when(F.col("several"), numbered).otherwise(F.col("output_uri")).alias("uri"))
-    )
+
+def publish(manifest: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Copy each root's archive to its job's ``output_uri``, one task per archive. Returns ``job_id, root_id, uri, bytes``."""
+    copies = manifest.join(jobs.select("job_id", F.col("output_uri").alias("uri")), "job_id").select("job_id", "root_id", "path", "uri")
 
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,4 +260,5 @@ def publish(manifest: DataFrame, jobs: DataFrame) -> DataFrame:
                 names=["job_id", "root_id", "uri", "bytes"],
             )
 
-    return copies.repartition("job_id", "path").mapInArrow(copy, "job_id string, root_id string, uri string, bytes bigint")
+    n = manifest.count()
+    return dealt(copies, n, "job_id", "path").mapInArrow(copy, "job_id string, root_id string, uri string, bytes bigint")

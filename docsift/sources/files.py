@@ -13,11 +13,9 @@ from pyspark.sql import types as T
 from docsift.functions.uris import hadoop_uri, object_location
 from docsift.operators.skew import join_to_small
 from docsift.session import staged
+from docsift.sources.contents import INLINE_BYTES
 from docsift.stores import open_store
 
-# A binary value holds at most 2 GiB; a longer file is reported, and a longer mailbox is scanned with scan_mailboxes.
-MAX_CONTENT_BYTES = 2_000_000_000
-
 
 def scan_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """``path, modificationTime, length, content`` of every file below a path."""
@@ -32,8 +30,9 @@ def plain_path(uri: Column) -> Column:
     return F.regexp_replace(hadoop_uri(uri), "^file:/*", "file:/")
 
 
-def scan_jobs(jobs: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Root files of a table of jobs, and an error row for each input that cannot be read.
+def scan_jobs(jobs: DataFrame, files: DataFrame, large_bytes: int = INLINE_BYTES) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Root files of a table of jobs with their contents, those above a size without, and an error row for each input
+    that cannot be read.
 
     ``files`` is a scan of the folders the inputs lie in, of which only the listing is used: the task that holds a job
     reads the job's file, and no other file is opened. A file that went away since it was listed is an error row.
@@ -43,14 +42,16 @@ def scan_jobs(jobs: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
     bad_uri = is_object & object_location(F.regexp_replace("input_uri", "^s3[an]:", "s3:")).isNull()
     listed = files.select(plain_path(F.col("path")).alias("path"), "length")
     checked = jobs.withColumn("bad_uri", F.coalesce(bad_uri, F.lit(False))).join(listed, "path", "left")
-    problem = (
-        F.when(F.col("bad_uri"), "S3UriParseError")
-        .when(F.col("length").isNull(), "not_found")
-        .when(F.col("length") > MAX_CONTENT_BYTES, "too_large")
-    )
+    problem = F.when(F.col("bad_uri"), "S3UriParseError").when(F.col("length").isNull(), "not_found")
     checked = checked.withColumn("error_class", problem)
+    named = F.element_at(F.split("path", "/"), -1).alias("name")
+    known = checked.where("error_class is null")
+    large = known.where(F.col("length") > large_bytes).select(
+        "job_id", F.col("job_id").alias("root_id"), named, "path", "length", "mimetype", "types", "recurse"
+    )
     # Jobs are narrow rows; their contents come in after they are spread.
-    good = checked.where("error_class is null").select("job_id", "path", "mimetype", "types", "recurse").repartition("job_id", "path")
+    small = known.where(F.col("length") <= large_bytes)
+    good = small.select("job_id", "path", "mimetype", "types", "recurse").repartition("job_id", "path")
     gone = with_contents(good.select("job_id", "path"), only_missing=True).select("job_id", F.lit("not_found").alias("error_class"))
     gone = gone.join(jobs.select("job_id", "input_uri"), "job_id")
     errors = checked.where("error_class is not null").select("job_id", "error_class", "input_uri")
@@ -66,13 +67,13 @@ def scan_jobs(jobs: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
     roots = with_contents(good).select(
         "job_id",
         F.col("job_id").alias("root_id"),
-        F.element_at(F.split("path", "/"), -1).alias("name"),
+        named,
         "mimetype",
         "types",
         "recurse",
         "content",
     )
-    return roots, errors
+    return roots, large, errors
 
 
 def with_contents(rows: DataFrame, only_missing: bool = False) -> DataFrame:

@@ -1,263 +1,376 @@
-"""Files too large for one row: archives and mailboxes whose members are read by many tasks."""
+"""Contents that are files of their own: archives and mailboxes whose members are read by many tasks, and their texts.
+
+Inputs above a size are used where they lie; what is found in them and is as large was stored while it was unpacked (see
+``sources.contents``). Both are read by place and range, so no content has to fit into a row or a task.
+"""
 
 from __future__ import annotations
 
-import hashlib
-import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import BinaryType, LongType, StringType, StructType
+from pyspark.sql.types import StructType
 
-from docsift.functions.identity import BUFFER_BYTES
-from docsift.functions.mime import identify_or_default
-from docsift.operators.expand import Limits, read_entry, unquoted
+from docsift.operators.openers import Limits, Openers, opened_row, unquoted
 from docsift.operators.routing import parse_types
 from docsift.operators.skew import join_to_small
-from docsift.schemas import EXPANDED, MBOX, ZIP
-from docsift.session import staged
-from docsift.sources.files import plain_path
+from docsift.schemas import EXPANDED, LOOK_STRUCT, MAIL, MBOX, STORED, ZIP
+from docsift.session import new_run_dir, staged
+from docsift.sources.contents import decoded_pieces, kept_content, look_at, looked_checksum, looked_type, read_pieces
 from docsift.sources.registry import mime_registry, with_type_by_name
+from docsift.sources.zips import Entry, Reader, content_of
+from docsift.sources.zips import entries as entries_of
 from docsift.stores import open_store
 
 # A mailbox is read in ranges of this size, and a range in steps of the other.
 RANGE_BYTES = 64 << 20
 READ_BYTES = 4 << 20
-
-_LOOKED_AT = "path string, checksum string, head binary"
-
-_MEMBER = (
-    StructType()
-    .add("path", StringType())
-    .add("ordinal", LongType())
-    .add("child_name", StringType())
-    .add("error", StringType())
+# Compressed bytes of archive entries that are one unit of work, and what an entry costs beside its bytes.
+UNIT_BYTES, ENTRY_COST = 64 << 20, 4096
+# Tasks of a stage per core at most; a task takes several units then.
+TASKS_PER_CORE = 16
+# A value holds at most 2 GiB.
+MOST_VALUE_BYTES = 2_000_000_000
+
+_LISTED = (
+    "path string, ordinal bigint, name string, method int, flags int, crc bigint, compressed bigint, size bigint, offset bigint, "
+    "before bigint, error string"
+)
+_MEMBERS = (
+    f"path string, record string, ordinal bigint, child_name string, content binary, location string, look {LOOK_STRUCT}, "
+    "error_class string, message string"
 )
 
 
-def streamed_checksums(paths: DataFrame, checksums: bool = True) -> DataFrame:
-    """``path, checksum, head`` of files read by path: the dedupe checksum of the content and the first kilobyte.
+def _arrow(ddl: str) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(ddl))
 
-    MD5 is sequential, so a file is one task's work; it is read in buffers and never held. Without ``checksums`` only
-    the first kilobyte is read.
-    """
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            paths = batch.column("path").to_pylist()
-            sums, heads = zip(*(_streamed(path, checksums) for path in paths)) if paths else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(paths, pa.string()), pa.array(sums, pa.string()), pa.array(heads, pa.binary())],
-                names=["path", "checksum", "head"],
-            )
+def dealt(rows: DataFrame, units: int, *keys: str) -> DataFrame:
+    """Rows that stand for much work each, in as many partitions as there are units of it.
 
-    return paths.select("path").repartition("path").mapInArrow(look, _LOOKED_AT)
+    The number is given, as a plan that goes by the rows' own few bytes would put them all into one.
+    """
+    most = TASKS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(min(max(units, 1), most), *keys)
 
 
-def _streamed(path: str, checksum: bool) -> tuple[str | None, bytes]:
-    store, name = open_store(path)
-    with store.open_input_stream(name, buffer_size=0) as stream:
-        if not checksum:
-            return None, stream.read(1024)
-        md5, buffer, head = hashlib.md5(), bytearray(BUFFER_BYTES), None
-        while chunk := stream.read(BUFFER_BYTES):
-            head = chunk[:1024] if head is None else head
-            buffer[: len(chunk)] = chunk
-            md5.update(buffer)
-    return md5.hexdigest(), head or b""
+def looks(files: DataFrame, checksums: bool = True) -> DataFrame:
+    """``path, look`` of files (``path, is_mail``), each read once from its beginning to its end by one task.
 
+    MD5 is sequential, so a file is one task's work; it is read in pieces and never held. Without ``checksums`` only a
+    file's beginning is looked at, and its type goes by that.
+    """
 
-def read_contents(files: DataFrame) -> DataFrame:
-    """``path, content`` of listed files, each read by the task that holds its row."""
+    kind = _arrow(f"look {LOOK_STRUCT}").field("look").type
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column("path").to_pylist():
-                store, name = open_store(path)
-                with store.open_input_file(name) as stream:
-                    yield pa.RecordBatch.from_pydict({"path": [path], "content": pa.array([stream.read()], pa.binary())})
-
-    return files.select("path").repartition("path").mapInArrow(read, "path string, content binary")
-
-
-def large_roots(
-    files: DataFrame, types: list[str], recurse: bool = True, checksums: bool = True, registry: DataFrame | None = None
-) -> DataFrame:
-    """FILES rows without content for scanned files (``path, length``), typed by name and first bytes."""
-    looked = streamed_checksums(files, checksums).join(files.select("path", "length"), "path")
-    named = looked.withColumn("name", F.element_at(F.split("path", "/"), -1))
-    named = with_type_by_name(named, mime_registry(files.sparkSession) if registry is None else registry)
-    return named.select(
-        F.col("path").alias("job_id"),
-        F.col("path").alias("root_id"),
-        F.sha2(F.concat_ws("\x1f", "path", "path"), 256).alias("file_id"),
+            for path, is_mail in zip(batch.column("path").to_pylist(), batch.column("is_mail").to_pylist(), strict=True):
+                found = look_at(path, bool(is_mail)) if checksums else look_at(path, bool(is_mail), READ_BYTES)
+                row = found.__dict__ if checksums else {**found.__dict__, "checksum": None, "mail_checksum": None, "sha256": None, "md5": None}
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([row], kind)], names=["path", "look"])
+
+    paths = files.select("path", "is_mail").distinct()
+    return dealt(paths, paths.count(), "path").mapInArrow(run, f"path string, look {LOOK_STRUCT}")
+
+
+def located_roots(files: DataFrame, checksums: bool = True, registry: DataFrame | None = None) -> DataFrame:
+    """FILES rows of inputs that are used where they lie: ``job_id, root_id, name, path, length, mimetype, types, recurse``."""
+    named = with_type_by_name(files, mime_registry(files.sparkSession) if registry is None else registry)
+    named = staged(named.withColumn("is_mail", F.coalesce(F.coalesce("mimetype", "type_by_name") == MAIL, F.lit(False))), "large")
+    rows = named.join(staged(looks(named, checksums), "looks"), "path")
+    mimetype = F.coalesce(F.col("mimetype"), looked_type(F.col("look"), F.col("type_by_name")))
+    return rows.withColumn("mimetype", mimetype).select(
+        "job_id",
+        "root_id",
+        F.sha2(F.concat_ws("\x1f", "job_id", "root_id"), 256).alias("file_id"),
         F.lit(None).cast("string").alias("parent_id"),
         F.lit(0).alias("depth"),
         F.lit(0).cast("bigint").alias("ordinal"),
         F.array().cast("array<string>").alias("id_chain"),
         "name",
-        identify_or_default(F.col("head"), F.col("type_by_name")).alias("mimetype"),
-        "checksum",
+        "mimetype",
+        looked_checksum(F.col("look"), F.col("mimetype")).alias("checksum"),
         "length",
-        parse_types(F.array(*[F.lit(t) for t in types])).alias("types"),
-        F.lit(recurse).alias("recurse"),
+        parse_types(F.col("types")).alias("types"),
+        "recurse",
         F.lit(None).cast("string").alias("decoded"),
         F.lit(None).cast("binary").alias("content"),
+        F.struct(F.col("path").alias("location"), F.col("look.sha256").alias("sha256"), F.col("look.md5").alias("md5")).alias("stored"),
     )
 
 
 def archive_members(archives: DataFrame, limits: Limits | None = None) -> DataFrame:
-    """``path, record, ordinal, child_name, content, error_class, message`` of the entries of zip files.
+    """``path, record, ordinal, child_name, content, location, look, error_class, message`` of the entries of zip files.
 
-    The directory of an archive is listed first; its entries are then spread over tasks one by one, so a single archive
-    with most of all entries is read by the whole cluster.
+    The directory of an archive is read once, in a stream, into a table of entries with their places. Runs of entries
+    with about as many compressed bytes are units of work, so a single archive with most of all entries is read by the
+    whole cluster, and a task goes to the places of its entries. An entry above the limit is unpacked into a file of its
+    own and never held.
     """
-    limits = limits or Limits()
+    limits = (limits or Limits()).with_folder(archives.sparkSession)
+    listing, found = _arrow(_LISTED), _arrow(_MEMBERS)
 
     def list_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = to_arrow_schema(_MEMBER)
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 rows = []
                 try:
-                    with _archive(path) as archive:
-                        rows = [
-                            {"path": path, "ordinal": i, "child_name": e.orig_filename}
-                            for i, e in enumerate(archive.infolist())
-                        ]
+                    with _open(path) as stream:
+                        # Looked through once before, as a damaged directory gives no entry at all.
+                        for _ in entries_of(_reader(stream), stream.size()):
+                            pass
+                        for entry in entries_of(_reader(stream), stream.size()):
+                            rows.append({"path": path, **entry.__dict__})
+                            if len(rows) == 10_000:
+                                yield pa.RecordBatch.from_pylist(rows, schema=listing)
+                                rows = []
                 except Exception as e:  # noqa: BLE001 - any fault of untrusted bytes
-                    rows = [{"path": path, "ordinal": 0, "error": f"{type(e).__name__}: {e}"}]
-                for at in range(0, len(rows), 10_000):
-                    yield pa.RecordBatch.from_pylist(rows[at : at + 10_000], schema=schema)
+                    rows = [{"path": path, "ordinal": 0, "before": 0, "error": f"{type(e).__name__}: {e}"}]
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema=listing)
 
     def read_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = to_arrow_schema(_entry_schema())
+        open_path, stream = None, None
         for batch in batches:
             rows, held = [], 0
-            open_path, archive, entries = None, None, []
             for member in batch.to_pylist():
-                if member["error"] is not None:
-                    row = {"record": "error", "error_class": "bad_container", "message": member["error"]}
+                path, error = member.pop("path"), member.pop("error")
+                member.pop("unit")
+                where = {"path": path, "ordinal": member["ordinal"]}
+                if error is not None:
+                    row = {"record": "error", "error_class": "bad_container", "message": error}
                 else:
+                    entry = Entry(**member)
                     try:
-                        if member["path"] != open_path:
-                            archive = _archive(member["path"])
-                            open_path, entries = member["path"], archive.infolist()
-                        row = read_entry(archive, entries[member["ordinal"]], member["ordinal"], limits)
+                        if path != open_path:
+                            stream, open_path = _open(path), path
+                        row = opened_row(entry.name, entry.size, lambda: content_of(_reader(stream), entry), limits)  # noqa: B023 - used at once
                     except Exception as e:  # noqa: BLE001 - a file that went away or changed since it was listed
-                        row = {"record": "error", "error_class": "bad_entry", "message": f"{member['child_name']}: {e}"}
-                rows.append({"path": member["path"], "ordinal": member["ordinal"], **row})
+                        row = {"record": "error", "error_class": "bad_entry", "message": f"{entry.name}: {e}", "child_name": entry.name}
+                rows.append({**where, **row})
                 held += 200 + len(row.get("content") or b"")
                 if held >= limits.batch_bytes:
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    yield pa.RecordBatch.from_pylist(rows, schema=found)
                     rows, held = [], 0
             if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
-    listed = archives.select("path").repartition("path").mapInArrow(list_entries, _MEMBER)
-    # Entries next to each other go to the same task in runs, so a task opens an archive once per run.
-    run = F.floor(F.col("ordinal") / 256)
-    spread = listed.repartition("path", run).sortWithinPartitions("path", "ordinal")
-    return spread.mapInArrow(read_entries, _entry_schema())
-
-
-def _entry_schema() -> StructType:
-    text = StringType()
-    return (
-        StructType()
-        .add("path", text)
-        .add("record", text)
-        .add("ordinal", LongType())
-        .add("child_name", text)
-        .add("content", BinaryType())
-        .add("error_class", text)
-        .add("message", text)
-    )
+                yield pa.RecordBatch.from_pylist(rows, schema=found)
+
+    paths = archives.select("path").distinct()
+    listed = staged(dealt(paths, paths.count(), "path").mapInArrow(list_entries, _LISTED), "directories")
+    unit = F.floor((F.col("before") + F.col("ordinal") * ENTRY_COST) / UNIT_BYTES)
+    listed = listed.withColumn("unit", unit)
+    units = listed.select("path", "unit").distinct().count()
+    spread = dealt(listed, units, "path", "unit").sortWithinPartitions("path", "ordinal")
+    return spread.mapInArrow(read_entries, _MEMBERS)
 
 
-def _archive(path: str) -> zipfile.ZipFile:
+def _open(path: str):
     store, name = open_store(path)
-    return zipfile.ZipFile(store.open_input_file(name))
+    return store.open_input_file(name)
 
 
-def mailbox_members(mailboxes: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """``path, ordinal, content`` of the messages of listed mailboxes (``path, length``), and an error row without any.
+def _reader(stream) -> Reader:
+    def read(at: int, size: int) -> bytes:
+        stream.seek(at)
+        return stream.read(size)
+
+    return read
+
+
+def mailbox_members(mailboxes: DataFrame, range_bytes: int = RANGE_BYTES, limits: Limits | None = None) -> DataFrame:
+    """``path, ordinal, content, location, look`` of the messages of mailboxes (``path, length``), and an error row without any.
 
     A mailbox is cut into byte ranges, which are rows of their own and spread over tasks. A task reads the messages that
-    start in its range, the last of them to its end beyond it. Counts per range then give each message its place.
+    start in its range, the last of them to its end beyond it; a message above the limit goes into a file of its own and
+    is never held. Counts per range then give each message its place.
     """
+    limits = (limits or Limits()).with_folder(mailboxes.sparkSession)
+    mailboxes = mailboxes.select("path", "length").distinct()
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(range_bytes).cast("long"))
-    ranges = mailboxes.select("path", F.explode(starts).alias("start")).repartition("path", "start")
+    ranges = mailboxes.select("path", F.explode(starts).alias("start"))
+    schema = f"path string, start long, place long, content binary, location string, look {LOOK_STRUCT}"
+
+    arrow = _arrow(schema)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist(), strict=True):
-                for place, content in enumerate(_messages(path, start, start + range_bytes)):
-                    columns = {"path": [path], "start": [start], "place": [place], "content": pa.array([content], pa.binary())}
-                    yield pa.RecordBatch.from_pydict(columns)
-
-    found = staged(ranges.mapInArrow(read, "path string, start long, place long, content binary"), "mailbox")
+                rows, held = [], 0
+                for place, pieces in enumerate(_messages(path, start, start + range_bytes)):
+                    kept = kept_content(pieces, limits.folder, limits.inline_bytes, is_mail=True)
+                    rows.append({"path": path, "start": start, "place": place, **kept})
+                    held += 200 + len(kept.get("content") or b"")
+                    if held >= limits.batch_bytes:
+                        yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+                        rows, held = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+
+    found = staged(dealt(ranges, ranges.count(), "path", "start").mapInArrow(read, schema), "mailbox")
     counts = found.groupBy("path", "start").agg(F.count("*").alias("n"))
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select("path", "start", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    placed = found.join(firsts, ["path", "start"]).select("path", (F.col("first") + F.col("place")).alias("ordinal"), "content")
+    ordinal = (F.col("first") + F.col("place")).alias("ordinal")
+    placed = found.join(firsts, ["path", "start"]).select("path", ordinal, "content", "location", "look")
     empty = mailboxes.select("path").join(counts.select("path").distinct(), "path", "left_anti").select(
         "path", F.lit("error").alias("record"), F.lit("bad_container").alias("error_class"), F.lit("ValueError: no message separator").alias("message")
     )
     return placed.withColumn("record", F.lit("child")).unionByName(empty, allowMissingColumns=True)
 
 
-def _messages(path: str, start: int, stop: int) -> Iterator[bytes]:
-    """Messages whose separator line starts at a place from ``start`` and before ``stop``."""
-    store, name = open_store(path)
-    with store.open_input_file(name) as stream:
+def _messages(path: str, start: int, stop: int) -> Iterator[Iterator[bytes]]:
+    """Messages, in pieces, whose separator line starts at a place from ``start`` and before ``stop``.
+
+    The pieces of a message are read before the next message is asked for.
+    """
+    reader = _Mailbox(path, start)
+    while reader.at_separator(stop):
+        message = reader.message()
+        yield message
+        for _ in message:
+            pass
+
+
+class _Mailbox:
+    """A mailbox from a place on, of which a part of a message is held at most.
+
+    The first byte held is a line feed where a line begins after it, and stands for the line before it.
+    """
+
+    def __init__(self, path: str, start: int):
         at = max(start - 1, 0)
-        stream.seek(at)
+        self.pieces = read_pieces(path, at, step=READ_BYTES)
         # A line feed stands for the beginning of the file, so that every separator follows one.
-        held = bytearray(b"" if start else b"\n")
-        offset = at - len(held)
-        opened, searched, ended = None, 0, False
-        while True:
-            found = held.find(b"\nFrom ", searched)
-            if found < 0:
-                searched = max(0, len(held) - 5)
-                if ended:
-                    break
-                if opened is None and offset + searched >= stop:
-                    return
-                chunk = stream.read(READ_BYTES)
-                ended = not chunk
-                held += chunk
-                continue
-            if opened is not None:
-                yield _without_separator(bytes(held[opened : found + 1]))
-            if offset + found + 1 >= stop:
+        self.held = bytearray(b"" if start else b"\n")
+        self.offset = at - len(self.held)
+
+    def _more(self) -> bool:
+        piece = next(self.pieces, b"")
+        self.held += piece
+        return bool(piece)
+
+    def _drop(self, n: int) -> None:
+        del self.held[:n]
+        self.offset += n
+
+    def at_separator(self, stop: int) -> bool:
+        """Go to the next separator line, if one begins before ``stop``."""
+        while (found := self.held.find(b"\nFrom ")) < 0:
+            self._drop(max(0, len(self.held) - 5))
+            if self.offset + 1 >= stop or not self._more():
+                return False
+        self._drop(found)
+        return self.offset + 1 < stop
+
+    def message(self) -> Iterator[bytes]:
+        """The message after the separator line that is held, quoted separator lines restored."""
+        at = 1
+        while (end := self.held.find(b"\n", at)) < 0:
+            at = len(self.held)
+            if not self._more():
+                self._drop(at)
+                return
+        self._drop(end)
+        while (found := self.held.find(b"\nFrom ")) < 0:
+            if len(self.held) >= max(READ_BYTES, 64):
+                # The last line waits, as a separator or a quoted one may be cut; but for a very long one, which is neither.
+                line = self.held.rfind(b"\n")
+                cut = line if line > 0 else len(self.held) - 1
+                yield unquoted(bytes(self.held[: cut + 1]))[1:]
+                self._drop(cut)
+            if not self._more():
+                yield unquoted(bytes(self.held))[1:]
+                self._drop(len(self.held))
                 return
-            # What lies before an open message is not needed again.
-            del held[: found + 1]
-            offset += found + 1
-            opened, searched = 0, 1
-        if opened is not None:
-            yield _without_separator(bytes(held[opened:]))
+        yield unquoted(bytes(self.held[: found + 1]))[1:]
+        self._drop(found)
 
 
-def _without_separator(message: bytes) -> bytes:
-    return unquoted(message[message.find(b"\n") + 1 :] if b"\n" in message else b"")
+def _carried(containers: DataFrame) -> DataFrame:
+    return containers.select(
+        "job_id", "root_id", "file_id", "depth", "id_chain", "name", "mimetype", "checksum", "types", "recurse", F.col("stored.location").alias("path")
+    )
 
 
-def members_of(roots: DataFrame, limits: Limits | None = None) -> DataFrame:
-    """EXPANDED rows of large zip and mailbox roots, to be given to ``process`` as ``seed``."""
-    carried = roots.where(F.array_contains("types", "embedded")).withColumn("path", plain_path(F.col("root_id")))
-    mailboxes = carried.where(F.col("mimetype") == MBOX).select("path", "length")
-    carried = carried.drop("content", "length", "ordinal", "parent_id")
-    members = archive_members(carried.where(F.col("mimetype") == ZIP), limits)
-    members = members.unionByName(mailbox_members(mailboxes), allowMissingColumns=True)
-    wanted = StructType.fromDDL(EXPANDED)
-    rows = join_to_small(members, carried.where(F.col("mimetype").isin(ZIP, MBOX)), ["path"], "ordinal")
-    have = set(rows.columns)
-    return rows.select(
-        *[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted]
+def _in_parts(openers: Openers) -> list[str]:
+    """The formats of large containers that are read by many tasks: archives and mailboxes, unless a user's opener reads them."""
+    return [kind for kind in (ZIP, MBOX) if openers.by_type.get(kind) is Openers().by_type[kind]]
+
+
+def opened_as_a_whole(containers: DataFrame, openers: Openers) -> DataFrame:
+    """Of containers with a file of their own, those that an opener needs as a value, and that fit into one."""
+    whole = F.col("mimetype").isin(*openers.by_type) & ~F.col("mimetype").isin(*_in_parts(openers))
+    return containers.where(whole & F.col("stored").isNotNull() & (F.col("length") <= MOST_VALUE_BYTES))
+
+
+def located_members(containers: DataFrame, openers: Openers, limits: Limits) -> DataFrame:
+    """EXPANDED rows of containers with their content in a file of their own: archives and mailboxes, by many tasks each.
+
+    A container of a format that can only be opened as a whole, and does not fit into a value, is an error row.
+    """
+    parts = _in_parts(openers)
+    asked = containers.where(F.array_contains("types", "embedded") & F.col("mimetype").isin("", *parts))
+    archives = asked.where(F.col("mimetype") == ZIP).select(F.col("stored.location").alias("path"))
+    boxes = asked.where(F.col("mimetype") == MBOX).select(F.col("stored.location").alias("path"), "length")
+    found = archive_members(archives, limits).unionByName(mailbox_members(boxes, limits=limits), allowMissingColumns=True)
+    rows = join_to_small(found, _carried(asked), ["path"], "ordinal").drop("path")
+    whole = containers.where(F.col("mimetype").isin(*openers.by_type) & ~F.col("mimetype").isin(*parts) & (F.col("length") > MOST_VALUE_BYTES))
+    too_large = _carried(whole).drop("path").withColumns(
+        {
+            "record": F.lit("error"),
+            "ordinal": F.lit(0).cast("bigint"),
+            "error_class": F.lit("too_large"),
+            "message": F.concat(F.col("name"), F.lit(": such a file is opened as a whole")),
+        }
     )
+    rows = rows.unionByName(too_large, allowMissingColumns=True)
+    have = set(rows.columns)
+    wanted = StructType.fromDDL(EXPANDED)
+    return rows.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted])
+
+
+def with_values(files: DataFrame) -> DataFrame:
+    """FILES rows with their content read from its own file, for readers that need it whole; it has to fit into a value."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = batch.column("stored").field("location").to_pylist()
+            at = batch.schema.get_field_index("content")
+            for i, place in enumerate(places):
+                row = batch.slice(i, 1)
+                content = pa.array([b"".join(read_pieces(place))], pa.binary())
+                yield row.set_column(at, "content", content)
+
+    # A value now, like any other.
+    return files.mapInArrow(read, files.schema).withColumn("stored", F.lit(None).cast(files.schema["stored"].dataType))
+
+
+def located_texts(files: DataFrame, inline_bytes: int) -> DataFrame:
+    """``text, kept, bytes`` beside the rows of text files that have a file of their own (``stored``).
+
+    A file is decoded in pieces by one task; a text above the limit is a file of its own again.
+    """
+    folder = new_run_dir(files.sparkSession, "texts", kept=True)
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema]
+    schema = StructType.fromDDL(", ".join([*fields, "text string", STORED.replace("stored", "kept", 1), "bytes bigint"]))
+
+    kind = to_arrow_schema(schema).field("kept").type
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, place in enumerate(batch.column("stored").field("location").to_pylist()):
+                pieces = (t.encode("utf-8", "replace") for t in decoded_pieces(read_pieces(place)) if t)
+                found = kept_content(pieces, folder, inline_bytes)
+                content, look = found.get("content"), found.get("look")
+                kept = None if look is None else {"location": found["location"], "sha256": look["sha256"], "md5": look["md5"]}
+                text = None if content is None else content.decode()
+                n = len(content) if look is None else look["length"]
+                arrays = [*batch.slice(i, 1).columns, pa.array([text], pa.string()), pa.array([kept], kind), pa.array([n], pa.int64())]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, "text", "kept", "bytes"])
+
+    return files.mapInArrow(read, schema)

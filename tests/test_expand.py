@@ -239,17 +239,17 @@ def test_large_files_give_what_small_ones_give(spark, tmp_path):
     (tmp_path / "c.txt").write_bytes(b"y" * 3000)
     small = process_path(spark, str(tmp_path))
     large = process_path(spark, str(tmp_path), large_bytes=1000)
-    limited = process_path(spark, str(tmp_path), large_bytes=1000, max_bytes=2000, large_checksums=False)
+    limited = process_path(spark, str(tmp_path), large_bytes=1000, value_bytes=2000, large_checksums=False)
 
     def rows(frame):
         # A file that is read by members has no content in its own row.
-        return sorted(tuple(map(str, r)) for r in frame.drop("content", "text", "content_md5", "content_sha256").collect())
+        return sorted(tuple(map(str, r)) for r in frame.drop("content", "text", "stored").collect())
 
     assert rows(small.files) == rows(large.files)
     assert rows(small.outputs) == rows(large.outputs)
     assert rows(small.errors) == rows(large.errors)
     classes = {(e.root_id.rsplit("/", 1)[1], e.error_class) for e in limited.errors.collect()}
-    assert classes == {("a.zip", "unsafe_name"), ("bad.zip", "bad_container"), ("c.txt", "too_large")}
+    assert classes == {("a.zip", "unsafe_name"), ("bad.zip", "bad_container")}
     inside = F.col("depth") > 0
     assert rows(limited.outputs.where(inside)) == rows(small.outputs.where(inside))
     assert {r.checksum for r in limited.files.where(~inside).collect()} == {None}
@@ -305,7 +305,7 @@ def test_mailbox_ranges(tmp_path, monkeypatch, step):
     for i, content in enumerate(contents):
         (tmp_path / f"{i}.mbox").write_bytes(content)
         for size in (1, 3, 50, 10**6):
-            got = [m for at in range(0, len(content), size) for m in large._messages(str(tmp_path / f"{i}.mbox"), at, at + size)]
+            got = [b"".join(m) for at in range(0, len(content), size) for m in large._messages(str(tmp_path / f"{i}.mbox"), at, at + size)]
             assert got == split_mailbox(content)
 
 
@@ -321,8 +321,8 @@ def test_mailbox_members(spark, tmp_path):
 
 
 @pytest.mark.parametrize("kind", ["text", "metadata"])
-def test_own_extractors_of_large_files_give_an_error(spark, tmp_path, kind):
-    """What is read for a small archive is reported, not left out, for one that is only read by its members."""
+def test_own_extractors_of_large_files(spark, tmp_path, kind):
+    """They get a large content as a value while it fits into one; beyond that the file is an error row."""
     (tmp_path / "a.zip").write_bytes(make_zip([("x.txt", b"x" * 5000)]))
 
     def sizes(frames):
@@ -330,10 +330,12 @@ def test_own_extractors_of_large_files_give_an_error(spark, tmp_path, kind):
             yield pd.DataFrame({"file_id": frame.file_id, "text": [str(len(c)) for c in frame.content], "error": None})
 
     mine = Extractor("sizes", kind, ("application/zip",), sizes)
-    small = process_path(spark, str(tmp_path), extractors=[mine])
-    assert [o.text for o in small.outputs.where(f"depth = 0 and process_type = '{kind}'").collect()] == [str((tmp_path / "a.zip").stat().st_size)]
-    large = process_path(spark, str(tmp_path), extractors=[mine], large_bytes=10)
-    assert large.outputs.where(f"depth = 0 and process_type = '{kind}'").count() == 0
+    own = f"depth = 0 and process_type = '{kind}'"
+    for options in ({}, {"large_bytes": 10}):
+        result = process_path(spark, str(tmp_path), extractors=[mine], **options)
+        assert [o.text for o in result.outputs.where(own).collect()] == [str((tmp_path / "a.zip").stat().st_size)]
+    large = process_path(spark, str(tmp_path), extractors=[mine], large_bytes=10, value_bytes=10)
+    assert large.outputs.where(own).count() == 0
     assert [(e.process_type, e.error_class) for e in large.errors.where(f"process_type = '{kind}'").collect()] == [(kind, "too_large")]
 
 

@@ -13,10 +13,10 @@ from docsift import process
 from docsift.operators import compare, dedupe
 from docsift.operators.skew import hot_keys, join_one_to_many, join_to_small, without
 from docsift.session import new_run_dir, temporary_runs
-from docsift.sinks.archive import publish, with_volume, write_archives
+from docsift.sinks.archive import directory_record, end_of_archive, publish, with_part, write_archives
 from docsift.sinks.layout import write_layout
-from docsift.sources import files
-from docsift.streaming.landing import append_stream, as_root_files, expand_stream, landing_stream, read_results, unique_stream
+from docsift.sources import files, zips
+from docsift.streaming.landing import append_stream, as_root_files, expand_stream, landing_stream, read_results, unique_files, unique_stream
 
 
 def skewed_files(spark, n=600):
@@ -136,7 +136,7 @@ def test_archives(spark, tmp_path):
     outputs = expanded(spark).outputs
     expected = {(o.root_id, o.archive_path): bytes(o.content) if o.content is not None else o.text.encode() for o in outputs.collect()}
     manifest = write_archives(outputs, str(tmp_path / "whole")).collect()
-    assert sorted((m.root_id, m.volume, m.n_entries) for m in manifest) == [("big/1", 0, 80), ("small", 0, 2)]
+    assert sorted((m.root_id, m.n_entries) for m in manifest) == [("big/1", 80), ("small", 2)]
     got = {(m.root_id, n): c for m in manifest for n, c in read_zip(m.path).items()}
     assert got == expected
     assert {m.root_id: m.bytes for m in manifest} == {
@@ -145,19 +145,53 @@ def test_archives(spark, tmp_path):
     assert not [p for p in (tmp_path / "whole" / "archives").iterdir() if p.name.startswith("_")]
 
 
-def test_a_large_root_gets_volumes(spark, tmp_path):
+def test_a_large_root_is_one_archive_of_many_segments(spark, tmp_path):
+    """Deflated by many tasks and joined: the same entries as in an archive that one task wrote, under the same name."""
     outputs = expanded(spark).outputs
-    manifest = write_archives(outputs, str(tmp_path / "out"), volume_bytes=4000)
-    rows = manifest.collect()
-    volumes = [m for m in rows if m.root_id == "big/1"]
-    assert len(volumes) > 1 and [m.volume for m in rows if m.root_id == "small"] == [0]
-    names = [n for m in volumes for n in read_zip(m.path)]
-    assert len(names) == len(set(names)) == 80
+    whole = {m.root_id: m for m in write_archives(outputs, str(tmp_path / "whole")).collect()}
+    manifest = write_archives(outputs, str(tmp_path / "out"), part_bytes=4000, part_entries=30)
+    rows = {m.root_id: m for m in manifest.collect()}
+    for root in ("big/1", "small"):
+        a, b = whole[root], rows[root]
+        assert (a.n_entries, a.bytes, a.path.split("/")[-1]) == (b.n_entries, b.bytes, b.path.split("/")[-1])
+        assert read_zip(a.path) == read_zip(b.path)
+        with zipfile.ZipFile(b.path) as archive:
+            assert archive.testzip() is None
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["archives", "manifest"]
     jobs = spark.createDataFrame([("big/1", f"{tmp_path}/pub/big.zip"), ("small", f"file:{tmp_path}/pub/small.zip")], "job_id string, output_uri string")
     done = publish(manifest, jobs).collect()
-    assert {d.uri for d in done if d.root_id == "small"} == {f"file:{tmp_path}/pub/small.zip"}
-    published = [n for d in done for n in read_zip(d.uri.replace("file:", ""))]
-    assert len(published) == 82 and (tmp_path / "pub" / "small.zip").exists()
+    assert {d.root_id: d.uri for d in done} == {"big/1": f"{tmp_path}/pub/big.zip", "small": f"file:{tmp_path}/pub/small.zip"}
+    assert read_zip(str(tmp_path / "pub" / "big.zip")) == read_zip(whole["big/1"].path)
+
+
+def test_directories_beyond_32_bits(tmp_path):
+    """Records of an archive of over 4 GiB, most of it a hole in the file, as other readers take them."""
+    name, data, at = "déjà/vu.txt", b"far away " * 50, 5 << 30
+    local = io.BytesIO()
+    with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr(name, data)
+        (info,) = archive.infolist()
+        end = archive.start_dir
+    record = directory_record(name, info.CRC, info.compress_size, info.file_size, at)
+    huge = directory_record("huge", 1, 6 << 30, 7 << 30, 0)
+    path = tmp_path / "far.zip"
+    with open(path, "wb") as out:
+        out.seek(at)
+        out.write(local.getvalue()[:end] + huge + record + end_of_archive(2, len(huge) + len(record), at + end))
+    with zipfile.ZipFile(path) as archive:
+        assert archive.read(name) == data
+        assert [(i.file_size, i.compress_size, i.header_offset) for i in archive.infolist()] == [(7 << 30, 6 << 30, 0), (len(data), info.compress_size, at)]
+    size = path.stat().st_size
+    with open(path, "rb") as raw:
+        def read(start, n):
+            raw.seek(start)
+            return raw.read(n)
+
+        found = list(zips.entries(read, size))
+        assert [(e.size, e.compressed, e.offset) for e in found] == [(7 << 30, 6 << 30, 0), (len(data), info.compress_size, at)]
+        assert b"".join(zips.content_of(read, found[1])) == data
+    many = end_of_archive(70_000, 10, 20)
+    assert many.startswith(b"PK\x06\x06") and len(end_of_archive(5, 10, 20)) == 22
 
 
 def test_unsafe_output_names_stay_inside(spark, tmp_path):
@@ -178,9 +212,11 @@ def test_layout(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == outputs.count()
 
 
-def test_volume_numbers_stay_below_their_count(spark):
+def test_part_numbers_stay_below_their_count(spark):
     frame = spark.createDataFrame([("r", f"p{i}", 10) for i in range(100)], "root_id string, archive_path string, length bigint").withColumn("job_id", F.lit("j"))
-    assert {r.volume for r in with_volume(frame, 250).collect()} == {0, 1, 2, 3}
+    rows, tasks = with_part(frame, 250)
+    assert {r.part for r in rows.collect()} == {0, 1, 2, 3} and tasks >= 4
+    assert {r.part for r in with_part(frame, 10_000, part_entries=50)[0].collect()} == {0, 1}
 
 
 def stream_out(spark, out):
@@ -276,3 +312,23 @@ def test_temporary_runs_leave_nothing(spark):
     kept = new_run_dir(spark, "kept")
     spark.range(3).write.parquet(kept)
     assert os.path.isdir(kept)
+
+
+def test_unique_files(spark, tmp_path):
+    """The first of each key within a time span, over batches, with a hot key, a late copy after the span, and a replay."""
+    schema = "root_id string, content binary, modificationTime timestamp, checksum string"
+
+    def land(rows, step):
+        frame = spark.createDataFrame([(r, bytearray(r.encode()), key, at) for r, key, at in rows], "root_id string, content binary, checksum string, s double")
+        frame.select("root_id", "content", F.timestamp_seconds("s").alias("modificationTime"), "checksum").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = landing_stream(spark, str(tmp_path / "in"), schema, fmt="parquet")
+        unique_files(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"), within="1 hour").awaitTermination()
+        return sorted(r.root_id for r in read_results(spark, str(tmp_path / "out"), "files").collect())
+
+    hour = 3600.0
+    assert land([(f"a{i}", "hot", 100 - i) for i in range(50)] + [("b", "cold", 0.0), ("c", None, 0.0), ("d", None, 0.0)], 0) == ["a49", "b", "c", "d"]
+    assert land([("e", "hot", hour), ("f", "cold", 2 * hour), ("g", "new", hour), ("h", "new", hour)], 1) == ["a49", "b", "c", "d", "f", "g"]
+    assert land([("i", "cold", 2.5 * hour), ("j", "hot", 9 * hour)], 2) == ["a49", "b", "c", "d", "f", "g", "j"]
+    (tmp_path / "checkpoint" / "commits" / "2").unlink()
+    (tmp_path / "checkpoint" / "commits" / ".2.crc").unlink(missing_ok=True)
+    assert land([("k", "hot", 9.5 * hour)], 3) == ["a49", "b", "c", "d", "f", "g", "j"]
