@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from docsift.operators.mail import parse_mail
 from docsift.schemas import MAIL, MBOX, ZIP
 from docsift.session import new_run_dir
-from docsift.sources.contents import INLINE_BYTES, kept_content
+from docsift.sources.contents import INLINE_BYTES, TooLarge, kept_content
 
 _SEPARATOR = re.compile(rb"^From [^\n]*(?:\n|\Z)", re.MULTILINE)
 _QUOTED = re.compile(rb"^>(>*From )", re.MULTILINE)
@@ -84,6 +84,9 @@ def opened_row(name: str, size: int, pieces: Callable[[], Iterator[bytes]], limi
         return error_of("too_large", f"{name}: {size} bytes", **where)
     try:
         return {"record": "child", **kept_content(pieces(), limits.folder, limits.inline_bytes, limits.entry_bytes), **where}
+    except TooLarge as e:
+        # The size in the directory may be false, so the data itself is measured.
+        return error_of("too_large", f"{name}: {e}", **where)
     except Exception as e:  # noqa: BLE001 - each compression has errors of its own for untrusted bytes
         return error_of("bad_entry", f"{name}: {e}", **where)
 

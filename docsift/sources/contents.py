@@ -227,19 +227,23 @@ def looked_checksum(look: Column, mimetype: Column) -> Column:
     return F.when(mimetype == MAIL, F.coalesce(look["mail_checksum"], look["checksum"])).otherwise(look["checksum"])
 
 
+class TooLarge(ValueError):
+    """A content is longer than it may be."""
+
+
 def kept_content(
     pieces: Iterable[bytes], folder: str | None, inline_bytes: int, most_bytes: int | None = None, is_mail: bool = False
 ) -> dict:
     """``content`` if it is small, else ``location`` of a new file below ``folder`` and ``look``, of a content in pieces.
 
-    Without a folder all is kept as a value. A content above ``most_bytes`` raises ``ValueError``.
+    Without a folder all is kept as a value. A content above ``most_bytes`` raises ``TooLarge``.
     """
     held, size, stream, name, scanner = [], 0, None, None, None
     try:
         for piece in pieces:
             size += len(piece)
             if most_bytes is not None and size > most_bytes:
-                raise ValueError(f"more than {most_bytes} bytes")
+                raise TooLarge(f"more than {most_bytes} bytes")
             if stream is not None:
                 stream.write(piece)
                 scanner.feed(piece)

@@ -74,7 +74,7 @@ def looks(files: DataFrame, checksums: bool = True) -> DataFrame:
                 row = found.__dict__ if checksums else {**found.__dict__, "checksum": None, "mail_checksum": None, "sha256": None, "md5": None}
                 yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([row], kind)], names=["path", "look"])
 
-    paths = files.select("path", "is_mail").distinct()
+    paths = files.groupBy("path").agg(F.max("is_mail").alias("is_mail"))
     return dealt(paths, paths.count(), "path").mapInArrow(run, f"path string, look {LOOK_STRUCT}")
 
 

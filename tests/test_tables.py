@@ -295,7 +295,7 @@ def test_jobs_read_only_the_files_they_name(spark, tmp_path):
     # Both are listed and then go away; only the one that a job names is missed.
     (tmp_path / "unnamed.txt").unlink()
     (tmp_path / "gone.txt").unlink()
-    found, errors = files.scan_jobs(jobs, listing)
+    found, _, errors = files.scan_jobs(jobs, listing)
     assert sorted((r.job_id, bytes(r.content)) for r in found.collect()) == sorted((f"j{i}", n.encode()) for n, i in names[:-1])
     assert [(e.job_id, e.error_class) for e in errors.collect()] == [("j60", "not_found")]
 
@@ -326,7 +326,7 @@ def test_unique_files(spark, tmp_path):
         return sorted(r.root_id for r in read_results(spark, str(tmp_path / "out"), "files").collect())
 
     hour = 3600.0
-    assert land([(f"a{i}", "hot", 100 - i) for i in range(50)] + [("b", "cold", 0.0), ("c", None, 0.0), ("d", None, 0.0)], 0) == ["a49", "b", "c", "d"]
+    assert land([(f"a{i}", "hot", 100.0 - i) for i in range(50)] + [("b", "cold", 0.0), ("c", None, 0.0), ("d", None, 0.0)], 0) == ["a49", "b", "c", "d"]
     assert land([("e", "hot", hour), ("f", "cold", 2 * hour), ("g", "new", hour), ("h", "new", hour)], 1) == ["a49", "b", "c", "d", "f", "g"]
     assert land([("i", "cold", 2.5 * hour), ("j", "hot", 9 * hour)], 2) == ["a49", "b", "c", "d", "f", "g", "j"]
     (tmp_path / "checkpoint" / "commits" / "2").unlink()
