@@ -16,6 +16,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -49,12 +50,19 @@ _TABLE = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n\n ")
 
 
 class _Symbols(dict):
-    """What stands for a word in the polynomials: never 0 or 1, which stand for nothing and for the end of a piece."""
+    """What stands for a word in the polynomials: never 0 or 1, which stand for nothing and for the end of a piece.
+
+    Only the bits of ``mask`` tell words apart.
+    """
+
+    def __init__(self, mask: int = (1 << 64) - 1):
+        super().__init__()
+        self.mask = mask
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= 1 << 18:
             self.clear()
-        value = self[word] = 0 if not word else 1 if word == b"\n" else xxhash.xxh64_intdigest(word, SEED) | 2
+        value = self[word] = 0 if not word else 1 if word == b"\n" else xxhash.xxh64_intdigest(word, SEED) & self.mask | 2
         return value
 
 
@@ -112,37 +120,37 @@ def chunked(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     return rows.mapInArrow(run, "chunk long, lang string, skip int, text binary")
 
 
+class _Numbers(dict):
+    """Numbers by word, from 0 as they are met."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = len(self)
+        return value
+
+
 class Runs:
     """The words of some texts, and the fingerprints of their runs."""
 
     def __init__(self, rows: list[tuple[str, int, bytes]], keep_words: bool = False, symbols: dict | None = None):
         symbols = _SYMBOLS if symbols is None else symbols
-        hashes, pieces, again, langs, pieces_before = [], [], [], [], 0
-        self.words: list[bytes] = []
-        self.langs: list[str] = []
-        for lang, skip, text in rows:
-            found = text.lower().translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
-            h = np.fromiter(map(symbols.__getitem__, found), dtype=np.uint64, count=len(found))
-            ends = h == 1
-            is_word = h > 1
-            if keep_words:
-                self.words += [w for w in found if w and w != b"\n"]
-            hashes.append(h[is_word])
-            piece = np.cumsum(ends)
-            pieces.append(piece[is_word] + pieces_before)
-            pieces_before += int(piece[-1]) + 1
-            repeats = np.zeros(len(hashes[-1]), dtype=bool)
-            repeats[:skip] = True
-            again.append(repeats)
-            langs.append(np.full(len(hashes[-1]), len(self.langs), dtype=np.int32))
-            self.langs.append(lang)
-        none = np.empty(0, dtype=np.uint64)
-        h = np.concatenate([none, *hashes])
-        self.again = np.concatenate([none.astype(bool), *again])
-        self.row = np.concatenate([none.astype(np.int32), *langs])
-        piece = np.concatenate([none.astype(np.int64), *pieces])
+        # All texts are split at once; the ends of pieces tell which text a word is of.
+        texts = [text.lower().translate(_TABLE) for _, _, text in rows]
+        found = b"\n".join(texts).replace(b"\n", b" \n ").split(b" ")
+        h = np.fromiter(map(symbols.__getitem__, found), dtype=np.uint64, count=len(found))
+        is_word = h > 1
+        self.words: list[bytes] = list(compress(found, is_word.tolist())) if keep_words else []
+        self.langs = [lang for lang, _, _ in rows]
+        piece = np.cumsum(h == 1)[is_word]
+        h = h[is_word]
+        self.row = np.repeat(np.arange(len(rows), dtype=np.int32), [t.count(b"\n") + 1 for t in texts])[piece]
+        self.again = np.zeros(len(h), dtype=bool)
+        for i, (_, skip, _) in enumerate(rows):
+            if skip:
+                start = np.searchsorted(self.row, i)
+                self.again[start : start + skip] = True
         # How many words a piece still has from each of its words on.
-        self.left = np.searchsorted(piece, piece, side="right") - np.arange(len(piece))
+        sizes = np.bincount(piece) if len(piece) else np.empty(0, dtype=np.int64)
+        self.left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(piece))
         powers = np.ones(len(h) + 1, dtype=np.uint64)
         powers[1:] = np.uint64(_BASE)
         inverse = np.ones(len(h) + 1, dtype=np.uint64)
@@ -222,8 +230,7 @@ def _counted(chunks: DataFrame, frequent: DataFrame, bits: int, symbols: dict |
 
     def materialise(table: pa.Table, answers: pa.Table) -> pa.Table:
         runs = Runs(_rows_of(table), keep_words=True, symbols=symbols)
-        numbers: dict[bytes, int] = {}
-        ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in runs.words), dtype=np.int64, count=len(runs.words))
+        ids = np.fromiter(map(_Numbers().__getitem__, runs.words), dtype=np.int64, count=len(runs.words))
         names = {lang: i for i, lang in enumerate(dict.fromkeys(runs.langs))}
         lang_of = np.array([names[x] for x in runs.langs], dtype=np.int64)[runs.row]
         langs = list(names)
@@ -232,14 +239,20 @@ def _counted(chunks: DataFrame, frequent: DataFrame, bits: int, symbols: dict |
             for k, b in zip(answers.column("keys").to_pylist(), answers.column("block").to_pylist(), strict=True)
         ]
         keys = np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *keys]))
+        # Most runs are told off by a table of some of their bits, the others by a search.
+        some = np.zeros(1 << 22, dtype=bool)
+        some[keys & np.uint64(len(some) - 1)] = True
         out: Counter = Counter()
         for i, n in enumerate(np.bincount(lang_of[~runs.again], minlength=len(langs)).tolist()):
             out[langs[i], 0, ""] += n
         for k in range(1, WORDS + 1):
             at, found = runs.fingerprints(k)
+            likely = np.flatnonzero(some[found >> down & np.uint64(len(some) - 1)])
+            if not len(likely):
+                continue
+            at, found = at[likely], found[likely]
             own = found >> down
-            near = np.minimum(np.searchsorted(keys, own), max(len(keys) - 1, 0))
-            chosen = keys[near] == own if len(keys) else np.zeros(len(own), dtype=bool)
+            chosen = keys[np.minimum(np.searchsorted(keys, own), len(keys) - 1)] == own
             at, found = at[chosen], found[chosen]
             if not len(at):
                 continue
