@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,48 +79,47 @@ def unique_files(
     key: str = "checksum",
     id_col: str = "root_id",
     time: str = "modificationTime",
-    within: str = "1 day",
+    span: str = "1 day",
 ) -> StreamingQuery:
-    """Append the first file of each key below ``out/files``; copies that come within a time span of a kept one are left out.
-
-    For rows with contents. A batch is combined before anything is compared: its first file per key is found on keys, ids
-    and times alone, with partial results merged before the shuffle, so a key that most files have is one row per task.
-    The state is a table of the keys that were kept, ``out/keys``; batches whose keys have all expired are not read again.
-    Contents are filtered where they are, by the ids that stay. Of files of one batch with one key the earliest stays,
-    of equal times the least id. A batch owns its folders and overwrites them, so a replayed batch leaves its rows once.
-    A file without a key or a time is kept.
+    """Append the first file of each key and span of time below ``out/files``, for rows with contents; ends when caught up.
+
+    Spans are fixed (whole days, say), so what stays does not depend on the order in which later files come. A batch is
+    combined before anything is compared: its first file per key and span is found on keys, ids and times alone, with
+    partial results merged before the shuffle, so a key that most files have is one row per task. The state is a table of
+    the keys and spans that were kept, ``out/keys``, of which a batch reads the spans it has files of. Contents are
+    filtered where they are, by the ids that stay. Of files of one batch the earliest stays, of equal times the least id;
+    what earlier batches kept stays kept. A batch owns its folders and overwrites them, so a replayed batch leaves its
+    rows once. A file without a key or a time is kept. Ids are taken to be unique.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         with temporary_runs(spark):
-            narrow = staged(batch.select(F.col(key).alias("key"), F.col(id_col).alias("id"), F.col(time).alias("time")), "batch-keys")
-            keyed = narrow.where("key is not null and time is not null")
-            firsts = keyed.groupBy("key").agg(F.min(F.struct("time", "id")).alias("first")).select("key", "first.*")
-            earliest = keyed.agg(F.min("time")).first()[0]
-            seen = _kept_keys(spark, f"{out}/keys", batch_id, earliest, within)
+            columns = [F.col(key).alias("key"), F.col(id_col).alias("id"), F.col(time).alias("time"), F.window(time, span)["start"].alias("span")]
+            narrow = staged(batch.where(F.col(key).isNotNull() & F.col(time).isNotNull()).select(*columns), "batch-keys")
+            firsts = narrow.groupBy("key", "span").agg(F.min(F.struct("time", "id")).alias("first")).select("key", "span", "first.*")
+            earliest = narrow.agg(F.min("span")).first()[0]
+            seen = _kept_keys(spark, f"{out}/keys", batch_id, earliest)
             if seen is not None:
-                span = F.expr(f"interval {within}")
-                near = (F.col("n.key") == F.col("s.key")) & (F.col("s.time") >= F.col("n.time") - span) & (F.col("s.time") <= F.col("n.time") + span)
-                firsts = firsts.alias("n").join(seen.alias("s"), near, "left_anti")
-            firsts = staged(firsts.select("key", "time", "id"), "batch-firsts")
+                firsts = firsts.join(seen, ["key", "span"], "left_anti")
+            firsts = staged(firsts, "batch-firsts")
             firsts.write.mode("overwrite").parquet(f"{out}/keys/batch_id={batch_id}")
             stays = firsts.select(F.col("key").alias(key), F.col("id").alias(id_col), F.col("time").alias(time))
-            kept = batch.join(stays, [key, id_col, time], "left_semi").dropDuplicates([key, id_col, time])
+            kept = batch.join(stays, [key, id_col, time], "left_semi")
             kept = kept.unionByName(batch.where(F.col(key).isNull() | F.col(time).isNull()))
             kept.write.mode("overwrite").options(**CONTENT_TABLE).parquet(f"{out}/files/batch_id={batch_id}")
 
     return files.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _kept_keys(spark: SparkSession, path: str, batch_id: int, earliest, within: str) -> DataFrame | None:
-    """``key, time`` that batches before one have kept and that are not expired for rows from ``earliest`` on."""
+def _kept_keys(spark: SparkSession, path: str, batch_id: int, earliest: datetime | None) -> DataFrame | None:
+    """``key, span`` that batches before one have kept, from a span on."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if earliest is None or not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
         return None
-    keys = spark.read.schema("key string, time timestamp, id string, batch_id long").option("basePath", path).parquet(path)
-    # The times are in the files' statistics, so files of expired keys are skipped.
-    return keys.where((F.col("batch_id") < batch_id) & (F.col("time") >= F.lit(earliest) - F.expr(f"interval {within}"))).select("key", "time")
+    keys = spark.read.schema("key string, span timestamp, time timestamp, id string, batch_id long").option("basePath", path).parquet(path)
+    # Spans are in the files' statistics, so files with older ones only are skipped.
+    return keys.where((F.col("batch_id") < batch_id) & (F.col("span") >= F.lit(earliest))).select("key", "span")
 
 
 def append_stream(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

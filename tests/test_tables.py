@@ -315,20 +315,20 @@ def test_temporary_runs_leave_nothing(spark):
 
 
 def test_unique_files(spark, tmp_path):
-    """The first of each key within a time span, over batches, with a hot key, a late copy after the span, and a replay."""
+    """The first of each key and hour, over batches, with a hot key, copies in later hours, rows without a key, and a replay."""
     schema = "root_id string, content binary, modificationTime timestamp, checksum string"
 
     def land(rows, step):
         frame = spark.createDataFrame([(r, bytearray(r.encode()), key, at) for r, key, at in rows], "root_id string, content binary, checksum string, s double")
         frame.select("root_id", "content", F.timestamp_seconds("s").alias("modificationTime"), "checksum").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = landing_stream(spark, str(tmp_path / "in"), schema, fmt="parquet")
-        unique_files(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"), within="1 hour").awaitTermination()
+        unique_files(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"), span="1 hour").awaitTermination()
         return sorted(r.root_id for r in read_results(spark, str(tmp_path / "out"), "files").collect())
 
     hour = 3600.0
     assert land([(f"a{i}", "hot", 100.0 - i) for i in range(50)] + [("b", "cold", 0.0), ("c", None, 0.0), ("d", None, 0.0)], 0) == ["a49", "b", "c", "d"]
-    assert land([("e", "hot", hour), ("f", "cold", 2 * hour), ("g", "new", hour), ("h", "new", hour)], 1) == ["a49", "b", "c", "d", "f", "g"]
-    assert land([("i", "cold", 2.5 * hour), ("j", "hot", 9 * hour)], 2) == ["a49", "b", "c", "d", "f", "g", "j"]
+    assert land([("e", "hot", hour), ("f", "cold", 2 * hour), ("g", "new", hour), ("h", "new", hour), ("x", "hot", 60.0)], 1) == ["a49", "b", "c", "d", "e", "f", "g"]
+    assert land([("i", "cold", 2.5 * hour), ("j", "hot", 9 * hour)], 2) == ["a49", "b", "c", "d", "e", "f", "g", "j"]
     (tmp_path / "checkpoint" / "commits" / "2").unlink()
     (tmp_path / "checkpoint" / "commits" / ".2.crc").unlink(missing_ok=True)
-    assert land([("k", "hot", 9.5 * hour)], 3) == ["a49", "b", "c", "d", "f", "g", "j"]
+    assert land([("k", "hot", 9.5 * hour)], 3) == ["a49", "b", "c", "d", "e", "f", "g", "j"]
