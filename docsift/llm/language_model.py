@@ -20,7 +20,6 @@ import uuid
 from collections import Counter, deque
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -129,40 +128,46 @@ def read_vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(tokens, n, total, distinct, np.maximum(mass, 0.1))
 
 
+class _Ranks(dict):
+    """Ranks by token; of a token outside of the vocabulary, -1 less its tail class."""
+
+    def __missing__(self, token: bytes) -> int:
+        return -1 - tail_of(token)
+
+
 @dataclass
 class Lookup:
     """What a task needs of the vocabulary. Symbols are places in the head, then tail classes."""
 
-    ranks: dict[bytes, int]
-    head: dict[bytes, int]
+    ranks: _Ranks
+    # By rank, and counted from the back, by the negative ranks of unknown tokens.
+    symbol_of: np.ndarray
     logs: np.ndarray
     log_tail_mass: np.ndarray
 
     @classmethod
     def of(cls, vocabulary: Vocabulary) -> Lookup:
-        ranks = dict(zip(vocabulary.tokens, range(len(vocabulary.tokens)), strict=True))
-        head = dict(zip(vocabulary.tokens[:HEAD], range(HEAD), strict=False))
-        return cls(ranks, head, np.log10(vocabulary.counts + 0.1), np.log10(vocabulary.tail_mass))
+        ranks = _Ranks(zip(vocabulary.tokens, range(len(vocabulary.tokens)), strict=True))
+        symbols = np.arange(len(ranks) + TAILS)
+        symbols[HEAD : len(ranks)] = [HEAD + tail_of(t) for t in vocabulary.tokens[HEAD:]]
+        symbols[len(ranks) :] = HEAD + np.arange(TAILS)[::-1]
+        return cls(ranks, symbols.astype(np.int32), np.log10(vocabulary.counts + 0.1), np.log10(vocabulary.tail_mass))
 
     @property
     def end(self) -> int:
-        return self.head.get(END, HEAD + tail_of(END))
+        return int(self.symbol_of[self.ranks[END]])
 
-    def _symbols(self, tokens: list[bytes], places: np.ndarray) -> np.ndarray:
-        """Places in the head where they are, else tail classes by the tokens' last bytes."""
-        lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
-        last = np.frombuffer(b"".join(tokens), dtype=np.uint8)[np.cumsum(lengths) - 1].astype(np.int32)
-        return np.where((places >= 0) & (places < HEAD), places, HEAD + last % TAILS).astype(np.int32)
+    def _ranks(self, tokens: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.ranks.__getitem__, tokens), dtype=np.int32, count=len(tokens))
 
     def symbols(self, text: bytes) -> np.ndarray:
-        tokens = tokens_of(text)
-        return self._symbols(tokens, np.fromiter(map(self.head.get, tokens, repeat(-1)), dtype=np.int32, count=len(tokens)))
+        return self.symbol_of[self._ranks(tokens_of(text))]
 
     def read(self, text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Tokens, their ranks, -1 outside of the vocabulary, and symbols of a text."""
+        """Tokens, their ranks, negative outside of the vocabulary, and symbols of a text."""
         tokens = tokens_of(text)
-        ranks = np.fromiter(map(self.ranks.get, tokens, repeat(-1)), dtype=np.int32, count=len(tokens))
-        return tokens, ranks, self._symbols(tokens, ranks)
+        ranks = self._ranks(tokens)
+        return tokens, ranks, self.symbol_of[ranks]
 
 
 _LOOKUPS: dict[str, Lookup] = {}
