@@ -17,6 +17,8 @@ from docsift.llm.quality import keep_good
 from docsift.llm.similar import drop_similar
 
 VOCABULARY = "word_bpe_49k.json"
+# Differing bits up to which SimHash fingerprints link, as in ``op6_simhash``.
+HAMMING = 2
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +33,12 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links join, the one with the smallest id; 5-word shingles with a Jaccard similarity of 0.8 link."""
+    """Of documents that links join, the one with the smallest id.
+
+    SimHash fingerprints at 2 or fewer differing bits link, and so do 5-word shingles with a Jaccard similarity of 0.8.
+    """
     prepared(spark)
-    return drop_similar(docs)
+    return drop_similar(docs, distance=HAMMING)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -104,12 +104,17 @@ def close_links(prints: DataFrame, name: str, distance: int = 2, blocks: int = B
     return pairs.unionByName(stars).distinct()
 
 
+def print_roots(rows: DataFrame, name: str, distance: int = 2, blocks: int = BLOCKS, paired: int = PAIRED_BUCKET) -> DataFrame:
+    """``name, _root`` for every different fingerprint: the smallest that links reach."""
+    roots = connected_components(close_links(rows, name, distance, blocks, paired), "a", "b")
+    rooted = rows.select(name).distinct().join(roots, F.col(name) == F.col("node"), "left")
+    return rooted.select(name, F.coalesce("root", name).alias("_root"))
+
+
 def _components(rows: DataFrame, name: str, distance: int, blocks: int, paired: int) -> DataFrame:
     """``name, _root, component_id`` for every fingerprint, from ``name, _id``."""
     firsts = rows.groupBy(name).agg(F.min("_id").alias("_first"))
-    roots = connected_components(close_links(rows, name, distance, blocks, paired), "a", "b")
-    rooted = firsts.join(roots, F.col(name) == F.col("node"), "left")
-    rooted = rooted.select(name, "_first", F.coalesce("root", name).alias("_root"))
+    rooted = firsts.join(print_roots(rows, name, distance, blocks, paired), name)
     ids = rooted.groupBy("_root").agg(F.min("_first").alias("component_id"))
     return rooted.join(ids, "_root").select(name, "_root", "component_id")
 

@@ -5,6 +5,7 @@ import re
 
 import corpus_pipeline
 from docsift.llm import jaccard_join, similar
+from docsift.llm.simhash import near_duplicates
 from tests.llm.helpers import EDGES, ascii_lower, bare, prose, table
 
 
@@ -75,5 +76,26 @@ def test_small_chunks_and_blocks_lose_nothing(spark, monkeypatch):
     assert kept(similar.drop_similar(bare(spark, rows), similarity=0.6)) == brute_kept(rows, 0.6)
 
 
+def test_stage_links_close_fingerprints(spark):
+    # Repeated words weigh by their number in a fingerprint, but are few shingles of a set.
+    often = "the river of stone and water was " * 60
+    rows = [(3, often), (2, often + "then came quite other words that no text had before"), (1, prose(60, 8))]
+    assert brute_kept(rows) == [1, 2, 3]
+    assert near_duplicates(bare(spark, rows)).where("doc_id <> component_id").count() == 1
+    assert kept(corpus_pipeline.simhash_near_dedup(spark, table(spark, rows), "")) == [1, 2]
+
+
+def test_links_of_both_kinds_make_one_component(spark):
+    often = "the river of stone and water was " * 60
+    first = often + " ".join(f"a{i}" for i in range(60))
+    rows = [(1, often), (2, first), (3, edited(first, 0.0, 1) + " end"), (4, None), (5, " ")]
+    by_prints = {r.doc_id: r.component_id for r in near_duplicates(bare(spark, rows)).collect()}
+    want = {frozenset(s) for s in ({1, 2, 3}, {4, 5})}
+    assert by_prints[2] == by_prints[1] and len(brute_kept(rows)) == 3
+    got = kept(similar.drop_similar(bare(spark, rows), distance=2))
+    assert got == sorted(min(s) for s in want)
+
+
 def test_empty_table(spark):
+    assert similar.drop_similar(bare(spark, []), distance=2).collect() == []
     assert similar.drop_similar(bare(spark, [])).collect() == []
