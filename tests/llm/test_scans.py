@@ -126,6 +126,30 @@ def test_network_learns_the_candidates_themselves():
     assert secrets.train(np.array(windows[:3]), np.array([1, 1, 0])) is None
 
 
+def test_every_candidate_is_learnt_from(spark, monkeypatch):
+    def keyed(i):
+        return f"{prose(3, i)} key {hashlib.sha1(str(i).encode()).hexdigest()} and volume-{i:04d}-of-the-work {prose(2, -i)}"
+
+    rows = [(i, keyed(i)) for i in range(3500)]
+    net = secrets.learn(table(spark, [*rows, *rows[:50]]))
+    assert net.trained + net.calibrated == 7000 and 0.2 < net.calibrated / 7000 < 0.3
+    # Several shares, whose weights are averaged, tell the kinds apart as well.
+    monkeypatch.setattr(secrets, "SHARE", 500)
+    for one in (net, secrets.learn(table(spark, rows[:1000]))):
+        text = "see " + hashlib.sha1(b"new").hexdigest() + " and volume-9999-of-the-work too"
+        high, low = one.probability(np.array([next(secrets.in_windows(text, *c)) for c in secrets.candidates(text)]))
+        assert high > one.threshold > low
+
+
+def test_long_candidates_are_calibrated_in_whole(spark):
+    rows = [(i, f"token = {hashlib.sha1(str(i).encode()).hexdigest()} or chapter-{i}-of-the-book") for i in range(60)]
+    rows.append((99, "x" * 10_000 + "7"))
+    found = table(spark, rows).select("text").mapInArrow(secrets._examples, "label int, key binary, at long, window binary")
+    assert found.where("at > 64").count() > 200
+    assert found.where("at = 0").count() == 121
+    assert secrets.learn(table(spark, rows)).calibrated > 0
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(3)
     net = secrets.Network.random(rng)
