@@ -10,14 +10,15 @@ from docsift.plans import fixtures
 from docsift.plans.catalog import query
 from docsift.plans.container_queries import _TREE
 from docsift.schemas import OUTPUTS
-from docsift.session import new_run_dir, staged
+from docsift.session import CONTENT_TABLE, new_run_dir, staged
 from docsift.streaming.landing import append_stream, expand_stream, landing_stream, read_results, unique_files, unique_stream
 
 _ROOTS = "root_id string, name string, mimetype string, content binary"
 
 
 def _land(roots: DataFrame, path: str, files: int) -> None:
-    roots.repartition(files, "root_id").write.mode("append").parquet(path)
+    """So many files, which can be read in splits."""
+    roots.repartition(files, "root_id").write.mode("append").options(**CONTENT_TABLE).parquet(path)
 
 
 def _result(spark: SparkSession, out: str) -> DataFrame:
@@ -123,7 +124,7 @@ def stream_unique_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         _land(landed, f"{run}/landing", 3)
         stream = landing_stream(spark, f"{run}/landing", "root_id string, content binary, modificationTime timestamp", fmt="parquet")
-        keyed = stream.withColumn("checksum", dedupe_checksum(F.col("content"), F.lit("text/plain")))
-        unique_files(keyed, f"{run}/out", f"{run}/checkpoint").awaitTermination()
+        checksum = dedupe_checksum(F.col("content"), F.lit("text/plain"))
+        unique_files(stream, f"{run}/out", f"{run}/checkpoint", compute=checksum).awaitTermination()
     kept = read_results(spark, f"{run}/out", "files")
     return kept.select("root_id", F.md5("content").alias("content_md5"), F.octet_length("content").cast("bigint").alias("length"))

@@ -314,6 +314,25 @@ def test_temporary_runs_leave_nothing(spark):
     assert os.path.isdir(kept)
 
 
+def test_unique_files_compute_each_key_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def slow(content):
+        seen.add(1)
+        return content.decode()[:1] if content else None
+
+    schema = "root_id string, content binary, modificationTime timestamp"
+    rows = [(f"r{i}", bytearray(b"%d" % (i % 7)), 100.0 + i) for i in range(40)] + [("null", None, 1.0), ("late", bytearray(b"9"), None)]
+    frame = spark.createDataFrame(rows, "root_id string, content binary, s double").withColumn("modificationTime", F.timestamp_seconds("s")).drop("s")
+    frame.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = landing_stream(spark, str(tmp_path / "in"), schema, fmt="parquet")
+    unique_files(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"), compute=slow(F.col("content"))).awaitTermination()
+    kept = read_results(spark, str(tmp_path / "out"), "files").collect()
+    assert sorted(r.root_id for r in kept) == sorted([*(f"r{i}" for i in range(7)), "null", "late"])
+    assert {r.root_id: r.checksum for r in kept}["r3"] == "3" and seen.value == len(rows)
+
+
 def test_unique_files(spark, tmp_path):
     """The first of each key and hour, over batches, with a hot key, copies in later hours, rows without a key, and a replay."""
     schema = "root_id string, content binary, modificationTime timestamp, checksum string"
