@@ -17,6 +17,10 @@ from docsift.sources.contents import INLINE_BYTES
 from docsift.stores import open_store
 
 
+# Bytes of inputs that a task reads, one after the other, where there are many jobs.
+TASK_BYTES = 256 << 20
+
+
 def scan_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """``path, modificationTime, length, content`` of every file below a path."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -51,7 +55,12 @@ def scan_jobs(jobs: DataFrame, files: DataFrame, large_bytes: int = INLINE_BYTES
     )
     # Jobs are narrow rows; their contents come in after they are spread.
     small = known.where(F.col("length") <= large_bytes)
-    good = small.select("job_id", "path", "mimetype", "types", "recurse").repartition("job_id", "path")
+    small = staged(small.select("job_id", "path", "mimetype", "types", "recurse", "length"), "jobs")
+    work = small.agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).first()
+    # The number is given, as a plan that goes by the rows' own few bytes would put all jobs into one task.
+    cores = jobs.sparkSession.sparkContext.defaultParallelism
+    tasks = min(max(4 * cores, (work.bytes or 0) // TASK_BYTES), max(work.n, 1))
+    good = small.drop("length").repartitionByRange(tasks, "job_id", "path")
     gone = with_contents(good.select("job_id", "path"), only_missing=True).select("job_id", F.lit("not_found").alias("error_class"))
     gone = gone.join(jobs.select("job_id", "input_uri"), "job_id")
     errors = checked.where("error_class is not null").select("job_id", "error_class", "input_uri")

@@ -344,6 +344,16 @@ def test_unique_files_compute_each_key_once(spark, tmp_path):
     assert {r.root_id: r.checksum for r in kept}["r3"] == "3" and seen.value == len(rows)
 
 
+def test_jobs_are_dealt_to_many_tasks(spark, tmp_path):
+    for i in range(6):
+        (tmp_path / f"{i}.txt").write_text(f"text {i}")
+    listing = files.scan_files(spark, str(tmp_path))
+    jobs = listing.select(F.col("path").alias("job_id"), F.col("path").alias("input_uri"), F.lit("text/plain").alias("mimetype"), F.array(F.lit("text")).alias("types"), F.lit(False).alias("recurse"))
+    found, _, errors = files.scan_jobs(jobs, listing)
+    assert found.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    assert found.count() == 6 and errors.isEmpty()
+
+
 def test_unique_files(spark, tmp_path):
     """The first of each key and hour, over batches, with a hot key, copies in later hours, rows without a key, and a replay."""
     schema = "root_id string, content binary, modificationTime timestamp, checksum string"
