@@ -153,6 +153,10 @@ def zip_of(entries: pa.Array) -> pa.Array:
     return pa.array([build(row.as_py()) for row in entries], pa.binary())
 
 
+# Each use of a column would build the archives again.
+zip_of = zip_of.asNondeterministic()
+
+
 def _entry(name: Column | str, content: Column) -> Column:
     return F.struct((F.lit(name) if isinstance(name, str) else name).alias("name"), content.alias("content"))
 
