@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from docsift.functions.identity import dedupe_checksum
+from docsift.functions.identity import buffer_md5, identity_bytes
 from docsift.functions.mime import format_content_type, identify_or_default
 from docsift.functions.paths import child_id, extend_chain, is_directory, safe_name
 from docsift.operators.openers import Limits, Openers, opened
@@ -91,12 +91,21 @@ def level_rows(expanded: DataFrame, openers: Openers | None = None) -> DataFrame
     rows = rows.withColumn("child", F.when(is_child, name))
     refused = is_child & F.col("child").isNull()
     rows = rows.withColumn("found", is_child & ~refused).withColumn("child_type", F.when(F.col("found"), found_type))
-    child_sum = F.coalesce(looked_checksum(F.col("look"), F.col("child_type")), dedupe_checksum(F.col("content"), F.col("child_type")))
-    rows = rows.withColumn("child_sum", child_sum)
+    # A checksum costs a whole buffer. What becomes of a row depends on that of an archive alone, so the others are in a column
+    # of their own, which is left out for readers that ask for no checksum.
+    archive, kind = F.col("child_type") == ZIP, F.col("child_type")
+    rows = rows.withColumns(
+        {
+            "archive_sum": buffer_md5(F.when(archive, F.col("content"))),
+            "other_sum": buffer_md5(F.when(~archive, identity_bytes(F.col("content"), kind))),
+        }
+    )
+    archive_sum = F.coalesce(looked_checksum(F.col("look"), kind), F.col("archive_sum"))
+    child_sum = F.coalesce(archive_sum, F.col("other_sum"))
     stored = F.struct("location", F.col("look.sha256").alias("sha256"), F.col("look.md5").alias("md5"))
     found, opens = F.col("found"), F.col("child_type").isin(*by_type) & F.col("recurse")
     above = F.concat(F.col("id_chain"), F.array("checksum"))
-    circular = found & opens & (F.col("child_type") == ZIP) & F.array_contains(above, F.col("child_sum"))
+    circular = found & opens & archive & F.array_contains(above, archive_sum)
     opens = opens & ~F.coalesce(circular, F.lit(False))
     return rows.select(
         "job_id",
@@ -107,10 +116,10 @@ def level_rows(expanded: DataFrame, openers: Openers | None = None) -> DataFrame
         F.when(found, F.col("file_id")).alias("parent_id"),
         (F.col("depth") + found.cast("int")).alias("depth"),
         "ordinal",
-        F.when(found, extend_chain(F.col("id_chain"), F.col("child_sum"))).otherwise(F.col("id_chain")).alias("id_chain"),
+        F.when(found, extend_chain(F.col("id_chain"), child_sum)).otherwise(F.col("id_chain")).alias("id_chain"),
         F.when(found, F.col("child")).otherwise(F.col("name")).alias("name"),
         F.when(found, F.col("child_type")).otherwise(source).alias("mimetype"),
-        F.when(found, F.col("child_sum")).otherwise(F.col("checksum")).alias("checksum"),
+        F.when(found, child_sum).otherwise(F.col("checksum")).alias("checksum"),
         F.coalesce(F.octet_length("content").cast("bigint"), F.col("look.length")).alias("length"),
         "types",
         "recurse",

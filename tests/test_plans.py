@@ -92,3 +92,12 @@ def test_inputs_are_read_once(spark, tmp_path):
         text = plan(getattr(result, table))
         assert "binaryFile" not in text and "MapInArrow" not in text
     assert "content" not in read_columns(plan(result.errors)) and "content" not in read_columns(plan(result.metadata))
+
+
+def test_checksums_are_computed_for_those_who_read_them(spark):
+    """Which rows are files takes no checksum but that of a nested archive, so counting and unpacking hash nothing else."""
+    level = expand_once(as_roots(some_roots(spark), ["embedded"]))
+    # One for the root, one for archives in it, and one for all else.
+    assert plan(files_of(level).groupBy("root_id").agg(F.count("*"), F.sum("length"))).count("buffer_md5(") == 2
+    assert plan(files_of(level)).count("buffer_md5(") == 3
+    assert [r.name for r in files_of(level).orderBy("name").collect()] == ["in.zip", "x.txt"]
