@@ -32,6 +32,8 @@ READ_BYTES = 4 << 20
 UNIT_BYTES, ENTRY_COST = 64 << 20, 4096
 # Tasks of a stage per core at most; a task takes several units then.
 TASKS_PER_CORE = 16
+# Tasks per core that texts with files of their own are dealt to.
+TEXT_TASKS_PER_CORE = 4
 # A value holds at most 2 GiB.
 MOST_VALUE_BYTES = 2_000_000_000
 
@@ -365,7 +367,7 @@ def located_texts(files: DataFrame, inline_bytes: int) -> DataFrame:
         for batch in batches:
             for i, place in enumerate(batch.column("stored").field("location").to_pylist()):
                 pieces = (t.encode("utf-8", "replace") for t in decoded_pieces(read_pieces(place)) if t)
-                found = kept_content(pieces, folder, inline_bytes)
+                found = kept_content(pieces, folder, inline_bytes, digests_only=True)
                 content, look = found.get("content"), found.get("look")
                 kept = None if look is None else {"location": found["location"], "sha256": look["sha256"], "md5": look["md5"]}
                 text = None if content is None else content.decode()
@@ -373,4 +375,6 @@ def located_texts(files: DataFrame, inline_bytes: int) -> DataFrame:
                 arrays = [*batch.slice(i, 1).columns, pa.array([text], pa.string()), pa.array([kept], kind), pa.array([n], pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, "text", "kept", "bytes"])
 
-    return files.mapInArrow(read, schema)
+    # Rows are narrow and stand for a file each, so splits by their bytes would leave most files to one task.
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return dealt(files, TEXT_TASKS_PER_CORE * cores, "file_id").mapInArrow(read, schema)

@@ -194,3 +194,20 @@ def test_units_of_work_go_by_bytes(spark, tmp_path, monkeypatch):
     for r in rows:
         sizes[r.part] = sizes.get(r.part, 0) + len(r.content)
     assert len(sizes) >= 5 and members.rdd.getNumPartitions() >= 10
+
+
+def test_texts_of_large_files_are_dealt_to_many_tasks(spark, tmp_path):
+    """Rows that point to texts are narrow; each stands for a file, whose pass computes digests and nothing else."""
+    texts = []
+    for i in range(40):
+        (tmp_path / f"{i}.txt").write_bytes(b"%d, " % i * 2000)
+        texts.append((f"f{i}", (f"{tmp_path}/{i}.txt", None, None)))
+    files = spark.createDataFrame(texts, "file_id string, stored struct<location:string,sha256:string,md5:string>").coalesce(1)
+    found = large.located_texts(files, 100)
+    assert found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    for row in found.collect():
+        data = b"%d, " % int(row.file_id[1:]) * 2000
+        look = looked(data, 1000)
+        assert (row.bytes, row.kept.sha256, row.kept.md5) == (len(data), look.sha256, look.md5)
+    kept = contents.kept_content([b"a" * 200], str(tmp_path), 100, digests_only=True)["look"]
+    assert kept["checksum"] is None and kept["length"] == 200
