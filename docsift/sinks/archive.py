@@ -242,7 +242,10 @@ def _delete(spark, path: str) -> None:
 
 
 def publish(manifest: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Copy each root's archive to its job's ``output_uri``, one task per archive. Returns ``job_id, root_id, uri, bytes``."""
+    """Copy each root's archive to its job's ``output_uri``, one task per archive. Returns ``job_id, root_id, uri, bytes``.
+
+    Copied when it is called, and once: what it returns is a written table, however often that is read.
+    """
     copies = manifest.join(jobs.select("job_id", F.col("output_uri").alias("uri")), "job_id").select("job_id", "root_id", "path", "uri")
 
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,4 +264,4 @@ def publish(manifest: DataFrame, jobs: DataFrame) -> DataFrame:
             )
 
     n = manifest.count()
-    return dealt(copies, n, "job_id", "path").mapInArrow(copy, "job_id string, root_id string, uri string, bytes bigint")
+    return staged(dealt(copies, n, "job_id", "path").mapInArrow(copy, "job_id string, root_id string, uri string, bytes bigint"), "published")

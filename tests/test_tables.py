@@ -264,6 +264,16 @@ def test_stream_resumes_and_replays(spark, tmp_path):
     assert stream_out(spark, out) == first + [("c.zip", "4.txt")]
 
 
+def test_objects_are_published_once(spark, tmp_path):
+    """Reading what was published copies nothing again."""
+    manifest = write_archives(process(roots(spark, [("r", "b.zip", make_zip([("x.txt", b"x")]))]), ["embedded"]).outputs, str(tmp_path / "out"))
+    uri = f"{tmp_path}/published/r"
+    published = publish(manifest, spark.createDataFrame([("r", uri)], "job_id string, output_uri string"))
+    os.utime(uri, (1, 1))
+    assert [r.uri for r in published.collect()] == [r.uri for r in published.collect()] == [uri]
+    assert os.path.getmtime(uri) == 1
+
+
 def test_a_batch_of_one_file_is_spread(spark, tmp_path):
     """The roots of a small file are hashed and unpacked by all cores."""
     rows = roots(spark, [(f"r{i}", f"{i}.zip", make_zip([("x.txt", b"%d" % i)])) for i in range(40)])
