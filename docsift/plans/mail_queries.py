@@ -152,7 +152,7 @@ FROM ({_PAGE_FILES})"""
 def attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attached files of one mail per document."""
     mails = fixtures.page_mails(spark, sf_dir)
-    roots = as_roots(mails, types=["embedded"])
+    roots = as_roots(mails, types=["embedded"], checksums=False)
     parents = mails.select(F.col("root_id"), F.col("name").alias("parent_name"))
     found = files_of(expand_once(roots)).select(
         F.col("root_id").cast("bigint").alias("doc_id"),

@@ -35,11 +35,16 @@ class ProcessResult:
 
 
 def as_roots(
-    files: DataFrame, types: list[str] | None = None, recurse: bool = True, registry: DataFrame | None = None
+    files: DataFrame,
+    types: list[str] | None = None,
+    recurse: bool = True,
+    registry: DataFrame | None = None,
+    checksums: bool = True,
 ) -> DataFrame:
     """FILES rows for roots, from ``root_id, name, content`` and any of ``job_id, mimetype, types, recurse``.
 
     A missing MIME type is identified from content and name, with ``registry`` (see ``sources.registry``) for the name.
+    Without ``checksums`` that of the roots is NULL: for those who open one level and want only what is in it.
     """
     have = set(files.columns)
     if "mimetype" not in have:
@@ -63,7 +68,7 @@ def as_roots(
         F.array().cast("array<string>").alias("id_chain"),
         "name",
         "mimetype",
-        dedupe_checksum(F.col("content"), F.col("mimetype")).alias("checksum"),
+        (dedupe_checksum(F.col("content"), F.col("mimetype")) if checksums else F.lit(None).cast("string")).alias("checksum"),
         F.octet_length("content").cast("bigint").alias("length"),
         parse_types(F.col("types")).alias("types"),
         "recurse",
