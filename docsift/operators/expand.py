@@ -22,6 +22,9 @@ from docsift.sources.large import located_members, opened_as_a_whole, with_value
 MESSAGE_NAME = "mbox-message.eml"
 ATTACHMENT_NAME = "message-attachment.dat"
 
+# Tasks of a level per core at least: what is found is hashed for long, and a task more than there are cores is another round.
+TASKS_PER_CORE = 3
+
 _CARRY = ["job_id", "root_id", "file_id", "depth", "id_chain", "name", "mimetype", "checksum", "types", "recurse"]
 
 
@@ -219,4 +222,4 @@ def expand_levels(roots: DataFrame, openers: Openers | None = None, limits: Limi
             return levels, any_stored
         located = found.located > 0
         # Containers cost CPU time out of proportion to their bytes, so few splits are spread over all cores.
-        frontier, level = spread(files_of(this.where(is_container)), "file_id"), level + 1
+        frontier, level = spread(files_of(this.where(is_container)), "file_id", per_core=TASKS_PER_CORE), level + 1

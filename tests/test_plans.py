@@ -14,7 +14,7 @@ from docsift.operators.extract import error_rows, process_files
 from docsift.operators.skew import join_one_to_many
 from docsift.plans import container_queries, stored_queries
 from docsift.plans.process import as_roots, process_path
-from docsift.session import staged
+from docsift.session import spread, staged
 from docsift.sinks.archive import write_archives
 from docsift.sources.files import scan_files
 
@@ -104,6 +104,18 @@ def test_checksums_are_computed_for_those_who_read_them(spark):
     assert plan(files_of(level).groupBy("root_id").agg(F.count("*"), F.sum("length"))).count("buffer_md5(") == 2
     assert plan(files_of(level)).count("buffer_md5(") == 3
     assert [r.name for r in files_of(level).orderBy("name").collect()] == ["in.zip", "x.txt"]
+    # Who opens one level and wants no checksum does without that of the roots.
+    level = expand_once(as_roots(some_roots(spark), ["embedded"], checksums=False))
+    assert plan(files_of(level).select("name", "length")).count("buffer_md5(") == 1
+    assert [r.name for r in files_of(level).orderBy("name").collect()] == ["in.zip", "x.txt"]
+
+
+def test_levels_have_several_tasks_per_core(spark):
+    """One task more than there are cores would be another round of long tasks."""
+    cores = spark.sparkContext.defaultParallelism
+    files = spark.range(100).selectExpr("cast(id as string) as file_id").coalesce(cores)
+    assert spread(files, "file_id", per_core=3).rdd.getNumPartitions() == 3 * cores
+    assert spread(files, "file_id").rdd.getNumPartitions() == cores
 
 
 @pytest.mark.parametrize("module, name", [(container_queries, "archive_scan"), (stored_queries, "stored_inputs")])
