@@ -10,8 +10,9 @@ lanes in windows, and the state is carried from window to window and starts from
 to rounds; in a round every task trains on what it reads from the weights all tasks share, and the weights are averaged,
 weighted by tokens. Softmax biases start from the counts, so the untrained model is the unigram model.
 
-Scoring reads every whole text in the same way without going back. Counts of the most frequent tokens travel with the
-model; those of all rarer ones are met in a join.
+Texts are split into tokens twice, to count them and, with the vocabulary, to write every document's symbols; training and
+scoring read the symbols. Scoring runs through every whole document in the same way without going back. Counts of the most
+frequent tokens travel with the vocabulary; those of all rarer ones are met in a join.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from docsift.llm.common import id_and_text, saved, utf8
 CLASSES, CLASS_WORDS = 32, 64
 HEAD = CLASSES * CLASS_WORDS
 TAILS = 32
+# Written symbols.
+SYMBOL = np.dtype("<i2")
 HIDDEN = 16
 # Counts of so many most frequent tokens are sent to all tasks.
 SHARED_COUNTS = 1 << 18
@@ -49,6 +52,8 @@ HELD_COUNTS = 400_000
 # No word holds a blank.
 END = b" "
 _NEVER = -30.0
+# Rows of a softmax at a time.
+BLOCK = 512
 
 
 def tokens_of(text: bytes) -> list[bytes]:
@@ -140,10 +145,11 @@ class Lookup:
     """What a task needs of the vocabulary. Symbols are places in the head, then tail classes."""
 
     ranks: _Ranks
-    # By rank, and counted from the back, by the negative ranks of unknown tokens.
+    # By rank, and counted from the back, by the negative ranks of unknown tokens: symbols, logarithms of n + 0.1, and those
+    # of shares in tail classes, 0 in the head. Of an unknown token the logarithm of n + 0.1 is left out of both.
     symbol_of: np.ndarray
     logs: np.ndarray
-    log_tail_mass: np.ndarray
+    shares: np.ndarray
 
     @classmethod
     def of(cls, vocabulary: Vocabulary) -> Lookup:
@@ -151,22 +157,23 @@ class Lookup:
         symbols = np.arange(len(ranks) + TAILS)
         symbols[HEAD : len(ranks)] = [HEAD + tail_of(t) for t in vocabulary.tokens[HEAD:]]
         symbols[len(ranks) :] = HEAD + np.arange(TAILS)[::-1]
-        return cls(ranks, symbols.astype(np.int32), np.log10(vocabulary.counts + 0.1), np.log10(vocabulary.tail_mass))
+        logs = np.concatenate([np.log10(vocabulary.counts + 0.1), np.zeros(TAILS)])
+        shares = np.zeros(len(symbols))
+        in_tail = symbols >= HEAD
+        shares[in_tail] = logs[in_tail] - np.log10(vocabulary.tail_mass)[symbols[in_tail] - HEAD]
+        return cls(ranks, symbols.astype(np.int32), logs, shares)
 
     @property
     def end(self) -> int:
         return int(self.symbol_of[self.ranks[END]])
 
-    def _ranks(self, tokens: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.ranks.__getitem__, tokens), dtype=np.int32, count=len(tokens))
-
     def symbols(self, text: bytes) -> np.ndarray:
-        return self.symbol_of[self._ranks(tokens_of(text))]
+        return self.read(text)[2]
 
     def read(self, text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """Tokens, their ranks, negative outside of the vocabulary, and symbols of a text."""
         tokens = tokens_of(text)
-        ranks = self._ranks(tokens)
+        ranks = np.fromiter(map(self.ranks.__getitem__, tokens), dtype=np.int32, count=len(tokens))
         return tokens, ranks, self.symbol_of[ranks]
 
 
@@ -286,64 +293,84 @@ def first_weights(vocabulary: Vocabulary, seed: int = 1) -> Weights:
 
 
 def _run(weights: Weights, window: Window, state: np.ndarray, keep: bool):
-    """States after every step, the last state, and with ``keep`` what backpropagation needs."""
+    """States after every step, the last state, and with ``keep`` what backpropagation needs.
+
+    Within a window arrays are steps by units by lanes, so that each step works on whole blocks of memory.
+    """
     steps, lanes = window.inputs.shape
-    gates, candidate = weights["gates"], weights["candidate"]
-    given = weights["embedding"][window.inputs]
-    out = np.empty((steps, lanes, HIDDEN), dtype=np.float32)
-    kept = tuple(np.empty((steps, lanes, k), dtype=np.float32) for k in (HIDDEN, 2 * HIDDEN, HIDDEN)) if keep else None
-    anew = window.starts.any(axis=1)
+    # Sigmoids take the negative, and tanh, by the exponential, twice the negative.
+    scale = np.repeat(np.array([-1, -2], dtype=np.float32), [2 * HIDDEN, HIDDEN])
+    given = np.ascontiguousarray((weights["embedding"] * scale)[window.inputs].transpose(0, 2, 1))
+    gates, candidate = (weights["gates"] * np.float32(-1)).T.copy(), (weights["candidate"] * np.float32(-2)).T.copy()
+    out = np.empty((steps, HIDDEN, lanes), dtype=np.float32)
+    held = steps if keep else 1
+    gate, cand, shut = (np.empty((held, k, lanes), dtype=np.float32) for k in (2 * HIDDEN, HIDDEN, HIDDEN))
+    change = np.empty((HIDDEN, lanes), dtype=np.float32)
+    before = []
+    anew, goes_on = window.starts.any(axis=1).tolist(), (~window.starts).astype(np.float32)
+    state = np.ascontiguousarray(state.T)
     for t in range(steps):
         if anew[t]:
-            state = np.where(window.starts[t][:, None], np.float32(0), state)
-        x = given[t]
-        g = state @ gates
-        g += x[:, : 2 * HIDDEN]
-        np.negative(g, out=g)
+            state = state * goes_on[t]
+        k = t if keep else 0
+        x, g, c, rh = given[t], gate[k], cand[k], shut[k]
+        np.matmul(gates, state, out=g)
+        g += x[: 2 * HIDDEN]
         np.exp(g, out=g)
         g += 1
         np.reciprocal(g, out=g)
-        c = (g[:, HIDDEN:] * state) @ candidate
-        c += x[:, 2 * HIDDEN :]
-        # tanh, by the exponential, which is faster.
-        c *= -2
+        np.multiply(g[HIDDEN:], state, out=rh)
+        np.matmul(candidate, rh, out=c)
+        c += x[2 * HIDDEN :]
         np.exp(c, out=c)
         c += 1
         np.divide(2, c, out=c)
         c -= 1
-        if kept is not None:
-            kept[0][t], kept[1][t], kept[2][t] = state, g, c
-        state = state + g[:, :HIDDEN] * (c - state)
-        out[t] = state
-    return out, state, kept
-
+        if keep:
+            before.append(state)
+        np.subtract(c, state, out=change)
+        change *= g[:HIDDEN]
+        np.add(state, change, out=out[t])
+        state = out[t]
+    return out, state.T.copy(), (before, gate, cand, shut) if keep else None
 
-def _exponents(held: np.ndarray, weights: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Exponentials of ``held @ weights``, their row sums, and the log probability of each row's chosen column.
 
-    Rows are scaled down only where an exponential could overflow.
-    """
-    logits = held @ weights
-    picked = logits[np.arange(len(held)), chosen]
-    if logits.max() > 60:
-        top = logits.max(axis=1)
-        logits -= top[:, None]
-        picked -= top
-    np.exp(logits, out=logits)
-    total = logits.sum(axis=1)
-    return logits, total, picked - np.log(total)
+def _large(weights: np.ndarray) -> np.ndarray:
+    """Whether an exponential of a softmax could overflow, whatever the state: states are between -1 and 1."""
+    return (np.abs(weights[..., :HIDDEN, :]).sum(axis=-2) + weights[..., HIDDEN, :]).max(axis=-1) > 60
 
 
-def _slopes(held: np.ndarray, weights: np.ndarray, chosen: np.ndarray, grads: np.ndarray, exponents: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """Add the softmax's slopes for the weights to ``grads`` and return those for the rows of ``held``.
+def _softmax(held: np.ndarray, weights: np.ndarray, chosen: np.ndarray, large: bool, grads: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+    """The log probability of each row's chosen column under the softmax of ``held @ weights``.
 
-    ``chosen`` is in order, so that its columns' own share is a sum over neighbours.
+    With ``grads`` the softmax's slopes for the weights are added to it, and those for the states of the rows returned. Rows
+    are scaled down only if ``large``. Blocks of rows stay in the cache.
     """
-    share = (1 / total)[:, None]
-    grads += (held * share).T @ exponents
-    firsts = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
-    grads[:, chosen[firsts]] -= np.add.reduceat(held, firsts, axis=0).T
-    return (exponents @ weights.T) * share - weights.T[chosen]
+    n, width = len(held), weights.shape[1]
+    logs = np.empty(n, dtype=np.float32)
+    back = None if grads is None else np.empty((n, HIDDEN), dtype=np.float32)
+    to_state, ones = weights[:HIDDEN].T, np.ones(width, dtype=np.float32)
+    for a in range(0, n, BLOCK):
+        rows = held[a : a + BLOCK]
+        b = a + len(rows)
+        exponents = rows @ weights
+        flat = exponents.reshape(-1)
+        at = np.arange(0, len(flat), width) + chosen[a:b]
+        picked = flat[at]
+        if large:
+            top = exponents.max(axis=1)
+            exponents -= top[:, None]
+            picked -= top
+        np.exp(exponents, out=exponents)
+        total = exponents @ ones
+        np.subtract(picked, np.log(total), out=logs[a:b])
+        if grads is not None:
+            # Probabilities less one for the chosen column, all times the row's sum.
+            flat[at] -= total
+            share = (1 / total)[:, None]
+            grads += (rows * share).T @ exponents
+            np.multiply(exponents @ to_state, share, out=back[a:b])
+    return logs, back
 
 
 def _predict(weights: Weights, out: np.ndarray, targets: np.ndarray, grads: Weights | None):
@@ -355,61 +382,64 @@ def _predict(weights: Weights, out: np.ndarray, targets: np.ndarray, grads: Weig
     cls = np.where(sym < HEAD, sym // CLASS_WORDS, sym - HEAD + CLASSES)
     # A last column of ones carries the biases.
     held = np.ones((len(order), HIDDEN + 1), dtype=np.float32)
-    held[:, :HIDDEN] = out.reshape(-1, HIDDEN)[order]
-    exponents, total, logp = _exponents(held, weights["to_class"], cls)
-    back = None
-    if grads is not None:
-        back = _slopes(held, weights["to_class"], cls, grads["to_class"], exponents, total)
+    held[:, :HIDDEN] = out.transpose(0, 2, 1).reshape(-1, HIDDEN).take(order, axis=0)
+    logp, back = _softmax(held, weights["to_class"], cls, _large(weights["to_class"]), None if grads is None else grads["to_class"])
     edges = np.searchsorted(cls, np.arange(CLASSES + 1))
+    large = _large(weights["to_word"])
     for k in np.flatnonzero(np.diff(edges)):
         a, b = edges[k], edges[k + 1]
         word = sym[a:b] - k * CLASS_WORDS
-        exponents, total, logs = _exponents(held[a:b], weights["to_word"][k], word)
+        logs, more = _softmax(held[a:b], weights["to_word"][k], word, large[k], None if grads is None else grads["to_word"][k])
         logp[a:b] += logs
         if grads is not None:
-            back[a:b] += _slopes(held[a:b], weights["to_word"][k], word, grads["to_word"][k], exponents, total)
+            back[a:b] += more
     logs = np.zeros(len(symbols), dtype=np.float32)
     logs[order] = logp
     if grads is None:
         return logs, None
     slopes = np.zeros((len(symbols), HIDDEN), dtype=np.float32)
-    slopes[order] = back[:, :HIDDEN]
-    return logs, slopes.reshape(out.shape)
+    slopes[order] = back
+    return logs, np.ascontiguousarray(slopes.reshape(*targets.shape, HIDDEN).transpose(0, 2, 1))
 
 
 def _go_back(weights: Weights, window: Window, kept, slopes: np.ndarray, grads: Weights) -> None:
     """Backpropagation through the window's steps; the slopes end where the window or a document starts."""
-    before, gate, cand = kept
+    before, gate, cand, shut = kept
     steps, lanes = window.inputs.shape
-    to_given = np.empty((steps, lanes, 3 * HIDDEN), dtype=np.float32)
-    gates_t, candidate_t = weights["gates"].T.copy(), weights["candidate"].T.copy()
-    update, reset = gate[:, :, :HIDDEN], gate[:, :, HIDDEN:]
-    gate_slope, cand_slope = gate * (1 - gate), 1 - cand * cand
-    anew = window.starts.any(axis=1)
-    later = np.zeros((lanes, HIDDEN), dtype=np.float32)
+    to_given = np.empty((steps, 3 * HIDDEN, lanes), dtype=np.float32)
+    gates, candidate = weights["gates"], weights["candidate"]
+    to_gates, to_candidate = np.zeros_like(gates), np.zeros_like(candidate)
+    anew, goes_on = window.starts.any(axis=1).tolist(), (~window.starts).astype(np.float32)
+    later = np.zeros((HIDDEN, lanes), dtype=np.float32)
+    part, rest = np.empty_like(later), np.empty((2 * HIDDEN, lanes), dtype=np.float32)
     for t in range(steps - 1, -1, -1):
         later += slopes[t]
-        z, r, h = update[t], reset[t], before[t]
-        to_c = later * z * cand_slope[t]
-        to_rh = to_c @ candidate_t
-        to_g = to_given[t, :, : 2 * HIDDEN]
-        np.multiply(later, cand[t] - h, out=to_g[:, :HIDDEN])
-        np.multiply(to_rh, h, out=to_g[:, HIDDEN:])
-        to_g *= gate_slope[t]
-        to_given[t, :, 2 * HIDDEN :] = to_c
-        later *= 1 - z
-        later += to_rh * r
-        later += to_g @ gates_t
+        g, c, h = gate[t], cand[t], before[t]
+        to_g, to_c = to_given[t, : 2 * HIDDEN], to_given[t, 2 * HIDDEN :]
+        np.multiply(c, c, out=part)
+        np.subtract(1, part, out=part)
+        np.multiply(later, g[:HIDDEN], out=to_c)
+        to_c *= part
+        to_rh = candidate @ to_c
+        np.subtract(c, h, out=part)
+        np.multiply(later, part, out=to_g[:HIDDEN])
+        np.multiply(to_rh, h, out=to_g[HIDDEN:])
+        to_g *= g
+        np.subtract(1, g, out=rest)
+        to_g *= rest
+        later *= rest[:HIDDEN]
+        to_rh *= g[HIDDEN:]
+        later += to_rh
+        later += gates @ to_g
         if anew[t]:
-            later[window.starts[t]] = 0
-    flat = to_given.reshape(-1, 3 * HIDDEN)
-    grads["gates"] += before.reshape(-1, HIDDEN).T @ flat[:, : 2 * HIDDEN]
-    grads["candidate"] += (reset * before).reshape(-1, HIDDEN).T @ flat[:, 2 * HIDDEN :]
-    symbols = window.inputs.ravel()
-    order = np.argsort(symbols, kind="stable")
-    ordered = symbols[order]
-    firsts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    grads["embedding"][ordered[firsts]] += np.add.reduceat(flat[order], firsts, axis=0)
+            later *= goes_on[t]
+        to_gates += h @ to_g.T
+        to_candidate += shut[t] @ to_c.T
+    grads["gates"] += to_gates
+    grads["candidate"] += to_candidate
+    symbols = window.inputs.ravel().astype(np.intp)
+    sums = [np.bincount(symbols, to_given[:, unit].ravel(), HEAD + TAILS) for unit in range(3 * HIDDEN)]
+    grads["embedding"] += np.array(sums, dtype=np.float32).T
 
 
 def train(weights: Weights, docs: Iterable[np.ndarray], end: int, rate: float = RATE) -> tuple[Weights, int]:
@@ -502,70 +532,99 @@ def _shaped(flat: np.ndarray) -> Weights:
     return out
 
 
-def train_rounds(texts: DataFrame, vocabulary: Vocabulary, shared: Broadcast, rounds: int = ROUNDS) -> Weights:
-    """Train on ``text`` of all rows, each in the one round that a hash of its text gives it."""
+_ENCODED = (
+    "row long, doc_id long, held_out boolean, round int, n_tokens long, n_known long, base double, model double, symbols binary, "
+    "rare array<struct<token: binary, n: long>>"
+)
+
+
+def _encode(shared: Broadcast, denominator: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Arrow job over ``doc_id, held_out, round, text``: symbols, and scores but for the network and for rare tokens, which are listed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = _lookup(shared)
+        row = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            n_tokens, n_known, base, model, written, tokens_listed, n_listed, ends = [], [], [], [], [], [], [], [0]
+            for text in utf8(batch.column("text")):
+                tokens, ranks, symbols = lookup.read(text)
+                unknown = np.flatnonzero(ranks < 0)
+                listed = Counter(map(tokens.__getitem__, unknown.tolist()))
+                n_tokens.append(len(tokens))
+                n_known.append(len(tokens) - len(unknown))
+                base.append(lookup.logs[ranks].sum() - len(tokens) * np.log10(denominator))
+                model.append(lookup.shares[ranks].sum())
+                written.append(symbols.astype(SYMBOL).tobytes())
+                tokens_listed += listed
+                n_listed += listed.values()
+                ends.append(len(n_listed))
+            rows = np.arange(row, row + batch.num_rows)
+            row += batch.num_rows
+            entries = pa.StructArray.from_arrays([pa.array(tokens_listed, pa.binary()), pa.array(n_listed, pa.int64())], ["token", "n"])
+            arrays = {
+                "row": pa.array(rows, pa.int64()),
+                **{name: batch.column(name) for name in ("doc_id", "held_out", "round")},
+                **{name: pa.array(values, pa.int64()) for name, values in (("n_tokens", n_tokens), ("n_known", n_known))},
+                **{name: pa.array(values, pa.float64()) for name, values in (("base", base), ("model", model))},
+                "symbols": pa.array(written, pa.binary()),
+                "rare": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries),
+            }
+            yield pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
+
+    return run
+
+
+def _symbols(column: pa.Array) -> Iterator[np.ndarray]:
+    return (np.frombuffer(value, dtype=SYMBOL) for value in column.to_pylist())
+
+
+def train_rounds(encoded: DataFrame, vocabulary: Vocabulary, end: int, rounds: int = ROUNDS) -> Weights:
+    """Train on the ``symbols`` of all rows that are not held out, each in its ``round``."""
     weights = first_weights(vocabulary)
     for number in range(rounds):
         given = weights
 
         def run(batches: Iterator[pa.RecordBatch], given: Weights = given) -> Iterator[pa.RecordBatch]:
-            lookup = _lookup(shared)
-            trained, tokens = train(given, (lookup.symbols(t) for b in batches for t in utf8(b.column(0))), lookup.end)
+            trained, tokens = train(given, (symbols for b in batches for symbols in _symbols(b.column(0))), end)
             if tokens:
                 value = (_flat(trained).astype(np.float64) * tokens).tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([value], pa.binary()), pa.array([tokens], pa.int64())], names=["weights", "tokens"])
 
-        part = texts.where(F.pmod(F.xxhash64(F.lit("round"), "text"), F.lit(rounds)) == number)
+        part = encoded.where(~F.col("held_out") & (F.col("round") == number)).select("symbols")
         flat = _averaged(part.mapInArrow(run, "weights binary, tokens long"))
         weights = weights if flat is None else _shaped(flat)
     return weights
 
 
-_PARTS = "row long, doc_id long, n_tokens long, n_known long, base double, model double, rare array<struct<token: binary, n: long>>"
+_SCORED = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "model"]
 
 
-def _parts(shared: Broadcast, weights: Weights, denominator: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Arrow job: scores but for the counts of rare tokens, which are listed."""
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    names = ["row", "doc_id", "n_tokens", "n_known", "base", "model", "rare"]
+def _score(weights: Weights, end: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Arrow job over the columns of ``_SCORED`` and ``symbols``: the network's score is added to ``model``."""
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = _lookup(shared)
-        row = TaskContext.get().partitionId() << 33
         waiting: dict[int, tuple] = {}
         done: deque[tuple] = deque()
 
         def read() -> Iterator[np.ndarray]:
             number = 0
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
-                    tokens, ranks, symbols = lookup.read(text)
-                    known = ranks >= 0
-                    logs = float(lookup.logs[ranks[known]].sum()) if known.any() else 0.0
-                    tails = symbols[symbols >= HEAD] - HEAD
-                    in_head = ranks[known & (symbols < HEAD)]
-                    # Of head words the network has it all; of others the class, and the share of the count is added.
-                    model = logs - (float(lookup.logs[in_head].sum()) if len(in_head) else 0.0) - float(lookup.log_tail_mass[tails].sum())
-                    listed = Counter(map(tokens.__getitem__, np.flatnonzero(~known).tolist()))
-                    base = logs - len(tokens) * np.log10(denominator)
-                    waiting[number] = (row + number, doc_id, len(tokens), int(known.sum()), base, model, listed)
+                columns = [batch.column(name).to_pylist() for name in _SCORED]
+                for *values, symbols in zip(*columns, _symbols(batch.column("symbols")), strict=True):
+                    waiting[number] = tuple(values)
                     number += 1
                     yield symbols
 
         def rows(least: int) -> Iterator[pa.RecordBatch]:
             while len(done) >= max(least, 1):
                 part = [done.popleft() for _ in range(min(len(done), 2000))]
-                *columns, lists = zip(*part, strict=True)
-                ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-                entries = pa.StructArray.from_arrays(
-                    [pa.array([t for x in lists for t in x], pa.binary()), pa.array([n for x in lists for n in x.values()], pa.int64())], ["token", "n"]
-                )
-                arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(pa.array(ends), entries)], names=names)
-
-        for number, value in log_likelihoods(weights, read(), lookup.end):
-            *head, model, listed = waiting.pop(number)
-            done.append((*head, model + value / np.log(10), listed))
+                arrays = [pa.array(c, k) for c, k in zip(zip(*part, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=_SCORED)
+
+        for number, value in log_likelihoods(weights, read(), end):
+            *head, model = waiting.pop(number)
+            done.append((*head, model + value / np.log(10)))
             yield from rows(2000)
         yield from rows(1)
 
@@ -583,23 +642,28 @@ def likelihoods(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     """
     spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col)
-    training = rows.where(~held_out).select("text")
-    counts = saved(token_counts(training), "lm-counts")
+    counts = saved(token_counts(rows.where(~held_out).select("text")), "lm-counts")
     vocabulary = read_vocabulary(counts)
     shared = spark.sparkContext.broadcast(vocabulary)
-    weights = train_rounds(training, vocabulary, shared, rounds)
-    parts = saved(rows.mapInArrow(_parts(shared, weights, vocabulary.denominator), _PARTS), "lm-parts")
-    rare = parts.select("row", F.explode("rare").alias("r")).select("row", F.col("r.token").alias("token"), F.col("r.n").alias("k"))
+    end = Lookup.of(vocabulary).end
+    # Equal texts are in one round.
+    a_round = F.pmod(F.xxhash64(F.lit("round"), "text"), F.lit(rounds)).cast("int")
+    given = rows.select("doc_id", held_out.alias("held_out"), a_round.alias("round"), "text")
+    encoded = saved(given.mapInArrow(_encode(shared, vocabulary.denominator), _ENCODED), "lm-symbols")
+    weights = train_rounds(encoded, vocabulary, end, rounds)
+    kinds = encoded.select(*_SCORED).schema
+    parts = saved(encoded.select(*_SCORED, "symbols").mapInArrow(_score(weights, end), kinds), "lm-parts")
+    rare = encoded.select("row", F.explode("rare").alias("r")).select("row", F.col("r.token").alias("token"), F.col("r.n").alias("k"))
     met = rare.join(counts.select("token", "n"), "token", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     added = met.groupBy("row").agg(
         F.sum(F.col("k") * F.log10(F.col("n") + F.lit(0.1).cast("double"))).alias("logs"), F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("known")
     )
-    joined = parts.drop("rare").join(added, "row", "left")
+    joined = parts.join(added, "row", "left")
     logs = F.coalesce("logs", F.lit(0.0))
     score = F.col("model") + logs
     return joined.select(
         "doc_id",
-        held_out.alias("held_out"),
+        "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(vocabulary.total).cast("long").alias("train_tokens"),

@@ -114,6 +114,40 @@ def test_slopes_match_differences():
         assert (up - down) / (2 * step) == pytest.approx(grad[at], rel=0.03, abs=2e-3), name
 
 
+def test_training_reads_written_symbols(spark, monkeypatch):
+    """Texts are not split into tokens again for training: all rows come with their symbols, once."""
+    given, train_rounds = [], lm.train_rounds
+    monkeypatch.setattr(lm, "train_rounds", lambda df, *rest: given.append(df) or train_rounds(df, *rest))
+    lm.likelihoods(table(spark, ROWS), in_fold(F.col("doc_id"), 10, 0), rounds=2)
+    assert "text" not in given[0].columns
+    rows = given[0].select("doc_id", "held_out", "round", "n_tokens", "symbols").collect()
+    got = sorted(((r.doc_id, r.n_tokens, r.held_out) for r in rows), key=str)
+    assert got == [(i, n, i is not None and zlib.crc32(str(i).encode()) % 10 == 0) for i, n, *_ in brute(ROWS)]
+    assert all(len(r.symbols) == r.n_tokens * lm.SYMBOL.itemsize for r in rows) and {r["round"] for r in rows} == {0, 1}
+
+
+def test_scores_match_the_network_apart_from_spark(spark):
+    """Trained in one task and one round, the scores are those of the same network, with each rare word's share of its tail class."""
+    rows = [(i, text + "".join(f" w{i}x{j}" for j in range(60))) for i, text in ROWS[len(EDGES) :]]
+    got = {r.doc_id: r.score for r in lm.likelihoods(table(spark, rows).coalesce(1), in_fold(F.col("doc_id"), 10, 0), rounds=1).collect()}
+    docs = {i: text.encode() for i, text in rows}
+    training = [text for i, text in docs.items() if zlib.crc32(str(i).encode()) % 10]
+    counts = Counter(t for text in training for t in lm.tokens_of(text))
+    items = sorted(counts.items(), key=lambda x: (-x[1], x[0]))
+    assert len(items) > lm.HEAD
+    mass = np.full(lm.TAILS, 0.1)
+    for token, n in items[lm.HEAD :]:
+        mass[lm.tail_of(token)] += n + 0.1
+    vocabulary = lm.Vocabulary([t for t, _ in items], np.array([n for _, n in items]), sum(counts.values()), len(counts), mass)
+    look = lm.Lookup.of(vocabulary)
+    weights = lm.train(lm.first_weights(vocabulary), map(look.symbols, training), look.end)[0]
+    logs = dict(lm.log_likelihoods(weights, map(look.symbols, docs.values()), look.end))
+    for number, (i, text) in enumerate(docs.items()):
+        tokens, _, symbols = look.read(text)
+        shares = sum(math.log10((counts[t] + 0.1) / mass[s - lm.HEAD]) for t, s in zip(tokens, symbols.tolist(), strict=True) if s >= lm.HEAD)
+        assert got[i] == pytest.approx(logs[number] / math.log(10) + shares, rel=1e-5)
+
+
 @pytest.mark.skipif(not HAS_TABLES, reason="no test tables")
 def test_better_than_the_base_on_held_out_texts(spark):
     got = lm.likelihoods(documents(spark, SF_DIR), in_fold(F.col("doc_id"), 10, 0)).where("held_out").collect()
