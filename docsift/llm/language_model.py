@@ -18,17 +18,18 @@ frequent tokens travel with the vocabulary; those of all rarer ones are met in a
 from __future__ import annotations
 
 import uuid
-from collections import Counter, deque
+from collections import deque
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.common import id_and_text, saved, utf8
+from docsift.llm.common import id_and_text, saved
 
 CLASSES, CLASS_WORDS = 32, 64
 HEAD = CLASSES * CLASS_WORDS
@@ -63,27 +64,56 @@ def tokens_of(text: bytes) -> list[bytes]:
     return words
 
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts of a batch, as ``tokens_of`` finds them, and how many stand before each text, and in all."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = lists.flatten().cast(pa.binary())
+    # White space at the ends of a text leaves empty words.
+    some = pc.greater(pc.binary_length(words), 0)
+    before = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+    return words.filter(some), before[lists.offsets.to_numpy()]
+
+
 def tail_of(token: bytes) -> int:
     return token[-1] % TAILS
 
 
+def _tails(tokens: pa.Array) -> np.ndarray:
+    """``tail_of`` each token of an array."""
+    _, offsets, data = tokens.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int32)[tokens.offset + 1 : tokens.offset + len(tokens) + 1]
+    return (np.frombuffer(data, dtype=np.uint8)[ends - 1] % TAILS).astype(np.int32)
+
+
+def _with_end(words: pa.Array) -> pa.Array:
+    return pa.concat_arrays([words, pa.array([END], pa.binary())])
+
+
 def token_counts(texts: DataFrame) -> DataFrame:
     """``token, tail, n`` over the column ``text``, one row per distinct token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(held: Counter) -> pa.RecordBatch:
-            tokens = list(held)
-            columns = [pa.array(tokens, pa.binary()), pa.array([tail_of(t) for t in tokens], pa.int32()), pa.array(list(held.values()), pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, names=["token", "tail", "n"])
+        def merged(held: list[pa.Table]) -> pa.Table:
+            sums = pa.concat_tables(held).group_by("token", use_threads=False).aggregate([("n", "sum")])
+            return pa.table({"token": sums["token"], "n": sums["n_sum"]})
 
-        held: Counter = Counter()
+        def rows(held: pa.Table) -> pa.RecordBatch:
+            tokens, n = (held[name].combine_chunks() for name in ("token", "n"))
+            return pa.RecordBatch.from_arrays([tokens, pa.array(_tails(tokens)), n], names=["token", "tail", "n"])
+
+        held: list[pa.Table] = []
         for batch in batches:
-            for text in utf8(batch.column(0)):
-                held.update(tokens_of(text))
-                if len(held) > HELD_COUNTS:
-                    yield rows(held)
-                    held = Counter()
-        yield rows(held)
+            if not batch.num_rows:
+                continue
+            coded = words_of(batch.column(0))[0].dictionary_encode()
+            n = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
+            held.append(pa.table({"token": _with_end(coded.dictionary), "n": pa.array(np.append(n, batch.num_rows), pa.int64())}))
+            if sum(map(len, held)) > HELD_COUNTS:
+                held = [merged(held)]
+                if len(held[0]) > HELD_COUNTS:
+                    yield rows(held.pop())
+        if held:
+            yield rows(merged(held))
 
     partial = texts.select("text").mapInArrow(run, "token binary, tail int, n long")
     return partial.groupBy("token", "tail").agg(F.sum("n").alias("n"))
@@ -170,10 +200,13 @@ class Lookup:
     def symbols(self, text: bytes) -> np.ndarray:
         return self.read(text)[2]
 
+    def ranks_of(self, tokens: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.ranks.__getitem__, tokens), dtype=np.int32, count=len(tokens))
+
     def read(self, text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """Tokens, their ranks, negative outside of the vocabulary, and symbols of a text."""
         tokens = tokens_of(text)
-        ranks = np.fromiter(map(self.ranks.__getitem__, tokens), dtype=np.int32, count=len(tokens))
+        ranks = self.ranks_of(tokens)
         return tokens, ranks, self.symbol_of[ranks]
 
 
@@ -545,30 +578,38 @@ def _encode(shared: Broadcast, denominator: float) -> Callable[[Iterator[pa.Reco
         lookup = _lookup(shared)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            n_tokens, n_known, base, model, written, tokens_listed, n_listed, ends = [], [], [], [], [], [], [], [0]
-            for text in utf8(batch.column("text")):
-                tokens, ranks, symbols = lookup.read(text)
-                unknown = np.flatnonzero(ranks < 0)
-                listed = Counter(map(tokens.__getitem__, unknown.tolist()))
-                n_tokens.append(len(tokens))
-                n_known.append(len(tokens) - len(unknown))
-                base.append(lookup.logs[ranks].sum() - len(tokens) * np.log10(denominator))
-                model.append(lookup.shares[ranks].sum())
-                written.append(symbols.astype(SYMBOL).tobytes())
-                tokens_listed += listed
-                n_listed += listed.values()
-                ends.append(len(n_listed))
-            rows = np.arange(row, row + batch.num_rows)
-            row += batch.num_rows
-            entries = pa.StructArray.from_arrays([pa.array(tokens_listed, pa.binary()), pa.array(n_listed, pa.int64())], ["token", "n"])
+            docs = batch.num_rows
+            if not docs:
+                continue
+            words, before = words_of(batch.column("text"))
+            coded = words.dictionary_encode()
+            distinct = _with_end(coded.dictionary)
+            # All texts' tokens in a row, as places among the distinct ones, of which the end is the last.
+            ends = before[1:] + np.arange(1, docs + 1)
+            starts = np.concatenate([[0], ends[:-1]])
+            is_word = np.ones(ends[-1], dtype=bool)
+            is_word[ends - 1] = False
+            places = np.full(ends[-1], len(distinct) - 1)
+            places[is_word] = coded.indices.to_numpy()
+            ranks = lookup.ranks_of(distinct.to_numpy(zero_copy_only=False).tolist())[places]
+            symbols = lookup.symbol_of[ranks].astype(SYMBOL)
+            # Unknown tokens by text, each once with its number there.
+            unknown = np.flatnonzero(ranks < 0)
+            keys, n = np.unique(np.searchsorted(ends, unknown, side="right") * len(distinct) + places[unknown], return_counts=True)
+            text, token = np.divmod(keys, len(distinct))
+            entries = pa.StructArray.from_arrays([distinct.take(pa.array(token)), pa.array(n, pa.int64())], ["token", "n"])
+            offsets = np.concatenate([[0], ends * SYMBOL.itemsize]).astype(np.int32)
             arrays = {
-                "row": pa.array(rows, pa.int64()),
+                "row": pa.array(np.arange(row, row + docs), pa.int64()),
                 **{name: batch.column(name) for name in ("doc_id", "held_out", "round")},
-                **{name: pa.array(values, pa.int64()) for name, values in (("n_tokens", n_tokens), ("n_known", n_known))},
-                **{name: pa.array(values, pa.float64()) for name, values in (("base", base), ("model", model))},
-                "symbols": pa.array(written, pa.binary()),
-                "rare": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries),
+                "n_tokens": pa.array(ends - starts, pa.int64()),
+                "n_known": pa.array(np.add.reduceat(ranks >= 0, starts, dtype=np.int64)),
+                "base": pa.array(np.add.reduceat(lookup.logs[ranks], starts) - (ends - starts) * np.log10(denominator)),
+                "model": pa.array(np.add.reduceat(lookup.shares[ranks], starts)),
+                "symbols": pa.Array.from_buffers(pa.binary(), docs, [None, pa.py_buffer(offsets), pa.py_buffer(symbols)]),
+                "rare": pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(docs + 1)), pa.int32()), entries),
             }
+            row += docs
             yield pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
 
     return run

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,6 +115,30 @@ def test_slopes_match_differences():
         assert (up - down) / (2 * step) == pytest.approx(grad[at], rel=0.03, abs=2e-3), name
 
 
+def test_words_of_batches():
+    """Split as each text alone is: by blanks, tabs and line ends only, in bytes, however many stand together."""
+    texts = [t for _, t in EDGES] + ["", "  a\x1cB \t\r\n\x0b\x0cC\x1f ", "\x85d\u2003E\xa0f", "\x00 \x00", "İ ſ É"]
+    values = pa.array([None if t is None else t.encode() for t in texts] + [b"\xff A\xc3 B\x80"], pa.binary())
+    column = pa.Array.from_buffers(pa.string(), len(values), values.buffers(), values.null_count)
+    for part, plain in ((column, values), (column[5:], values[5:]), (column[:0], values[:0])):
+        words, before = lm.words_of(part)
+        found = [words[a:b].to_pylist() + [lm.END] for a, b in zip(before, before[1:], strict=False)]
+        assert found == [lm.tokens_of(t or b"") for t in plain.to_pylist()]
+
+
+@pytest.mark.parametrize("held", [lm.HELD_COUNTS, 40])
+def test_counts_of_many_batches(spark, monkeypatch, held):
+    monkeypatch.setattr(lm, "HELD_COUNTS", held)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = {r.token: (r.tail, r.n) for r in lm.token_counts(table(spark, ROWS).coalesce(1)).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    counts = Counter(t for _, text in ROWS for t in lm.tokens_of((text or "").encode()))
+    assert {bytes(t): n for t, (_, n) in got.items()} == dict(counts) and all(tail == lm.tail_of(t) for t, (tail, _) in got.items())
+
+
 def test_training_reads_written_symbols(spark, monkeypatch):
     """Texts are not split into tokens again for training: all rows come with their symbols, once."""
     given, train_rounds = [], lm.train_rounds
