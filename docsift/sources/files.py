@@ -39,7 +39,8 @@ def scan_jobs(jobs: DataFrame, files: DataFrame, large_bytes: int = INLINE_BYTES
     that cannot be read.
 
     ``files`` is a scan of the folders the inputs lie in, of which only the listing is used: the task that holds a job
-    reads the job's file, and no other file is opened. A file that went away since it was listed is an error row.
+    reads the job's file, and no other file is opened. A file that went away since it was listed is an error row. Those above
+    the size are jobs like the others: who leaves them out has not read all inputs (see ``located_roots``).
     """
     jobs = jobs.withColumn("path", plain_path(F.col("input_uri")))
     is_object = F.col("input_uri").rlike("^s3[an]?:")
@@ -50,19 +51,18 @@ def scan_jobs(jobs: DataFrame, files: DataFrame, large_bytes: int = INLINE_BYTES
     checked = checked.withColumn("error_class", problem)
     named = F.element_at(F.split("path", "/"), -1).alias("name")
     known = checked.where("error_class is null")
-    large = known.where(F.col("length") > large_bytes).select(
-        "job_id", F.col("job_id").alias("root_id"), named, "path", "length", "mimetype", "types", "recurse"
-    )
     # Jobs are narrow rows; their contents come in after they are spread.
-    small = known.where(F.col("length") <= large_bytes)
-    small = staged(small.select("job_id", "path", "mimetype", "types", "recurse", "length"), "jobs")
-    work = small.agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).first()
+    known = staged(known.select("job_id", "path", "mimetype", "types", "recurse", "length"), "jobs")
+    is_large = F.col("length") > large_bytes
+    work = known.agg(F.count_if(~is_large).alias("small"), F.count_if(is_large).alias("large"), F.sum(F.when(~is_large, F.col("length"))).alias("bytes")).first()
     # The number is given, as a plan that goes by the rows' own few bytes would put all jobs into one task.
     cores = jobs.sparkSession.sparkContext.defaultParallelism
-    tasks = min(max(4 * cores, (work.bytes or 0) // TASK_BYTES), max(work.n, 1))
-    good = small.drop("length").repartitionByRange(tasks, "job_id", "path")
-    gone = with_contents(good.select("job_id", "path"), only_missing=True).select("job_id", F.lit("not_found").alias("error_class"))
-    gone = gone.join(jobs.select("job_id", "input_uri"), "job_id")
+    tasks = min(max(4 * cores, (work.bytes or 0) // TASK_BYTES), max(work.small, 1))
+    good = known.where(~is_large).drop("length").repartitionByRange(tasks, "job_id", "path")
+    big = known.where(is_large).repartitionByRange(min(4 * cores, max(work.large, 1)), "job_id", "path")
+    large = with_files(big).select("job_id", F.col("job_id").alias("root_id"), named, "path", "length", "mimetype", "types", "recurse")
+    gone = with_contents(good.select("job_id", "path").unionByName(big.select("job_id", "path")), only_missing=True)
+    gone = gone.select("job_id", F.lit("not_found").alias("error_class")).join(jobs.select("job_id", "input_uri"), "job_id")
     errors = checked.where("error_class is not null").select("job_id", "error_class", "input_uri")
     errors = errors.unionByName(gone).select(
         "job_id",
@@ -108,6 +108,17 @@ def with_contents(rows: DataFrame, only_missing: bool = False) -> DataFrame:
     return rows.mapInArrow(read, T.StructType([*rows.schema.fields, T.StructField("content", T.BinaryType())]))
 
 
+def with_files(rows: DataFrame) -> DataFrame:
+    """Rows whose file is there, by their ``path``."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stores = [open_store(path) for path in batch.column("path").to_pylist()]
+            yield batch.filter(pa.array([store.get_file_info(name).type == fs.FileType.File for store, name in stores], pa.bool_()))
+
+    return rows.mapInArrow(look, rows.schema)
+
+
 def scan_mailboxes(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """Messages of mailbox files, ``path, ordinal, content``, read in parallel within each file.
 

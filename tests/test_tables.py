@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from docsift import process
 from docsift.operators import compare, dedupe
+from docsift.operators.openers import Limits
 from docsift.operators.skew import hot_keys, join_one_to_many, join_to_small, without
+from docsift.plans import container_queries
 from docsift.session import new_run_dir, temporary_runs
 from docsift.sinks.archive import directory_record, end_of_archive, publish, with_part, write_archives
 from docsift.sinks.layout import write_layout
@@ -370,6 +372,34 @@ def test_unique_files_compute_each_key_once(spark, tmp_path):
     assert {r.root_id: r.checksum for r in kept}["r3"] == "3" and seen.value == len(rows)
 
 
+def test_large_inputs_of_jobs_are_read_or_missed_like_others(spark, tmp_path):
+    for name in ("here", "gone"):
+        (tmp_path / f"{name}.txt").write_bytes(name.encode())
+    listed = files.scan_files(spark, str(tmp_path)).select("path", "length").collect()
+    listing = spark.createDataFrame([(r.path, r.length) for r in listed], "path string, length long")
+    jobs = listing.select(F.col("path").alias("job_id"), F.col("path").alias("input_uri"), F.lit("text/plain").alias("mimetype"), F.array(F.lit("text")).alias("types"), F.lit(False).alias("recurse"))
+    (tmp_path / "gone.txt").unlink()
+    for limit in (0, 100):
+        small, large, errors = files.scan_jobs(jobs, listing, limit)
+        (small_there, large_there) = ([r.name for r in t.collect()] for t in (small, large))
+        assert (small_there, large_there) == (([], ["here.txt"]) if limit == 0 else (["here.txt"], []))
+        assert [(e.job_id.split("/")[-1], e.error_class) for e in errors.collect()] == [("gone.txt", "not_found")]
+
+
+@pytest.mark.parametrize("input_bytes, message_bytes", [(0, 256_000_000), (0, 400), (1_500, 400)])
+def test_jobs_of_files_read_inputs_of_any_size(spark, tmp_path, monkeypatch, input_bytes, message_bytes):
+    """The messages are the same whether inputs, and messages in them, are above the limits or below."""
+    rows = [(c, t, "user", f"line of {c}\nFrom {t}\n" * (1 + 20 * c)) for c in range(4) for t in range(5)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    turns.repartitionByRange(4, "conv_id").write.parquet(str(tmp_path / "conversations.parquet"))
+    read = lambda: sorted(map(repr, container_queries.scan_jobs_of_files(spark, str(tmp_path)).collect()))
+    expected = read()
+    assert len(expected) == len(rows) + 2
+    monkeypatch.setattr(files.scan_jobs, "__defaults__", (input_bytes,))
+    monkeypatch.setattr(Limits.__init__, "__defaults__", (message_bytes, *Limits.__init__.__defaults__[1:]))
+    assert read() == expected
+
+
 def test_jobs_are_dealt_to_many_tasks(spark, tmp_path):
     for i in range(6):
         (tmp_path / f"{i}.txt").write_text(f"text {i}")
