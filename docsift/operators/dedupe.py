@@ -60,5 +60,6 @@ def last_write_wins(outputs: DataFrame) -> DataFrame:
     rank = ["depth", "ordinal", "file_id", "process_type"]
     ids = staged(outputs.select("job_id", "root_id", "archive_path", *rank), "ids")
     last = ids.groupBy("job_id", "root_id", "archive_path").agg(F.max(F.struct(*rank)).alias("last")).select("last.*")
-    overwritten = ids.select(*rank).join(last, rank, "left_anti")
+    # Written once, as whoever reads the outputs again would find the overwritten ones again.
+    overwritten = staged(ids.select(*rank).join(last, rank, "left_anti"), "overwritten")
     return without(outputs, overwritten, rank)

@@ -15,7 +15,7 @@ from docsift.functions.mime import format_content_type, identify_or_default
 from docsift.functions.paths import child_id, extend_chain, is_directory, safe_name
 from docsift.operators.openers import Limits, Openers, opened
 from docsift.schemas import EXPANDED, FILES, LEVEL, MAIL, MBOX, STORED, ZIP
-from docsift.session import CONTENT_TABLE, new_run_dir, spread
+from docsift.session import CONTENT_TABLE, new_run_dir, own_shuffles, spread
 from docsift.sources.contents import looked_checksum, looked_type
 from docsift.sources.large import located_members, opened_as_a_whole, with_values
 
@@ -208,7 +208,8 @@ def expand_levels(roots: DataFrame, openers: Openers | None = None, limits: Limi
                     "message": F.when(too_deep, F.col("name")).otherwise(F.col("message")),
                 }
             ).withColumn("record", F.explode(kinds))
-        rows.write.partitionBy("record").options(**CONTENT_TABLE).parquet(f"{out}/level={level}")
+        with own_shuffles(spark):
+            rows.write.partitionBy("record").options(**CONTENT_TABLE).parquet(f"{out}/level={level}")
         levels = spark.read.schema(LEVEL).option("basePath", out).parquet(out)
         this = levels.where(F.col("level") == level)
         is_container = F.col("record") == "container"

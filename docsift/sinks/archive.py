@@ -1,9 +1,10 @@
 """Export: the outputs of a root as one zip archive, however large it is.
 
-An archive of one part is written by one task. A larger one is cut into parts that are deflated by many tasks into
-segments; each segment's entries are a table with their places in it. One task then joins the segments' bytes under the
-archive's name, without deflating anything again: the places of the entries are sums over the segments before, and the
-directory follows, in the 64-bit form where it has to be.
+Outputs are deflated where they are, so that they move as small as they are in an archive, and in rounds, so that only some of
+them lie in a shuffle at a time. An archive of one part is written by one task. A larger one is cut into parts that many tasks
+write as segments; each segment's entries are a table with their places in it. One task then joins the segments' bytes under
+the archive's name: the places of the entries are sums over the segments before, and the directory follows, in the 64-bit form
+where it has to be.
 """
 
 from __future__ import annotations
@@ -11,7 +12,9 @@ from __future__ import annotations
 import posixpath
 import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyarrow import fs
@@ -19,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsift.session import staged
+from docsift.session import own_shuffles, staged
 from docsift.sources.contents import read_pieces
 from docsift.sources.large import dealt
 from docsift.sources.zips import CENTRAL, DEFLATED, END, END_64, LOCATOR_64
@@ -31,14 +34,22 @@ _SEGMENTS = (
     "segment string, segment_bytes bigint, whole string"
 )
 
+_PACKED = (
+    "job_id string, root_id string, archive_path string, parts int, part int, data binary, place string, crc bigint, size bigint"
+)
+
 # Bytes and entries of a part, so that roots of very many small outputs are cut as well.
 PART_BYTES, PART_ENTRIES = 256 << 20, 250_000
 
+# Each round reads all outputs and moves its share of them, so rounds are few, and have several tasks per core.
+MOST_ROUNDS, ROUND_TASKS_PER_CORE = 4, 2
+
 # All entries carry the earliest time a zip can hold, so that archives of equal content are equal. Names
 # that are not ASCII are UTF-8, sizes follow the data, and so they may have 64 bits.
 ENTRY_TIME = (1980, 1, 1, 0, 0, 0)
 _DOS_DATE, _SIZES_FOLLOW, _UTF8_NAME, _VERSION, _UNIX = 0x21, 0x08, 0x800, 45, 3
 _ATTRIBUTES = 0o600 << 16
+_SIZES = b"PK\x07\x08"
 _MOST_16, _MOST_32 = 0xFFFF, 0xFFFFFFFF
 
 
@@ -54,8 +65,9 @@ def with_part(outputs: DataFrame, part_bytes: int, part_entries: int = PART_ENTR
     units = sized.agg(F.sum(F.when(F.col("parts") > 1, F.col("parts"))).alias("cut"), F.sum("bytes").alias("bytes")).first()
     cores = outputs.sparkSession.sparkContext.defaultParallelism
     tasks = cores + (units.cut or 0) + (units.bytes or 0) // part_bytes
-    sized = sized.drop("bytes")
-    joined = outputs.join(sized.where("parts > 1"), ["job_id", "root_id"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    # A table of its own, as Spark goes by the size of a table before it is filtered: joined otherwise, all contents would move.
+    several = staged(sized.where("parts > 1").drop("bytes"), "archive-parts")
+    joined = outputs.join(several, ["job_id", "root_id"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     return joined.withColumn("part", F.pmod(F.xxhash64("archive_path"), F.col("parts")).cast("int")), tasks
 
 
@@ -71,7 +83,7 @@ def write_archives(outputs: DataFrame, path: str, part_bytes: int = PART_BYTES,
         outputs.select("job_id", "root_id", "archive_path", "length", data.alias("data"), place.alias("place")), part_bytes, part_entries
     )
     key = ["job_id", "root_id", "part"]
-    dealt_out = dealt(rows.drop("length"), tasks, *key).sortWithinPartitions(*key, "archive_path")
+    rows = rows.select("job_id", "root_id", "archive_path", "parts", "part", "data", "place")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = TaskContext.get().taskAttemptId()
@@ -99,7 +111,7 @@ def write_archives(outputs: DataFrame, path: str, part_bytes: int = PART_BYTES,
         for batch in batches:
             keys = zip(*(batch.column(c).to_pylist() for c in key), strict=True)
             names, contents = batch.column("archive_path").to_pylist(), batch.column("data")
-            places, parts = batch.column("place").to_pylist(), batch.column("parts").to_pylist()
+            places, parts, crcs, sizes = (batch.column(c).to_pylist() for c in ("place", "parts", "crc", "size"))
             for i, found in enumerate(keys):
                 if found != current:
                     if current is not None:
@@ -110,25 +122,68 @@ def write_archives(outputs: DataFrame, path: str, part_bytes: int = PART_BYTES,
                     place = posixpath.join(base, "_segments" if several else "archives", f"{partial}.{found[2]}" if several else partial)
                     stream = store.open_output_stream(place)
                     archive = zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED, allowZip64=True)
-                pieces = [contents[i].as_py() or b""] if places[i] is None else read_pieces(places[i])
-                with archive.open(_entry(names[i]), "w", force_zip64=places[i] is not None) as entry:
-                    for piece in pieces:
+                if places[i] is None:
+                    _add_deflated(archive, _entry(names[i]), contents[i].as_py(), crcs[i], sizes[i])
+                    continue
+                with archive.open(_entry(names[i]), "w", force_zip64=True) as entry:
+                    for piece in read_pieces(places[i]):
                         entry.write(piece)
         if current is not None:
             yield finish()
 
-    segments = staged(dealt_out.mapInArrow(write, _SEGMENTS), "segments")
+    rounds = rounds_of(tasks, spark.sparkContext.defaultParallelism)
+    segments = []
+    for i in range(rounds):
+        mine = rows.where(F.pmod(F.xxhash64(*key), F.lit(rounds)) == i) if rounds > 1 else rows
+        packed = dealt(mine.mapInArrow(_deflated, _PACKED), -(-tasks // rounds), *key).sortWithinPartitions(*key, "archive_path")
+        segments.append(staged(packed.mapInArrow(write, _SEGMENTS), "segments"))
+    segments = reduce(DataFrame.unionByName, segments)
     rows = segments.where("segment is null").groupBy("job_id", "root_id", F.col("whole").alias("path"))
     rows = rows.agg(F.count("*").alias("n_entries"), F.sum("size").alias("bytes"))
     cut = segments.where("segment is not null")
     archives = cut.select("job_id", "root_id").distinct().count()
     joined = dealt(cut, archives, "job_id", "root_id").sortWithinPartitions(*key, "ordinal").mapInArrow(_joined(path), MANIFEST)
     manifest = rows.unionByName(joined) if archives else rows
-    manifest.write.mode("overwrite").parquet(f"{path}/manifest")
+    with own_shuffles(spark):
+        manifest.write.mode("overwrite").parquet(f"{path}/manifest")
     _delete(spark, f"{path}/_segments")
     return spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
 
 
+def rounds_of(tasks: int, cores: int) -> int:
+    return min(max(tasks // (ROUND_TASKS_PER_CORE * cores), 1), MOST_ROUNDS)
+
+
+def _deflated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Outputs with their data deflated, its CRC and size; those with a file of their own are left to who writes them."""
+    for batch in batches:
+        found = []
+        for value, place in zip(batch.column("data"), batch.column("place").to_pylist(), strict=True):
+            if place is not None:
+                found.append((None, None, None))
+                continue
+            raw = memoryview(value.as_buffer()) if value.is_valid else b""
+            # As zipfile does it.
+            press = zlib.compressobj(zlib.Z_DEFAULT_COMPRESSION, zlib.DEFLATED, -zlib.MAX_WBITS)
+            found.append((press.compress(raw) + press.flush(), zlib.crc32(raw), len(raw)))
+        data, crcs, sizes = zip(*found, strict=True) if found else ((), (), ())
+        new = {"data": pa.array(data, pa.binary()), "crc": pa.array(crcs, pa.int64()), "size": pa.array(sizes, pa.int64())}
+        names = ["job_id", "root_id", "archive_path", "parts", "part", "data", "place", "crc", "size"]
+        yield pa.RecordBatch.from_arrays([new[n] if n in new else batch.column(n) for n in names], names=names)
+
+
+def _add_deflated(archive: zipfile.ZipFile, info: zipfile.ZipInfo, data: bytes, crc: int, size: int) -> None:
+    """Add an entry that is deflated already to an archive that is written as a stream, in the form zipfile gives it."""
+    info.CRC, info.compress_size, info.file_size = crc, len(data), size
+    info.flag_bits, info.external_attr, info.header_offset = _SIZES_FOLLOW, _ATTRIBUTES, archive.fp.tell()
+    archive.fp.write(info.FileHeader(zip64=False))
+    archive.fp.write(data)
+    archive.fp.write(struct.pack("<4sLLL", _SIZES, crc, len(data), size))
+    archive.filelist.append(info)
+    archive.NameToInfo[info.filename] = info
+    archive.start_dir = archive.fp.tell()
+
+
 def _joined(path: str):
     """Joins the segments of archives, whose entries come in order; one entry and one piece of bytes are held at a time."""
 

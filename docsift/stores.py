@@ -10,6 +10,7 @@ def open_store(uri: str) -> tuple[fs.FileSystem, str]:
     for scheme in ("s3a://", "s3n://"):
         if uri.startswith(scheme):
             uri = "s3://" + uri[len(scheme) :]
-    if uri.startswith("file:/") and not uri.startswith("file:///"):
-        uri = "file:///" + uri[len("file:") :].lstrip("/")
+    if uri.startswith("file:/"):
+        # Spark's spelling escapes nothing: a percent sign is one of the name, which ``from_uri`` would take for an escape.
+        return fs.LocalFileSystem(), "/" + uri[len("file:") :].strip("/")
     return fs.FileSystem.from_uri(uri)

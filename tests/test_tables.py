@@ -2,6 +2,7 @@
 
 import io
 import os
+import time
 import zipfile
 from collections import defaultdict
 
@@ -14,8 +15,9 @@ from docsift.operators import compare, dedupe
 from docsift.operators.openers import Limits
 from docsift.operators.skew import hot_keys, join_one_to_many, join_to_small, without
 from docsift.plans import container_queries
-from docsift.session import new_run_dir, temporary_runs
-from docsift.sinks.archive import directory_record, end_of_archive, publish, with_part, write_archives
+from docsift.session import SHUFFLE_CLEANUP, new_run_dir, staged, temporary_runs
+from docsift.sinks import archive
+from docsift.sinks.archive import MOST_ROUNDS, directory_record, end_of_archive, publish, rounds_of, with_part, write_archives
 from docsift.sinks.layout import write_layout
 from docsift.sources import files, zips
 from docsift.streaming.landing import append_stream, as_root_files, expand_stream, landing_stream, read_results, unique_files, unique_stream
@@ -166,6 +168,107 @@ def test_a_large_root_is_one_archive_of_many_segments(spark, tmp_path):
     assert read_zip(str(tmp_path / "pub" / "big.zip")) == read_zip(whole["big/1"].path)
 
 
+def test_archives_are_the_same_in_any_number_of_rounds(spark, tmp_path, monkeypatch):
+    """Byte by byte, whole archives and those of segments: names that are not ASCII, empty entries, and contents in files of their own."""
+    entries = [("d/é.txt", "säge ".encode() * 99), ("empty.txt", b""), *((f"{i}.txt", b"%d " % i * 300) for i in range(9))]
+    tops = [(f"r{i}", "a.zip", make_zip([(f"{i}-{n}", c) for n, c in entries])) for i in range(4)]
+    outputs = process(roots(spark, tops), ["text", "embedded"], limits=Limits(inline_bytes=1_000)).outputs
+    for part_bytes in (1 << 20, 3_000):
+        found = []
+        for rounds in (1, 3):
+            monkeypatch.setattr(archive, "rounds_of", lambda tasks, cores, n=rounds: n)
+            rows = write_archives(outputs, str(tmp_path / f"{part_bytes}-{rounds}"), part_bytes).collect()
+            found.append({(r.root_id, r.n_entries, r.bytes): open(r.path, "rb").read() for r in rows})
+        assert found[0] == found[1] and len(found[0]) == len(tops)
+    assert [rounds_of(n, 4) for n in (1, 15, 16, 10_000)] == [1, 1, 2, MOST_ROUNDS]
+
+
+# Takes what is written, and has no way back.
+class Forward(io.RawIOBase):
+    def __init__(self):
+        self.data = bytearray()
+
+    def writable(self):
+        return True
+
+    def write(self, data):
+        self.data += bytes(data)
+        return len(data)
+
+
+def test_entries_deflated_early_are_as_zipfile_writes_them(spark, tmp_path):
+    outputs = expanded(spark).outputs.where("root_id = 'big/1'")
+    expected = {o.archive_path: bytes(o.content) if o.content is not None else o.text.encode() for o in outputs.collect()}
+    (row,) = write_archives(outputs, str(tmp_path)).collect()
+    stream = Forward()
+    with zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as target:
+        for name in sorted(expected):
+            info = zipfile.ZipInfo(name, archive.ENTRY_TIME)
+            info.compress_type = zipfile.ZIP_DEFLATED
+            with target.open(info, "w") as entry:
+                entry.write(expected[name])
+    with open(row.path, "rb") as written_file:
+        assert written_file.read() == bytes(stream.data)
+
+
+def test_exported_contents_move_deflated(spark, tmp_path):
+    """What a shuffle holds is as small as the archive."""
+    one = make_zip([("x.txt", b"the same again " * 100_000)])
+    outputs = staged(process(roots(spark, [("r", "b.zip", one)]), ["embedded"]).outputs)
+    moved = []
+    real = archive.dealt
+    archive.dealt = lambda rows, *a: moved.append(rows) or real(rows, *a)
+    try:
+        write_archives(outputs, str(tmp_path))
+    finally:
+        archive.dealt = real
+    assert "data" in moved[0].columns
+    assert 0 < moved[0].agg(F.sum(F.octet_length("data"))).first()[0] < 20_000
+
+
+def shuffle_files(spark):
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()
+    return sum(name.startswith("shuffle_") for top in folders for _, _, names in os.walk(top.getPath()) for name in names)
+
+
+def test_a_written_table_leaves_no_shuffle(spark):
+    before, setting = shuffle_files(spark), spark.conf.get(SHUFFLE_CLEANUP, None)
+    rows = spark.range(1000).repartition(3, "id")
+    table = staged(rows)
+    # Files are deleted by the executors, a moment later.
+    until = time.time() + 20
+    while shuffle_files(spark) > before and time.time() < until:
+        time.sleep(0.2)
+    assert shuffle_files(spark) <= before
+    assert table.count() == rows.count() == len(rows.collect()) == 1000
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+
+
+def test_archives_below_a_folder_named_by_a_uri(spark, tmp_path):
+    """Names with characters that are escaped in them."""
+    outputs = process(roots(spark, [("a/b c%2f", "b.zip", make_zip([("x.txt", b"x")]))]), ["embedded"]).outputs
+    for i, start in enumerate(("", "file:", "file://")):
+        manifest = write_archives(outputs, f"{start}{tmp_path}/{i}")
+        jobs = spark.createDataFrame([("a/b c%2f", f"{start}{tmp_path}/{i}/a%20b/c.zip")], "job_id string, output_uri string")
+        (done,) = publish(manifest, jobs).collect()
+        assert list(read_zip(str(tmp_path / str(i) / "a%20b" / "c.zip")).values()) == [b"x"]
+        assert done.bytes == os.path.getsize(tmp_path / str(i) / "a%20b" / "c.zip")
+
+
+def test_published_jobs_leave_only_archives(spark, tmp_path):
+    """Tables of contents that the jobs went through are deleted, and rows are the same however often they are read."""
+    docs = spark.createDataFrame([(i, "web", f"text {i} " * 40) for i in range(130)], "doc_id long, source string, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    shared = os.path.join(spark.conf.get("spark.checkpoint.dir"), "docsift")
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    published = container_queries.publish_jobs(spark, str(tmp_path))
+    rows = sorted((r.uri, r.n_entries, r.bytes) for r in published.collect())
+    assert [r[:2] for r in rows] == [(f"docs-{b}/{j}", n) for b, n in ((0, 64), (1, 64), (2, 2)) for j in "ab"]
+    assert sum(r[2] for r in rows) == 2 * sum(len(f"text {i} " * 40) for i in range(130))
+    assert {f.rsplit("-", 1)[0] for f in set(os.listdir(shared)) - before} <= {"export", "published", "directories"}
+    assert sorted((r.uri, r.n_entries, r.bytes) for r in published.collect()) == rows
+
+
 def test_directories_beyond_32_bits(tmp_path):
     """Records of an archive of over 4 GiB, most of it a hole in the file, as other readers take them."""
     name, data, at = "déjà/vu.txt", b"far away " * 50, 5 << 30
