@@ -59,9 +59,13 @@ def scan_jobs(jobs: DataFrame, files: DataFrame, large_bytes: int = INLINE_BYTES
     cores = jobs.sparkSession.sparkContext.defaultParallelism
     tasks = min(max(4 * cores, (work.bytes or 0) // TASK_BYTES), max(work.small, 1))
     good = known.where(~is_large).drop("length").repartitionByRange(tasks, "job_id", "path")
-    big = known.where(is_large).repartitionByRange(min(4 * cores, max(work.large, 1)), "job_id", "path")
-    large = with_files(big).select("job_id", F.col("job_id").alias("root_id"), named, "path", "length", "mimetype", "types", "recurse")
-    gone = with_contents(good.select("job_id", "path").unionByName(big.select("job_id", "path")), only_missing=True)
+    big, asked = known.where(is_large), good.select("job_id", "path")
+    if work.large:
+        big = big.repartitionByRange(min(4 * cores, work.large), "job_id", "path")
+        asked = asked.unionByName(big.select("job_id", "path"))
+        big = with_files(big)
+    large = big.select("job_id", F.col("job_id").alias("root_id"), named, "path", "length", "mimetype", "types", "recurse")
+    gone = with_contents(asked, only_missing=True)
     gone = gone.select("job_id", F.lit("not_found").alias("error_class")).join(jobs.select("job_id", "input_uri"), "job_id")
     errors = checked.where("error_class is not null").select("job_id", "error_class", "input_uri")
     errors = errors.unionByName(gone).select(
