@@ -41,8 +41,8 @@ _PACKED = (
 # Bytes and entries of a part, so that roots of very many small outputs are cut as well.
 PART_BYTES, PART_ENTRIES = 256 << 20, 250_000
 
-# Each round reads all outputs and moves its share of them, so rounds are few, and have several tasks per core.
-MOST_ROUNDS, ROUND_TASKS_PER_CORE = 4, 2
+# Each round reads all outputs and moves its share of them, so rounds are few, and have a task per core at least.
+MOST_ROUNDS = 4
 
 # All entries carry the earliest time a zip can hold, so that archives of equal content are equal. Names
 # that are not ASCII are UTF-8, sizes follow the data, and so they may have 64 bits.
@@ -151,7 +151,7 @@ def write_archives(outputs: DataFrame, path: str, part_bytes: int = PART_BYTES,
 
 
 def rounds_of(tasks: int, cores: int) -> int:
-    return min(max(tasks // (ROUND_TASKS_PER_CORE * cores), 1), MOST_ROUNDS)
+    return min(max(tasks // cores, 1), MOST_ROUNDS)
 
 
 def _deflated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
